@@ -89,6 +89,19 @@ def _file_schemas(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(footers, "path string, schema string")
 
 
+def _units(files: DataFrame) -> DataFrame:
+    """What to scan per schema: whole folders where all files agree, single files elsewhere."""
+    placed = files.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+    folders = placed.groupBy("folder").agg(
+        F.min("schema").alias("schema"), F.max("schema").alias("other")
+    )
+    agreed = folders.filter("schema = other").select("schema", F.col("folder").alias("unit"))
+    mixed = folders.filter("schema <> other").select("folder")
+    return agreed.unionByName(
+        placed.join(mixed, "folder", "left_semi").select("schema", F.col("path").alias("unit"))
+    )
+
+
 def _as_canonical(df: DataFrame) -> DataFrame:
     """Every canonical column by tolerant cast, absent ones as typed NULL, then the path keys."""
     have = set(df.columns)
@@ -96,7 +109,9 @@ def _as_canonical(df: DataFrame) -> DataFrame:
         (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in BRONZE.fields
     ]
-    keys = [F.col(k).cast("string") for k in BRONZE_PARTITIONS if k in have and k != "source"]
+    # Spark reads the path keys as numbers; give back their zero padding.
+    widths = {"year": 4, "month": 2, "day": 2}
+    keys = [F.lpad(F.col(k).cast("string"), w, "0").alias(k) for k, w in widths.items() if k in have]
     return df.select(*columns, *keys)
 
 
@@ -104,29 +119,19 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """The whole lake as one canonical frame, whatever physical types its files have.
 
     Files of other writers may disagree on types (whole numbers here, decimals there, a column
-    without any value), which one Parquet scan refuses. Files are therefore grouped by their
-    footer schema, one scan per distinct schema.
+    without any value), which one Parquet scan refuses. They are therefore grouped by their
+    footer schema, one scan per distinct schema. The driver sees folder names, and file names
+    only of folders whose files disagree.
     """
     path = f"{root.rstrip('/')}/{FOLDER}"
-    groups = (
-        _file_schemas(spark, path)
-        .groupBy("schema")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("schema")
-        .collect()
-    )
-    # Text path keys keep their zero padding.
-    infer = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(infer)
-    spark.conf.set(infer, "false")
-    try:
-        if len(groups) == 1:
-            scans = [spark.read.parquet(path)]
-        else:
-            scans = [spark.read.option("basePath", path).parquet(*g.paths) for g in groups]
-        return reduce(DataFrame.unionByName, [_as_canonical(s) for s in scans])
-    finally:
-        spark.conf.set(infer, before)
+    files = _file_schemas(spark, path)
+    if files.agg(F.min("schema") == F.max("schema")).first()[0]:
+        return _as_canonical(spark.read.parquet(path))
+    units: dict[str, list[str]] = {}
+    for row in _units(files).collect():
+        units.setdefault(row.schema, []).append(row.unit)
+    scans = [spark.read.option("basePath", path).parquet(*sorted(u)) for _, u in sorted(units.items())]
+    return reduce(DataFrame.unionByName, [_as_canonical(s) for s in scans])
 
 
 def read_bronze_uniform(spark: SparkSession, root: str) -> DataFrame:

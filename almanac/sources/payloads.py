@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almanac.schemas import CURRENT_PAYLOAD, HISTORY_ARRAYS, HISTORY_PAYLOAD, OBSERVATION
 
@@ -41,11 +42,12 @@ def read_history(payloads: DataFrame) -> DataFrame:
 
     A response without ``hourly`` is usable and holds no rows.
     """
-    body = F.from_json("payload", HISTORY_PAYLOAD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    schema = T.StructType([*HISTORY_PAYLOAD.fields, T.StructField("unreadable", T.StringType())])
+    body = F.from_json("payload", schema, {"columnNameOfCorruptRecord": "unreadable"})
     parsed = payloads.withColumn("_body", body).withColumn("h", F.col("_body.hourly"))
-    readable = F.try_parse_json("payload").isNotNull()
-    usable = readable & F.coalesce(F.when(F.col("h").isNull(), True).otherwise(_usable_history(F.col("h"))), F.lit(False))
-    return parsed.withColumn("usable", usable).drop("_body")
+    complete = F.when(F.col("h").isNull(), True).otherwise(_usable_history(F.col("h")))
+    readable = F.col("_body").isNotNull() & F.col("_body.unreadable").isNull()
+    return parsed.withColumn("usable", readable & F.coalesce(complete, F.lit(False))).drop("_body")
 
 
 def parse_history(payloads: DataFrame, registry: DataFrame) -> DataFrame:
