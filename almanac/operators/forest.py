@@ -121,7 +121,7 @@ def _packed(nodes: DataFrame, size: ForestSize):
     length waits at the bottom.
     """
     inner, bottom = 2**size.depth - 1, 2**size.depth
-    feature = np.zeros((size.trees, inner), dtype=np.int32)
+    feature = np.zeros((size.trees, inner), dtype=np.int64)
     threshold = np.full((size.trees, inner), np.inf, dtype=np.float64)
     path = np.zeros((size.trees, bottom), dtype=np.float64)
     for tree, node, f, cut, n, depth in nodes.select(*NODES.names).collect():
@@ -147,19 +147,24 @@ def with_path_score(df: DataFrame, nodes: DataFrame, inputs: Sequence, size: For
     @F.pandas_udf(T.DoubleType())
     def score(*columns: pd.Series) -> pd.Series:
         feature, threshold, path = packed.value
+        inner = feature.shape[1]
         x = np.column_stack([c.to_numpy(dtype=np.float64) for c in columns])
         total = np.zeros(len(x))
-        for start in range(0, len(x), 1024):  # the working arrays stay in cache
-            part = np.ascontiguousarray(x[start : start + 1024].T)  # one line per feature
+        for start in range(0, len(x), 4096):  # the working arrays stay in cache
+            part = np.ascontiguousarray(x[start : start + 4096].T)  # one line per feature
             n = part.shape[1]
-            flat, row = part.ravel(), np.arange(n)
+            flat, row, line = part.ravel(), np.arange(n), feature * n
             for t in range(trees):
                 # All rows read one feature at the root; deeper levels gather.
-                node = np.where(part[feature[t, 0]] <= threshold[t, 0], 1, 2)
+                node = 1 + (part[feature[t, 0]] > threshold[t, 0]).astype(np.int64)
                 for _ in range(depth - 1):
-                    go_left = flat[feature[t][node] * n + row] <= threshold[t][node]
-                    node = 2 * node + 2 - go_left
-                total[start : start + n] += path[t][node - feature.shape[1]]
+                    cell = line[t].take(node)
+                    cell += row
+                    goes_right = flat.take(cell) > threshold[t].take(node)
+                    node *= 2
+                    node += 1
+                    node += goes_right
+                total[start : start + n] += path[t].take(node - inner)
         return pd.Series(-np.exp2(-(total / trees) / scale))
 
     return df.withColumn(name, score(*inputs))

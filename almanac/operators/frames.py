@@ -1,11 +1,13 @@
-"""Row-counted rolling frames, lags and whole-group seasonal statistics."""
+"""Row-counted rolling frames, lags and whole-group statistics."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from almanac.operators.series import (
@@ -16,25 +18,48 @@ from almanac.operators.series import (
     without_copies,
 )
 
-AGGREGATES: dict[str, Callable[[str], Column]] = {
-    "avg": F.avg,
-    "min": F.min,
-    "max": F.max,
-    "sum": F.sum,
-    "var": F.var_samp,
-    "std": F.stddev_samp,
-}
+# A sliding frame is evaluated afresh for every row, so its cost grows with its length. Frames
+# longer than this are put together from shorter ones.
+LONGEST_DIRECT = 32
 
 
 @dataclass(frozen=True)
 class Rolling:
-    """``fn`` over the current row and the ``rows - 1`` rows before it; short frames count as they are."""
+    """``fn`` over the current row and the ``rows - 1`` rows before it; short frames count as they are.
+
+    ``fn`` is avg, sum, var, std (sample), min or max.
+    """
 
     name: str
     column: str
     fn: str
     rows: int
 
+    @property
+    def block(self) -> int:
+        """The frame length that is evaluated directly; ``rows`` is a multiple of it."""
+        if self.rows <= LONGEST_DIRECT:
+            return self.rows
+        fits = [b for b in range(2, LONGEST_DIRECT + 1) if self.rows % b == 0]
+        return max(fits, default=self.rows)
+
+    def helper(self, what: str, back: int = 0) -> str:
+        """Column with a statistic of the block that ends ``back`` rows before the current one."""
+        return f"_{what}_{self.column}_{self.block}_{back}"
+
+    @property
+    def statistics(self) -> list[str]:
+        if self.fn in ("min", "max"):
+            return [self.fn]
+        return ["n", "sum", "m2"] if self.fn in ("var", "std") else ["n", "sum"]
+
+    @property
+    def backs(self) -> range:
+        return range(0, self.rows, self.block)
+
+    def parts(self, what: str) -> list[Column]:
+        return [F.col(self.helper(what, back)) for back in self.backs]
+
 
 @dataclass(frozen=True)
 class Lag:
@@ -47,6 +72,45 @@ def lookback_of(rolling: Sequence[Rolling], lags: Sequence[Lag]) -> int:
     return max([r.rows - 1 for r in rolling] + [g.back for g in lags], default=0)
 
 
+def _block_statistics(r: Rolling, ordered: WindowSpec) -> dict[str, Column]:
+    frame = ordered.rowsBetween(1 - r.block, 0)
+    of = {"n": F.count, "sum": F.sum, "m2": F.var_pop, "min": F.min, "max": F.max}
+    return {r.helper(s): of[s](r.column).over(frame) for s in r.statistics}
+
+
+def _addable(r: Rolling) -> dict[str, Column]:
+    """The block statistics as numbers that add up: squared deviations, and 0 for no rows."""
+    n = F.col(r.helper("n")).cast("double")
+    columns = {
+        "n": n,
+        "sum": F.coalesce(r.helper("sum"), F.lit(0.0)),
+        "m2": F.coalesce(F.col(r.helper("m2")) * n, F.lit(0.0)),
+    }
+    return {r.helper(s): columns[s] for s in r.statistics if s in columns}
+
+
+def _earlier_blocks(r: Rolling, ordered: WindowSpec) -> dict[str, Column]:
+    columns = {}
+    for s in r.statistics:
+        default = None if s in ("min", "max") else 0.0
+        for back in r.backs[1:]:
+            columns[r.helper(s, back)] = F.lag(r.helper(s), back, default).over(ordered)
+    return columns
+
+
+def _total(parts: Sequence[Column]) -> Column:
+    return reduce(add, parts)
+
+
+def _squares(r: Rolling, mean: Column) -> Column:
+    """Squared deviations of the whole frame: those within its blocks and those between them."""
+    between = []
+    for n, total in zip(r.parts("n"), r.parts("sum"), strict=True):
+        offset = total / F.greatest(n, F.lit(1.0)) - mean
+        between.append(n * offset * offset)
+    return _total(r.parts("m2")) + _total(between)
+
+
 def with_frames(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,16 +119,52 @@ def with_frames(
     lags: Sequence[Lag] = (),
     profile: SeriesProfile | None = None,
 ) -> DataFrame:
-    """Add all frame columns over one shared shuffle and sort."""
+    """Add all frame columns over one shared shuffle and sort.
+
+    A long frame merges the counts, sums and squared deviations of equal blocks: the one ending at
+    the current row, and earlier ones fetched by lag. Nothing is ever subtracted, so the result is
+    as accurate as the direct frame, at a cost of some lags instead of ``rows`` updates.
+    """
     profile = profile or profile_series(df, keys)
     split = split_long_series(df, keys, order, lookback_of(rolling, lags), profile)
     group = [*keys, PIECE] if profile.has_long_series else list(keys)
     ordered = Window.partitionBy(*group).orderBy(order)
-    columns = {
-        r.name: AGGREGATES[r.fn](r.column).over(ordered.rowsBetween(1 - r.rows, 0)) for r in rolling
-    }
-    columns |= {g.name: F.lag(g.column, g.back).over(ordered) for g in lags}
-    return without_copies(split.withColumns(columns))
+
+    first: dict[str, Column] = {g.name: F.lag(g.column, g.back).over(ordered) for g in lags}
+    numbers: dict[str, Column] = {}
+    second: dict[str, Column] = {}
+    means: dict[str, Column] = {}
+    results: dict[str, Column] = {}
+    for r in rolling:
+        first |= _block_statistics(r, ordered)
+        numbers |= _addable(r)
+        second |= _earlier_blocks(r, ordered)
+        if r.fn in ("min", "max"):
+            extreme = F.least if r.fn == "min" else F.greatest
+            parts = r.parts(r.fn)
+            results[r.name] = extreme(*parts) if len(parts) > 1 else parts[0]
+            continue
+        count, total = f"_n_{r.column}_{r.rows}", f"_sum_{r.column}_{r.rows}"
+        mean = f"_mean_{r.column}_{r.rows}"
+        means |= {count: _total(r.parts("n")), total: _total(r.parts("sum"))}
+        means[mean] = _total(r.parts("sum")) / F.nullif(_total(r.parts("n")), F.lit(0.0))
+        if r.fn == "avg":
+            results[r.name] = F.col(mean)
+        elif r.fn == "sum":
+            results[r.name] = F.when(F.col(count) > 0, F.col(total))
+        else:
+            squares = _squares(r, F.col(mean)) if len(r.backs) > 1 else F.col(r.helper("m2"))
+            variance = F.when(F.col(count) > 1, squares / (F.col(count) - F.lit(1.0)))
+            results[r.name] = F.sqrt(variance) if r.fn == "std" else variance
+
+    framed = split
+    for columns in (first, numbers, second):
+        framed = framed.withColumns(columns) if columns else framed
+    # Copies have served once the lags are taken.
+    framed = without_copies(framed)
+    framed = framed.withColumns(means) if means else framed
+    framed = framed.withColumns(results) if results else framed
+    return framed.select(*df.columns, *[r.name for r in rolling], *[g.name for g in lags])
 
 
 # Rows of group statistics that may be sent to every task (13 numbers each, about 50 MB).
@@ -80,9 +180,9 @@ def with_group_stats(
 ) -> DataFrame:
     """Attach aggregates over all ``rows`` of its group to every row of ``df``.
 
-    Pre-aggregates, then joins. Keys must not be NULL. ``most_groups`` is a known upper bound on the number of groups; the
-    statistics are broadcast only if it is small, otherwise Spark joins on the keys (and splits
-    skewed join partitions at run time).
+    Pre-aggregates, then joins. Keys must not be NULL. ``most_groups`` is a known upper bound on
+    the number of groups; the statistics are broadcast only if it is small, otherwise Spark joins
+    on the keys (and splits skewed join partitions at run time).
     """
     grouped = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
     if most_groups is not None and most_groups <= BROADCAST_GROUPS:
