@@ -91,14 +91,16 @@ def within_dates(rows: DataFrame, start: date, end: date) -> DataFrame:
     return rows.filter(day.between(F.lit(start), F.lit(end)))
 
 
-def failed_stations(registry: DataFrame, answered: DataFrame) -> DataFrame:
-    """Stations without a usable response."""
-    return registry.join(answered.select("city_id"), "city_id", "left_anti")
+def failed_stations(registry: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Stations without a response, or with one that cannot be used."""
+    answers = read_history(payloads).groupBy("city_id").agg(F.bool_and("usable").alias("usable"))
+    return registry.join(answers.filter("usable"), "city_id", "left_anti")
 
 
 def require_complete(registry: DataFrame, payloads: DataFrame) -> None:
-    """Fail the whole batch, naming its stations, unless every one has a usable response."""
-    failed = failed_stations(registry, read_history(payloads).filter("usable"))
-    names = [r.city_name for r in failed.select("city_name").orderBy("city_id").limit(1000).collect()]
+    """Call before writing: fail the whole batch, naming its stations, if any has failed."""
+    failed = failed_stations(registry, payloads).select("city_name").orderBy("city_name")
+    names = [r.city_name for r in failed.take(101)]
     if names:
-        raise RuntimeError("Backfill failed for cities: " + ", ".join(names))
+        more = ", ..." if len(names) > 100 else ""
+        raise RuntimeError("Backfill failed for cities: " + ", ".join(names[:100]) + more)

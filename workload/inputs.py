@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.functions.temporal import truncated
+from almanac.operators.latest import latest_wins
 from almanac.operators.series import profile_series
 from almanac.plans import features, marts, silver
 from almanac.session import materialise
@@ -78,3 +80,108 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.extreme_events_daily(feature_rows(spark, sf_dir))
+
+
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature store over a stored silver table, itself stored: for readers of many columns."""
+    clean = materialise(silver_rows(spark, sf_dir), "silver")
+    return materialise(features.feature_store(clean), "features")
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry of the stations that ``raw_observations`` reports."""
+    raw = raw_observations(spark, sf_dir)
+    return raw.select("city_id", "city_name", "lat", "lon").dropna().distinct()
+
+
+def current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON response per event, with parts left out here and there."""
+    events = table(spark, sf_dir, "events")
+    event = F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("int")
+    amount = F.floor("value").cast("double")
+    body = F.struct(
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("dt"),
+        F.struct(
+            (k * F.lit(0.75) - F.lit(12.0)).alias("temp"),
+            F.when(event % 13 != 0, (event % 107).cast("double")).alias("humidity"),
+            (F.lit(990) + event % 41).cast("double").alias("pressure"),
+        ).alias("main"),
+        F.when(event % 7 != 0, F.struct((amount * F.lit(0.25)).alias("speed"))).alias("wind"),
+        F.when(k % 5 == 0, F.create_map(F.lit("1h"), amount))
+        .when(k % 5 == 1, F.create_map(F.lit("3h"), amount))
+        .alias("rain"),
+        F.when(event % 11 != 0, F.array(F.struct(F.col("event_type").alias("main")))).alias("weather"),
+    )
+    station = F.floor(F.col("user_id") / F.lit(STATION_USERS)).cast("int") + 1
+    return events.select(station.alias("city_id"), F.to_json(body).alias("payload"))
+
+
+HOURS_PER_RESPONSE = 24
+RESPONSES_PER_STATION = 40
+
+
+def history_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON responses of parallel arrays, 24 consecutive events each.
+
+    Some lack the pressure or everything; some have a short array; some were fetched before the
+    last of their hours.
+    """
+    events = table(spark, sf_dir, "events")
+    block = F.floor(F.col("event_id") / F.lit(HOURS_PER_RESPONSE)).cast("int")
+    hour = F.struct(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        (F.get_json_object("props", "$.k").cast("int") * F.lit(0.75) - F.lit(12.0)).alias("temperature_2m"),
+        (F.col("event_id") % 107).cast("double").alias("relative_humidity_2m"),
+        (F.lit(990) + F.col("event_id") % 41).cast("double").alias("pressure_msl"),
+        _quarter(F.col("value")).alias("wind_speed_10m"),
+        F.floor("value").cast("double").alias("rain"),
+    )
+    blocks = events.groupBy(block.alias("block")).agg(
+        F.array_sort(F.collect_list(hour)).alias("hours"), F.max("ts").alias("last")
+    )
+    station = F.floor(F.col("block") / F.lit(RESPONSES_PER_STATION)).cast("int") + 1
+    wind = F.col("hours.wind_speed_10m")
+    broken = (F.col("block") % 50 == 13) | (station % 4 == 0)
+    hourly = F.struct(
+        F.col("hours.time").alias("time"),
+        F.col("hours.temperature_2m").alias("temperature_2m"),
+        F.col("hours.relative_humidity_2m").alias("relative_humidity_2m"),
+        F.when(F.col("block") % 4 != 0, F.col("hours.pressure_msl")).alias("pressure_msl"),
+        F.when(broken, F.slice(wind, 1, F.size(wind) - 1)).otherwise(wind).alias("wind_speed_10m"),
+        F.col("hours.rain").alias("rain"),
+    )
+    body = F.struct(F.when(F.col("block") % 50 != 7, hourly).alias("hourly"))
+    fetched = F.when(F.col("block") % 5 == 0, F.col("last") - F.expr("interval 1 hour")).otherwise(F.col("last"))
+    return blocks.select(station.alias("city_id"), fetched.alias("fetched_at"), F.to_json(body).alias("payload"))
+
+
+def history_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry of the stations of ``history_payloads``, and one that never answers."""
+    per_station = HOURS_PER_RESPONSE * RESPONSES_PER_STATION
+    answered = table(spark, sf_dir, "events").select(
+        (F.floor(F.col("event_id") / F.lit(per_station)).cast("int") + 1).alias("city_id")
+    )
+    silent = answered.agg((F.max("city_id") + 1).alias("city_id"))
+    ids = answered.distinct().unionByName(silent)
+    return ids.select(
+        "city_id",
+        F.concat(F.lit("CITY_"), "city_id").alias("city_name"),
+        (F.lit(8.0) + (F.col("city_id") % 10) * F.lit(0.5)).alias("lat"),
+        (F.lit(102.0) + (F.col("city_id") % 10) * F.lit(0.25)).alias("lon"),
+    )
+
+
+def uneven_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings to the minute where one station has over a third of all rows."""
+    events = table(spark, sf_dir, "events")
+    station = F.floor(F.col("user_id") / F.lit(STATION_USERS)).cast("int") + 1
+    rows = events.select(
+        F.when(F.col("event_id") % 3 == 0, 0).otherwise(station).alias("city_id"),
+        truncated("minute", F.col("ts")).alias("timestamp_utc"),
+        (F.get_json_object("props", "$.k").cast("int") * F.lit(0.75)).alias("temperature_c"),
+        F.when(F.col("event_id") % 13 != 0, _quarter(F.col("value"))).alias("wind_speed_ms"),
+        F.col("event_id").alias("ingest_seq"),
+    )
+    return latest_wins(rows, ["city_id", "timestamp_utc"], [F.col("ingest_seq").desc()])
