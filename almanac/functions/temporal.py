@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,17 +15,6 @@ def local_time(ts: Column, zone: str) -> Column:
     return F.from_utc_timestamp(ts.cast("timestamp"), zone).cast("timestamp_ntz")
 
 
-
-def weekday_from_sunday(ts: Column) -> Column:
-    """0 = Sunday ... 6 = Saturday."""
-    return (F.dayofweek(ts) - 1).cast("bigint")
-
-
-def on_circle(value: Column, period: float) -> tuple[Column, Column]:
-    angle = value * F.lit(2 * math.pi) / F.lit(period)
-    return F.sin(angle), F.cos(angle)
-
-
 def sort_key(ts: Column) -> Column:
     """A long that orders like the timestamp."""
     return F.unix_micros(ts.cast("timestamp"))

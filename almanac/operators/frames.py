@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.operators.series import (
@@ -43,10 +41,6 @@ class Rolling:
         fits = [b for b in range(2, LONGEST_DIRECT + 1) if self.rows % b == 0]
         return max(fits, default=self.rows)
 
-    def helper(self, what: str, back: int = 0) -> str:
-        """Column with a statistic of the block that ends ``back`` rows before the current one."""
-        return f"_{what}_{self.column}_{self.block}_{back}"
-
     @property
     def statistics(self) -> list[str]:
         if self.fn in ("min", "max"):
@@ -57,8 +51,16 @@ class Rolling:
     def backs(self) -> range:
         return range(0, self.rows, self.block)
 
-    def parts(self, what: str) -> list[Column]:
-        return [F.col(self.helper(what, back)) for back in self.backs]
+    def block_column(self, what: str, back: int | None = None) -> str:
+        """Column with a statistic of the block that ends ``back`` rows before the current one."""
+        end = "" if back is None else f"_{back}"
+        return f"`_{what}_{self.column}_{self.block}{end}`"
+
+    def frame_column(self, what: str) -> str:
+        return f"`_{what}_{self.column}_all{self.rows}`"
+
+    def parts(self, what: str) -> list[str]:
+        return [self.block_column(what, back) for back in self.backs]
 
 
 @dataclass(frozen=True)
@@ -72,43 +74,72 @@ def lookback_of(rolling: Sequence[Rolling], lags: Sequence[Lag]) -> int:
     return max([r.rows - 1 for r in rolling] + [g.back for g in lags], default=0)
 
 
-def _block_statistics(r: Rolling, ordered: WindowSpec) -> dict[str, Column]:
-    frame = ordered.rowsBetween(1 - r.block, 0)
-    of = {"n": F.count, "sum": F.sum, "m2": F.var_pop, "min": F.min, "max": F.max}
-    return {r.helper(s): of[s](r.column).over(frame) for s in r.statistics}
+def _block_statistics(r: Rolling, ordered: str) -> dict[str, str]:
+    calls = {"n": "count", "sum": "sum", "m2": "var_pop", "min": "min", "max": "max"}
+    frame = f"{ordered} ROWS BETWEEN {r.block - 1} PRECEDING AND CURRENT ROW"
+    return {r.block_column(s): f"{calls[s]}(`{r.column}`) OVER ({frame})" for s in r.statistics}
 
 
-def _addable(r: Rolling) -> dict[str, Column]:
+def _mergeable(r: Rolling) -> dict[str, str]:
     """The block statistics as numbers that add up: squared deviations, and 0 for no rows."""
-    n = F.col(r.helper("n")).cast("double")
-    columns = {
+    n = f"double({r.block_column('n')})"
+    values = {
         "n": n,
-        "sum": F.coalesce(r.helper("sum"), F.lit(0.0)),
-        "m2": F.coalesce(F.col(r.helper("m2")) * n, F.lit(0.0)),
+        "sum": f"coalesce({r.block_column('sum')}, 0D)",
+        "m2": f"coalesce({r.block_column('m2')} * {n}, 0D)",
+        "min": r.block_column("min"),
+        "max": r.block_column("max"),
     }
-    return {r.helper(s): columns[s] for s in r.statistics if s in columns}
+    return {r.block_column(s, 0): values[s] for s in r.statistics}
 
 
-def _earlier_blocks(r: Rolling, ordered: WindowSpec) -> dict[str, Column]:
+def _earlier_blocks(r: Rolling, ordered: str) -> dict[str, str]:
     columns = {}
     for s in r.statistics:
-        default = None if s in ("min", "max") else 0.0
+        default = "NULL" if s in ("min", "max") else "0D"
         for back in r.backs[1:]:
-            columns[r.helper(s, back)] = F.lag(r.helper(s), back, default).over(ordered)
+            columns[r.block_column(s, back)] = f"lag({r.block_column(s, 0)}, {back}, {default}) OVER ({ordered})"
     return columns
 
 
-def _total(parts: Sequence[Column]) -> Column:
-    return reduce(add, parts)
+def _totals(r: Rolling) -> dict[str, str]:
+    if r.fn in ("min", "max"):
+        return {}
+    n, total = " + ".join(r.parts("n")), " + ".join(r.parts("sum"))
+    return {
+        r.frame_column("n"): n,
+        r.frame_column("sum"): total,
+        r.frame_column("mean"): f"({total}) / nullif({n}, 0D)",
+    }
 
 
-def _squares(r: Rolling, mean: Column) -> Column:
+def _squares(r: Rolling) -> str:
     """Squared deviations of the whole frame: those within its blocks and those between them."""
-    between = []
-    for n, total in zip(r.parts("n"), r.parts("sum"), strict=True):
-        offset = total / F.greatest(n, F.lit(1.0)) - mean
-        between.append(n * offset * offset)
-    return _total(r.parts("m2")) + _total(between)
+    if len(r.backs) == 1:
+        return r.block_column("m2", 0)
+    between = [
+        f"{n} * pow({total} / greatest({n}, 1D) - {r.frame_column('mean')}, 2D)"
+        for n, total in zip(r.parts("n"), r.parts("sum"), strict=True)
+    ]
+    return " + ".join(r.parts("m2") + between)
+
+
+def _result(r: Rolling) -> str:
+    if r.fn in ("min", "max"):
+        pick = "least" if r.fn == "min" else "greatest"
+        parts = r.parts(r.fn)
+        return f"{pick}({', '.join(parts)})" if len(parts) > 1 else parts[0]
+    n = r.frame_column("n")
+    if r.fn == "avg":
+        return r.frame_column("mean")
+    if r.fn == "sum":
+        return f"CASE WHEN {n} > 0D THEN {r.frame_column('sum')} END"
+    variance = f"CASE WHEN {n} > 1D THEN ({_squares(r)}) / ({n} - 1D) END"
+    return f"sqrt({variance})" if r.fn == "std" else variance
+
+
+def _added(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{e} AS {n}" for n, e in columns.items()]) if columns else df
 
 
 def with_frames(
@@ -126,45 +157,21 @@ def with_frames(
     as accurate as the direct frame, at a cost of some lags instead of ``rows`` updates.
     """
     profile = profile or profile_series(df, keys)
-    split = split_long_series(df, keys, order, lookback_of(rolling, lags), profile)
+    framed = split_long_series(df, keys, order, lookback_of(rolling, lags), profile)
     group = [*keys, PIECE] if profile.has_long_series else list(keys)
-    ordered = Window.partitionBy(*group).orderBy(order)
-
-    first: dict[str, Column] = {g.name: F.lag(g.column, g.back).over(ordered) for g in lags}
-    numbers: dict[str, Column] = {}
-    second: dict[str, Column] = {}
-    means: dict[str, Column] = {}
-    results: dict[str, Column] = {}
-    for r in rolling:
-        first |= _block_statistics(r, ordered)
-        numbers |= _addable(r)
-        second |= _earlier_blocks(r, ordered)
-        if r.fn in ("min", "max"):
-            extreme = F.least if r.fn == "min" else F.greatest
-            parts = r.parts(r.fn)
-            results[r.name] = extreme(*parts) if len(parts) > 1 else parts[0]
-            continue
-        count, total = f"_n_{r.column}_{r.rows}", f"_sum_{r.column}_{r.rows}"
-        mean = f"_mean_{r.column}_{r.rows}"
-        means |= {count: _total(r.parts("n")), total: _total(r.parts("sum"))}
-        means[mean] = _total(r.parts("sum")) / F.nullif(_total(r.parts("n")), F.lit(0.0))
-        if r.fn == "avg":
-            results[r.name] = F.col(mean)
-        elif r.fn == "sum":
-            results[r.name] = F.when(F.col(count) > 0, F.col(total))
-        else:
-            squares = _squares(r, F.col(mean)) if len(r.backs) > 1 else F.col(r.helper("m2"))
-            variance = F.when(F.col(count) > 1, squares / (F.col(count) - F.lit(1.0)))
-            results[r.name] = F.sqrt(variance) if r.fn == "std" else variance
-
-    framed = split
-    for columns in (first, numbers, second):
-        framed = framed.withColumns(columns) if columns else framed
-    # Copies have served once the lags are taken.
-    framed = without_copies(framed)
-    framed = framed.withColumns(means) if means else framed
-    framed = framed.withColumns(results) if results else framed
-    return framed.select(*df.columns, *[r.name for r in rolling], *[g.name for g in lags])
+    ordered = f"PARTITION BY {', '.join(f'`{k}`' for k in group)} ORDER BY `{order}`"
+
+    def each(stage) -> dict[str, str]:
+        return {name: e for r in rolling for name, e in stage(r).items()}
+
+    backwards = {f"`{g.name}`": f"lag(`{g.column}`, {g.back}) OVER ({ordered})" for g in lags}
+    framed = _added(framed, backwards | each(lambda r: _block_statistics(r, ordered)))
+    framed = _added(framed, each(_mergeable))
+    framed = _added(framed, each(lambda r: _earlier_blocks(r, ordered)))
+    framed = without_copies(framed)  # they have served once the lags are taken
+    framed = _added(framed, each(_totals))
+    results = [f"{_result(r)} AS `{r.name}`" for r in rolling]
+    return framed.selectExpr(*[f"`{c}`" for c in df.columns], *results, *[f"`{g.name}`" for g in lags])
 
 
 # Rows of group statistics that may be sent to every task (13 numbers each, about 50 MB).

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almanac.functions.temporal import on_circle, weekday_from_sunday
 from almanac.operators.frames import Lag, Rolling, with_frames, with_group_stats
 from almanac.operators.series import SeriesProfile, profile_series
 from almanac.operators.validity import valid_only
@@ -94,22 +93,19 @@ WINDOW_COLUMNS = [
 
 
 def with_calendar(df: DataFrame, time: str = TIME) -> DataFrame:
-    ts = F.col(time)
-    hour, month, weekday = F.hour(ts), F.month(ts), weekday_from_sunday(ts)
-    hour_sin, hour_cos = on_circle(hour, 24)
-    month_sin, month_cos = on_circle(month, 12)
-    return df.withColumns(
-        {
-            "hour_of_day": hour.cast("bigint"),
-            "month": month.cast("bigint"),
-            "day_of_week": weekday,
-            "is_weekend": F.when(weekday.isin(0, 6), 1).otherwise(0),
-            "hour_sin": hour_sin,
-            "hour_cos": hour_cos,
-            "month_sin": month_sin,
-            "month_cos": month_cos,
-        }
+    """Hour, month, weekday (0 = Sunday), weekend mark, and hour and month on the circle."""
+    dated = df.selectExpr(
+        "*",
+        f"bigint(hour({time})) AS hour_of_day",
+        f"bigint(month({time})) AS month",
+        f"bigint(dayofweek({time}) - 1) AS day_of_week",
     )
+    circles = [
+        f"{fn}(2D * pi() * {column} / {period}D) AS {name}_{fn}"
+        for name, column, period in (("hour", "hour_of_day", 24), ("month", "month", 12))
+        for fn in ("sin", "cos")
+    ]
+    return dated.selectExpr("*", "CASE WHEN day_of_week IN (0, 6) THEN 1 ELSE 0 END AS is_weekend", *circles)
 
 
 def with_seasonal(df: DataFrame, valid: DataFrame, n_series: int | None = None) -> DataFrame:
@@ -127,25 +123,30 @@ def with_seasonal(df: DataFrame, valid: DataFrame, n_series: int | None = None)
 
 def with_changes(df: DataFrame) -> DataFrame:
     """Differences to lags and rolling averages, temperature range, dew point."""
-    value = {short: F.col(column) for short, column in MEASURES.items()}
-    columns = {
-        g.name.replace("lag", "delta"): F.col(g.column) - F.col(g.name) for g in LAGS
-    }
-    for short, span in (("temp", "24h"), ("temp", "7d"), ("humidity", "24h"), ("pressure", "24h"), ("wind", "7d")):
-        columns[f"{short}_vs_{span}_avg"] = value[short] - F.col(f"rolling_avg_{short}_{span}")
-    columns["temp_range_24h"] = F.col("rolling_max_temp_24h") - F.col("rolling_min_temp_24h")
-    columns["dew_point_c"] = value["temp"] - (F.lit(100.0) - value["humidity"]) / F.lit(5.0)
-    return df.withColumns(columns)
+    to_lags = [f"{g.column} - {g.name} AS {g.name.replace('lag', 'delta')}" for g in LAGS]
+    to_averages = [
+        f"{MEASURES[short]} - rolling_avg_{short}_{span} AS {short}_vs_{span}_avg"
+        for short, span in (("temp", "24h"), ("temp", "7d"), ("humidity", "24h"), ("pressure", "24h"), ("wind", "7d"))
+    ]
+    return df.selectExpr(
+        "*",
+        *to_lags,
+        *to_averages,
+        "rolling_max_temp_24h - rolling_min_temp_24h AS temp_range_24h",
+        "temperature_c - (100D - humidity_pct) / 5D AS dew_point_c",
+    )
 
 
 def with_seasonal_scores(df: DataFrame) -> DataFrame:
     """Distance to the seasonal mean, also in deviations (NULL where there is no spread)."""
-    columns = {"temp_vs_city_month_hour_avg": F.col("temperature_c") - F.col("city_month_hour_avg_temp")}
-    for short, column in MEASURES.items():
-        distance = F.col(column) - F.col(f"city_month_hour_avg_{short}")
-        spread = F.nullif(F.col(f"city_month_hour_std_{short}"), F.lit(0.0))
-        columns[f"{short}_city_month_hour_zscore"] = distance / spread
-    return df.withColumns(columns)
+    scores = [
+        f"({column} - city_month_hour_avg_{short}) / nullif(city_month_hour_std_{short}, 0D)"
+        f" AS {short}_city_month_hour_zscore"
+        for short, column in MEASURES.items()
+    ]
+    return df.selectExpr(
+        "*", "temperature_c - city_month_hour_avg_temp AS temp_vs_city_month_hour_avg", *scores
+    )
 
 
 def feature_store(silver: DataFrame, profile: SeriesProfile | None = None) -> DataFrame:

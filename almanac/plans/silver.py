@@ -39,31 +39,30 @@ COLUMNS = [
 
 def typed(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Hard casts for the dimension columns, tolerant ones for times and measures."""
-    return raw.select(
-        F.col("city_id").cast("int"),
-        F.col("city_name").cast("string"),
-        F.col("lat").cast("double"),
-        F.col("lon").cast("double"),
-        F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp_utc"),
-        F.col("temperature").try_cast("double").alias("temperature_c"),
-        F.col("humidity").try_cast("double").alias("humidity_pct"),
-        F.col("pressure").try_cast("double").alias("pressure_hpa"),
-        F.col("wind_speed").try_cast("double").alias("wind_speed_ms"),
-        F.coalesce(F.col("rain").try_cast("double"), F.lit(0.0)).alias("rain_mm"),
-        F.col("weather_condition").cast("string"),
-        F.col("source").cast("string"),
-        F.col("ingested_at").try_cast("timestamp_ntz").alias("ingested_at_utc"),
+    return raw.selectExpr(
+        "int(city_id) AS city_id",
+        "string(city_name) AS city_name",
+        "double(lat) AS lat",
+        "double(lon) AS lon",
+        "try_cast(timestamp AS timestamp_ntz) AS timestamp_utc",
+        "try_cast(temperature AS double) AS temperature_c",
+        "try_cast(humidity AS double) AS humidity_pct",
+        "try_cast(pressure AS double) AS pressure_hpa",
+        "try_cast(wind_speed AS double) AS wind_speed_ms",
+        "coalesce(try_cast(rain AS double), 0D) AS rain_mm",
+        "string(weather_condition) AS weather_condition",
+        "string(source) AS source",
+        "try_cast(ingested_at AS timestamp_ntz) AS ingested_at_utc",
         *extra,
     )
 
 
 def plausible_times(df: DataFrame) -> DataFrame:
-    """Rows with a key and a time no later than their ingestion, where that is known."""
-    return df.filter(
-        F.col("city_id").isNotNull()
-        & F.col("timestamp_utc").isNotNull()
-        & (F.col("ingested_at_utc").isNull() | (F.col("timestamp_utc") <= F.col("ingested_at_utc")))
-    )
+    """Rows with a key and a time no later than their ingestion, where that is known.
+
+    A missing time fails the comparison, too; parsed times are costly, so they are named once.
+    """
+    return df.filter("city_id IS NOT NULL AND timestamp_utc <= coalesce(ingested_at_utc, timestamp_ntz'9999-12-31 00:00:00')")
 
 
 # Settles equal ingestion times where the input has no sequence number: any total order will do.

@@ -24,43 +24,29 @@ def _quarter(value: Column) -> Column:
 
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-like rows from ``events``: bad numbers, missing keys, copies, late and early arrivals."""
-    events = table(spark, sf_dir, "events").withColumns(
-        {
-            "station": F.floor(F.col("user_id") / F.lit(STATION_USERS)).cast("int"),
-            "k": F.get_json_object("props", "$.k").cast("int"),
-        }
+    events = table(spark, sf_dir, "events").selectExpr(
+        "*",
+        f"int(user_id div {STATION_USERS}) AS station",
+        "int(get_json_object(props, '$.k')) AS k",
+        "double(floor(value)) AS whole",
     )
-    event, k, value = F.col("event_id"), F.col("k"), F.col("value")
-    whole = F.floor(value).cast("double")
-    rain = (
-        F.when(k % 5 == 0, whole * F.lit(3.0))
-        .when(k % 5 == 1, F.lit(None).cast("double"))
-        .when((k % 5 == 2) & (value < 5), F.lit(-1.0))
-        .otherwise(F.lit(0.0))
-    )
-    station = F.col("station")
-    return events.select(
-        F.when(event % 89 == 0, F.lit("bad"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:00"))
-        .alias("timestamp"),
-        F.when(event % 97 != 0, station + 1).alias("city_id"),
-        F.concat(F.lit("CITY_"), station + 1).alias("city_name"),
-        (F.lit(8.0) + (station % 10) * F.lit(0.5)).alias("lat"),
-        (F.lit(102.0) + (station % 10) * F.lit(0.25)).alias("lon"),
-        F.when(event % 29 == 0, F.lit("bad"))
-        .otherwise((k * F.lit(0.75) - F.lit(12.0)).cast("string"))
-        .alias("temperature"),
-        F.when(event % 13 != 0, event % 107 - 2).alias("humidity"),
-        (F.lit(990) + event % 41).alias("pressure"),
-        _quarter(value).alias("wind_speed"),
-        rain.alias("rain"),
-        F.col("event_type").alias("weather_condition"),
-        F.when(F.col("event_type") == "error", "openweather").otherwise("open_meteo").alias("source"),
-        F.when(event % 31 == 0, F.lit(None).cast("timestamp_ntz"))
-        .when(event % 101 == 0, F.col("ts") - F.expr("interval 2 hours"))
-        .otherwise(F.col("ts"))
-        .alias("ingested_at"),
-        event.alias("ingest_seq"),
+    return events.selectExpr(
+        "CASE WHEN event_id % 89 = 0 THEN 'bad' ELSE date_format(ts, \"yyyy-MM-dd'T'HH:00\") END AS timestamp",
+        "CASE WHEN event_id % 97 <> 0 THEN station + 1 END AS city_id",
+        "concat('CITY_', station + 1) AS city_name",
+        "8D + (station % 10) * 0.5D AS lat",
+        "102D + (station % 10) * 0.25D AS lon",
+        "CASE WHEN event_id % 29 = 0 THEN 'bad' ELSE string(k * 0.75D - 12D) END AS temperature",
+        "CASE WHEN event_id % 13 <> 0 THEN event_id % 107 - 2 END AS humidity",
+        "990 + event_id % 41 AS pressure",
+        "whole * 0.25D AS wind_speed",
+        """CASE WHEN k % 5 = 0 THEN whole * 3D WHEN k % 5 = 1 THEN NULL
+                WHEN k % 5 = 2 AND value < 5D THEN -1D ELSE 0D END AS rain""",
+        "event_type AS weather_condition",
+        "CASE WHEN event_type = 'error' THEN 'openweather' ELSE 'open_meteo' END AS source",
+        """CASE WHEN event_id % 31 = 0 THEN NULL
+                WHEN event_id % 101 = 0 THEN ts - interval 2 hours ELSE ts END AS ingested_at""",
+        "event_id AS ingest_seq",
     )
 
 
