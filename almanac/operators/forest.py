@@ -67,20 +67,25 @@ def tree_samples(
 ) -> DataFrame:
     """``size.sample`` rows for every tree (all rows of a smaller table), drawn by key hash.
 
-    First one hash per row picks a uniform pool of a few rows per tree; only pool rows are hashed
-    per tree. The draw depends on the keys alone, which must be unique, not on partitioning.
+    First one hash per row picks a uniform pool of some rows per tree; every pool row then picks
+    its trees. The draw depends on the keys alone, which must be unique, not on partitioning.
     """
     pool_rows = size.trees * size.sample * 2
     pool_share = min(1.0, pool_rows / max(n_rows, 1))
     pool = df.select(*key, *extra)
     if pool_share < 1.0:
         pool = pool.filter(_share(F.lit(size.seed), *key) < F.lit(pool_share))
-    share = min(1.0, SPARE * size.sample / max(1.0, n_rows * pool_share)) if n_rows > size.sample else 1.0
     seed = F.lit(size.seed + 1)
-    trees = F.filter(
-        F.sequence(F.lit(0), F.lit(size.trees - 1)), lambda t: _share(seed, t, *key) < F.lit(share)
-    )
-    drawn = pool.withColumn("tree", F.explode(trees)).withColumn("_draw", F.xxhash64(seed, "tree", *key))
+    wanted = SPARE * size.sample / max(1.0, n_rows * pool_share)
+    every = F.sequence(F.lit(0), F.lit(size.trees - 1))
+    if wanted < 0.25:
+        # So many picks per row that a tree gets each row with the wanted probability.
+        picks = math.ceil(math.log1p(-wanted) / math.log1p(-1.0 / size.trees))
+        pick = F.sequence(F.lit(0), F.lit(picks - 1))
+        every = F.array_distinct(
+            F.transform(pick, lambda j: F.pmod(F.xxhash64(seed, j, *key), F.lit(size.trees)).cast("int"))
+        )
+    drawn = pool.withColumn("tree", F.explode(every)).withColumn("_draw", F.xxhash64(seed, "tree", *key))
     order = Window.partitionBy("tree").orderBy("_draw", *key)
     return drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size.sample)
 

@@ -21,7 +21,7 @@ ACCURACY = 5_000
 
 def known(column: str) -> Column:
     """The value as double; NaN counts as missing."""
-    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+    return F.expr(f"nanvl(double(`{column}`), double(NULL))")
 
 
 @dataclass
