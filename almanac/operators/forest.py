@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EULER_GAMMA = 0.5772156649015329
-NO_SPREAD = 1e-7  # a feature that varies less than this is not split on
+NO_SPREAD = 1e-7  # an input that varies by less of its deviation is not split on
 
 NODES = T.StructType(
     [
@@ -90,9 +90,13 @@ def tree_samples(
     return drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size.sample)
 
 
-def grow_trees(samples: DataFrame, values: str, size: ForestSize) -> DataFrame:
-    """One node table row per node; ``values`` is an array column of the model inputs."""
-    seed, limit, no_spread = size.seed, size.depth, NO_SPREAD
+def grow_trees(samples: DataFrame, values: str, scales: Sequence[float], size: ForestSize) -> DataFrame:
+    """One node table row per node; ``values`` is an array column of the model inputs.
+
+    Splits do not depend on the unit of an input; ``scales`` (deviations) only tell which inputs
+    vary at all.
+    """
+    seed, limit, least = size.seed, size.depth, NO_SPREAD * np.asarray(scales)
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_rank")
@@ -104,7 +108,7 @@ def grow_trees(samples: DataFrame, values: str, size: ForestSize) -> DataFrame:
         while todo:
             node, depth, at = todo.pop()
             low, high = x[at].min(axis=0), x[at].max(axis=0)
-            splittable = np.flatnonzero(high > low + no_spread)
+            splittable = np.flatnonzero(high - low > least)
             if depth == limit or len(at) <= 1 or len(splittable) == 0:
                 out.append((tree, node, -1, 0.0, len(at), depth))
                 continue

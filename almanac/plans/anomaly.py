@@ -46,18 +46,22 @@ def impute_scale_stats(df: DataFrame, features: Sequence[str]) -> list[tuple]:
     return [(i, f, medians[f], row[f"m{i}"], row[f"s{i}"] or 1.0) for i, f in enumerate(used)]
 
 
-def scaled_inputs(stats: Sequence) -> list[Column]:
-    """The imputed, standardised value expressions, in training order."""
-    return [
-        (F.coalesce(known(feature), F.lit(median)) - F.lit(mean)) / F.lit(std)
-        for _, feature, median, mean, std in sorted(stats)
-    ]
+def imputed_inputs(stats: Sequence) -> list[Column]:
+    """The imputed value expressions, in training order.
+
+    The forest takes these rather than the standardised values: its splits are the same for any
+    unit, and medians are exact, while sums behind means vary in the last digit with partitioning.
+    """
+    return [F.coalesce(known(feature), F.lit(median)) for _, feature, median, _, _ in sorted(stats)]
 
 
 def impute_scale(df: DataFrame, stats: Sequence) -> DataFrame:
     """Replace every feature by its imputed, standardised value."""
-    names = [s[1] for s in sorted(stats)]
-    return df.withColumns(dict(zip(names, scaled_inputs(stats), strict=True)))
+    scaled = {
+        feature: (value - F.lit(mean)) / F.lit(std)
+        for (_, feature, _, mean, std), value in zip(sorted(stats), imputed_inputs(stats), strict=True)
+    }
+    return df.withColumns(scaled)
 
 
 def fit_anomaly(
@@ -76,10 +80,11 @@ def fit_anomaly(
     n_rows = df.count()
     per_tree = min(size.sample, n_rows)
     stats = impute_scale_stats(df, features)
-    inputs = scaled_inputs(stats)
+    inputs = imputed_inputs(stats)
 
     prepared = df.select(*key, F.array(*inputs).alias("_x"))
-    nodes = materialise(grow_trees(tree_samples(prepared, key, n_rows, size, ["_x"]), "_x", size), "nodes")
+    samples = tree_samples(prepared, key, n_rows, size, ["_x"])
+    nodes = materialise(grow_trees(samples, "_x", [s[4] for s in stats], size), "nodes")
 
     scores = with_path_score(df.select(*features), nodes, inputs, size, per_tree, "score").select("score")
     scores = materialise(scores, "scores")
@@ -106,6 +111,6 @@ def score_anomaly(df: DataFrame, model: AnomalyModel) -> DataFrame:
     meta = model.meta.first()
     require_columns(df, [s[1] for s in stats], "Missing feature columns; rebuild the features and retrain before scoring")
     size = ForestSize(meta.trees, meta.sample, meta.seed)
-    raw = with_path_score(df, model.nodes, scaled_inputs(stats), size, meta.per_tree, "anomaly_score")
+    raw = with_path_score(df, model.nodes, imputed_inputs(stats), size, meta.per_tree, "anomaly_score")
     scored = raw.withColumn("anomaly_score", F.col("anomaly_score") - F.lit(meta.offset))
     return scored.withColumn("is_anomaly", F.col("anomaly_score") < 0)
