@@ -6,6 +6,7 @@ A payload table has one row per response: ``city_id``, ``payload`` (JSON text) a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,16 @@ def _with_station(rows: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(payloads: DataFrame, schema: T.StructType, columns: Sequence[str], **options: str) -> DataFrame:
+    """The given columns and the parsed payload ``b``.
+
+    The parse goes through a generator: filters on ``b`` then stay above it, and the text is not
+    parsed again for each of them.
+    """
+    body = F.from_json("payload", schema, options)
+    return payloads.select(*columns, F.inline(F.array(F.struct(body.alias("b")))))
+
+
 def _usable_history(h: Column) -> Column:
     """Every given array reaches as far as the times, and all times can be read."""
     times = F.coalesce(h["time"], F.array().cast("array<string>"))
@@ -43,11 +54,12 @@ def read_history(payloads: DataFrame) -> DataFrame:
     A response without ``hourly`` is usable and holds no rows.
     """
     schema = T.StructType([*HISTORY_PAYLOAD.fields, T.StructField("unreadable", T.StringType())])
-    body = F.from_json("payload", schema, {"columnNameOfCorruptRecord": "unreadable"})
-    parsed = payloads.withColumn("_body", body).withColumn("h", F.col("_body.hourly"))
-    complete = F.when(F.col("h").isNull(), True).otherwise(_usable_history(F.col("h")))
-    readable = F.col("_body").isNotNull() & F.col("_body.unreadable").isNull()
-    return parsed.withColumn("usable", readable & F.coalesce(complete, F.lit(False))).drop("_body")
+    parsed = _parsed(payloads, schema, payloads.columns, columnNameOfCorruptRecord="unreadable")
+    hours = F.col("b.hourly")
+    complete = F.when(hours.isNull(), True).otherwise(_usable_history(hours))
+    readable = F.col("b").isNotNull() & F.col("b.unreadable").isNull()
+    usable = readable & F.coalesce(complete, F.lit(False))
+    return parsed.select(*payloads.columns, hours.alias("h"), usable.alias("usable"))
 
 
 def parse_history(payloads: DataFrame, registry: DataFrame) -> DataFrame:
@@ -68,8 +80,7 @@ def parse_history(payloads: DataFrame, registry: DataFrame) -> DataFrame:
 
 def parse_current(payloads: DataFrame, registry: DataFrame) -> DataFrame:
     """One row per response; rain is 0 unless a last-hour amount is given."""
-    body = F.from_json("payload", CURRENT_PAYLOAD)
-    parsed = payloads.select("city_id", body.alias("b")).filter("b.dt is not null and b.main is not null")
+    parsed = _parsed(payloads, CURRENT_PAYLOAD, ["city_id"]).filter("b.dt is not null and b.main is not null")
     at = F.expr("timestampadd(SECOND, b.dt, timestamp_ntz'1970-01-01 00:00:00')")
     rain = F.col("b.rain")
     rows = parsed.select(
