@@ -114,3 +114,11 @@ def score_anomaly(df: DataFrame, model: AnomalyModel) -> DataFrame:
     raw = with_path_score(df, model.nodes, imputed_inputs(stats), size, meta.per_tree, "anomaly_score")
     scored = raw.withColumn("anomaly_score", F.col("anomaly_score") - F.lit(meta.offset))
     return scored.withColumn("is_anomaly", F.col("anomaly_score") < 0)
+
+
+SCORED = "weather_anomalies"
+
+
+def store_scores(df: DataFrame, model: AnomalyModel, root: str) -> DataFrame:
+    """Replace the table of scored rows and return it as stored."""
+    return write_table(score_anomaly(df, model), root, SCORED)

@@ -414,7 +414,7 @@ def iforest_scores(spark, sf_dir):
     df = inputs.stored_features(spark, sf_dir)
     root = shared_dir(spark, "model")
     anomaly.save_model(anomaly.fit_anomaly(df), root)
-    return anomaly.score_anomaly(df, anomaly.load_model(spark, root))
+    return anomaly.store_scores(df, anomaly.load_model(spark, root), root)
 
 
 # Refresh and streams
