@@ -17,8 +17,9 @@ from almanac.operators.series import (
 )
 
 # A sliding frame is evaluated afresh for every row, so its cost grows with its length. Frames
-# longer than this are put together from shorter ones.
-LONGEST_DIRECT = 32
+# longer than this are put together from shorter ones. (A week is seven of the day's frames, which
+# are then evaluated once for both.)
+LONGEST_DIRECT = 24
 
 
 @dataclass(frozen=True)

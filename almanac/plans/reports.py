@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 LOCAL_TIME = "timestamp_ict"
 LOCAL_DATE = "observed_date_ict"
 MOST_COMPARED = 8
+ONE_DAY = timedelta(days=1)
 
 # What the reports read of the feature store.
 REPORT_COLUMNS = [
@@ -83,9 +84,14 @@ def selector_values(obs: DataFrame, column: str) -> DataFrame:
 
 
 def selected(obs: DataFrame, selection: Selection) -> DataFrame:
-    """Rows within the inclusive local dates and the chosen sources (none chosen: no rows)."""
+    """Rows within the inclusive local dates and the chosen sources (none chosen: no rows).
+
+    Local dates are computed, so the scan cannot be asked for them; it is asked for the stored
+    UTC dates around them.
+    """
     low, high = selection.bounds
-    rows = obs.filter(F.col(LOCAL_DATE).between(F.lit(low), F.lit(high)))
+    stored = F.col("observed_date").between(F.lit(low - ONE_DAY), F.lit(high + ONE_DAY))
+    rows = obs.filter(stored & F.col(LOCAL_DATE).between(F.lit(low), F.lit(high)))
     if selection.sources is not None:
         rows = rows.filter(F.col("source").isin(list(selection.sources)))
     return rows
