@@ -19,9 +19,13 @@ DIRECT_ROWS = 50_000
 ACCURACY = 5_000
 
 
-def known(column: str) -> Column:
+def known_sql(column: str) -> str:
     """The value as double; NaN counts as missing."""
-    return F.expr(f"nanvl(double(`{column}`), double(NULL))")
+    return f"nanvl(double(`{column}`), double(NULL))"
+
+
+def known(column: str) -> Column:
+    return F.expr(known_sql(column))
 
 
 @dataclass
@@ -98,11 +102,15 @@ def exact_quantiles(
     ``df`` is read once per pass; each pass over a large table cuts the candidates to about a
     thousandth.
     """
-    counts = dict(zip(quantiles, _aggregate(df, [F.count(known(c)) for c in quantiles]), strict=True))
+    n_rows = df.count()
+    if n_rows <= direct_rows:
+        counts = dict.fromkeys(quantiles, n_rows)
+    else:
+        counts = dict(zip(quantiles, _aggregate(df, [F.count(known(c)) for c in quantiles]), strict=True))
     result: dict[str, float | None] = dict.fromkeys(quantiles)
     small = [c for c in quantiles if 0 < counts[c] <= direct_rows]
     if small:
-        values = _aggregate(df, [F.percentile(known(c), F.lit(float(quantiles[c]))) for c in small])
+        values = _aggregate(df, [F.expr(f"percentile({known_sql(c)}, {float(quantiles[c])!r}D)") for c in small])
         result.update(zip(small, values, strict=True))
 
     large = [c for c in quantiles if counts[c] > direct_rows]
