@@ -1,0 +1,113 @@
+import random
+
+import numpy as np
+import xxhash
+
+from almanac.llm import simhash
+from almanac.llm.components import components
+
+
+def brute_fingerprint(text):
+    import re
+
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(nodes, close):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for i, a in enumerate(nodes):
+        for b in nodes[i + 1 :]:
+            if close(a, b):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {n: find(n) for n in nodes}
+
+
+TEXTS = [None, "", " \t\n", "One", "one  TWO", "a b c d", "É é words\x0bÀ", "x " * 5000, "tab\tTab\x1cq b", "  z"]
+
+
+def test_fingerprint():
+    rng = random.Random(1)
+    more = [" ".join(rng.choice("ab cd EF gh".split()) for _ in range(rng.randrange(40))) for _ in range(50)]
+    for text in TEXTS + more:
+        assert simhash.fingerprint(text or "") == brute_fingerprint(text)
+
+
+def test_spark_has_the_same_hash(spark):
+    assert spark.sql("select xxhash64('a b c') x").first().x % 2**64 == xxhash.xxh64_intdigest(b"a b c", 42)
+
+
+def cluster(rng, n, centers=6, flips=5):
+    base = [rng.getrandbits(64) for _ in range(centers)]
+    made = set()
+    for _ in range(n):
+        x = rng.choice(base)
+        for _ in range(rng.randrange(flips)):
+            x ^= 1 << rng.randrange(64)
+        made.add(x)
+    return sorted(x - 2**64 if x >= 2**63 else x for x in made)
+
+
+def check_links(spark, prints, **more):
+    table = spark.createDataFrame([(p,) for p in prints], "fp long")
+    found = {r.node: r.component for r in components(simhash.fingerprint_links(table, **more)).collect()}
+    close = lambda a, b: ((a ^ b) % 2**64).bit_count() <= 3
+    want = brute_components(prints, close)
+    assert {p: found.get(p, p) for p in prints} == want
+
+
+def test_links(spark):
+    check_links(spark, cluster(random.Random(2), 500))
+
+
+def test_links_of_split_buckets(spark):
+    rng = random.Random(3)
+    check_links(spark, cluster(rng, 300, centers=2, flips=4), bucket_rows=4)
+    dense = sorted(set(rng.randrange(32) << 7 for _ in range(40)))
+    check_links(spark, dense, bucket_rows=2)
+
+
+def test_bucket_links_against_brute():
+    rng = random.Random(4)
+    prints = np.array([p % 2**64 for p in cluster(rng, 200)], np.uint64)
+    table = np.stack([np.bitwise_count(prints ^ p) for p in simhash.pivots()], axis=1)
+    roots = simhash.bucket_links(prints, table, 3)
+    want = brute_components(list(range(len(prints))), lambda a, b: int(prints[a] ^ prints[b]).bit_count() <= 3)
+    assert dict(enumerate(roots.tolist())) == want
+
+
+def test_near_duplicates(spark, docs_of):
+    long = " ".join(f"w{i}" for i in range(400))
+    rows = [(7, long), (3, long + " end"), (9, None), (5, ""), (None, long), (11, "other words here now"), (7, long)]
+    docs = docs_of(*rows).selectExpr("*", "1 as fp", "'x' as component", "2 as __fp_")
+    got = sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect())
+    prints = {i: f"{brute_fingerprint(t):016x}" for i, t in rows}
+    assert got == sorted(
+        (str(i), prints[i], {9: 5, 5: 5, 11: 11}.get(i, 3)) for i, _ in rows
+    )
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 11]
+
+
+def test_repeated_and_missing_ids(spark, docs_of):
+    a, b = "alpha beta gamma delta", "one two three four five"
+    kept = simhash.keep_first(docs_of((1, a), (1, a), (1, b), (None, "lonely text without id"), (None, "lonely text without id")))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", a), ("1", b), ("None", "lonely text without id")]
+
+
+def test_empty(spark, docs_of):
+    none = docs_of()
+    assert simhash.near_duplicates(none).count() == 0 and simhash.keep_first(none).count() == 0
