@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import quality, simhash
+from almanac.llm import quality, secrets, simhash
 from almanac.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,43 @@ def query(fn):
     return fn
 
 
+@query
+def op4_secrets(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.secrets_by_path(docs, secrets.new_ledger(spark)))
+
+
+def _secret_matches(rule: secrets.Rule, rank: int) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+    select doc_id, '{rule.kind}' as kind, {rank} as rank, unnest(range(1, len(hits) + 1)) as i, hits, gaps,
+        regexp_extract(hits[i], '{pattern}', {rule.group}) as body
+    from (select doc_id, regexp_extract_all(t, '{pattern}') as hits, string_split_regex(t, '{pattern}') as gaps
+          from texts where regexp_matches(t, '{pattern}'))
+    """
+
+
+ORACLES["op4_secrets"] = f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+matches as ({" union all ".join(_secret_matches(r, k) for k, r in enumerate(secrets.RULES))}),
+placed as (
+    select doc_id, kind, rank, body,
+        list_sum(list_transform(gaps[1:i], lambda x: length(x))) as before,
+        coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) as earlier, length(hits[i]) as size
+    from matches),
+spans as (
+    select doc_id, kind, rank, cast(before + earlier as bigint) as s, cast(before + earlier + size as bigint) as e
+    from placed where length(body) >= case kind when 'assign' then 6 when 'access' then 20 else 24 end),
+listed as (
+    select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+        count(*) filter (kind = 'hex') as n_hex, string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans
+    from spans group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+    sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join listed using (doc_id)
+"""
+
+
 @query
 def op6_simhash(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
