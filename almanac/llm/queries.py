@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import quality, secrets, simhash
+from almanac.llm import packing, quality, secrets, simhash
 from almanac.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ from documents left join listed using (doc_id)
 """
 
 
+@query
+def op5_packing(spark, sf_dir):
+    return packing.pack_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op6_simhash(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -1,0 +1,105 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from almanac.llm import packing
+
+TEXTS = [
+    None, "", "  \n", "Hello  World", "It's I'LL don't\tO'Reilly", "ÀÉ naïve ΣΑΣ straße İ", "a\x1cb \x85 c d e",
+    "<|endoftext|> x<|startoftext|>y", "12345 !!! ...", "日本語 テスト", "é ́x", "😀😀 ok", "no" * 3000, "word " * 9000,
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+
+
+def brute_ids(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def test_word_ids_are_the_tokenizers(tokenizer):
+    rng = random.Random(3)
+    parts = ["a", "Bc", " ", "'s", "\n", "é", "́", "1", "\x1c", " ", "<|endoftext|>", "!", "Σ", "\r\t", "日"]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(2000)]
+    encode = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    for text, payload in zip(texts, encode(texts)):
+        assert np.frombuffer(payload, "<u4").tolist() == brute_ids(tokenizer, text)[:-1], repr(text)
+
+
+def check(rows, wanted, capacity):
+    """wanted: ids by document number."""
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert set(by_doc) == set(wanted)
+    for doc, ids in wanted.items():
+        parts = sorted(by_doc[doc], key=lambda r: r.piece)
+        assert [r.piece for r in parts] == list(range(-(-len(ids) // capacity)))
+        for r in parts:
+            own = ids[r.start : r.start + r.length]
+            assert r.start == r.piece * capacity and r.length == min(capacity, len(ids) - r.start)
+            assert r.ids_crc32 == zlib.crc32(np.array(own, "<u4").tobytes())
+    for parts in by_sequence.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= capacity
+
+
+def test_packed(spark, docs_of, tokenizer):
+    docs = docs_of(*TEXTS).selectExpr("*", "1 as piece", "2 as start", "3 as sequence_id", "4 as __n")
+    rows = packing.pack_documents(docs).collect()
+    check(rows, {i: brute_ids(tokenizer, t) for i, t in enumerate(TEXTS)}, 2048)
+    kept = packing.pack_documents(docs, keep_ids=True).collect()
+    assert all(r.ids == brute_ids(tokenizer, TEXTS[r.doc_id])[r.start : r.start + r.length] for r in kept)
+
+
+def test_repeated_and_missing_ids(spark, docs_of):
+    rows = packing.pack_documents(docs_of((1, "a b"), (1, "a b"), (None, None), (None, "x"))).collect()
+    assert sorted((str(r.doc_id), r.length) for r in rows) == [("1", 3), ("1", 3), ("None", 1), ("None", 2)]
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 4
+    assert packing.pack_documents(docs_of()).count() == 0
+
+
+def brute_place(lengths, capacity, limit):
+    """Best-fit by looking at all open sequences."""
+    open_, made, out = [], 0, []
+    for n in lengths:
+        fits = [s for s in open_ if s[1] >= n]
+        if fits:
+            s = min(reversed(fits), key=lambda s: s[1])
+            open_.remove(s)
+        else:
+            s = [made, capacity]
+            made += 1
+        out.append((s[0], capacity - s[1]))
+        s[1] -= n
+        if s[1]:
+            if len(open_) == limit:
+                open_.remove(min(reversed(open_), key=lambda x: x[1]))
+            open_.append(s)
+    return out
+
+
+def test_best_fit_against_brute():
+    rng = random.Random(4)
+    for limit in (1, 3, 20):
+        lengths = [rng.randint(1, 30) for _ in range(500)]
+        room = packing.OpenSequences(30, limit)
+        assert [room.place(n) for n in lengths] == brute_place(lengths, 30, limit)
+
+
+def test_few_sequences(spark):
+    rng = random.Random(5)
+    lengths = [min(2048, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(20000)]
+    cut = spark.createDataFrame([(n,) for n in lengths], "length long")
+    made = packing.pack(cut).select("sequence_id").distinct().count()
+    assert made <= 1.02 * sum(lengths) / 2048 + 1
