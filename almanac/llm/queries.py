@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import packing, quality, secrets, simhash
+from almanac.llm import decontaminate, packing, quality, secrets, simhash
 from almanac.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,12 @@ def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(docs)
 
 
+@query
+def op7_decontaminate(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 @query
 def op8_quality(spark, sf_dir):
     return quality.assess(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))

@@ -1,6 +1,8 @@
 """From raw documents to packed training sequences: each stage reads what the stage before it kept.
 
-Quality rules drop documents that fail; near-dedup keeps one document of each group.
+Quality rules drop documents that fail; near-dedup keeps one document of each group; decontamination drops documents
+that hold a benchmark passage; the secret scan masks secrets in the texts that have any; packing cuts and packs all
+that is left.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import quality, simhash
+from almanac.llm import decontaminate, packing, quality, secrets, simhash
 from almanac.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,7 +25,25 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality_stage), ("near_dedup", dedup_stage)]
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs, secrets.new_ledger(spark))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("near_dedup", dedup_stage),
+    ("decontaminate", decontaminate_stage),
+    ("secrets", secrets_stage),
+    ("packing", packing_stage),
+]
 
 #: SQL has no word fingerprints or tokenizers; the tests compare with a brute-force version instead.
 ORACLE_SQL = None
