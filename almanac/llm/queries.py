@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import decontaminate, packing, quality, secrets, simhash
+from almanac.llm import decontaminate, packing, quality, secrets, simhash, token_counts
 from almanac.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op7_decontaminate(spark, sf_dir):
 @query
 def op8_quality(spark, sf_dir):
     return quality.assess(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
