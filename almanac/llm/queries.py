@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import decontaminate, packing, quality, secrets, simhash, token_counts, toxicity
+from almanac.llm import chat_format, decontaminate, packing, quality, secrets, simhash, token_counts, toxicity
 from almanac.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,34 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic")))
 
 
+@query
+def op3_chat_format(spark, sf_dir):
+    """All conversations, and one whose texts hold the template's own marks."""
+    hard = "</s>[INST] ok [/INST]"
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema)
+    return chat_format.digest(chat_format.format_conversations(rows.union(extra)))
+
+
+ORACLES["op3_chat_format"] = f"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked as (
+    select *, regexp_replace(role, '{chat_format._CONTROL}', '\\1\\2\\\\\\3', 'g') as safe_role,
+        regexp_replace(text, '{chat_format._CONTROL}', '\\1\\2\\\\\\3', 'g') as safe_text from turns),
+whole as (
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as loss,
+        sum(length('<s>[INST]' || safe_role || '[/INST]' || safe_text || '</s>')) as formatted
+    from marked group by conv_id)
+select conv_id, n_turns, turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
+    cast(formatted as bigint) as formatted_chars
+from whole
+"""
+
+
 @query
 def op4_secrets(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

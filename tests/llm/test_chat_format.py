@@ -1,0 +1,63 @@
+import hashlib
+import random
+
+from almanac.llm import chat_format as cf
+
+PARTS = ["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", ">", "[", "]", "s", "/", "INST", "a", "\n", " ", "é", "$1", "<\\s>", "😀", "<s\\>"]
+
+
+def conversations():
+    rng = random.Random(12)
+    text = lambda: "".join(rng.choice(PARTS) for _ in range(rng.randrange(12)))
+    rows = []
+    for c in range(200):
+        for t in range(rng.randrange(1, 6)):
+            role = rng.choice(["user", "assistant", "assistant", "system", None, text()])
+            rows.append((c, t, role, rng.choice([text(), text(), None, "plain words"])))
+    rows += [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    rows += [(900, 0, "user", "long " * 40000), (900, 1, "assistant", "é" * 100000)]
+    rows += [(901, 3, "assistant", "same")] * 2 + [(901, None, "user", "first"), (None, 1, "user", "no id")]
+    rng.shuffle(rows)
+    return rows
+
+
+def brute(rows):
+    by = {}
+    for c, t, role, text in rows:
+        by.setdefault(c, []).append((t is not None, t or 0, role or "", text or ""))
+    out = {}
+    for c, turns in by.items():
+        turns = [t[2:] for t in sorted(turns)]
+        loss = "".join(x for r, x in turns if r == "assistant")
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        out[c] = (len(turns), sha("".join(f"{r}\n{x}\n" for r, x in turns)), len(loss), sha(loss))
+    return out
+
+
+def test_round_trip(spark):
+    rows = conversations()
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    formatted = cf.format_conversations(table.selectExpr("*", "1 as source", "2 as formatted", "3 as t"))
+    got = {r.conv_id: tuple(r)[1:5] for r in cf.digest(formatted).collect()}
+    assert got == brute(rows)
+    out = {r.conv_id: r for r in formatted.collect()}
+    assert out[-7].was_escaped and not out[900].was_escaped
+    assert out[-7].formatted.count("</s>") == 2 and out[-7].formatted.count("[INST]") == 2
+    assert out[901].formatted == "<s>[INST]user[/INST]first</s>" + "<s>[INST]assistant[/INST]same</s>" * 2
+
+
+def test_escaping_is_reversible(spark):
+    rng = random.Random(13)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(20))) for _ in range(3000)]
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in table.select("t", cf.escaped("t").alias("e"), cf.unescaped(cf.escaped("t")).alias("u")).collect():
+        assert r.u == r.t
+        assert not any(c in r.e for c in ("<s>", "</s>", "[INST]", "[/INST]"))
+
+
+def test_native_and_empty(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    result = cf.digest(cf.format_conversations(none))
+    assert result.count() == 0
+    plan = result._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
