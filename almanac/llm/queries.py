@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import chat_format, decontaminate, packing, quality, secrets, simhash, token_counts, toxicity
+from almanac.llm import chat_format, decontaminate, licenses, packing, quality, secrets, simhash, token_counts, toxicity
 from almanac.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_licenses(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.digest(licenses.scan_licenses(docs))
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -1,0 +1,86 @@
+import random
+import re
+import textwrap
+
+from almanac.llm import licenses
+
+KNOWN = {name: list(variants) for name, variants in licenses.SENTENCES.items()}
+
+
+def norm(text):
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def brute(text):
+    """All ways to join fragments, compared with all sentences; the longest at the leftmost place wins."""
+    cuts = sorted({0, len(text)} | {m.start() for m in re.finditer(r"\n|(?<=[.!?:;])(?=\s)", text)})
+    best = []
+    for i, a in enumerate(cuts):
+        for b in cuts[i + 1 :]:
+            words = norm(text[a:b])
+            for name, variants in KNOWN.items():
+                if any(words == norm(v) for v in variants):
+                    best.append((a, -b, name, text[a:b]))
+    out, end = [], -1
+    for a, b, name, part in sorted(best):
+        if a >= end:
+            start = a + re.search(r"[^\W_]", part).start()
+            stop = a + [m.end() for m in re.finditer(r"[^\W_]+", part)][-1]
+            if not out or start >= out[-1][2]:
+                out.append((name, start, stop))
+                end = stop
+    return out
+
+
+def test_sentences_against_brute():
+    rng = random.Random(14)
+    variants = [v for vs in KNOWN.values() for v in vs]
+    known = licenses.Sentences(licenses.SENTENCES)
+    for _ in range(250):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            v = rng.choice(variants)
+            parts.append(rng.choice([v, v.upper(), textwrap.fill(v, 40), "see " + v, "Éa éb. Und so", v + " and more", ""]))
+        text = "".join(p + rng.choice([". ", ".\n", "\n", "! ", ", "]) for p in parts)
+        assert known.found(text) == brute(text), text
+
+
+def test_every_sentence_has_an_anchor_and_a_rule():
+    used = {s for _, sequence in licenses.RULES for s in sequence}
+    for name, variants in KNOWN.items():
+        assert name in used
+        assert all(any(a in v.lower() for a in licenses.ANCHORS) for v in variants), name
+
+
+def test_rules_are_ordered():
+    assert licenses.matched(["mit-notice", "mit-grant", "mit-include", "mit-warranty"]) == ([("MIT", 0)], [])
+    three = ["bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse"]
+    assert licenses.matched(three) == ([("BSD-3-Clause", 0)], [])
+    assert licenses.matched(["mit-notice", *three[:3], "mit-include"]) == ([("MIT", 0), ("BSD-2-Clause", 1)], [4])
+    assert licenses.matched(["gpl-warranty", "gpl-free"]) == ([("GPL-3.0-or-later", 1)], [0])
+
+
+def test_spark(spark, docs_of):
+    apache = "Licensed under the Apache License, Version 2.0."
+    rows = [None, "", "plain text " * 30000, "word.\n" + apache, apache + "\n" + "Licensed under CC BY-NC 4.0.\n" + apache]
+    rows += ["not licensed under the apache license, version 2.0 at all", "A permission slip."]
+    docs = docs_of(*rows, (None, apache), (3, apache)).selectExpr("*", "1 as licenses", "2 as sentences", "3 as r")
+    got = sorted((str(r.doc_id), r.licenses) for r in licenses.digest(licenses.scan_licenses(docs)).collect())
+    want = ["", "", "", "Apache-2.0", "Apache-2.0,CC-BY-NC-4.0", "", ""]
+    assert got == sorted([*((str(i), w) for i, w in enumerate(want)), ("None", "Apache-2.0"), ("3", "Apache-2.0")])
+    assert licenses.scan_licenses(docs_of()).count() == 0
+
+
+def test_planted_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id: r.licenses for r in licenses.digest(licenses.scan_licenses(docs)).collect()}
+    lines = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the MIT License.": "MIT",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
+    }
+    for r in docs.collect():
+        want = [v for line, v in lines.items() if line in (r.text or "").split("\n")]
+        if want:
+            assert set(found[r.doc_id].split(",")) == set(want)
