@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import chat_format, decontaminate, licenses, packing, quality, secrets, simhash, token_counts, toxicity
+from almanac.llm import (
+    chat_format,
+    decontaminate,
+    html_extract,
+    licenses,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from almanac.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +128,11 @@ def op8_quality(spark, sf_dir):
     return quality.assess(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
+@query
+def op9_html_extract(spark, sf_dir):
+    return html_extract.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
