@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import public_tokenizers
@@ -29,8 +30,8 @@ END_ID = 0
 OPEN = 1024
 #: Pieces that a packing task gets, about.
 TASK_PIECES = 400_000
-#: Words whose ids a tokenizing task remembers.
-KNOWN_WORDS = 300_000
+#: Words whose ids a tokenizing worker remembers, about 200 bytes each; beyond, the older half is forgotten.
+KNOWN_WORDS = 1_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 _encoders: dict[str, WordEncoder] = {}
@@ -58,7 +59,7 @@ class WordEncoder:
                     self.known[word] = b"".join(i.to_bytes(4, "little") for i in e.ids)
             yield b"".join(map(self.known.__getitem__, words))
             if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
+                self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
 
 
 def _encoder(path: str) -> WordEncoder:
