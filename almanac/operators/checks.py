@@ -54,8 +54,15 @@ def rule_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(flags), "rule", "n").select("rule", "n.invalid", "n.valid", "n.unknown")
 
 
+def missing_columns(df: DataFrame, needed: Sequence[str]) -> DataFrame:
+    """The columns that a frame lacks, a row each; looks at the schema only."""
+    have = set(df.columns)
+    rows = [(c,) for c in dict.fromkeys(needed) if c not in have]
+    return df.sparkSession.createDataFrame(rows, "column_name string")
+
+
 def require_columns(df: DataFrame, needed: Sequence[str], message: str = "Missing columns") -> None:
     """Fail on absent columns; looks at the schema only."""
-    missing = sorted(set(needed) - set(df.columns))
+    missing = sorted(r.column_name for r in missing_columns(df, needed).collect())
     if missing:
         raise ValueError(f"{message}: {missing}")

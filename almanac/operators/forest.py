@@ -39,9 +39,9 @@ class ForestSize:
     sample: int = 256
     seed: int = 42
 
-    @property
-    def depth(self) -> int:
-        return max(1, math.ceil(math.log2(self.sample)))
+    def depth(self, per_tree: int) -> int:
+        """How deep trees grow that see ``per_tree`` rows, fewer than ``sample`` only if the table has no more."""
+        return max(1, math.ceil(math.log2(max(2, min(self.sample, per_tree)))))
 
 
 def average_path(n: float) -> float:
@@ -53,12 +53,13 @@ def average_path(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
 
 
-def _share(*columns) -> Column:
-    """A hash of the columns as a number in [0, 1)."""
-    return (F.xxhash64(*columns).bitwiseAND(F.lit((1 << 53) - 1)).cast("double")) / F.lit(float(1 << 53))
+def share_of(*columns) -> Column:
+    """A hash of the columns, joined as text, as a number in [0, 1): 52 bits of an MD5, which other engines have too."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-# How many more rows than needed are drawn, so that every tree is filled.
+# How many more rows than needed are drawn for a tree, so that every tree is filled.
 SPARE = 1.6
 
 
@@ -67,36 +68,37 @@ def tree_samples(
 ) -> DataFrame:
     """``size.sample`` rows for every tree (all rows of a smaller table), drawn by key hash.
 
-    First one hash per row picks a uniform pool of some rows per tree; every pool row then picks
-    its trees. The draw depends on the keys alone, which must be unique, not on partitioning.
+    Trees draw independently: each takes a row with probability p, a little more than it needs, and keeps the rows
+    of least hash. Most rows of a large table are in no tree, so one hash per row decides first whether it is in any,
+    and which is its first (the position of a first success, given that there is one); the trees after that one are
+    then tried in turn. The draw depends on the keys alone, which must be unique, not on partitioning.
     """
-    pool_rows = size.trees * size.sample * 2
-    pool_share = min(1.0, pool_rows / max(n_rows, 1))
-    pool = df.select(*key, *extra)
-    if pool_share < 1.0:
-        pool = pool.filter(_share(F.lit(size.seed), *key) < F.lit(pool_share))
-    seed = F.lit(size.seed + 1)
-    wanted = SPARE * size.sample / max(1.0, n_rows * pool_share)
+    rows = df.select(*key, *extra)
     every = F.sequence(F.lit(0), F.lit(size.trees - 1))
-    if wanted < 0.25:
-        # So many picks per row that a tree gets each row with the wanted probability.
-        picks = math.ceil(math.log1p(-wanted) / math.log1p(-1.0 / size.trees))
-        pick = F.sequence(F.lit(0), F.lit(picks - 1))
-        every = F.array_distinct(
-            F.transform(pick, lambda j: F.pmod(F.xxhash64(seed, j, *key), F.lit(size.trees)).cast("int"))
-        )
-    drawn = pool.withColumn("tree", F.explode(every)).withColumn("_draw", F.xxhash64(seed, "tree", *key))
+    p = min(1.0, SPARE * size.sample / max(n_rows, 1))
+    seed = F.lit(size.seed)
+    if p < 1.0:
+        none = math.exp(size.trees * math.log1p(-p))  # in no tree at all
+        rows = rows.withColumn("_u", share_of(seed, *key)).filter(F.col("_u") < F.lit(1.0 - none))
+        first = F.least(F.floor(F.log1p(-F.col("_u")) / F.lit(math.log1p(-p))), F.lit(size.trees - 1)).cast("int")
+        rows = rows.withColumn("_first", first)
+        later = F.filter(every, lambda t: (t > F.col("_first")) & (share_of(seed, t, *key) < F.lit(p)))
+        every = F.concat(F.array("_first"), later)
+    drawn = rows.withColumn("tree", F.explode(every)).withColumn("_draw", share_of(F.lit(size.seed + 1), "tree", *key))
     order = Window.partitionBy("tree").orderBy("_draw", *key)
-    return drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size.sample)
+    ranked = drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size.sample)
+    return ranked.select(*key, *extra, "tree", "_draw", "_rank")
 
 
-def grow_trees(samples: DataFrame, values: str, scales: Sequence[float], size: ForestSize) -> DataFrame:
+def grow_trees(
+    samples: DataFrame, values: str, scales: Sequence[float], size: ForestSize, per_tree: int
+) -> DataFrame:
     """One node table row per node; ``values`` is an array column of the model inputs.
 
     Splits do not depend on the unit of an input; ``scales`` (deviations) only tell which inputs
     vary at all.
     """
-    seed, limit, least = size.seed, size.depth, NO_SPREAD * np.asarray(scales)
+    seed, limit, least = size.seed, size.depth(per_tree), NO_SPREAD * np.asarray(scales)
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_rank")
@@ -123,16 +125,16 @@ def grow_trees(samples: DataFrame, values: str, scales: Sequence[float], size: F
     return samples.select("tree", "_rank", values).groupBy("tree").applyInPandas(grow, NODES)
 
 
-def _packed(nodes: DataFrame, size: ForestSize):
+def _packed(nodes: DataFrame, trees: int, deep: int):
     """The node table (at most trees x 2^(depth+1) rows) as arrays for scoring.
 
     Trees are completed to full depth: below a leaf every row goes left, and the leaf's path
     length waits at the bottom.
     """
-    inner, bottom = 2**size.depth - 1, 2**size.depth
-    feature = np.zeros((size.trees, inner), dtype=np.int64)
-    threshold = np.full((size.trees, inner), np.inf, dtype=np.float64)
-    path = np.zeros((size.trees, bottom), dtype=np.float64)
+    inner, bottom = 2**deep - 1, 2**deep
+    feature = np.zeros((trees, inner), dtype=np.int64)
+    threshold = np.full((trees, inner), np.inf, dtype=np.float64)
+    path = np.zeros((trees, bottom), dtype=np.float64)
     for tree, node, f, cut, n, depth in nodes.select(*NODES.names).collect():
         if f >= 0:
             feature[tree, node], threshold[tree, node] = f, cut
@@ -150,8 +152,8 @@ def with_path_score(df: DataFrame, nodes: DataFrame, inputs: Sequence, size: For
     rows a tree has seen. Only the inputs go to Python, the other columns stay in the JVM.
     """
     spark = df.sparkSession
-    packed = spark.sparkContext.broadcast(_packed(nodes, size))
-    depth, trees, scale = size.depth, size.trees, average_path(per_tree) or 1.0
+    depth, trees, scale = size.depth(per_tree), size.trees, average_path(per_tree) or 1.0
+    packed = spark.sparkContext.broadcast(_packed(nodes, trees, depth))
 
     @F.pandas_udf(T.DoubleType())
     def score(*columns: pd.Series) -> pd.Series:

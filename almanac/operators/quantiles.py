@@ -1,15 +1,16 @@
-"""Exact quantiles of many columns in a bounded number of passes.
+"""Exact quantiles of many columns in a bounded number of passes, by one method for all table sizes.
 
-A small table is answered by ``percentile`` directly. For a large one that aggregate would hold
-all distinct values of a column in one task; instead, each pass sketches the quantile within a
-bracket and counts exactly on which side of its ends the wanted rank lies, until the value is hit
-or few rows are left between the ends. Often repeated values are hit, so they cannot stall it.
+Each pass sketches the wanted ranks of a column within a bracket and counts exactly on which side of its ends they
+lie, until a value is hit or few rows are left between the ends, whose wanted elements are then picked in the JVM.
+The two ranks that a quantile interpolates between nearly always share a bracket, and then its sketch and counts.
+Often repeated values are hit, so they cannot stall the search.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,70 +29,80 @@ def known(column: str) -> Column:
     return F.expr(known_sql(column))
 
 
-@dataclass
-class _Rank:
-    """Looks for the ``rank``-th smallest known value of a column, strictly between two bounds."""
+@dataclass(frozen=True)
+class _Bracket:
+    """Known values of a column strictly between two bounds: how many, and how many lie below."""
 
     column: str
-    rank: int
     inside: int
     below: int = 0
     low: float | None = None
     high: float | None = None
-    value: float | None = None
 
-    def bracket(self) -> Column:
+    def values(self) -> Column:
         value = known(self.column)
         if self.low is not None:
             value = F.when(value > F.lit(self.low), value)
         return value if self.high is None else F.when(value < F.lit(self.high), value)
 
-    def sketch(self) -> Column:
-        """Values surely around the rank, up to the sketch's error; shares are on a coarse grid."""
-        at = (self.rank - self.below + 0.5) / self.inside * ACCURACY
-        shares = [max(0, math.floor(at) - 2) / ACCURACY, min(ACCURACY, math.ceil(at) + 2) / ACCURACY]
-        return F.percentile_approx(self.bracket(), shares, ACCURACY)
+    def sketch(self, ranks: list[int]) -> Column:
+        """Values surely around the ranks, up to the sketch's error; shares are on a coarse grid."""
+        at = [(r - self.below + 0.5) / self.inside * ACCURACY for r in (min(ranks), max(ranks))]
+        shares = [max(0, math.floor(at[0]) - 2) / ACCURACY, min(ACCURACY, math.ceil(at[1]) + 2) / ACCURACY]
+        return F.percentile_approx(self.values(), shares, ACCURACY)
 
     def counts(self, low: float, high: float) -> list[Column]:
         value = known(self.column)
         tests = (value < F.lit(low), value <= F.lit(low), value < F.lit(high), value <= F.lit(high))
         return [F.count_if(t) for t in tests]
 
-    def narrow(self, low: float, high: float, counted: list[int]) -> None:
+    def narrowed(self, rank: int, low: float, high: float, counted: list[int]) -> _Bracket | float:
         """Exact counts decide: at one of the values, between them, or (sketch missed) outside."""
         under_low, upto_low, under_high, upto_high = counted
-        end = self.below + self.inside
-        if self.rank < under_low:
-            self.high, self.inside = low, under_low - self.below
-        elif self.rank < upto_low:
-            self.value = low
-        elif self.rank < under_high:
-            self.low, self.high = low, high
-            self.below, self.inside = upto_low, under_high - upto_low
-        elif self.rank < upto_high:
-            self.value = high
-        else:
-            self.low, self.below, self.inside = high, upto_high, end - upto_high
-
-
-def _aggregate(df: DataFrame, columns: list[Column]) -> list:
+        if rank < under_low:
+            return replace(self, high=low, inside=under_low - self.below)
+        if rank < upto_low:
+            return low
+        if rank < under_high:
+            return replace(self, low=low, high=high, below=upto_low, inside=under_high - upto_low)
+        if rank < upto_high:
+            return high
+        return replace(self, low=high, below=upto_high, inside=self.below + self.inside - upto_high)
+
+
+def _aggregate(df: DataFrame, columns: Iterable[Column]) -> list:
     return list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
 
 
-def _find(df: DataFrame, ranks: list[_Rank], direct_rows: int) -> None:
-    while True:
-        near = [r for r in ranks if r.value is None and r.inside <= direct_rows]
+def _picked(bracket: _Bracket, ranks: list[int]) -> Column:
+    """The elements of the ranks, in order, out of the few values of a bracket."""
+    ordered = F.array_sort(F.collect_list(bracket.values()))
+    first = min(ranks) - bracket.below
+    return F.slice(ordered, first + 1, max(ranks) - min(ranks) + 1)
+
+
+def _find(df: DataFrame, wanted: dict[_Bracket, list[int]], direct_rows: int) -> dict[tuple[str, int], float]:
+    """The value of each (column, rank)."""
+    found: dict[tuple[str, int], float] = {}
+    while wanted:
+        near = {b: r for b, r in wanted.items() if b.inside <= direct_rows}
         if near:
-            found = _aggregate(df, [F.array_sort(F.collect_list(r.bracket())) for r in near])
-            for r, values in zip(near, found, strict=True):
-                r.value = values[r.rank - r.below]
-        far = [r for r in ranks if r.value is None]
+            for (b, ranks), values in zip(near.items(), _aggregate(df, [_picked(b, r) for b, r in near.items()]), strict=True):
+                found.update({(b.column, r): values[r - min(ranks)] for r in ranks})
+        far = {b: r for b, r in wanted.items() if b.inside > direct_rows}
         if not far:
-            return
-        marks = _aggregate(df, [r.sketch() for r in far])
-        counted = _aggregate(df, [c for r, m in zip(far, marks, strict=True) for c in r.counts(*m)])
-        for i, (r, m) in enumerate(zip(far, marks, strict=True)):
-            r.narrow(*m, counted[4 * i : 4 * i + 4])
+            break
+        marks = _aggregate(df, [b.sketch(r) for b, r in far.items()])
+        counted = _aggregate(df, [c for b, m in zip(far, marks, strict=True) for c in b.counts(*m)])
+        wanted = {}
+        for i, ((b, ranks), m) in enumerate(zip(far.items(), marks, strict=True)):
+            for r in ranks:
+                got = b.narrowed(r, *m, counted[4 * i : 4 * i + 4])
+                if isinstance(got, _Bracket):
+                    wanted.setdefault(got, []).append(r)
+                else:
+                    found[b.column, r] = got
+    return found
 
 
 def exact_quantiles(
@@ -99,31 +110,20 @@ def exact_quantiles(
 ) -> dict[str, float | None]:
     """Linearly interpolated quantile per column over its known values; None if there are none.
 
-    ``df`` is read once per pass; each pass over a large table cuts the candidates to about a
-    thousandth.
+    ``df`` is read once per pass; each pass over a large table cuts the candidates to about a thousandth.
     """
-    n_rows = df.count()
-    if n_rows <= direct_rows:
-        counts = dict.fromkeys(quantiles, n_rows)
-    else:
-        counts = dict(zip(quantiles, _aggregate(df, [F.count(known(c)) for c in quantiles]), strict=True))
+    counts = dict(zip(quantiles, _aggregate(df, [F.count(known(c)) for c in quantiles]), strict=True))
+    places = {}
+    for c, n in counts.items():
+        if n:
+            position = (n - 1) * quantiles[c]
+            first = math.floor(position)
+            places[c] = (first, min(first + 1, n - 1), position - first)
+    wanted = {_Bracket(c, counts[c]): sorted({a, b}) for c, (a, b, _) in places.items()}
+    found = _find(df, wanted, direct_rows)
     result: dict[str, float | None] = dict.fromkeys(quantiles)
-    small = [c for c in quantiles if 0 < counts[c] <= direct_rows]
-    if small:
-        values = _aggregate(df, [F.expr(f"percentile({known_sql(c)}, {float(quantiles[c])!r}D)") for c in small])
-        result.update(zip(small, values, strict=True))
-
-    large = [c for c in quantiles if counts[c] > direct_rows]
-    pairs = {}
-    for c in large:
-        position = (counts[c] - 1) * quantiles[c]
-        first = math.floor(position)
-        second = min(first + 1, counts[c] - 1)
-        pairs[c] = (_Rank(c, first, counts[c]), _Rank(c, second, counts[c]), position - first)
-    if pairs:
-        _find(df, [r for a, b, _ in pairs.values() for r in (a, b)], direct_rows)
-    for c, (a, b, weight) in pairs.items():
-        result[c] = a.value + (b.value - a.value) * weight
+    for c, (a, b, weight) in places.items():
+        result[c] = found[c, a] + (found[c, b] - found[c, a]) * weight
     return result
 
 

@@ -84,7 +84,7 @@ def fit_anomaly(
 
     prepared = df.select(*key, F.array(*inputs).alias("_x"))
     samples = tree_samples(prepared, key, n_rows, size, ["_x"])
-    nodes = materialise(grow_trees(samples, "_x", [s[4] for s in stats], size), "nodes")
+    nodes = materialise(grow_trees(samples, "_x", [s[4] for s in stats], size, per_tree), "nodes")
 
     scores = with_path_score(df.select(*features), nodes, inputs, size, per_tree, "score").select("score")
     scores = materialise(scores, "scores")

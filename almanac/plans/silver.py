@@ -13,6 +13,7 @@ from almanac.operators.validity import WEATHER_RULES, with_flags
 
 KEYS = ["city_id", "timestamp_utc"]
 
+# The columns of the silver table, in order.
 COLUMNS = [
     "city_id",
     "city_name",
@@ -60,9 +61,9 @@ def typed(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 def plausible_times(df: DataFrame) -> DataFrame:
     """Rows with a key and a time no later than their ingestion, where that is known.
 
-    A missing time fails the comparison, too; parsed times are costly, so they are named once.
+    A missing time fails the comparison with itself, too.
     """
-    return df.filter("city_id IS NOT NULL AND timestamp_utc <= coalesce(ingested_at_utc, timestamp_ntz'9999-12-31 00:00:00')")
+    return df.filter("city_id IS NOT NULL AND timestamp_utc <= coalesce(ingested_at_utc, timestamp_utc)")
 
 
 # Settles equal ingestion times where the input has no sequence number: any total order will do.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -37,12 +38,12 @@ def _local_root() -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may go without the setting; it then gets a temporary folder.
+    A session whose executors are threads of its own process may go without; it then gets a temporary folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/almanac-{name}-{uuid.uuid4().hex}"

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from almanac.schemas import BRONZE, BRONZE_PARTITIONS, OBSERVATION
 
 FOLDER = "bronze/weather"
+# Columns in which a value of another kind fails the read.
+HARD = ("city_id", "lat", "lon")
 
 
 def with_lineage(rows: DataFrame, source: str, instant: datetime) -> DataFrame:
@@ -103,12 +105,18 @@ def _units(files: DataFrame) -> DataFrame:
 
 
 def _as_canonical(df: DataFrame) -> DataFrame:
-    """Every canonical column by tolerant cast, absent ones as typed NULL, then the path keys."""
+    """Every canonical column, absent ones as typed NULL, then the path keys.
+
+    Ids and coordinates must be what they should be; the other columns are cast tolerantly.
+    """
     have = set(df.columns)
-    columns = [
-        (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in BRONZE.fields
-    ]
+
+    def column(f: T.StructField):
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType)
+        return F.col(f.name).cast(f.dataType) if f.name in HARD else F.col(f.name).try_cast(f.dataType)
+
+    columns = [column(f).alias(f.name) for f in BRONZE.fields]
     # Spark reads the path keys as numbers; give back their zero padding.
     widths = {"year": 4, "month": 2, "day": 2}
     keys = [F.lpad(F.col(k).cast("string"), w, "0").alias(k) for k, w in widths.items() if k in have]

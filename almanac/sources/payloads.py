@@ -39,9 +39,14 @@ def _parsed(payloads: DataFrame, schema: T.StructType, columns: Sequence[str], *
 
 
 def _usable_history(h: Column) -> Column:
-    """Every given array reaches as far as the times, and all times can be read."""
+    """All times can be read, and every given array reaches the last of them up to the fetch time."""
     times = F.coalesce(h["time"], F.array().cast("array<string>"))
-    reaches = [h[a].isNull() | (F.size(h[a]) >= F.size(times)) for a in HISTORY_ARRAYS.values()]
+    wanted = F.aggregate(
+        F.transform(times, lambda t, i: F.when(t.try_cast("timestamp_ntz") <= F.col("fetched_at"), i + 1)),
+        F.lit(0),
+        lambda last, i: F.greatest(last, i),  # skips hours that are not wanted
+    )
+    reaches = [h[a].isNull() | (F.size(h[a]) >= wanted) for a in HISTORY_ARRAYS.values()]
     usable = F.forall(times, lambda t: t.try_cast("timestamp_ntz").isNotNull())
     for r in reaches:
         usable = usable & r
@@ -78,9 +83,22 @@ def parse_history(payloads: DataFrame, registry: DataFrame) -> DataFrame:
     return _with_station(rows.withColumn("weather_condition", F.lit(None).cast("string")), registry)
 
 
+def read_current(payloads: DataFrame) -> DataFrame:
+    """Payload rows with the parsed response ``b`` and whether it is ``usable``: readable, with a time and measures."""
+    schema = T.StructType([*CURRENT_PAYLOAD.fields, T.StructField("unreadable", T.StringType())])
+    parsed = _parsed(payloads, schema, payloads.columns, columnNameOfCorruptRecord="unreadable")
+    readable = F.col("b").isNotNull() & F.col("b.unreadable").isNull()
+    usable = readable & F.col("b.dt").isNotNull() & F.col("b.main").isNotNull()
+    return parsed.withColumn("usable", F.coalesce(usable, F.lit(False)))
+
+
 def parse_current(payloads: DataFrame, registry: DataFrame) -> DataFrame:
-    """One row per response; rain is 0 unless a last-hour amount is given."""
-    parsed = _parsed(payloads, CURRENT_PAYLOAD, ["city_id"]).filter("b.dt is not null and b.main is not null")
+    """One row per response; rain is 0 unless a last-hour amount is given.
+
+    An unusable response fails the job; ``failed_current`` tells beforehand which stations have one.
+    """
+    refused = F.raise_error(F.concat(F.lit("unusable current response of station "), F.col("city_id").cast("string")))
+    parsed = read_current(payloads).filter(F.when(F.col("usable"), True).otherwise(refused.cast("boolean")))
     at = F.expr("timestampadd(SECOND, b.dt, timestamp_ntz'1970-01-01 00:00:00')")
     rain = F.col("b.rain")
     rows = parsed.select(
@@ -96,22 +114,36 @@ def parse_current(payloads: DataFrame, registry: DataFrame) -> DataFrame:
     return _with_station(rows, registry)
 
 
-def within_dates(rows: DataFrame, start: date, end: date) -> DataFrame:
-    """The requested observation dates, both included."""
+FIRST_DAY = date(2025, 1, 1)
+
+
+def within_dates(rows: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """The requested observation dates, both included; by default from FIRST_DAY to today."""
     day = F.to_date(F.col("timestamp").try_cast("timestamp_ntz"))
-    return rows.filter(day.between(F.lit(start), F.lit(end)))
+    last = F.lit(end) if end else F.current_date()
+    return rows.filter(day.between(F.lit(start or FIRST_DAY), last))
 
 
-def failed_stations(registry: DataFrame, payloads: DataFrame) -> DataFrame:
-    """Stations without a response, or with one that cannot be used."""
-    answers = read_history(payloads).groupBy("city_id").agg(F.bool_and("usable").alias("usable"))
+def _failed(registry: DataFrame, read: DataFrame) -> DataFrame:
+    answers = read.groupBy("city_id").agg(F.bool_and("usable").alias("usable"))
     return registry.join(answers.filter("usable"), "city_id", "left_anti")
 
 
-def require_complete(registry: DataFrame, payloads: DataFrame) -> None:
-    """Call before writing: fail the whole batch, naming its stations, if any has failed."""
-    failed = failed_stations(registry, payloads).select("city_name").orderBy("city_name")
-    names = [r.city_name for r in failed.take(101)]
+def failed_stations(registry: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Stations without a history response, or with one that cannot be used."""
+    return _failed(registry, read_history(payloads))
+
+
+def failed_current(registry: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Stations without a current response, or with one that cannot be used."""
+    return _failed(registry, read_current(payloads))
+
+
+def require_complete(registry: DataFrame, payloads: DataFrame, failed=failed_stations) -> None:
+    """Call before writing: fail the whole batch, naming all its failed stations (a registry's rows at most).
+
+    ``failed`` is ``failed_stations`` for history and ``failed_current`` for current responses.
+    """
+    names = [r.city_name for r in failed(registry, payloads).select("city_name").orderBy("city_name").collect()]
     if names:
-        more = ", ..." if len(names) > 100 else ""
-        raise RuntimeError("Backfill failed for cities: " + ", ".join(names[:100]) + more)
+        raise RuntimeError("No usable answer from stations: " + ", ".join(map(str, names)))

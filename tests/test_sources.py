@@ -66,7 +66,8 @@ def test_history_by_position(spark, cities):
         ({"hourly": {"time": HOURS}}, True),
         ({"hourly": {}}, True),
         ({}, True),
-        ({"hourly": {"time": HOURS, "rain": [1]}}, False),
+        ({"hourly": {"time": HOURS, "rain": []}}, False),
+        ({"hourly": {"time": [*HOURS, "2999-01-01T00:00"], "rain": [1] * len(HOURS)}}, True),
         ({"hourly": {"time": ["soon"]}}, False),
         ("{broken", False),
     ],
@@ -79,7 +80,7 @@ def test_usable_responses(spark, cities, response, usable):
         payloads.require_complete(cities, table)
     else:
         assert payloads.parse_history(table, cities).filter("city_id = 1").isEmpty()
-        with pytest.raises(RuntimeError, match="failed for cities: An Giang$"):
+        with pytest.raises(RuntimeError, match="stations: An Giang$"):
             payloads.require_complete(cities, table)
 
 
@@ -97,7 +98,13 @@ def test_current(spark, cities):
         "weather": [{"main": "Rain"}, {"main": "Fog"}],
     }
     bare = {"dt": 1735776785, "main": {}, "rain": {"3h": 4}}
-    rows = [(24, json.dumps(full)), (1, json.dumps(bare)), (1, json.dumps({"main": {}}))]
+    rows = [(24, json.dumps(full)), (1, json.dumps(bare))]
+    for broken in ('{"main": {}}', '{"dt": 1}', "{no json", None):
+        spoilt = spark.createDataFrame([*rows, (1, broken)], "city_id int, payload string")
+        with pytest.raises(RuntimeError, match="stations: An Giang$"):
+            payloads.require_complete(cities, spoilt, payloads.failed_current)
+        with pytest.raises(Exception, match="unusable current response of station 1"):
+            payloads.parse_current(spoilt, cities).collect()
     table = spark.createDataFrame(rows, "city_id int, payload string")
     by_city = {r.city_id: r for r in payloads.parse_current(table, cities).collect()}
     assert by_city[24].asDict() == {
@@ -151,6 +158,14 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
     assert not list(Path(tmp_path).iterdir())
 
 
+def test_lake_refuses_broken_ids(spark, tmp_path):
+    folder = tmp_path / "bronze/weather/source=s/year=2025/month=01/day=02"
+    folder.mkdir(parents=True)
+    pq.write_table(pa.table({"timestamp": ["2025-01-01T00:00"], "city_id": ["x7"], "lat": ["1.5"]}), folder / "a.parquet")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        bronze.read_bronze(spark, str(tmp_path)).collect()
+
+
 def test_lake_of_disagreeing_files(spark, tmp_path):
     """Whole numbers and an all-empty column here, doubles and text there; also within one folder."""
     same = tmp_path / "bronze/weather/source=open_meteo/year=2025/month=01/day=02"

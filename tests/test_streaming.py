@@ -53,7 +53,7 @@ def test_streams_hold_back_open_windows(spark, tmp_path):
     rows = [(1, f"2025-01-0{d} {h:02d}:00:00", float(h), h) for d in (1, 2, 3) for h in range(24)]
     rows += [(1, "2025-01-01 05:00:00", 99.0, 50)]
     df = spark.createDataFrame(rows, "city_id int, t string, rain_mm double, seq int").selectExpr(
-        "city_id", "cast(t AS timestamp_ntz) AS timestamp_utc", "rain_mm", "seq"
+        "city_id", "cast(t AS timestamp_ntz) AS timestamp_utc", "rain_mm", "seq", "t = '2025-01-02 07:00:00' AS is_quality_anomaly"
     )
     folder = str(tmp_path / "rows")
     df.coalesce(1).write.parquet(folder)
@@ -63,10 +63,14 @@ def test_streams_hold_back_open_windows(spark, tmp_path):
 
     windows.store_stream(windows.daily_event_counts(arriving()), str(tmp_path / "a"), str(tmp_path / "al"))
     days = spark.read.parquet(str(tmp_path / "a")).orderBy("window_start").collect()
-    assert [(r.observations, r.heavy_rain_count) for r in days] == [(25, 1), (24, 0)]
+    assert [(r.observations, r.heavy_rain_count) for r in days] == [(25, 1), (23, 0)]
+    tail = windows.daily_counts_tail(df, spark.read.parquet(str(tmp_path / "a"))).collect()
+    assert [(str(r.window_start), r.observations) for r in tail] == [("2025-01-03 00:00:00", 24)]
 
     latest = windows.latest_wins_stream(arriving(), ["city_id"], "timestamp_utc", ["seq"])
     windows.store_stream(latest, str(tmp_path / "b"), str(tmp_path / "bl"))
     got = spark.read.schema(df.schema).parquet(str(tmp_path / "b"))
     assert got.count() == 70  # the last two hours stay open
     assert got.filter("rain_mm = 99").count() == 1
+    tail = windows.latest_wins_tail(df, got, ["city_id"], "timestamp_utc", ["seq"])
+    assert sorted(r.timestamp_utc.hour for r in tail.collect()) == [22, 23]

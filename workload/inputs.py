@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,37 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def edge_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows whose times lie at the far end, with and without a known ingestion, or exactly at their ingestion."""
+    far = F.expr("event_key % 40 = 0")
+    rows = raw_observations(spark, sf_dir).withColumn("event_key", F.col("ingest_seq"))
+    return rows.withColumns(
+        {
+            "timestamp": F.when(far, F.lit("9999-12-31T12:00")).otherwise(F.col("timestamp")),
+            "ingested_at": F.when(F.expr("event_key % 80 = 0"), F.lit(None).cast("timestamp_ntz"))
+            .when(F.expr("event_key % 80 = 40"), F.expr("timestamp_ntz'9999-12-31 11:59:59'"))
+            .when(F.expr("event_key % 7 = 3"), F.col("timestamp").try_cast("timestamp_ntz"))
+            .otherwise(F.col("ingested_at").cast("timestamp_ntz")),
+        }
+    ).drop("event_key")
+
+
+def broken_current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current responses of which some, of every third station, lack their time or their measures or are no JSON."""
+    kind = F.col("event_id") % 300
+    body = F.when(kind == 3, F.lit('{"main": {}}')).when(kind == 103, F.lit('{"dt": 1}')).when(kind == 203, F.lit("{broken"))
+    spoilt = F.when(F.col("city_id") % 3 == 2, body)
+    rows = current_payloads(spark, sf_dir, ["event_id"])
+    return rows.withColumn("payload", F.coalesce(spoilt, F.col("payload"))).drop("event_id")
+
+
+def with_silent_station(stations: DataFrame) -> DataFrame:
+    """The registry and one more station, which never answers."""
+    silent = stations.agg((F.max("city_id") + 1).cast("int").alias("city_id"))
+    named = silent.select("city_id", F.lit("SILENT").alias("city_name"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
+    return stations.unionByName(named)
+
+
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean(raw_observations(spark, sf_dir), tiebreak=["ingest_seq"])
 
@@ -80,7 +113,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("city_id", "city_name", "lat", "lon").dropna().distinct()
 
 
-def current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def current_payloads(spark: SparkSession, sf_dir: str, extra: Sequence[str] = ()) -> DataFrame:
     """One JSON response per event, with parts left out here and there."""
     events = table(spark, sf_dir, "events")
     event = F.col("event_id")
@@ -100,7 +133,7 @@ def current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 11 != 0, F.array(F.struct(F.col("event_type").alias("main")))).alias("weather"),
     )
     station = F.floor(F.col("user_id") / F.lit(STATION_USERS)).cast("int") + 1
-    return events.select(station.alias("city_id"), F.to_json(body).alias("payload"))
+    return events.select(station.alias("city_id"), F.to_json(body).alias("payload"), *extra)
 
 
 HOURS_PER_RESPONSE = 24

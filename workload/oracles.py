@@ -199,9 +199,15 @@ hours AS (
            CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
     FROM events
 ),
+answered AS (
+    SELECT block, city_id, arg_max(ts, event_id) AS final_ts,
+           max(ts) - CASE WHEN block % 5 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS fetched_at
+    FROM hours GROUP BY block, city_id
+),
 fetched AS (
-    SELECT block, max(ts) - CASE WHEN block % 5 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS fetched_at
-    FROM hours GROUP BY block
+    -- the short array lacks the final hour, which matters only if that hour was wanted
+    SELECT *, (block % 50 = 13 OR city_id % 4 = 0) AND date_trunc('minute', final_ts) <= fetched_at AS short
+    FROM answered
 ),
 history AS (
     SELECT strftime(ts, '%Y-%m-%dT%H:%M') AS "timestamp", city_id,
@@ -213,8 +219,8 @@ history AS (
            CAST(floor(value) AS DOUBLE) * CAST(0.25 AS DOUBLE) AS wind_speed,
            CAST(floor(value) AS DOUBLE) AS rain,
            CAST(NULL AS VARCHAR) AS weather_condition
-    FROM hours JOIN fetched USING (block)
-    WHERE block % 50 NOT IN (7, 13) AND city_id % 4 <> 0 AND date_trunc('minute', ts) <= fetched_at
+    FROM hours JOIN fetched USING (block, city_id)
+    WHERE block % 50 <> 7 AND NOT short AND date_trunc('minute', ts) <= fetched_at
 )"""
 
 
@@ -295,6 +301,38 @@ def _scaled() -> str:
     return ", ".join(parts)
 
 
+def _share(*parts: str) -> str:
+    """The hash in [0, 1) of the parts and the row's key."""
+    text = " || '|' || ".join([*parts, "city_id", "CAST(timestamp_utc AS VARCHAR)"])
+    return f"(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) / CAST(4503599627370496 AS DOUBLE))"
+
+
+def _mean_path(n: int) -> str:
+    """Mean depth of an unsuccessful search among n values."""
+    if n <= 2:
+        return f"{max(n - 1, 0)}::DOUBLE"
+    return f"(2 * (ln({n - 1}::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * {n - 1}::DOUBLE / {n})"
+
+
+SMALL_SCORES = (
+    FEATURES
+    + f""",
+inputs AS (
+    SELECT city_id, timestamp_utc, coalesce(temperature_c, 0) AS t, coalesce(humidity_pct, 0) AS h, coalesce(rain_mm, 0) AS r
+    FROM features
+),
+paths AS (
+    SELECT *,
+           CASE WHEN t > 10.5 THEN 1 + {_mean_path(3)} WHEN r > 2 THEN 2 + {_mean_path(1)} ELSE 2 + {_mean_path(4)} END AS a,
+           CASE WHEN h <= 50 THEN 1 + {_mean_path(2)} WHEN t > 20.25 THEN 2 + {_mean_path(1)} ELSE 2 + {_mean_path(5)} END AS b
+    FROM inputs
+),
+scores AS (
+    SELECT city_id, timestamp_utc, round(-pow(2::DOUBLE, -((a + b) / 2) / {_mean_path(4)}), 9) AS score FROM paths
+)"""
+)
+
+
 def _kpi_text(value: str, suffix: str) -> str:
     return f"CASE WHEN {value} IS NULL THEN '-' ELSE format('{{:,.1f}}{suffix}', {value}) END"
 
@@ -542,16 +580,15 @@ SELECT city_id, count(*) AS n, min("timestamp") AS "first", max("timestamp") AS
 WHERE CAST(CAST("timestamp" AS TIMESTAMP) AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-12'
 GROUP BY city_id""",
     ),
-    "batch_completeness": """
-WITH responses AS (
-    SELECT DISTINCT event_id // 24 AS block, CAST(event_id // 960 AS INTEGER) + 1 AS city_id FROM events
-),
+    "batch_completeness": with_(
+        RESPONSES,
+        """,
 answers AS (
-    SELECT city_id, bool_or(block % 50 <> 7 AND (block % 50 = 13 OR city_id % 4 = 0)) AS failed
-    FROM responses GROUP BY city_id
-    UNION ALL SELECT max(city_id) + 1, true FROM responses
+    SELECT city_id, bool_or(block % 50 <> 7 AND short) AS failed FROM fetched GROUP BY city_id
+    UNION ALL SELECT max(city_id) + 1, true FROM fetched
 )
 SELECT city_id, 'CITY_' || CAST(city_id AS VARCHAR) AS city_name FROM answers WHERE failed""",
+    ).replace("\n,\nanswers", ",\nanswers"),
     "bronze_roundtrip": with_(
         RAW,
         f"""
@@ -589,10 +626,7 @@ UNION ALL SELECT 'l_tax', 0.5, quantile_cont(l_tax, 0.5) FROM lineitem""",
         """
 SELECT city_id, CAST(date_trunc('day', timestamp_utc) AS TIMESTAMP) AS window_start, count(*) AS observations,
        CAST(count(*) FILTER (rain_mm >= 50) AS BIGINT) AS heavy_rain_count
-FROM silver
-GROUP BY 1, 2
-HAVING date_trunc('day', min(timestamp_utc)) + INTERVAL 1 DAY
-       <= (SELECT max(timestamp_utc) FROM silver) - INTERVAL 2 HOUR""",
+FROM silver WHERE NOT is_quality_anomaly GROUP BY 1, 2""",
     ),
     "stream_latest_wins": with_(
         SILVER,
@@ -600,8 +634,76 @@ HAVING date_trunc('day', min(timestamp_utc)) + INTERVAL 1 DAY
 SELECT city_id, timestamp_utc, ingested_at_utc AS ingested_at, ingest_seq, weather_condition
 FROM typed
 WHERE city_id IS NOT NULL AND timestamp_utc IS NOT NULL
-  AND timestamp_utc <= (SELECT max(timestamp_utc) FROM typed WHERE city_id IS NOT NULL) - INTERVAL 2 HOUR
 QUALIFY row_number() OVER (PARTITION BY city_id, timestamp_utc
                            ORDER BY ingested_at_utc DESC NULLS LAST, ingest_seq DESC) = 1""",
     ),
+    "silver_edge_times": with_(
+        SILVER.replace(
+            "typed AS (",
+            """edge AS (
+    SELECT * REPLACE (
+        CASE WHEN ingest_seq % 40 = 0 THEN '9999-12-31T12:00' ELSE "timestamp" END AS "timestamp",
+        CASE WHEN ingest_seq % 80 = 0 THEN NULL
+             WHEN ingest_seq % 80 = 40 THEN TIMESTAMP '9999-12-31 11:59:59'
+             WHEN ingest_seq % 7 = 3 THEN TRY_CAST("timestamp" AS TIMESTAMP)
+             ELSE ingested_at END AS ingested_at)
+    FROM raw
+),
+typed AS (""",
+            1,
+        ).replace("FROM raw\n),\nsilver", "FROM edge\n),\nsilver"),
+        "SELECT city_id, timestamp_utc, ingested_at_utc, humidity_pct FROM silver",
+    ),
+    "current_failures": with_(
+        RAW,
+        """,
+stations AS (SELECT DISTINCT city_id, city_name FROM raw WHERE city_id IS NOT NULL)
+SELECT city_id, city_name FROM stations
+WHERE city_id % 3 = 2 AND city_id IN (SELECT station + 1 FROM numbered WHERE event_id % 300 IN (3, 103, 203))
+UNION ALL SELECT max(city_id) + 1, 'SILENT' FROM stations""",
+    ).replace("\n,\nstations", ",\nstations"),
+    "missing_features": " UNION ALL ".join(
+        f"SELECT '{f}' AS column_name" for f in MODEL_FEATURES if f not in MEASURES.values()
+    ),
+    "iforest_scores": with_(
+        SILVER,
+        """
+SELECT count(*) AS n_rows, CAST(ceil(0.03 * (count(*) - 1)) AS BIGINT) AS n_flagged,
+       CAST(0 AS BIGINT) AS out_of_bounds, CAST(0 AS BIGINT) AS flags_against_scores
+FROM silver WHERE NOT is_quality_anomaly""",
+    ),
+    "iforest_shape": with_(
+        SILVER,
+        """,
+size AS (SELECT least(count(*), 256) AS n FROM silver WHERE NOT is_quality_anomaly)
+SELECT CAST(tree AS INTEGER) AS tree, n AS root_rows, n AS leaf_rows,
+       CAST(ceil(log2(n)) AS BIGINT) AS depth
+FROM size, range(300) AS t(tree)""",
+    ).replace("\n,\nsize", ",\nsize"),
+    "iforest_draw": with_(
+        SILVER,
+        f""",
+keys AS (SELECT city_id, timestamp_utc, count(*) OVER () AS n FROM silver WHERE NOT is_quality_anomaly),
+shares AS (SELECT *, least(1, 1.6::DOUBLE * 32 / n) AS p FROM keys),
+firsts AS (
+    SELECT *, {_share("'42'")} AS u FROM shares),
+tried AS (
+    SELECT city_id, timestamp_utc, CAST(tree AS INTEGER) AS tree,
+           CASE WHEN p >= 1 THEN true
+                WHEN u >= 1 - exp(20 * ln(1 - p)) THEN false
+                WHEN tree = least(floor(ln(1 - u) / ln(1 - p)), 19) THEN true
+                ELSE tree > least(floor(ln(1 - u) / ln(1 - p)), 19) AND {_share("'42'", "tree")} < p END AS taken
+    FROM firsts, range(20) AS t(tree)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY {_share("'43'", "tree")}, city_id, timestamp_utc) AS place
+    FROM tried WHERE taken)
+SELECT tree, city_id, timestamp_utc, CAST(place AS INTEGER) AS place FROM ranked WHERE place <= 32""",
+    ).replace("\n,\nkeys", ",\nkeys"),
+    "iforest_apply": with_(SMALL_SCORES, "SELECT city_id, timestamp_utc, score FROM scores"),
+    "iforest_offset_flags": with_(
+        SMALL_SCORES,
+        """,
+bound AS (SELECT quantile_cont(score, 0.03) AS b FROM scores)
+SELECT city_id, timestamp_utc, round(b, 9) AS "offset", score < b AS is_anomaly FROM scores, bound""",
+    ).replace("\n,\nbound", ",\nbound"),
 }

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.operators import checks, frames, quantiles
+from almanac.operators.forest import NODES, ForestSize, tree_samples, with_path_score
 from almanac.operators.series import profile_series
-from almanac.plans import anomaly, features, marts, models, reports
+from almanac.plans import anomaly, features, marts, models, reports, silver
 from almanac.schemas import BRONZE, MODEL_FEATURES, OBSERVATION
 from almanac.session import materialise, shared_dir, use_utc
 from almanac.sources import bronze, payloads, registry
@@ -57,6 +58,13 @@ def silver_clean(spark, sf_dir):
     return inputs.silver_rows(spark, sf_dir)
 
 
+@query
+def silver_edge_times(spark, sf_dir):
+    """Times later than any ingestion, unknown ingestions, and equal times."""
+    clean = silver.clean(inputs.edge_times(spark, sf_dir), tiebreak=["ingest_seq"])
+    return clean.select("city_id", "timestamp_utc", "ingested_at_utc", "humidity_pct")
+
+
 @query
 def quality_counts(spark, sf_dir):
     flags = ["invalid_temperature", "invalid_humidity", "invalid_rain", "invalid_wind_speed", "is_quality_anomaly"]
@@ -333,6 +341,14 @@ def batch_completeness(spark, sf_dir):
     return failed.select("city_id", "city_name")
 
 
+@query
+def current_failures(spark, sf_dir):
+    """Stations without a usable current response."""
+    registry = inputs.with_silent_station(inputs.stations(spark, sf_dir))
+    failed = payloads.failed_current(registry, inputs.broken_current_payloads(spark, sf_dir))
+    return failed.select("city_id", "city_name")
+
+
 def _observations_of(raw: DataFrame, source: str) -> DataFrame:
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in OBSERVATION.fields]
     return raw.filter(F.col("source") == source).select(*typed)
@@ -410,11 +426,79 @@ def impute_scale_apply(spark, sf_dir):
 
 
 @query
-def iforest_scores(spark, sf_dir):
+def missing_features(spark, sf_dir):
+    """Model inputs that the silver table lacks."""
+    return checks.missing_columns(inputs.silver_rows(spark, sf_dir), MODEL_FEATURES)
+
+
+def _forest(spark, sf_dir):
+    """Stored features, the model fitted on them, stored and read back, and the folder."""
     df = inputs.stored_features(spark, sf_dir)
     root = shared_dir(spark, "model")
     anomaly.save_model(anomaly.fit_anomaly(df), root)
-    return anomaly.store_scores(df, anomaly.load_model(spark, root), root)
+    return df, anomaly.load_model(spark, root), root
+
+
+@query
+def iforest_scores(spark, sf_dir):
+    """What must hold of any forest's scores: one per row, within bounds, the wanted share flagged."""
+    df, model, root = _forest(spark, sf_dir)
+    offset = F.lit(model.meta.first().offset)
+    score = F.col("anomaly_score") + offset
+    return anomaly.store_scores(df, model, root).agg(
+        F.count("*").alias("n_rows"),
+        F.count_if("is_anomaly").alias("n_flagged"),
+        F.count_if((score <= -1) | (score >= 0) | score.isNull()).alias("out_of_bounds"),
+        F.count_if((F.col("anomaly_score") < 0) != F.col("is_anomaly")).alias("flags_against_scores"),
+    )
+
+
+@query
+def iforest_shape(spark, sf_dir):
+    """Per tree: rows at the root, rows in its leaves, and its depth."""
+    _, model, _ = _forest(spark, sf_dir)
+    return model.nodes.groupBy("tree").agg(
+        F.max(F.when(F.col("node") == 0, F.col("size"))).cast("long").alias("root_rows"),
+        F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("leaf_rows"),
+        F.max("depth").cast("long").alias("depth"),
+    )
+
+
+@query
+def iforest_draw(spark, sf_dir):
+    """The rows that 20 small trees draw."""
+    df = inputs.stored_features(spark, sf_dir)
+    size = ForestSize(trees=20, sample=32)
+    return tree_samples(df.select(*KEY), KEY, df.count(), size, []).select("tree", *KEY, "_rank").withColumnRenamed("_rank", "place")
+
+
+# Two trees over (temperature_c, humidity_pct, rain_mm), as (tree, node, feature, threshold, size, depth).
+SMALL_TREES = [
+    (0, 0, 0, 10.5, 8, 0), (0, 1, 2, 2.0, 5, 1), (0, 2, -1, 0.0, 3, 1), (0, 3, -1, 0.0, 4, 2), (0, 4, -1, 0.0, 1, 2),
+    (1, 0, 1, 50.0, 8, 0), (1, 1, -1, 0.0, 2, 1), (1, 2, 0, 20.25, 6, 1), (1, 5, -1, 0.0, 5, 2), (1, 6, -1, 0.0, 1, 2),
+]
+
+
+def _small_scores(spark, sf_dir):
+    nodes = spark.createDataFrame(SMALL_TREES, NODES)
+    size = ForestSize(trees=2, sample=4)
+    inputs_ = [F.coalesce(quantiles.known(c), F.lit(0.0)) for c in ("temperature_c", "humidity_pct", "rain_mm")]
+    scored = with_path_score(inputs.stored_features(spark, sf_dir), nodes, inputs_, size, 4, "score")
+    return scored.select(*KEY, F.round("score", 9).alias("score"))
+
+
+@query
+def iforest_apply(spark, sf_dir):
+    """Scores from a small, given node table."""
+    return _small_scores(spark, sf_dir)
+
+
+@query
+def iforest_offset_flags(spark, sf_dir):
+    """The offset that flags the wanted share, and the flags, on given scores."""
+    scores = materialise(_small_scores(spark, sf_dir), "scores")
+    offset = quantiles.exact_quantiles(scores, {"score": anomaly.CONTAMINATION})["score"]
+    return scores.select(*KEY, F.round(F.lit(offset), 9).alias("offset"), (F.col("score") < F.lit(offset)).alias("is_anomaly"))
 
 
 # Refresh and streams
@@ -440,15 +524,26 @@ def incremental_refresh(spark, sf_dir):
     return refresh.read_model(spark, root, models.EVENTS)
 
 
+def _written_by_day(rows: DataFrame, folder: str, time: str) -> DataFrame:
+    """One file per third of the days, in order of arrival, with the first hours of the next part's first day."""
+    days = rows.agg(F.min(time).alias("first"), F.max(time).alias("last")).first()
+    for part in range(3):
+        low, high = (days.first + (days.last - days.first) * p / 3 for p in (part, part + 1))
+        inside = (F.col(time) >= F.lit(low)) & ((F.col(time) < F.lit(high)) | F.lit(part == 2))
+        rows.filter(inside).coalesce(1).write.mode("append").parquet(folder)
+    return rows
+
+
 @query
 def stream_daily_counts(spark, sf_dir):
-    silver = inputs.silver_rows(spark, sf_dir)
+    """Valid readings per station and day, from several batches; the days that the stream leaves open, by a batch."""
+    rows = materialise(inputs.silver_rows(spark, sf_dir), "silver")
     folder, out, log = (shared_dir(spark, n) for n in ("silver", "daily", "checkpoint"))
-    silver.write.parquet(folder)
-    windows.store_stream(
-        windows.daily_event_counts(_arriving(spark, folder, silver.schema, files=1000)), out, log
-    )
-    return spark.read.parquet(out)
+    _written_by_day(rows, folder, "timestamp_utc")
+    counts = windows.daily_event_counts(_arriving(spark, folder, rows.schema, files=1))
+    windows.store_stream(counts, out, log)
+    done = spark.read.schema(counts.schema).parquet(out)
+    return done.unionByName(windows.daily_counts_tail(rows, done))
 
 
 @query
@@ -462,9 +557,11 @@ def stream_latest_wins(spark, sf_dir):
         "ingest_seq",
         "weather_condition",
     ).dropna(subset=["city_id", "timestamp_utc"])
-    rows.write.parquet(folder)
-    latest = windows.latest_wins_stream(
-        _arriving(spark, folder, rows.schema, files=1000), ["city_id"], "timestamp_utc", ["ingested_at", "ingest_seq"]
-    )
-    windows.store_stream(latest, out, log)
-    return spark.read.schema(rows.schema).parquet(out)
+    rows = materialise(rows, "rows")
+    _written_by_day(rows, folder, "timestamp_utc")
+    order = ["ingested_at", "ingest_seq"]
+    arriving = _arriving(spark, folder, rows.schema, files=1)
+    windows.store_stream(windows.latest_wins_stream(arriving, ["city_id"], "timestamp_utc", order), out, log)
+    done = spark.read.schema(rows.schema).parquet(out)
+    tail = windows.latest_wins_tail(rows, done, ["city_id"], "timestamp_utc", order)
+    return done.unionByName(tail)
