@@ -198,8 +198,13 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, bucket_rows:
     level = prints.select("fp", F.lit(0).cast("long").alias("bucket"), F.lit(_signed(full)).cast("long").alias("open"))
     masks, links = [full], spark.createDataFrame([], "a long, b long")
     while masks:
-        pairs = [(_signed(m), _signed(b)) for m in masks for b in _blocks(m, max_bits + 1) if b]
-        dealt = level.join(F.broadcast(spark.createDataFrame(pairs, "open long, block long")), "open")
+        blocks = {_signed(m): [_signed(b) for b in _blocks(m, max_bits + 1) if b] for m in masks}
+        if len(masks) == 1:
+            each = F.array(*[F.lit(b).cast("long") for b in next(iter(blocks.values()))])
+            dealt = level.withColumn("block", F.explode(each))
+        else:
+            pairs = [(m, b) for m, own in blocks.items() for b in own]
+            dealt = level.join(F.broadcast(spark.createDataFrame(pairs, "open long, block long")), "open")
         dealt = dealt.select(
             "fp",
             F.xxhash64("bucket", "block", F.col("fp").bitwiseAND(F.col("block"))).alias("bucket"),
