@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
@@ -32,6 +33,8 @@ OPEN = 1024
 TASK_PIECES = 400_000
 #: Words whose ids a tokenizing worker remembers, about 200 bytes each; beyond, the older half is forgotten.
 KNOWN_WORDS = 1_000_000
+#: New words that are encoded at once.
+LEARNT = 512
 TOKENIZER = "word_bpe_49k.json"
 
 _encoders: dict[str, WordEncoder] = {}
@@ -41,22 +44,30 @@ class WordEncoder:
     """Ids of texts for a tokenizer that drops white space, as little-endian 32-bit numbers.
 
     No token of such a tokenizer spans a blank, so a text's ids are those of its words in turn, and each distinct
-    word goes through the tokenizer once per task.
+    word goes through the tokenizer once while it is remembered. New words are encoded many at a time, with blanks
+    between them; the offsets tell whose ids are whose.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        owner = np.searchsorted(starts, [a for a, _ in encoding.offsets], "right") - 1
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+        payload = np.array(encoding.ids, "<u4").tobytes()
+        for word, a, b in zip(words, [0, *ends], ends):
+            self.known[word] = payload[a:b]
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
             words = text.encode().split()  # at space and \x09-\x0D
             new = list(set(words).difference(self.known))
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-                for word, e in zip(part, done):
-                    self.known[word] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+            for i in range(0, len(new), LEARNT):
+                self._learn(new[i : i + LEARNT])
             yield b"".join(map(self.known.__getitem__, words))
             if len(self.known) > KNOWN_WORDS:
                 self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
