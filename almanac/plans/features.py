@@ -149,16 +149,21 @@ def with_seasonal_scores(df: DataFrame) -> DataFrame:
     )
 
 
-def feature_store(silver: DataFrame, profile: SeriesProfile | None = None) -> DataFrame:
+def feature_store(
+    silver: DataFrame, profile: SeriesProfile | None = None, seasonal: DataFrame | None = None
+) -> DataFrame:
     """All features of the valid silver rows.
 
+    ``seasonal`` gives the valid rows behind the seasonal figures, if they are not those of ``silver``.
     ``profile`` sizes the series (``profile_series``); pass one taken from a cheaper superset of
     the rows to spare a pass. Columns nobody reads are pruned, with their windows and the join.
     """
     valid = valid_only(silver).select(*BASE)
     profile = profile or profile_series(valid, SERIES)
     framed = with_frames(valid, SERIES, TIME, ROLLING_24H + ROLLING_7D, LAGS, profile)
-    seasonal = with_seasonal(with_calendar(framed), with_calendar(valid), profile.n_series)
-    derived = with_seasonal_scores(with_changes(seasonal))
+    cells = valid if seasonal is None else seasonal.select(*BASE)
+    series = profile.n_series if seasonal is None else None  # other rows may have more stations
+    placed = with_seasonal(with_calendar(framed), with_calendar(cells), series)
+    derived = with_seasonal_scores(with_changes(placed))
     leading = [*BASE, *WINDOW_COLUMNS, *CALENDAR, *SEASONAL]
     return derived.select(*leading, *[c for c in derived.columns if c not in leading])

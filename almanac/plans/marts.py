@@ -49,44 +49,65 @@ def extreme_events_daily(features: DataFrame, limits: EventThresholds = EventThr
     return daily.filter(F.col("extreme_event_count") > 0)
 
 
-def period_delta(
-    df: DataFrame,
-    group: Sequence[str],
-    series: Sequence[str],
-    time: str,
-    unit: str,
-    period: str,
-    averages: dict[str, tuple[str, str]],
-    totals: dict[str, str],
-    back: int = 12,
-) -> DataFrame:
-    """Averages and totals per period, and each average's change against ``back`` rows earlier.
-
-    ``averages`` maps an output name to (column, name of the change); ``totals`` maps an output
-    name to a column. The comparison counts rows of the series, so a missing period shifts it.
+@dataclass(frozen=True)
+class PeriodChange:
+    """Averages and totals per period, and each average's change against ``back`` rows of the series earlier.
+
+    ``averages`` maps an output name to (column, name of the change); ``totals`` maps an output name to a column.
+    The comparison counts rows, so a missing period shifts it.
     """
-    per_period = df.groupBy(*group, truncated(unit, F.col(time)).alias(period)).agg(
-        *[F.avg(column).alias(name) for name, (column, _) in averages.items()],
-        *[F.sum(column).alias(name) for name, column in totals.items()],
-    )
-    history = Window.partitionBy(*series).orderBy(period)
-    columns: list = [*group, period]
-    for name, (_, change) in averages.items():
-        columns += [name, (F.col(name) - F.lag(name, back).over(history)).alias(change)]
-    return per_period.select(*columns, *totals)
+
+    group: Sequence[str]
+    series: Sequence[str]
+    time: str
+    unit: str
+    period: str
+    averages: dict[str, tuple[str, str]]
+    totals: dict[str, str]
+    back: int = 12
+
+    def per_period(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*self.group, truncated(self.unit, F.col(self.time)).alias(self.period)).agg(
+            *[F.avg(column).alias(name) for name, (column, _) in self.averages.items()],
+            *[F.sum(column).alias(name) for name, column in self.totals.items()],
+        )
+
+    def changes(self, per_period: DataFrame) -> DataFrame:
+        history = Window.partitionBy(*self.series).orderBy(self.period)
+        columns: list = [*self.group, self.period]
+        for name, (_, change) in self.averages.items():
+            columns += [name, (F.col(name) - F.lag(name, self.back).over(history)).alias(change)]
+        return per_period.select(*columns, *self.totals)
+
+
+def period_delta(df: DataFrame, *parts, **more) -> DataFrame:
+    """Averages, totals and changes of a table; the arguments are those of ``PeriodChange``."""
+    change = PeriodChange(*parts, **more)
+    return change.changes(change.per_period(df))
+
+
+CLIMATE = PeriodChange(
+    group=["city_id", "city_name"],
+    series=["city_id"],
+    time="timestamp_utc",
+    unit="month",
+    period="observed_month",
+    averages={
+        "avg_temp_c": ("temperature_c", "temp_delta_yoy_c"),
+        "avg_humidity_pct": ("humidity_pct", "humidity_delta_yoy_pct"),
+    },
+    totals={"total_rain_mm": "rain_mm"},
+)
+
+
+def monthly_climate(silver: DataFrame) -> DataFrame:
+    """Per station and month, without the changes."""
+    return CLIMATE.per_period(valid_only(silver))
+
+
+def climate_changes(monthly: DataFrame) -> DataFrame:
+    return CLIMATE.changes(monthly)
 
 
 def monthly_climate_delta(silver: DataFrame) -> DataFrame:
-    return period_delta(
-        valid_only(silver),
-        group=["city_id", "city_name"],
-        series=["city_id"],
-        time="timestamp_utc",
-        unit="month",
-        period="observed_month",
-        averages={
-            "avg_temp_c": ("temperature_c", "temp_delta_yoy_c"),
-            "avg_humidity_pct": ("humidity_pct", "humidity_delta_yoy_pct"),
-        },
-        totals={"total_rain_mm": "rain_mm"},
-    )
+    return climate_changes(monthly_climate(silver))

@@ -1,22 +1,29 @@
-"""The batch refresh: bronze view, silver table, gold tables, each stored once and read back."""
+"""The model tables: bronze view, silver table, gold tables, each stored once and read back."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from almanac.operators.checks import check_not_null
+from almanac.operators.validity import valid_only
 from almanac.plans.features import feature_store
 from almanac.plans.marts import extreme_events_daily, monthly_climate_delta
-from almanac.plans.silver import clean
+from almanac.plans.silver import COLUMNS, KEYS, clean
 from almanac.sources.bronze import read_bronze
-from almanac.sources.tables import as_view, read_table, write_table
+from almanac.sources.tables import as_view, month_of, read_table, write_table
 
 SILVER = "silver_weather_clean"
 FEATURES = "gold_weather_feature_store"
 EVENTS = "gold_extreme_events_daily"
 MONTHLY = "gold_monthly_climate_delta"
+#: Valid rows per station and month: tells a partial refresh how far frames reach.
+COUNTS = "valid_rows_by_month"
+
+DAY = "observed_date"
 
 
 @dataclass
@@ -27,17 +34,20 @@ class Models:
     monthly: DataFrame
 
 
-def build_models(raw: DataFrame, root: str, tiebreak=()) -> Models:
+def valid_counts(silver: DataFrame) -> DataFrame:
+    return valid_only(silver).groupBy("city_id", month_of(DAY).alias("month")).agg(F.count("*").alias("n"))
+
+
+def build_models(raw: DataFrame, root: str, tiebreak: Sequence[str] = ()) -> Models:
     """Full refresh of all model tables below ``root`` from raw observations."""
-    silver = write_table(clean(raw, tiebreak), root, SILVER)
-    check_not_null(silver, ["city_id", "timestamp_utc"])
-    features = write_table(feature_store(silver), root, FEATURES)
-    return Models(
-        silver,
-        features,
-        write_table(extreme_events_daily(features), root, EVENTS),
-        write_table(monthly_climate_delta(silver), root, MONTHLY),
-    )
+    spark = raw.sparkSession
+    silver = write_table(clean(raw, tiebreak, keep=tiebreak), root, SILVER, DAY)
+    check_not_null(silver, KEYS)
+    features = write_table(feature_store(silver.select(*COLUMNS)), root, FEATURES, DAY)
+    write_table(extreme_events_daily(features), root, EVENTS, DAY, ["city_id", DAY])
+    write_table(monthly_climate_delta(silver), root, MONTHLY)
+    write_table(valid_counts(silver), root, COUNTS)
+    return load_models(spark, root)
 
 
 def refresh_from_lake(spark: SparkSession, lake_root: str, model_root: str) -> Models:
@@ -45,4 +55,6 @@ def refresh_from_lake(spark: SparkSession, lake_root: str, model_root: str) -> M
 
 
 def load_models(spark: SparkSession, root: str) -> Models:
-    return Models(*[read_table(spark, root, t) for t in (SILVER, FEATURES, EVENTS, MONTHLY)])
+    """The tables as they are now, whether a full or a partial refresh has written them."""
+    silver = read_table(spark, root, SILVER).select(*COLUMNS)
+    return Models(silver, *[read_table(spark, root, t) for t in (FEATURES, EVENTS, MONTHLY)])

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.functions.display import shown
 from almanac.functions.temporal import local_time
 from almanac.operators.latest import latest_wins
+from almanac.plans.models import FEATURES
+from almanac.sources.tables import read_period
 
 LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 LOCAL_TIME = "timestamp_ict"
@@ -19,7 +21,7 @@ LOCAL_DATE = "observed_date_ict"
 MOST_COMPARED = 8
 ONE_DAY = timedelta(days=1)
 
-# What the reports read of the feature store.
+# The feature columns that reports show or offer.
 REPORT_COLUMNS = [
     "city_id",
     "city_name",
@@ -68,6 +70,13 @@ def observations(features: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     )
 
 
+def stored_selection(spark: SparkSession, root: str, selection: Selection, zone: str = LOCAL_ZONE) -> DataFrame:
+    """``selected`` on the stored feature table: only the folders of the wanted months are read."""
+    low, high = selection.bounds
+    features = read_period(spark, root, FEATURES, low - ONE_DAY, high + ONE_DAY)
+    return selected(observations(features, zone), selection)
+
+
 def date_bounds(obs: DataFrame, days: int = 30) -> DataFrame:
     """First and last local date, the default start, the last reading and the row count."""
     return obs.agg(
@@ -109,15 +118,13 @@ def _newest_first() -> list[Column]:
 
 
 def trailing_hours(city_obs: DataFrame, hours: int = 24) -> DataFrame:
-    """Readings of one city no older than ``hours`` before its latest one, both ends included."""
-    latest = city_obs.groupBy("city_name").agg(F.max(LOCAL_TIME).alias("_latest"))
+    """Readings of one city no older than ``hours`` before its latest one, both ends included.
+
+    The latest time is taken over the city's rows as they pass, so that they are computed once.
+    """
+    latest = F.max(LOCAL_TIME).over(Window.partitionBy("city_name"))
     since = F.col("_latest") - F.expr(f"interval {int(hours)} hours")
-    # One row: the frame holds a single city.
-    return (
-        city_obs.join(F.broadcast(latest), "city_name")
-        .filter(F.col(LOCAL_TIME) >= since)
-        .drop("_latest")
-    )
+    return city_obs.withColumn("_latest", latest).filter(F.col(LOCAL_TIME) >= since).drop("_latest")
 
 
 def latest_change(city_obs: DataFrame, column: str) -> DataFrame:

@@ -81,19 +81,25 @@ CONTENT = [
 ]
 
 
-def clean(raw: DataFrame, tiebreak: Sequence[str] = (), rules=WEATHER_RULES) -> DataFrame:
-    """Silver table: latest ingested row per (city_id, timestamp_utc), 20 columns.
+def newest(rows: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The latest ingested row per key. Choosing among winners gives the same row as choosing among all."""
+    order = [F.col("ingested_at_utc").desc_nulls_last()]
+    order += [F.col(c).desc_nulls_last() for c in (*tiebreak, *([] if tiebreak else CONTENT))]
+    return latest_wins(rows, KEYS, order)
+
+
+def clean(
+    raw: DataFrame, tiebreak: Sequence[str] = (), rules=WEATHER_RULES, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Silver table: latest ingested row per (city_id, timestamp_utc), 20 columns, and the raw columns in ``keep``.
 
     ``tiebreak`` names raw columns (an ingestion sequence, say), the largest value first.
     """
-    candidates = plausible_times(typed(raw, tiebreak))
-    order = [F.col("ingested_at_utc").desc_nulls_last()]
-    order += [F.col(c).desc_nulls_last() for c in (*tiebreak, *([] if tiebreak else CONTENT))]
-    latest = latest_wins(candidates, KEYS, order)
+    latest = newest(plausible_times(typed(raw, tiebreak)), tiebreak)
     dated = latest.withColumns(
         {
             "observed_hour_utc": truncated("hour", F.col("timestamp_utc")),
             "observed_date": F.to_date("timestamp_utc"),
         }
     )
-    return with_flags(dated, rules).select(*COLUMNS)
+    return with_flags(dated, rules).select(*COLUMNS, *keep)

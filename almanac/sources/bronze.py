@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Sequence
 from datetime import UTC, datetime
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.schemas import BRONZE, BRONZE_PARTITIONS, OBSERVATION
+from almanac.session import materialise
 
 FOLDER = "bronze/weather"
 # Columns in which a value of another kind fails the read.
 HARD = ("city_id", "lat", "lon")
+# Settings of the session's S3 connector that reading footers needs.
+S3_SETTINGS = ("access.key", "secret.key", "endpoint", "connection.ssl.enabled")
 
 
 def with_lineage(rows: DataFrame, source: str, instant: datetime) -> DataFrame:
@@ -62,33 +68,49 @@ def stored_schema() -> T.StructType:
     return T.StructType(fields + [T.StructField(p, T.StringType()) for p in BRONZE_PARTITIONS])
 
 
-def _file_schemas(spark: SparkSession, path: str) -> DataFrame:
-    """(path, schema) per Parquet file, from the footers, read by the tasks."""
+def _file_schemas(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, schema) per Parquet file, from the footers, read once by the tasks and stored.
+
+    Local and S3 files are opened at their footers, S3 with the session's own endpoint and keys; files of any other
+    file system come through Spark's reader.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select("path")
+        .load(list(paths))
     )
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    setting = {k: hadoop.get(f"fs.s3a.{k}") for k in S3_SETTINGS}
+    direct = all(re.match(r"file:|/|s3a?://", p) for p in paths)
+    files = files.select("path", F.lit(None).cast("binary").alias("content")) if direct else files.select("path", "content")
 
     def footers(batches):
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
 
+        def schema_of(uri, content):
+            if content is not None:
+                return pq.read_schema(pa.BufferReader(content))
+            name = unquote(urlsplit(uri).path)
+            if uri.startswith("file:") or uri.startswith("/"):
+                return pq.read_schema(name)
+            system = fs.S3FileSystem(
+                access_key=setting["access.key"],
+                secret_key=setting["secret.key"],
+                endpoint_override=setting["endpoint"],
+                scheme="http" if setting["connection.ssl.enabled"] == "false" else "https",
+            )
+            return pq.read_schema(urlsplit(uri).netloc + name, filesystem=system)
+
         for batch in batches:
-            schemas = []
-            for uri in batch["path"]:
-                uri = uri.replace("s3a://", "s3://", 1)
-                if uri.startswith("file:/"):
-                    uri = "file:///" + uri[5:].lstrip("/")
-                system, name = fs.FileSystem.from_uri(uri)
-                schema = pq.read_schema(name, filesystem=system)
-                schemas.append(json.dumps(sorted([f.name, str(f.type)] for f in schema)))
-            yield pd.DataFrame({"path": batch["path"], "schema": schemas})
+            schemas = [schema_of(*row) for row in zip(batch["path"], batch["content"], strict=True)]
+            names = [json.dumps(sorted([f.name, str(f.type)] for f in s)) for s in schemas]
+            yield pd.DataFrame({"path": batch["path"], "schema": names})
 
-    return files.mapInPandas(footers, "path string, schema string")
+    return materialise(files.mapInPandas(footers, "path string, schema string"), "footers")
 
 
 def _units(files: DataFrame) -> DataFrame:
@@ -104,7 +126,7 @@ def _units(files: DataFrame) -> DataFrame:
     )
 
 
-def _as_canonical(df: DataFrame) -> DataFrame:
+def _as_canonical(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Every canonical column, absent ones as typed NULL, then the path keys.
 
     Ids and coordinates must be what they should be; the other columns are cast tolerantly.
@@ -120,7 +142,17 @@ def _as_canonical(df: DataFrame) -> DataFrame:
     # Spark reads the path keys as numbers; give back their zero padding.
     widths = {"year": 4, "month": 2, "day": 2}
     keys = [F.lpad(F.col(k).cast("string"), w, "0").alias(k) for k, w in widths.items() if k in have]
-    return df.select(*columns, *keys)
+    return df.select(*columns, *keys, *extra)
+
+
+def read_files(spark: SparkSession, root: str, paths: list[str], extra: Sequence[str] = ()) -> DataFrame:
+    """Some files of the lake as one canonical frame, one scan per distinct schema; ``extra`` names more columns."""
+    base = f"{root.rstrip('/')}/{FOLDER}"
+    units: dict[str, list[str]] = {}
+    for row in _file_schemas(spark, *paths).collect():  # the files that were asked for
+        units.setdefault(row.schema, []).append(row.path)
+    scans = [spark.read.option("basePath", base).parquet(*sorted(u)) for _, u in sorted(units.items())]
+    return reduce(DataFrame.unionByName, [_as_canonical(s, extra) for s in scans])
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:

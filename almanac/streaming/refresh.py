@@ -1,98 +1,143 @@
 """Incremental refresh of the model tables from newly arrived bronze files.
 
-Model tables are stored by a hash bucket of the station. Every micro-batch names the buckets it
-touches; those are rebuilt from the lake's whole history, so corrections of any age count and a
-repeated batch gives the same tables.
+Latest-wins is associative, so arrived rows are merged into the stored silver rows of the months they belong to, and
+corrections of any age count. What follows from a changed silver row is rewritten and nothing else: the months whose
+frames reach back to it, the months that share its month of the year (their seasonal figures), its days' events, and
+the monthly table, which has one row per station and month. A repeated batch gives the same tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from almanac.operators.checks import check_not_null
+from almanac.operators.frames import lookback_of
+from almanac.operators.validity import valid_only
 from almanac.plans import models
-from almanac.plans.features import feature_store
-from almanac.plans.marts import extreme_events_daily, monthly_climate_delta
-from almanac.plans.silver import clean
+from almanac.plans.features import LAGS, ROLLING_7D, ROLLING_24H, feature_store
+from almanac.plans.marts import climate_changes, extreme_events_daily, monthly_climate
+from almanac.plans.silver import COLUMNS, KEYS, clean, newest
+from almanac.session import materialise
+from almanac.sources import bronze, tables
 
-BUCKET = "station_bucket"
+REACH = lookback_of(ROLLING_24H + ROLLING_7D, LAGS)
 
 
-def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(F.col("city_id").cast("int")), F.lit(buckets)).cast("int"))
+def _months(df: DataFrame, column: str = "month") -> list[str]:
+    """Distinct months: as many as the table has folders, at most."""
+    return sorted(r[0] for r in df.select(column).distinct().collect())
 
 
-def _replace_buckets(df: DataFrame, root: str, name: str, touched: list[int], buckets: int) -> None:
-    """Overwrite the touched bucket folders.
-
-    Each also gets one row without a station, which readers skip: a bucket that lost all its rows
-    is thereby overwritten too.
-    """
-    marks = df.sparkSession.createDataFrame([(b,) for b in touched], f"{BUCKET} int")
-    (
-        with_bucket(df, buckets)
-        .hint("rebalance", BUCKET)
-        .unionByName(marks, allowMissingColumns=True)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(f"{root.rstrip('/')}/{name}")
-    )
-
-
-def _touched_slice(spark: SparkSession, root: str, name: str, touched: list[int], schema) -> DataFrame:
-    stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    table = spark.read.schema(stored).parquet(f"{root.rstrip('/')}/{name}")
-    return table.filter(F.col(BUCKET).isin(touched) & F.col("city_id").isNotNull()).drop(BUCKET)
-
-
-def rebuild_stations(
-    arrived: DataFrame, history: Callable[[], DataFrame], root: str, tiebreak=(), buckets: int = 64
-) -> None:
-    """Rebuild all model rows of the stations in ``arrived`` from ``history``."""
+def _merge_silver(arrived: DataFrame, root: str, tiebreak: Sequence[str]) -> tuple[list[str], DataFrame]:
+    """Merge arrived rows into their months; returns the months and the station-months whose rows may have changed."""
+    spark = arrived.sparkSession
+    fresh = materialise(clean(arrived, tiebreak, keep=tiebreak), "arrived")
+    touched = fresh.select("city_id", tables.month_of(models.DAY).alias("month")).distinct()
+    months = _months(touched)
+    if months:
+        stored = tables.month_rows(spark, root, models.SILVER, months)
+        merged = materialise(newest(stored.unionByName(fresh), tiebreak), "silver")
+        check_not_null(merged, KEYS)
+        tables.replace_months(merged, root, models.SILVER, models.DAY, months)
+    return months, touched
+
+
+def _new_counts(spark: SparkSession, root: str, months: list[str]) -> DataFrame:
+    """Valid rows per station and month, the given months counted anew, stored."""
+    silver = tables.month_rows(spark, root, models.SILVER, months)
+    before = tables.read_table(spark, root, models.COUNTS).filter(~F.col("month").isin(months))
+    counts = materialise(before.unionByName(models.valid_counts(silver)), "counts")
+    return tables.write_table(counts, root, models.COUNTS)
+
+
+def _reached(counts: DataFrame, touched: DataFrame) -> list[str]:
+    """Months of a touched station that lie fewer than REACH valid rows behind the touched one, and that one."""
+    month = touched.select("city_id", F.col("month").alias("from_month"))
+    later = counts.join(month, "city_id").filter("month >= from_month")
+    order = Window.partitionBy("city_id", "from_month").orderBy("month")
+    between = F.sum(F.when(F.col("month") > F.col("from_month"), F.col("n")).otherwise(0)).over(order) - F.when(
+        F.col("month") > F.col("from_month"), F.col("n")
+    ).otherwise(0)
+    return _months(later.withColumn("between", between).filter(F.col("between") <= REACH))
+
+
+def _needed(counts: DataFrame, months: list[str]) -> list[str]:
+    """The given months and those before them that hold the REACH valid rows before any station's first row there."""
+    there = counts.filter(F.col("month").isin(months)).select("city_id", F.col("month").alias("to_month"))
+    earlier = counts.join(there, "city_id").filter("month < to_month")
+    order = Window.partitionBy("city_id", "to_month").orderBy(F.col("month").desc())
+    between = F.sum("n").over(order) - F.col("n")
+    return sorted({*months, *_months(earlier.withColumn("between", between).filter(F.col("between") < REACH))})
+
+
+def _same_season(counts: DataFrame, months: list[str]) -> list[str]:
+    """All months with the month of the year of any given one."""
+    return _months(counts.filter(F.substring("month", 6, 2).isin(sorted({m[5:] for m in months}))))
+
+
+def refresh_rows(arrived: DataFrame, root: str, tiebreak: Sequence[str] = ()) -> None:
+    """Bring the tables below ``root`` up to date with arrived raw rows; the first call builds them."""
     spark = arrived.sparkSession
-    present = with_bucket(arrived.filter(F.col("city_id").isNotNull()), buckets)
-    touched = sorted(r[0] for r in present.select(BUCKET).distinct().collect())  # at most ``buckets``
-    if not touched:
+    if not tables.exists(spark, root, models.COUNTS):  # the last table that a full build writes
+        models.build_models(arrived, root, tiebreak)
         return
-    raw = with_bucket(history(), buckets).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    silver = clean(raw, tiebreak)
-    _replace_buckets(silver, root, models.SILVER, touched, buckets)
-    silver = _touched_slice(spark, root, models.SILVER, touched, silver.schema)
-    features = feature_store(silver)
-    _replace_buckets(features, root, models.FEATURES, touched, buckets)
-    features = _touched_slice(spark, root, models.FEATURES, touched, features.schema)
-    _replace_buckets(extreme_events_daily(features), root, models.EVENTS, touched, buckets)
-    _replace_buckets(monthly_climate_delta(silver), root, models.MONTHLY, touched, buckets)
+    months, touched = _merge_silver(arrived, root, tiebreak)
+    if not months:
+        return
+    counts = _new_counts(spark, root, months)
+    # months that lost all their valid rows are not in the counts, but must be emptied
+    rewritten = sorted({*months, *_reached(counts, touched), *_same_season(counts, months)})
+    seasonal = tables.month_rows(spark, root, models.SILVER, _same_season(counts, rewritten)).select(*COLUMNS)
+    series = tables.month_rows(spark, root, models.SILVER, _needed(counts, rewritten)).select(*COLUMNS)
+    made = feature_store(series, seasonal=valid_only(seasonal))
+    features = materialise(made.filter(tables.month_of(models.DAY).isin(rewritten)), "features")
+    tables.replace_months(features, root, models.FEATURES, models.DAY, rewritten)
+    events = materialise(extreme_events_daily(features), "events")
+    tables.replace_months(events, root, models.EVENTS, models.DAY, rewritten, ["city_id", models.DAY])
+
+    stored = tables.read_table(spark, root, models.MONTHLY)
+    others = stored.filter(~F.date_format("observed_month", "yyyy-MM").isin(months))
+    anew = monthly_climate(tables.month_rows(spark, root, models.SILVER, months))
+    monthly = climate_changes(others.select(*anew.columns).unionByName(anew))
+    tables.write_table(materialise(monthly, "monthly"), root, models.MONTHLY)
 
 
 def refresh_arrived(
-    arriving: DataFrame,
-    history: Callable[[], DataFrame],
+    spark: SparkSession,
+    lake: str,
     root: str,
     checkpoint: str,
-    tiebreak=(),
-    buckets: int = 64,
+    tiebreak: Sequence[str] = (),
+    files: int = 1000,
+    read: Callable[[SparkSession, str, list[str]], DataFrame] = bronze.read_files,
 ) -> None:
-    """Take in everything that has arrived since the last call, then stop.
+    """Take in every file that has arrived below ``lake`` since the last call, then stop.
 
-    ``arriving`` is a streaming frame of raw rows, ``history`` reads the lake afresh.
+    The stream carries file names only, at most ``files`` at a time; the files may be of any writer, as each is read
+    with its own types.
     """
 
-    def rebuild(batch: DataFrame, batch_id: int) -> None:
-        rebuild_stations(batch, history, root, tiebreak, buckets)
-
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        paths = sorted(r.path for r in batch.collect())  # at most ``files``
+        if paths:
+            refresh_rows(read(spark, lake, paths), root, tiebreak)
+
+    names = (
+        spark.readStream.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .option("maxFilesPerTrigger", files)
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .load(f"{lake.rstrip('/')}/{bronze.FOLDER}")
+        .select("path")
+    )
     query = (
-        arriving.writeStream.foreachBatch(rebuild)
+        names.writeStream.foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-
-
-def read_model(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}").filter("city_id is not null").drop(BUCKET)

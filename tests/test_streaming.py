@@ -1,7 +1,12 @@
+from datetime import date
+
+import pytest
 from conftest import hourly
+from pyspark.sql import functions as F
 
-from almanac.plans import models
+from almanac.plans import models, reports
 from almanac.plans.models import build_models
+from almanac.sources import bronze, tables
 from almanac.streaming import refresh, windows
 
 
@@ -9,44 +14,90 @@ def as_set(df):
     return sorted(map(str, df.collect()))
 
 
+LATER = "2026-02-01T00:00:00+00:00"
+
+
+def compare(spark, root, full):
+    built = models.load_models(spark, root)
+    for name in ("silver", "features", "events", "monthly"):
+        got, want = getattr(built, name), getattr(full, name)
+        assert got.columns == want.columns
+        digits = [F.round(c, 9).alias(c) if dict(got.dtypes)[c] == "double" else F.col(c) for c in got.columns]
+        assert as_set(got.select(*digits)) == as_set(want.select(*digits)), name
+
+
 def test_refresh_equals_full_rebuild(spark, raw_rows, tmp_path):
-    """Late corrections included, one of which removes a station's only event."""
-    folder, root, log = (str(tmp_path / n) for n in ("arrivals", "models", "log"))
+    """Old corrections included, one of which removes a station's only event; files of other types, too."""
+    lake, root, log = (str(tmp_path / n) for n in ("lake", "models", "log"))
     wet = {3: "60"}
+    year = hourly(24 * 3, start=28 * 24 * 11, city_id=2, ingested_at=LATER)  # December
     loads = [
-        hourly(30, rain=lambda i: wet.get(i, "0"), city_id=1) + hourly(30, rain=lambda i: wet.get(i, "0"), city_id=2),
+        hourly(700, rain=lambda i: wet.get(i, "0"), city_id=1) + hourly(30, rain=lambda i: wet.get(i, "0"), city_id=2),
         [{"timestamp": "2025-01-01T03:00", "rain": "1", "city_id": 2, "ingested_at": "2025-03-01T00:00:00+00:00"}],
-        hourly(10, start=30, city_id=3),
+        hourly(10, start=700, city_id=3) + year,
+        [{"timestamp": "2024-12-31T23:00", "temperature": "99", "city_id": 1}],
+        [{"timestamp": "2024-12-31T23:00", "temperature": "9", "city_id": 1, "ingested_at": "2025-03-01T00:00:00+00:00"}],
     ]
-    schema = raw_rows({}).schema
-
-    def history():
-        return spark.read.schema(schema).parquet(folder)
-
-    counts = []
-    for load in loads:
-        raw_rows(*load).write.mode("append").parquet(folder)
-        arriving = spark.readStream.schema(schema).parquet(folder)
-        refresh.refresh_arrived(arriving, history, root, log, ["seq"], buckets=16)
-        counts.append(refresh.read_model(spark, root, models.EVENTS).count())
-    assert counts == [2, 1, 1]
-    full = build_models(history(), str(tmp_path / "full"), ["seq"])
-    for name, df in (
-        (models.SILVER, full.silver),
-        (models.FEATURES, full.features),
-        (models.EVENTS, full.events),
-        (models.MONTHLY, full.monthly),
-    ):
-        got = refresh.read_model(spark, root, name)
-        assert got.columns == df.columns
-        assert as_set(got) == as_set(df)
-
-
-def test_rebuilding_twice_changes_nothing(spark, raw_rows, tmp_path):
+    everything, events = [], []
+    for n, load in enumerate(loads):
+        rows = raw_rows(*load)
+        if n == 2:
+            rows = rows.withColumn("city_id", F.col("city_id").cast("long"))
+        rows.drop("source").write.parquet(f"{lake}/{bronze.FOLDER}/source=s{n}")
+        everything += load
+        refresh.refresh_arrived(spark, lake, root, log)
+        events.append(models.load_models(spark, root).events.count())
+    assert events[:3] == [2, 1, 1]
+    full = build_models(bronze.read_bronze(spark, lake), str(tmp_path / "full"))
+    compare(spark, root, full)
+
+
+def test_a_load_rewrites_only_what_it_touches(spark, raw_rows, tmp_path):
+    root = tmp_path / "models"
+    rows = [r for m in range(1, 8) for r in hourly(200, start=28 * 24 * (m - 1), ingested_at=LATER)]
+    models.build_models(raw_rows(*rows), str(root))
+    spot = lambda name: {p.parent.name: p.name for p in (root / name).glob("v-*/*/*.parquet")}
+    before = {n: spot(n) for n in (models.SILVER, models.FEATURES)}
+    late = {"timestamp": "2025-03-02T05:30", "rain": "70", "ingested_at": LATER}
+    refresh.refresh_rows(raw_rows(late), str(root))
+    after = {n: spot(n) for n in before}
+    changed = lambda n: sorted(m for m in after[n] if before[n].get(m) != after[n][m])
+    assert changed(models.SILVER) == ["stored_month=2025-03"]
+    assert changed(models.FEATURES) == ["stored_month=2025-03", "stored_month=2025-04"]  # frames reach the next month
+    full = build_models(raw_rows(*rows, late), str(tmp_path / "full"))
+    compare(spark, str(root), full)
+
+
+def test_refreshing_twice_changes_nothing(spark, raw_rows, tmp_path):
     raw = raw_rows(*hourly(30, rain="55"))
     for _ in range(2):
-        refresh.rebuild_stations(raw, lambda: raw, str(tmp_path), ["seq"])
-    assert refresh.read_model(spark, str(tmp_path), models.SILVER).count() == 30
+        refresh.refresh_rows(raw, str(tmp_path), ["seq"])
+    assert models.load_models(spark, str(tmp_path)).silver.count() == 30
+    refresh.refresh_rows(raw.limit(0), str(tmp_path), ["seq"])
+    assert models.load_models(spark, str(tmp_path)).silver.count() == 30
+
+
+def test_stored_selection_reads_wanted_months_only(spark, raw_rows, tmp_path):
+    rows = [r for m in range(1, 5) for r in hourly(48, start=28 * 24 * (m - 1), ingested_at=LATER)]
+    built = models.build_models(raw_rows(*rows), str(tmp_path))
+    period = reports.Selection(date(2025, 2, 1), date(2025, 2, 20))
+    stored = reports.stored_selection(spark, str(tmp_path), period)
+    assert as_set(stored) == as_set(reports.selected(reports.observations(built.features), period))
+    plan = stored._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "PartitionFilters: [isnotnull(stored_month" in plan
+
+
+def test_failed_write_keeps_the_table(spark, tmp_path):
+    good = spark.range(3).withColumn("observed_date", F.lit("2025-01-01").cast("date"))
+    tables.write_table(good, str(tmp_path), "t", "observed_date", ["id"])
+    bad = good.withColumn("id", F.when(F.col("id") > 5, F.raise_error(F.lit("broken"))).otherwise(F.raise_error(F.lit("x"))).cast("long"))
+    with pytest.raises(Exception, match="x"):
+        tables.write_table(bad, str(tmp_path), "t", "observed_date", ["id"])
+    assert tables.read_table(spark, str(tmp_path), "t").count() == 3
+    tables.write_table(good.limit(0), str(tmp_path), "t", "observed_date", ["id"])
+    assert tables.read_table(spark, str(tmp_path), "t").count() == 0
 
 
 def test_streams_hold_back_open_windows(spark, tmp_path):

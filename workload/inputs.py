@@ -24,11 +24,21 @@ def _quarter(value: Column) -> Column:
     return F.floor(value).cast("double") * F.lit(0.25)
 
 
-def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-like rows from ``events``: bad numbers, missing keys, copies, late and early arrivals."""
-    events = table(spark, sf_dir, "events").selectExpr(
+SPREAD_USERS, SPREAD_MONTHS = 5, 15  # for more stations, over more than a year
+
+
+def raw_observations(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Bronze-like rows from ``events``: bad numbers, missing keys, copies, late and early arrivals.
+
+    ``spread`` deals them over more stations and months.
+    """
+    users = SPREAD_USERS if spread else STATION_USERS
+    events = table(spark, sf_dir, "events")
+    if spread:
+        events = events.withColumn("ts", F.expr(f"ts + make_ym_interval(0, int(event_id % {SPREAD_MONTHS}))"))
+    events = events.selectExpr(
         "*",
-        f"int(user_id div {STATION_USERS}) AS station",
+        f"int(user_id div {users}) AS station",
         "int(get_json_object(props, '$.k')) AS k",
         "double(floor(value)) AS whole",
     )

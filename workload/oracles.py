@@ -396,6 +396,40 @@ LAKE_SILVER = SILVER.replace(
     ),
 )
 
+MONTHS = """,
+months AS (
+    SELECT city_id, city_name, CAST(date_trunc('month', timestamp_utc) AS TIMESTAMP) AS observed_month,
+           avg(temperature_c) AS t, avg(humidity_pct) AS h, sum(rain_mm) AS total_rain_mm
+    FROM silver WHERE NOT is_quality_anomaly GROUP BY ALL
+)"""
+
+
+def spread(ctes: str) -> str:
+    """The same over more stations and months."""
+    shifted = "(SELECT * REPLACE (ts + to_months(CAST(event_id % 15 AS INTEGER)) AS ts) FROM events)"
+    return ctes.replace("user_id // 15", "user_id // 5").replace("FROM events", f"FROM {shifted}")
+
+
+def model_rows(silver: str) -> str:
+    """All four model tables, from the given silver rows."""
+    return with_(
+        DAYS.replace(SILVER, silver) + MONTHS,
+        """
+SELECT 'silver' AS model, city_id, timestamp_utc AS "at", round(temperature_c, 6) AS a, round(humidity_pct, 6) AS b,
+       round(rain_mm, 6) AS c, round(wind_speed_ms, 6) AS d FROM silver
+UNION ALL
+SELECT 'features', city_id, timestamp_utc, round(temp_lag_2h, 6), round(rolling_avg_temp_7d, 6),
+       round(rolling_std_wind_7d, 6), round(rain_city_month_hour_zscore, 6) FROM features
+UNION ALL
+SELECT 'events', city_id, CAST(observed_date AS TIMESTAMP), extreme_event_count, high_wind_count,
+       round(max_temperature_c, 6), round(total_rain_mm, 6) FROM days
+UNION ALL
+SELECT 'monthly', city_id, observed_month, round(t, 6), round(t - lag(t, 12) OVER s, 6),
+       round(h - lag(h, 12) OVER s, 6), round(total_rain_mm, 6)
+FROM months WINDOW s AS (PARTITION BY city_id ORDER BY observed_month)""",
+    )
+
+
 ORACLES: dict[str, str] = {
     "silver_clean": with_(SILVER, "SELECT * FROM silver"),
     "quality_counts": with_(SILVER, _rule_counts()),
@@ -604,12 +638,29 @@ SELECT {BRONZE_COLUMNS}, CASE WHEN source = 'openweather' THEN weather_condition
        '2024' AS "year", '02' AS "month", CASE WHEN source = 'openweather' THEN '03' ELSE '02' END AS "day"
 FROM raw""",
     ),
-    "refreshed_models": with_(
-        LAKE_SILVER,
+    "refreshed_models": model_rows(LAKE_SILVER),
+    "incremental_tables": model_rows(spread(SILVER)),
+    "monthly_climate_years": with_(
+        spread(SILVER) + MONTHS,
         """
-SELECT 'silver' AS model, observed_date AS day, count(*) AS n FROM silver GROUP BY observed_date
-UNION ALL
-SELECT 'features', observed_date, count(*) FROM silver WHERE NOT is_quality_anomaly GROUP BY observed_date""",
+SELECT city_id, city_name, observed_month, t AS avg_temp_c, t - lag(t, 12) OVER s AS temp_delta_yoy_c,
+       h AS avg_humidity_pct, h - lag(h, 12) OVER s AS humidity_delta_yoy_pct, total_rain_mm
+FROM months WINDOW s AS (PARTITION BY city_id ORDER BY observed_month)""",
+    ),
+    "rank_many_cities": with_(
+        spread(FEATURES),
+        """
+SELECT city_name, sum(rain_mm) AS total_rain_mm FROM features GROUP BY city_name
+ORDER BY total_rain_mm DESC, city_name LIMIT 10""",
+    ),
+    "event_totals_many_cities": with_(
+        spread(DAYS),
+        """
+SELECT city_name, CAST(sum(extreme_event_count) AS BIGINT) AS extreme_event_count,
+       CAST(sum(sudden_temp_jump_count) AS BIGINT) AS sudden_temp_jump_count,
+       CAST(sum(high_wind_count) AS BIGINT) AS high_wind_count,
+       CAST(sum(heavy_rain_count) AS BIGINT) AS heavy_rain_count
+FROM days GROUP BY city_name ORDER BY extreme_event_count DESC, city_name LIMIT 12""",
     ),
     "exact_quantiles": """
 SELECT 'l_extendedprice' AS column_name, CAST(0.5 AS DOUBLE) AS quantile, quantile_cont(l_extendedprice, 0.5) AS value FROM lineitem

@@ -6,6 +6,7 @@ Deviations, variances and sines are rounded, as engines add numbers in different
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -379,21 +380,47 @@ def bronze_mixed_types(spark, sf_dir):
     return bronze.read_bronze(spark, root).select(*columns, "year", "month", "day")
 
 
+def _model_rows(built: models.Models) -> DataFrame:
+    """The rows of all four tables under each other: key, time, and four of their numbers."""
+    chosen = {
+        "silver": (built.silver, "timestamp_utc", ["temperature_c", "humidity_pct", "rain_mm", "wind_speed_ms"]),
+        "features": (
+            built.features,
+            "timestamp_utc",
+            ["temp_lag_2h", "rolling_avg_temp_7d", "rolling_std_wind_7d", "rain_city_month_hour_zscore"],
+        ),
+        "events": (
+            built.events,
+            "observed_date",
+            ["extreme_event_count", "high_wind_count", "max_temperature_c", "total_rain_mm"],
+        ),
+        "monthly": (
+            built.monthly,
+            "observed_month",
+            ["avg_temp_c", "temp_delta_yoy_c", "humidity_delta_yoy_pct", "total_rain_mm"],
+        ),
+    }
+    parts = [
+        df.select(
+            F.lit(name).alias("model"),
+            "city_id",
+            F.col(time).cast("timestamp_ntz").alias("at"),
+            *[F.round(F.col(c).cast("double"), 6).alias(n) for c, n in zip(columns, "abcd", strict=True)],
+        )
+        for name, (df, time, columns) in chosen.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query
 def refreshed_models(spark, sf_dir):
-    """Lake to model tables, stored and read back; the rows of every table by day or month."""
+    """Lake to model tables, stored and read back."""
     lake, root = shared_dir(spark, "lake"), shared_dir(spark, "models")
     raw = inputs.raw_observations(spark, sf_dir)
     for source in ("open_meteo", "openweather"):
         bronze.write_bronze(_observations_of(raw, source), lake, source, BATCH)
     models.refresh_from_lake(spark, lake, root)
-    built = models.load_models(spark, root)
-    tables = {"silver": (built.silver, "observed_date"), "features": (built.features, "observed_date")}
-    counts = [
-        df.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("n")).withColumn("model", F.lit(name))
-        for name, (df, day) in tables.items()
-    ]
-    return counts[0].unionByName(counts[1]).select("model", "day", "n")
+    return _model_rows(models.load_models(spark, root))
 
 
 # Anomaly model
@@ -508,20 +535,57 @@ def _arriving(spark, folder, schema, files=1):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
+def _refreshed(spark, raw: DataFrame, loads: list) -> models.Models:
+    """Raw rows arrive in a lake in several loads, with whole numbers as long integers in the last one."""
+    lake, root, log = (shared_dir(spark, n) for n in ("lake", "models", "checkpoint"))
+    read = partial(bronze.read_files, extra=["ingest_seq"])
+    for i, part in enumerate(loads):
+        rows = raw.filter(part)
+        if i == len(loads) - 1:
+            rows = rows.withColumns({c: F.col(c).cast("long") for c in ("city_id", "humidity", "pressure")})
+        rows.write.mode("append").partitionBy("source").parquet(f"{lake}/{bronze.FOLDER}")
+        refresh.refresh_arrived(spark, lake, root, log, ["ingest_seq"], read=read)
+    return models.load_models(spark, root)
+
+
 @query
 def incremental_refresh(spark, sf_dir):
-    """Raw rows arrive in two loads; touched stations are rebuilt each time."""
-    folder, root, log = (shared_dir(spark, n) for n in ("arrivals", "models", "checkpoint"))
+    """Events after two loads."""
     raw = inputs.raw_observations(spark, sf_dir)
+    return _refreshed(spark, raw, [F.expr("ingest_seq % 2 = 0"), F.expr("ingest_seq % 2 = 1")]).events
+
+
+@query
+def incremental_tables(spark, sf_dir):
+    """All tables after three loads over more than a year; the last has corrections and new rows of two months only."""
+    raw = inputs.raw_observations(spark, sf_dir, spread=True)
+    late = F.expr("ingest_seq % 15 in (4, 9) and ingest_seq % 4 = 1")
+    first = F.expr("ingest_seq % 15 < 8")
+    return _model_rows(_refreshed(spark, raw, [first & ~late, ~first & ~late, late]))
 
-    def history():
-        return spark.read.schema(raw.schema).parquet(folder)
 
-    for part in (0, 1):
-        raw.filter(F.col("ingest_seq") % 2 == part).write.mode("append").parquet(folder)
-        arriving = _arriving(spark, folder, raw.schema, files=1000)
-        refresh.refresh_arrived(arriving, history, root, log, ["ingest_seq"], buckets=8)
-    return refresh.read_model(spark, root, models.EVENTS)
+@query
+def monthly_climate_years(spark, sf_dir):
+    """Monthly change over more than twelve months."""
+    raw = inputs.raw_observations(spark, sf_dir, spread=True)
+    return marts.monthly_climate_delta(silver.clean(raw, tiebreak=["ingest_seq"]))
+
+
+def _many_cities(spark, sf_dir):
+    clean = materialise(silver.clean(inputs.raw_observations(spark, sf_dir, spread=True), ["ingest_seq"]), "silver")
+    return features.feature_store(clean)
+
+
+@query
+def rank_many_cities(spark, sf_dir):
+    """The ten wettest of more than ten cities."""
+    return reports.top_cities(reports.observations(_many_cities(spark, sf_dir)), "total_rain_mm")
+
+
+@query
+def event_totals_many_cities(spark, sf_dir):
+    """The twelve cities with the most events, of more than twelve."""
+    return reports.event_totals(marts.extreme_events_daily(_many_cities(spark, sf_dir)))
 
 
 def _written_by_day(rows: DataFrame, folder: str, time: str) -> DataFrame:
