@@ -17,8 +17,8 @@ from almanac.operators.series import (
 )
 
 # A sliding frame is evaluated afresh for every row, so its cost grows with its length. Frames
-# longer than this are put together from shorter ones. (A week is seven of the day's frames, which
-# are then evaluated once for both.)
+# longer than this are put together from shorter ones: equal blocks, and a shorter one in front where the length
+# asks for it. (A week is seven of the day's frames, which are then evaluated once for both.)
 LONGEST_DIRECT = 24
 
 
@@ -35,12 +35,15 @@ class Rolling:
     rows: int
 
     @property
-    def block(self) -> int:
-        """The frame length that is evaluated directly; ``rows`` is a multiple of it."""
+    def blocks(self) -> list[tuple[int, int]]:
+        """(length, back) of the blocks that make up the frame: each ends ``back`` rows before the current row."""
         if self.rows <= LONGEST_DIRECT:
-            return self.rows
-        fits = [b for b in range(2, LONGEST_DIRECT + 1) if self.rows % b == 0]
-        return max(fits, default=self.rows)
+            return [(self.rows, 0)]
+        fits = [b for b in range(LONGEST_DIRECT // 2, LONGEST_DIRECT + 1) if self.rows % b == 0]
+        length = max(fits, default=LONGEST_DIRECT)
+        rest = self.rows % length
+        whole = [(length, back) for back in range(0, self.rows - rest, length)]
+        return whole + ([(rest, self.rows - rest)] if rest else [])
 
     @property
     def statistics(self) -> list[str]:
@@ -49,19 +52,19 @@ class Rolling:
         return ["n", "sum", "m2"] if self.fn in ("var", "std") else ["n", "sum"]
 
     @property
-    def backs(self) -> range:
-        return range(0, self.rows, self.block)
+    def lengths(self) -> list[int]:
+        return sorted({length for length, _ in self.blocks})
 
-    def block_column(self, what: str, back: int | None = None) -> str:
+    def block_column(self, what: str, length: int, back: int | None = None) -> str:
         """Column with a statistic of the block that ends ``back`` rows before the current one."""
         end = "" if back is None else f"_{back}"
-        return f"`_{what}_{self.column}_{self.block}{end}`"
+        return f"`_{what}_{self.column}_{length}{end}`"
 
     def frame_column(self, what: str) -> str:
         return f"`_{what}_{self.column}_all{self.rows}`"
 
     def parts(self, what: str) -> list[str]:
-        return [self.block_column(what, back) for back in self.backs]
+        return [self.block_column(what, *block) for block in self.blocks]
 
 
 @dataclass(frozen=True)
@@ -77,29 +80,30 @@ def lookback_of(rolling: Sequence[Rolling], lags: Sequence[Lag]) -> int:
 
 def _block_statistics(r: Rolling, ordered: str) -> dict[str, str]:
     calls = {"n": "count", "sum": "sum", "m2": "var_pop", "min": "min", "max": "max"}
-    frame = f"{ordered} ROWS BETWEEN {r.block - 1} PRECEDING AND CURRENT ROW"
-    return {r.block_column(s): f"{calls[s]}(`{r.column}`) OVER ({frame})" for s in r.statistics}
+    return {
+        r.block_column(s, n): f"{calls[s]}(`{r.column}`) OVER ({ordered} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        for n in r.lengths
+        for s in r.statistics
+    }
 
 
 def _mergeable(r: Rolling) -> dict[str, str]:
     """The block statistics as numbers that add up: squared deviations, and 0 for no rows."""
-    n = f"double({r.block_column('n')})"
-    values = {
-        "n": n,
-        "sum": f"coalesce({r.block_column('sum')}, 0D)",
-        "m2": f"coalesce({r.block_column('m2')} * {n}, 0D)",
-        "min": r.block_column("min"),
-        "max": r.block_column("max"),
-    }
-    return {r.block_column(s, 0): values[s] for s in r.statistics}
+
+    def value(s: str, length: int) -> str:
+        n, own = f"double({r.block_column('n', length)})", r.block_column(s, length)
+        return {"n": n, "sum": f"coalesce({own}, 0D)", "m2": f"coalesce({own} * {n}, 0D)"}.get(s, own)
+
+    return {r.block_column(s, n, 0): value(s, n) for n in r.lengths for s in r.statistics}
 
 
 def _earlier_blocks(r: Rolling, ordered: str) -> dict[str, str]:
     columns = {}
     for s in r.statistics:
         default = "NULL" if s in ("min", "max") else "0D"
-        for back in r.backs[1:]:
-            columns[r.block_column(s, back)] = f"lag({r.block_column(s, 0)}, {back}, {default}) OVER ({ordered})"
+        for length, back in r.blocks[1:]:
+            earlier = f"lag({r.block_column(s, length, 0)}, {back}, {default}) OVER ({ordered})"
+            columns[r.block_column(s, length, back)] = earlier
     return columns
 
 
@@ -116,8 +120,8 @@ def _totals(r: Rolling) -> dict[str, str]:
 
 def _squares(r: Rolling) -> str:
     """Squared deviations of the whole frame: those within its blocks and those between them."""
-    if len(r.backs) == 1:
-        return r.block_column("m2", 0)
+    if len(r.blocks) == 1:
+        return r.block_column("m2", *r.blocks[0])
     between = [
         f"{n} * pow({total} / greatest({n}, 1D) - {r.frame_column('mean')}, 2D)"
         for n, total in zip(r.parts("n"), r.parts("sum"), strict=True)

@@ -17,6 +17,7 @@ from almanac.sources.tables import read_table, write_table
 
 ROW_KEY = ("city_id", "timestamp_utc")
 CONTAMINATION = 0.03
+SCORE = "anomaly_score"
 
 STATS_SCHEMA = "position int, feature string, median double, mean double, std double"
 META_SCHEMA = "trees int, sample int, seed int, per_tree int, rows long, contamination double, offset double"
@@ -29,6 +30,7 @@ class AnomalyModel:
     stats: DataFrame
     nodes: DataFrame
     meta: DataFrame
+    raw: DataFrame | None = None  # the rows of the fit with their scores before the offset, if they were kept
 
 
 def impute_scale_stats(df: DataFrame, features: Sequence[str]) -> list[tuple]:
@@ -70,10 +72,12 @@ def fit_anomaly(
     key: Sequence[str] = ROW_KEY,
     contamination: float = CONTAMINATION,
     size: ForestSize = ForestSize(),
+    keep_scores: bool = False,
 ) -> AnomalyModel:
     """Fit on all rows of ``df``, a stored table: it is read once per fitting step.
 
-    The rows' key must be unique. The model tables are stored before they are used.
+    The rows' key must be unique. The model tables are stored before they are used. The offset needs every row's
+    score; with ``keep_scores`` the rows are stored with it, and ``scored_in_fit`` need not score them again.
     """
     require_columns(df, features, "Missing feature columns; rebuild the feature store before training")
     spark = df.sparkSession
@@ -86,12 +90,16 @@ def fit_anomaly(
     samples = tree_samples(prepared, key, n_rows, size, ["_x"])
     nodes = materialise(grow_trees(samples, "_x", [s[4] for s in stats], size, per_tree), "nodes")
 
-    scores = with_path_score(df.select(*features), nodes, inputs, size, per_tree, "score").select("score")
-    scores = materialise(scores, "scores")
-    offset = exact_quantiles(scores, {"score": contamination})["score"]
+    rows = df if keep_scores else df.select(*features)
+    scores = with_path_score(rows, nodes, inputs, size, per_tree, SCORE)
+    scores = materialise(scores if keep_scores else scores.select(SCORE), "scores")
+    offset = exact_quantiles(scores, {SCORE: contamination})[SCORE]
     meta = [(size.trees, size.sample, size.seed, per_tree, n_rows, contamination, offset)]
     return AnomalyModel(
-        spark.createDataFrame(stats, STATS_SCHEMA), nodes, spark.createDataFrame(meta, META_SCHEMA)
+        spark.createDataFrame(stats, STATS_SCHEMA),
+        nodes,
+        spark.createDataFrame(meta, META_SCHEMA),
+        scores if keep_scores else None,
     )
 
 
@@ -111,9 +119,19 @@ def score_anomaly(df: DataFrame, model: AnomalyModel) -> DataFrame:
     meta = model.meta.first()
     require_columns(df, [s[1] for s in stats], "Missing feature columns; rebuild the features and retrain before scoring")
     size = ForestSize(meta.trees, meta.sample, meta.seed)
-    raw = with_path_score(df, model.nodes, imputed_inputs(stats), size, meta.per_tree, "anomaly_score")
-    scored = raw.withColumn("anomaly_score", F.col("anomaly_score") - F.lit(meta.offset))
-    return scored.withColumn("is_anomaly", F.col("anomaly_score") < 0)
+    return _flagged(with_path_score(df, model.nodes, imputed_inputs(stats), size, meta.per_tree, SCORE), meta.offset)
+
+
+def _flagged(raw: DataFrame, offset: float) -> DataFrame:
+    scored = raw.withColumn(SCORE, F.col(SCORE) - F.lit(offset))
+    return scored.withColumn("is_anomaly", F.col(SCORE) < 0)
+
+
+def scored_in_fit(model: AnomalyModel) -> DataFrame:
+    """The rows that the model was fitted on, scored and flagged, from the scores of the fit."""
+    if model.raw is None:
+        raise ValueError("fit with keep_scores to read the scores of the fit")
+    return _flagged(model.raw, model.meta.first().offset)
 
 
 SCORED = "weather_anomalies"
@@ -122,3 +140,8 @@ SCORED = "weather_anomalies"
 def store_scores(df: DataFrame, model: AnomalyModel, root: str) -> DataFrame:
     """Replace the table of scored rows and return it as stored."""
     return write_table(score_anomaly(df, model), root, SCORED)
+
+
+def store_scores_of_fit(model: AnomalyModel, root: str) -> DataFrame:
+    """The same for the rows of the fit, without scoring them again."""
+    return write_table(scored_in_fit(model), root, SCORED)

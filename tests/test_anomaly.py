@@ -74,6 +74,30 @@ def test_outliers_and_share(points, model):
     assert all(-1 < r.anomaly_score + offset < 0 for r in rows)
 
 
+def test_scores_of_the_fit(points, model):
+    kept = anomaly.fit_anomaly(points, FEATURES, ["id"], size=SIZE, keep_scores=True)
+    columns = ["id", "anomaly_score", "is_anomaly"]
+    want = anomaly.score_anomaly(points, model).select(columns).orderBy("id").collect()
+    assert anomaly.scored_in_fit(kept).select(columns).orderBy("id").collect() == want
+    with pytest.raises(ValueError, match="keep_scores"):
+        anomaly.scored_in_fit(model)
+
+
+def test_depth_follows_the_rows(spark):
+    df = materialise(spark.range(100).selectExpr("id", "double(id * 7 % 31) AS a", "double(id % 11) AS b"), "few")
+    few = anomaly.fit_anomaly(df, ["a", "b"], ["id"], size=ForestSize(trees=10))
+    assert few.nodes.agg(F.max("depth")).first()[0] == 7
+    assert anomaly.score_anomaly(df, few).filter("anomaly_score is null").isEmpty()
+
+
+def test_trees_draw_independently(spark):
+    """On a large table, as many distinct rows as independent draws would leave."""
+    size = ForestSize(trees=50)
+    drawn = tree_samples(spark.range(200_000), ["id"], 200_000, size, [])
+    n = drawn.select("id").distinct().count()
+    assert 50 * 256 * 0.95 < n <= 50 * 256
+
+
 def test_partitioning_does_not_matter(points, model):
     other = anomaly.fit_anomaly(points.repartition(17), FEATURES, ["id"], size=SIZE)
     assert sorted(map(tuple, other.nodes.collect())) == sorted(map(tuple, model.nodes.collect()))

@@ -459,20 +459,20 @@ def missing_features(spark, sf_dir):
 
 
 def _forest(spark, sf_dir):
-    """Stored features, the model fitted on them, stored and read back, and the folder."""
-    df = inputs.stored_features(spark, sf_dir)
+    """The fitted model, the same stored and read back, and the folder."""
+    fitted = anomaly.fit_anomaly(inputs.stored_features(spark, sf_dir), keep_scores=True)
     root = shared_dir(spark, "model")
-    anomaly.save_model(anomaly.fit_anomaly(df), root)
-    return df, anomaly.load_model(spark, root), root
+    anomaly.save_model(fitted, root)
+    return fitted, anomaly.load_model(spark, root), root
 
 
 @query
 def iforest_scores(spark, sf_dir):
     """What must hold of any forest's scores: one per row, within bounds, the wanted share flagged."""
-    df, model, root = _forest(spark, sf_dir)
+    fitted, model, root = _forest(spark, sf_dir)
     offset = F.lit(model.meta.first().offset)
     score = F.col("anomaly_score") + offset
-    return anomaly.store_scores(df, model, root).agg(
+    return anomaly.store_scores_of_fit(fitted, root).agg(
         F.count("*").alias("n_rows"),
         F.count_if("is_anomaly").alias("n_flagged"),
         F.count_if((score <= -1) | (score >= 0) | score.isNull()).alias("out_of_bounds"),
