@@ -102,4 +102,6 @@ def test_few_sequences(spark):
     lengths = [min(2048, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(20000)]
     cut = spark.createDataFrame([(n,) for n in lengths], "length long")
     made = packing.pack(cut).select("sequence_id").distinct().count()
-    assert made <= 1.02 * sum(lengths) / 2048 + 1
+    assert made <= 1.001 * sum(lengths) / 2048 + 1
+    few = packing.pack(cut, open_sequences=4, window=1)
+    assert few.groupBy("sequence_id").sum("length").filter("`sum(length)` > 2048").isEmpty() and few.count() == 20000
