@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from almanac.llm.common import bound_batches, text_of
 
-PAGES = 400
-EPOCHS = 25
+PAGES = 900
+EPOCHS = 12
 RATE = 0.3
 DECAY = 1e-4
 SEED = 23
@@ -393,7 +393,7 @@ class _Maker:
         self.wrapped(self.pick(["div", "section", "ol"]), self.named(_COMMENTS), fill)
 
     def article(self):
-        tag = self.pick(["article", "article", "article", "main", "div", "section"])
+        tag = self.pick(["article", "article", "article", "main", "div", "section", "body"])
         named = tag in ("div", "section") or self.chance(0.3)
 
         def fill():
@@ -430,7 +430,10 @@ class _Maker:
             if self.chance(0.05):
                 self.wrapped("footer", "", lambda: self.block("p", self.words(2, 12), 0))
 
-        self.wrapped(tag, self.named(_BODIES) if named else "", fill)
+        if tag == "body":
+            fill()  # the text stands in the page without a part of its own
+        else:
+            self.wrapped(tag, self.named(_BODIES) if named else "", fill)
 
     def page(self) -> tuple[str, list[int]]:
         head = f"<title>{self.words(2, 8)}</title><script>var t='</p>';</script>"
