@@ -75,6 +75,19 @@ def _row_quantiles(df, keys, sizes, piece_rows, longest):
     )
 
 
+def _pieces(axis, keys, cuts, cuts_schema, lookback):
+    """Per piece of the cut series: its rows, and where the last ``lookback`` of them begin (if it has that many)."""
+    table = axis.sparkSession.createDataFrame([k + (c,) for k, c in cuts.items()], cuts_schema)
+    n_cuts = max(map(len, cuts.values()))
+    placed = axis.join(F.broadcast(table), keys).select(
+        *keys, "_at", _cuts_passed(F.col("cuts"), n_cuts, F.col("_at")).alias(PIECE)
+    )
+    from_end = F.row_number().over(Window.partitionBy(*keys, PIECE).orderBy(F.col("_at").desc()))
+    start = F.max(F.when(F.col("_back") == max(lookback, 1), F.col("_at"))).alias("start")
+    rows = placed.withColumn("_back", from_end).groupBy(*keys, PIECE).agg(F.count("*").alias("n"), start).collect()
+    return {(*[r[k] for k in keys], r[PIECE]): r for r in rows}
+
+
 def split_long_series(
     df: DataFrame,
     keys: Sequence[str],
@@ -111,50 +124,29 @@ def split_long_series(
     cuts_schema = T.StructType(key_fields + [T.StructField("cuts", T.ArrayType(T.LongType()))])
 
     # Count the pieces exactly and drop cuts that would leave a piece shorter than the lookback:
-    # the rows before a cut then always lie in the one piece before it.
-    cuts = spark.createDataFrame([tuple(r[k] for k in keys) + (r.cuts,) for r in cut_rows], cuts_schema)
-    n_cuts = max(len(r.cuts) for r in cut_rows)
-    counted = (
-        axis.join(F.broadcast(cuts), keys)
-        .groupBy(*keys, _cuts_passed(F.col("cuts"), n_cuts, F.col("_at")).alias(PIECE))
-        .agg(F.count("*").alias("n"))
-        .collect()
-    )
-    rows_of = {(*[r[k] for k in keys], r[PIECE]): r.n for r in counted}
-    kept = []
-    for r in cut_rows:
-        key = tuple(r[k] for k in keys)
+    # the rows before a cut then always lie in the one piece before it. The same pass tells where the last
+    # ``lookback`` rows of each piece begin, which holds unless cuts were dropped.
+    found = {tuple(r[k] for k in keys): r.cuts for r in cut_rows}
+    pieces = _pieces(axis, keys, found, cuts_schema, lookback)
+    kept = {}
+    for key, cuts in found.items():
         good, filled = [], 0
-        for i, cut in enumerate(r.cuts):
-            filled += rows_of.get((*key, i), 0)
+        for i, cut in enumerate(cuts):
+            filled += pieces[key + (i,)].n if key + (i,) in pieces else 0
             if filled >= max(lookback, 1):
                 good.append(cut)
                 filled = 0
-        kept.append(key + (good,))
-    cuts = spark.createDataFrame(kept, cuts_schema)
-    n_cuts = max(len(k[-1]) for k in kept)
+        kept[key] = good
+    n_cuts = max(map(len, kept.values()))
     if n_cuts == 0:
         return df.withColumns({PIECE: F.lit(0), COPY: F.lit(False)})
-
-    # Where the last ``lookback`` rows of each piece begin.
-    pieces = axis.join(F.broadcast(cuts), keys).select(
-        *keys, "_at", _cuts_passed(F.col("cuts"), n_cuts, F.col("_at")).alias(PIECE)
-    )
-    from_end = F.row_number().over(Window.partitionBy(*keys, PIECE).orderBy(F.col("_at").desc()))
-    starts = (
-        pieces.withColumn("_back", from_end)
-        .filter(F.col("_back") == max(lookback, 1))
-        .groupBy(*keys, PIECE)
-        .agg(F.min("_at").alias("start"))
-        .collect()
-    )
-    start_of = {(*[r[k] for k in keys], r[PIECE]): r.start for r in starts}
+    if kept != found:
+        pieces = _pieces(axis, keys, kept, cuts_schema, lookback)
     plan_schema = T.StructType(
         cuts_schema.fields + [T.StructField("tails", T.ArrayType(T.LongType()))]
     )
-    plan = spark.createDataFrame(
-        [k + ([start_of[(*k[:-1], i)] for i in range(len(k[-1]))],) for k in kept], plan_schema
-    )
+    tails = {k: [pieces[k + (i,)].start for i in range(len(cuts))] for k, cuts in kept.items()}
+    plan = spark.createDataFrame([k + (cuts, tails[k]) for k, cuts in kept.items()], plan_schema)
 
     at = sort_key(F.col(order))
     placed = (
