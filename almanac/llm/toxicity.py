@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -34,7 +35,7 @@ SAMPLE = 3_000
 #: N-grams without weight that every mean includes, so that few words decide little.
 PADDING = 150
 #: Labelled texts longer than this are not sampled for training.
-SAMPLE_CHARS = 200_000
+SAMPLE_CHARS = 50_000
 #: Words whose n-grams a task remembers.
 KNOWN_WORDS = 400_000
 
@@ -88,17 +89,16 @@ class Scorer:
 
 
 def _bags(texts: Iterable[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per text its buckets and their shares among its n-grams."""
-    grams: dict[str, list[int]] = {}
+    """Per text its buckets and their shares among its n-grams; eight bytes per distinct bucket stay in memory."""
     bags = []
     for text in texts:
-        words = words_of(text)
-        for w in words:
-            if w not in grams:
-                grams[w] = word_grams(w)
-        flat = np.fromiter(chain.from_iterable(map(grams.__getitem__, words)), np.int64)
-        buckets, counts = np.unique(flat, return_counts=True)
-        bags.append((buckets, counts / (len(flat) + PADDING)))
+        words = Counter(words_of(text))
+        grams = [word_grams(w) for w in words]
+        flat = np.fromiter(chain.from_iterable(grams), np.int32)
+        times = np.repeat(np.fromiter(words.values(), np.int64), [len(g) for g in grams])
+        buckets, at = np.unique(flat, return_inverse=True)
+        share = np.bincount(at, times, len(buckets)) / (times.sum() + PADDING)
+        bags.append((buckets, share.astype(np.float32)))
     return bags
 
 
