@@ -272,7 +272,7 @@ def keep_first(
     if more.isEmpty():
         return kept
     again = docs.join(more.select("__keeper").distinct(), F.col(doc_id).eqNullSafe(F.col("__keeper")), "left_semi")
-    marked = with_fingerprint(again, "__fp", text)
+    marked = with_fingerprint(again, "__fp", text, shingle)
     wanted = F.col(doc_id).eqNullSafe(F.col("__keeper")) & (F.col("__fp") == F.col("__least"))
     picked = marked.join(more, wanted, "left_semi").groupBy(doc_id, "__fp").agg(
         F.min_by(F.struct(*docs.columns), F.col(text)).alias("__row")
