@@ -1,6 +1,5 @@
 """Every registered query against its SQL in DuckDB, on the smallest tables."""
 
-import math
 import sys
 from pathlib import Path
 
