@@ -79,7 +79,7 @@ def fit_anomaly(
     The rows' key must be unique. The model tables are stored before they are used. The offset needs every row's
     score; with ``keep_scores`` the rows are stored with it, and ``scored_in_fit`` need not score them again.
     """
-    require_columns(df, features, "Missing feature columns; rebuild the feature store before training")
+    require_columns(df, features, "Model inputs absent; refresh the feature table, then fit")
     spark = df.sparkSession
     n_rows = df.count()
     per_tree = min(size.sample, n_rows)
@@ -117,7 +117,7 @@ def score_anomaly(df: DataFrame, model: AnomalyModel) -> DataFrame:
     """All columns, the anomaly score (negative: anomalous) and the flag."""
     stats = [tuple(r) for r in model.stats.collect()]
     meta = model.meta.first()
-    require_columns(df, [s[1] for s in stats], "Missing feature columns; rebuild the features and retrain before scoring")
+    require_columns(df, [s[1] for s in stats], "Model inputs absent; refresh the feature table and fit again, then score")
     size = ForestSize(meta.trees, meta.sample, meta.seed)
     return _flagged(with_path_score(df, model.nodes, imputed_inputs(stats), size, meta.per_tree, SCORE), meta.offset)
 

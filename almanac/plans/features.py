@@ -12,6 +12,7 @@ from almanac.operators.validity import valid_only
 SERIES = ["city_id"]
 TIME = "timestamp_utc"
 
+# The silver columns that the feature table begins with.
 BASE = [
     "city_id",
     "city_name",
@@ -54,6 +55,7 @@ ROLLING_7D = [_rolling(fn, short, "7d") for short in ("temp", "wind") for fn in
 LAGS = [Lag("temp_lag_1h", "temperature_c", 1), Lag("temp_lag_2h", "temperature_c", 2)]
 LAGS += [Lag(f"{short}_lag_1h", MEASURES[short], 1) for short in ("humidity", "pressure", "wind")]
 
+# Calendar columns, in the order of the stored table.
 CALENDAR = [
     "hour_of_day",
     "month",
@@ -68,7 +70,7 @@ SEASON = ["city_id", "month", "hour_of_day"]
 SEASONS_PER_SERIES = 12 * 24
 SEASONAL = [f"city_month_hour_{fn}_{short}" for short in MEASURES for fn in ("avg", "std")]
 
-# Column order of the stored table.
+# Frames and lags, in the order of the stored table.
 WINDOW_COLUMNS = [
     "rolling_avg_temp_24h",
     "rolling_min_temp_24h",
