@@ -6,9 +6,14 @@ sketches adds their counts, the order of merging cannot matter and the relative
 merges them with a partial aggregation, so a source that holds a third of all rows moves one row per bucket and
 task. Thresholds are read from the sketches and joined back to the documents.
 
-A threshold is median + SPREAD x (median - lower quantile), at least the rate's floor: half of a source may be
-junk before its median moves, and the upper half, where junk lies, has no say. Sources below MIN_ROWS documents
-use the merged sketch of their language, and languages below it that of all documents.
+Two rates vary inside clean text: word length and marks (neither letters, digits nor white space) a character. They
+have no fixed number at all. A document strays if it lies more than SPREAD x (median - lower quantile) from the median
+of its source; a document of fewer words than the median one scatters more and is given that much more room. Half of a
+source may be junk before its median moves, and the upper half, where junk lies, has no say. The other rates are
+zero in most clean documents, so their sketches alone cannot set a threshold: it is the same sum, at least the rate's
+floor. The floor of symbols holds only where the marks of a group do not vary.
+
+Sources below MIN_ROWS documents use the merged sketch of their language, and languages below it that of all documents.
 """
 
 from __future__ import annotations
@@ -31,7 +36,9 @@ SPREAD = 6
 LOWER = 0.1
 #: A group with fewer documents than this takes the thresholds of the next larger group.
 MIN_ROWS = 200
-#: Rates that have an adaptive upper threshold, and the least threshold each may get (rate x 1000).
+#: Rates without a fixed number, from documents that pass the fixed rules; true if both tails are cut, else the upper.
+TAILS = {"word_length": True, "mark_rate": False}
+#: Rates that are zero in most documents and have an upper threshold, and the least threshold each may get (rate x 1000).
 FLOORS = {"symbol_rate": 100, "duplicate_rate": 400, "repeat_rate": 300, "capital_rate": 300, "exclaim_rate": 100}
 #: Threshold rows (one per language and source) are broadcast up to this many; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
@@ -40,7 +47,8 @@ PRECISION = 6
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_exclaims"]
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
-_STATS = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
+_MARKS = re.compile(r"[^\w\s]")
+_STATS = T.StructType([T.StructField(c, T.LongType()) for c in [*COUNTS, "n_marks"]])
 
 
 def text_counts(text: str) -> tuple[int, ...]:
@@ -73,11 +81,12 @@ def text_counts(text: str) -> tuple[int, ...]:
 
 @F.pandas_udf(_STATS)
 def _counts(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([text_counts(t) for t in texts], columns=COUNTS)
+    rows = [(*text_counts(t), len(_MARKS.findall(t))) for t in texts]
+    return pd.DataFrame(rows, columns=[*COUNTS, "n_marks"])
 
 
 def with_counts(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
-    """Adds one struct column of COUNTS; a null text counts as empty."""
+    """Adds one struct column of COUNTS and n_marks; a null text counts as empty."""
     bound_batches(docs.sparkSession)
     return docs.withColumn(into, _counts.asNondeterministic()(text_of(text)))
 
@@ -94,6 +103,21 @@ def rates(counts: str) -> dict:
     }
 
 
+def tails(counts: str) -> dict:
+    """The rates of TAILS in fine integer units: characters per 1000 words, marks per 100,000 characters."""
+    return {
+        "word_length": F.expr(f"(1000 * {counts}.word_chars) div greatest({counts}.n_words, 1)"),
+        "mark_rate": F.expr(f"(100000 * {counts}.n_marks) div greatest({counts}.word_chars, 1)"),
+    }
+
+
+def sketched(counts: str) -> dict:
+    """All values that go into sketches; what is null is left out."""
+    sound = ~base_failed(counts)
+    own = tails(counts) | {"n_words": F.col(f"{counts}.n_words")}
+    return rates(counts) | {k: F.when(sound, v) for k, v in own.items()}
+
+
 def bucket(value):
     """The least value of the sketch bucket that holds a value: all digits but the highest PRECISION + 1 are zero."""
     shift = F.greatest(F.length(F.bin(value)) - (PRECISION + 1), F.lit(0))
@@ -104,7 +128,7 @@ def sketch(rows: DataFrame, lang: str, source: str, values: dict) -> DataFrame:
     """Sketches as rows (lang, source, rate, bucket, n); adding up n over groups merges them."""
     pairs = F.array(*[F.struct(F.lit(k).alias("rate"), bucket(v).alias("bucket")) for k, v in values.items()])
     long = rows.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.inline(pairs))
-    return long.groupBy("lang", "source", "rate", "bucket").agg(F.count("*").alias("n"))
+    return long.filter("bucket is not null").groupBy("lang", "source", "rate", "bucket").agg(F.count("*").alias("n"))
 
 
 def quantile_bounds(sketches: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,10 +142,14 @@ def quantile_bounds(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
-    """One row per language and source, with a threshold for each rate."""
+    """One row per language and source: a threshold for each rate of FLOORS, the median and the distance from it to the
+    lower quantile for each of TAILS, and the median number of words."""
     floor = F.create_map(*[F.lit(x) for pair in FLOORS.items() for x in pair])
     cut = lambda name: F.struct(
-        "total", F.greatest(F.col("mid") + SPREAD * (F.col("mid") - F.col("low")), floor[F.col("rate")]).alias("cut")
+        "total",
+        "mid",
+        (F.col("mid") - F.col("low")).alias("span"),
+        F.greatest(F.col("mid") + SPREAD * (F.col("mid") - F.col("low")), floor[F.col("rate")]).alias("cut"),
     ).alias(name)
     own = quantile_bounds(sketches, ["lang", "source"]).select("lang", "source", "rate", cut("own"))
     lang = quantile_bounds(sketches, ["lang"]).select(F.col("lang").alias("l"), F.col("rate").alias("r"), cut("wide"))
@@ -129,11 +157,14 @@ def thresholds(sketches: DataFrame) -> DataFrame:
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rate") == F.col("r")))
     joined = joined.join(F.broadcast(every), F.col("rate") == F.col("r2"))  # one row per rate
     chosen = (
-        F.when(F.col("own.total") >= MIN_ROWS, F.col("own.cut"))
-        .when(F.col("wide.total") >= MIN_ROWS, F.col("wide.cut"))
-        .otherwise(F.col("every.cut"))
+        F.when(F.col("own.total") >= MIN_ROWS, F.col("own"))
+        .when(F.col("wide.total") >= MIN_ROWS, F.col("wide"))
+        .otherwise(F.col("every"))
     )
-    picks = [F.max(F.when(F.col("rate") == k, chosen)).alias(f"max_{k}") for k in FLOORS]
+    pick = lambda k, what: F.max(F.when(F.col("rate") == k, chosen[what]))
+    picks = [pick(k, "cut").alias(f"max_{k}") for k in FLOORS]
+    picks += [pick(k, what).alias(f"{what}_{k}") for k in TAILS for what in ("mid", "span")]
+    picks.append(pick("n_words", "mid").alias("mid_n_words"))
     return joined.groupBy("lang", "source").agg(*picks)
 
 
@@ -142,21 +173,31 @@ def base_failed(counts: str):
     return (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
 
 
+def strays(counts: str, rate: str, value):
+    """Whether a rate lies too far from the median of its group; never if the lower half of the group does not vary."""
+    mid, span, typical = F.col(f"__mid_{rate}"), F.col(f"__span_{rate}"), F.col("__mid_n_words")
+    away = (F.abs(value - mid) if TAILS[rate] else F.greatest(value - mid, F.lit(0))).cast("double")
+    words = F.least(F.col(f"{counts}.n_words"), typical)
+    return (span > 0) & (away * away * words > (SPREAD * span).cast("double") ** 2 * typical)
+
+
 def judged(counted: DataFrame, limits: DataFrame, counts: str, into: str, lang: str = "lang", source: str = "source"):
     """Joins the thresholds of a row's language and source and adds its verdict, true if it stays."""
-    names = {"lang": "__lang", "source": "__source"} | {f"max_{k}": f"__max_{k}" for k in FLOORS}
+    names = {c: f"__{c}" for c in limits.columns}
     known = limits.select([F.col(c).alias(n) for c, n in names.items()])
     match = counted[lang].eqNullSafe(known["__lang"]) & counted[source].eqNullSafe(known["__source"])
-    over = [v > F.col(f"__max_{k}") for k, v in rates(counts).items()]
+    over = {k: v > F.col(f"__max_{k}") for k, v in rates(counts).items()}
+    over["symbol_rate"] &= ~F.coalesce(F.col("__span_mark_rate") > 0, F.lit(False))
+    over |= {k: strays(counts, k, v) for k, v in tails(counts).items()}
     bad = base_failed(counts)
-    for x in over:
+    for x in over.values():
         bad = bad | F.coalesce(x, F.lit(False))
     return counted.join(known, match, "left").withColumn(into, ~bad).drop(*names.values())
 
 
 def limits_of(counted: DataFrame, counts: str, lang: str = "lang", source: str = "source") -> DataFrame:
     """The thresholds of all documents, stored: one row per language and source."""
-    return stored(thresholds(sketch(counted, lang, source, rates(counts))), "limits")
+    return stored(thresholds(sketch(counted, lang, source, sketched(counts))), "limits")
 
 
 def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", doc_id: str = "doc_id"):
@@ -171,7 +212,8 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     if limits.count() <= BROADCAST_ROWS:
         limits = F.broadcast(limits)
     verdict = judged(counted, limits, "counts", "kept")
-    return verdict.select("doc_id", "lang", "source", "counts.*", base_failed("counts").alias("base_failed"), "kept")
+    own = [f"counts.{c}" for c in COUNTS]
+    return verdict.select("doc_id", "lang", "source", *own, base_failed("counts").alias("base_failed"), "kept")
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

@@ -71,3 +71,43 @@ def test_odd_rows(spark, docs_of):
     got = sorted((str(r.doc_id), r.n_words, r.base_failed, r.kept) for r in quality.assess(docs).collect())
     assert got == [("1", 0, True, False)] * 2 + [("2", 100000, True, False), ("None", 0, True, False)]
     assert quality.assess(docs_of()).count() == 0 and quality.keep_good(docs_of()).count() == 0
+
+
+def test_sketches_decide(spark):
+    """Texts of one shape pass in one source and fail in another; no fixed number separates them."""
+    rng = random.Random(9)
+    made = lambda low, high, comma: " ".join(
+        "x" * rng.randint(low, high) + ("," if rng.random() < comma else "") for _ in range(rng.randint(80, 300))
+    )
+    shapes = {"short": (2, 6, 0.15), "long": (9, 15, 0.15), "terse": (2, 6, 0.6)}
+    rows = []
+    for source in shapes:
+        for _ in range(quality.MIN_ROWS + 20):
+            rows.append((len(rows), made(*shapes[source]).replace("xxxx", f"x{rng.randrange(90):02}x"), "en", source, 1))
+    own = len(rows)
+    for source in shapes:
+        for shape in shapes.values():
+            rows.append((len(rows), made(*shape).replace("xxxx", f"x{rng.randrange(90):02}x"), "en", source, 1))
+    # all windows differ, so that only the shape of the words decides
+    rows = [(i, " ".join(_named(w, k) for k, w in enumerate(t.split())), *rest) for i, t, *rest in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in quality.assess(docs).collect()}
+    assert all(not r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(own))
+    mixed = {(s, t): got[own + 3 * a + b].kept for a, s in enumerate(shapes) for b, t in enumerate(shapes)}
+    assert mixed == {(s, t): s == t or (s, t) == ("terse", "short") for s in shapes for t in shapes}
+
+
+def _named(word, k):
+    """The word with its length and marks, spelt by its place."""
+    body = word.rstrip(",")
+    return f"{k:x}".rjust(len(body), "q")[-len(body) :].translate(str.maketrans("0123456789", "ghijklmnop")) + word[len(body) :]
+
+
+def test_short_texts_have_room(spark):
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    text = lambda n: " ".join(word(rng.randint(1, 9)) + rng.choice(["", "", "", ",", "."]) for _ in range(n))
+    rows = [(i, text(1000), "en", "a", 1) for i in range(250)] + [(1000 + i, text(50), "en", "a", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert all(r.kept for r in quality.assess(docs).collect())
