@@ -90,7 +90,48 @@ SENTENCES = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version"
     ],
+    "gpl3-only": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License version 3 as published by the Free Software Foundation",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation, version 3",
+    ],
+    "gpl2-free": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2, or (at your option) any later "
+        "version",
+    ],
+    "gpl2-only": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License version 2 as published by the Free Software Foundation",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; version 2 of the License",
+    ],
+    "lgpl3-free": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version",
+    ],
+    "lgpl21-free": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version",
+    ],
+    "agpl3-free": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version",
+    ],
     "gpl-warranty": [
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
@@ -132,6 +173,18 @@ RULES = (
     ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-warranty")),
     ("GPL-3.0-or-later", ("gpl-free",)),
+    ("GPL-2.0-or-later", ("gpl2-free", "gpl-warranty")),
+    ("GPL-2.0-or-later", ("gpl2-free",)),
+    ("LGPL-3.0-or-later", ("lgpl3-free", "gpl-warranty")),
+    ("LGPL-3.0-or-later", ("lgpl3-free",)),
+    ("LGPL-2.1-or-later", ("lgpl21-free", "gpl-warranty")),
+    ("LGPL-2.1-or-later", ("lgpl21-free",)),
+    ("AGPL-3.0-or-later", ("agpl3-free", "gpl-warranty")),
+    ("AGPL-3.0-or-later", ("agpl3-free",)),
+    ("GPL-3.0-only", ("gpl3-only", "gpl-warranty")),
+    ("GPL-3.0-only", ("gpl3-only",)),
+    ("GPL-2.0-only", ("gpl2-only", "gpl-warranty")),
+    ("GPL-2.0-only", ("gpl2-only",)),
     ("GPL-3.0-only", ("gpl3-notice",)),
     ("GPL-2.0-only", ("gpl2-notice",)),
     ("MPL-2.0", ("mpl2-notice",)),
@@ -142,9 +195,6 @@ RULES = (
     ("Unlicense", ("unlicense-notice",)),
 )
 
-#: Every known sentence holds one of these; a text without any of them is not cut up.
-ANCHORS = ("licen", "permission", "redistribut", "warrant", "public domain", "cc0", "distributed in the hope")
-
 _BREAK = re.compile(r"\n|(?<=[.!?:;])(?=\s)")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -153,15 +203,34 @@ def normalised(text: str) -> tuple[str, ...]:
     return tuple(_WORD.findall(text.lower()))
 
 
+def anchors_of(sentences: dict[str, Iterable[str]]) -> tuple[str, ...] | None:
+    """Words of which every sentence holds one, so that a text without any of them need not be cut up: the longest
+    ASCII word of each, whose lower case does not depend on what stands beside it. None if a sentence has no such word.
+    """
+    chosen = set()
+    for words in {normalised(v) for variants in sentences.values() for v in variants}:
+        plain = [w for w in words if w.isascii()]
+        if words and not plain:
+            return None
+        chosen |= {max(plain, key=lambda w: (len(w), w))} if words else set()
+    return tuple(sorted(w for w in chosen if not any(o in w for o in chosen - {w})))
+
+
+#: The words of the sentences above; sentences of one's own have theirs.
+ANCHORS = anchors_of(SENTENCES)
+
+
 class Sentences:
     """Known sentences by their first words."""
 
     HEAD = 2
 
     def __init__(self, sentences: dict[str, Iterable[str]]):
+        sentences = {name: list(variants) for name, variants in sentences.items()}
+        self.anchors = anchors_of(sentences)
         self.by_head: dict[tuple[str, ...], list[tuple[tuple[str, ...], str]]] = {}
         for name, variants in sentences.items():
-            for words in {normalised(v) for v in variants}:
+            for words in {normalised(v) for v in variants} - {()}:
                 self.by_head.setdefault(words[: self.HEAD], []).append((words, name))
         for known in self.by_head.values():
             known.sort(key=lambda x: (-len(x[0]), x))  # the longest that fits
@@ -169,7 +238,7 @@ class Sentences:
     def found(self, text: str) -> list[tuple[str, int, int]]:
         """(identifier, start, end) of known sentences in order, not overlapping; offsets are code points."""
         low = text.lower()
-        if not any(a in low for a in ANCHORS):
+        if self.anchors is not None and not any(a in low for a in self.anchors):
             return []
         words, spans, begins, ends = [], [], set(), set()
         at = 0
@@ -184,10 +253,13 @@ class Sentences:
         while i < len(words):
             hit = None
             if i in begins:
-                for known, name in self.by_head.get(tuple(words[i : i + self.HEAD]), ()):
-                    if i + len(known) in ends and tuple(words[i : i + len(known)]) == known:
-                        hit = (name, len(known))
-                        break
+                fit = [
+                    (name, len(known))
+                    for n in range(self.HEAD, 0, -1)  # a sentence of one word is its own head
+                    for known, name in self.by_head.get(tuple(words[i : i + n]), ())
+                    if i + len(known) in ends and tuple(words[i : i + len(known)]) == known
+                ]
+                hit = fit[0] if fit else None
             if hit:
                 out.append((hit[0], spans[i][0], spans[i + hit[1] - 1][1]))
                 i += hit[1]

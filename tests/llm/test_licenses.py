@@ -84,3 +84,45 @@ def test_planted_lines(spark):
         want = [v for line, v in lines.items() if line in (r.text or "").split("\n")]
         if want:
             assert set(found[r.doc_id].split(",")) == set(want)
+
+
+def test_known_sentences_alone_and_wrapped():
+    known = licenses.Sentences(licenses.SENTENCES)
+    for name, variants in KNOWN.items():
+        for v in variants:
+            for text in (v, v.upper(), v.replace(" ", "\n"), v.replace(" ", "  "), v.replace(" ", "-"), textwrap.fill(v, 30)):
+                assert [f[0] for f in known.found(text + ".")] == [name], text
+    wrapped = "This is free and unencumbered software released into the public\ndomain."
+    assert [f[0] for f in known.found("Some words.\n" + wrapped)] == ["unlicense-notice"]
+
+
+def test_own_sentences(spark, docs_of):
+    own = {"secret": ["Proprietary and confidential"], "one": ["Geheim"], "greek": ["ΜΟΝΟΣ ΟΔΟΣ"], "none": ["--"]}
+    rules = (("Closed", ("secret",)), ("Geheim", ("one",)), ("Greek", ("greek",)))
+    for sentences in (own, {k: v for k, v in own.items() if k != "greek"}):
+        rows = ["x.\nProprietary and\nconfidential.", "x. Geheim. y z", "x", "Licensed under the MIT License", "μονος οδος"]
+        got = licenses.digest(licenses.scan_licenses(docs_of(*rows), sentences=sentences, rules=rules)).collect()
+        want = ["Closed", "Geheim", "", "", "Greek" if "greek" in sentences else ""]
+        assert [r.licenses for r in sorted(got, key=lambda r: r.doc_id)] == want
+
+
+def test_gnu_headers():
+    found = licenses.Sentences(licenses.SENTENCES).found
+    for program, license_, version, want in (
+        ("program", "General", "2", "GPL-2.0-or-later"),
+        ("program", "General", "3", "GPL-3.0-or-later"),
+        ("library", "Lesser General", "2.1", "LGPL-2.1-or-later"),
+        ("library", "Lesser General", "3", "LGPL-3.0-or-later"),
+        ("program", "Affero General", "3", "AGPL-3.0-or-later"),
+    ):
+        text = (
+            f"This {program} is free software; you can redistribute it and/or modify it under the terms of the GNU "
+            f"{license_} Public License as published by the Free Software Foundation; either version {version} of the "
+            f"License, or (at your option) any later version. This {program} is distributed in the hope that it will be "
+            "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+            "PARTICULAR PURPOSE."
+        )
+        commented = "\n".join(f" * {line}" for line in textwrap.fill(text, 60).split("\n"))
+        for t in (text, commented):
+            licenses_, rest = licenses.matched([f[0] for f in found(t)])
+            assert ([x[0] for x in licenses_], rest) == ([want], []), t
