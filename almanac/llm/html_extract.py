@@ -32,7 +32,9 @@ SEED = 23
 
 # How HTML groups its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style head title template noscript svg math iframe object".split())
+SKIPPED = frozenset("script style title template".split())
+#: Elements without blocks of their own whose text may be content or not; the field is told of them.
+EMBEDDED = frozenset("noscript svg math iframe object".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option p "
@@ -58,6 +60,7 @@ MARKS = frozenset(
 
 _NAME = re.compile(r"[a-z0-9]+")
 _HUMP = re.compile(r"([a-z0-9])([A-Z])")
+_TITLE_END = re.compile(r"</title\s*>", re.I)
 
 
 @dataclass
@@ -76,7 +79,7 @@ class BlockParser(HTMLParser):
         self.open: list[tuple[str, list[str]]] = []
         self.blocks: list[Block] = []
         self.parts: list[str] = []
-        self.linked = self.skipping = self.links = 0
+        self.linked = self.skipping = self.links = self.heading = 0
 
     def _flush(self):
         text = " ".join("".join(self.parts).split())
@@ -90,6 +93,7 @@ class BlockParser(HTMLParser):
         for tag, _ in self.open[depth:]:
             self.skipping -= tag in SKIPPED
             self.links -= tag == "a"
+            self.heading -= tag in ("head", "title")
         if any(tag in BLOCK for tag, _ in self.open[depth:]):
             self._flush()
         del self.open[depth:]
@@ -101,6 +105,14 @@ class BlockParser(HTMLParser):
             if self.open[depth][0] in limits:
                 return None
 
+    def _title_ends(self) -> bool:
+        """Whether the title that opens here has an end tag: then all up to it is its text."""
+        line, column = self.getpos()
+        at = 0
+        for _ in range(line - 1):
+            at = self.rawdata.find("\n", at) + 1
+        return bool(_TITLE_END.search(self.rawdata, at + column))
+
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
             if tag == "hr":
@@ -113,7 +125,12 @@ class BlockParser(HTMLParser):
         if tag in CLOSES:
             self._end_open(*CLOSES[tag])
         if tag in BLOCK:
+            if self.heading:  # the end tags of head and title were left out
+                self._pop(next(d for d, (t, _) in enumerate(self.open) if t in ("head", "title")))
             self._flush()
+        elif tag == "title" and all(t != "svg" for t, _ in self.open):
+            if not self.get_starttag_text().endswith("/>") and self._title_ends():
+                self.set_cdata_mode("title")
         names = []
         for key, value in attrs:
             if value and key in ("class", "id", "role", "itemprop"):
@@ -123,6 +140,7 @@ class BlockParser(HTMLParser):
         self.open.append((tag, names))
         self.skipping += tag in SKIPPED
         self.links += tag == "a"
+        self.heading += tag in ("head", "title")
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -156,6 +174,7 @@ def features(block: Block, place: int, total: int) -> set[str]:
     out = {"always"}
     inner = [t for t in block.tags if t in BLOCK]
     out.update(f"in:{t}" for t in inner if t not in ("html", "body"))
+    out.update(f"in:{t}" for t in EMBEDDED.intersection(block.tags))
     out.add(f"own:{inner[-1] if inner else 'none'}")
     for names in block.names:
         out.update(f"name:{n}" for n in names)
@@ -340,6 +359,21 @@ class _Maker:
             inner = lambda: [self.block(self.pick(["p", "div", "p", "h3", "p"]), text(), 0) for _ in self.some(1, 3)]
             self.wrapped(tag, attrs, inner)
 
+    def embedded(self, label: int):
+        """Content for readers without scripts or plug-ins, or a formula; outside the article a notice or an advert."""
+        tag = self.pick(["noscript", "noscript", "object", "iframe"])
+        kind = self.rng.random()
+        if label and kind < 0.3:
+            formula = f"<math><mi>{self.words(1, 1)}</mi><mo>=</mo><mn>{self.rng.randint(1, 99)}</mn></math>"
+            self.block("p", f"{self.words(2, 20)} {formula} {self.words(2, 20)}", 1)
+        elif label and kind < 0.4:
+            self.block("div", f"<math><mi>{self.words(1, 2)}</mi><mo>=</mo><mn>{self.rng.randint(1, 99)}</mn></math>", 1)
+        elif label and kind < 0.5:
+            self.block("figure", f"<svg><title>x</title><text>{self.words(2, 9)}</text></svg>", 1)
+        else:
+            attrs = "" if label else self.pick(["", self.named(_ADVERTS), self.named(_NOTICES)])
+            self.wrapped(tag, attrs, lambda: self.prose(label, 1, 2, self.pick(["p", "p", "div"])))
+
     def advert(self):
         self.boxed(["div", "div", "aside", "section"], None, _ADVERTS, lambda: self.words(2, 30))
 
@@ -421,6 +455,8 @@ class _Maker:
                     self.notice()
                 elif kind < 0.45:
                     self.form()
+                elif kind < 0.57:
+                    self.embedded(1)
             if wrap:
                 self.parts.append("</div>")
             if self.chance(0.12):
@@ -437,14 +473,15 @@ class _Maker:
 
     def page(self) -> tuple[str, list[int]]:
         head = f"<title>{self.words(2, 8)}</title><script>var t='</p>';</script>"
-        self.parts.append(f"<!DOCTYPE html><html><head>{head}</head><body>")
+        ends = self.pick(["</head><body>", "</head><body>", "</head><body>", "<body>", ""])
+        self.parts.append(f"<!DOCTYPE html><html><head>{head}{ends}")
         wrap = self.chance(0.3)
         if wrap:
             self.parts.append(f'<div class="{self.pick(["wrapper", "container", "page", "site"])}">')
         before = [(self.header, 0.45), (self.menu, 0.7), (self.advert, 0.35), (self.notice, 0.2), (self.form, 0.15)]
         after = [(self.comments, 0.3), (self.side, 0.35), (self.advert, 0.25), (self.shares, 0.1), (self.notice, 0.15)]
-        after += [(self.form, 0.15), (self.menu, 0.15), (self.footer, 0.8)]
-        for part, p in [*before, (self.side, 0.15)]:
+        after += [(lambda: self.embedded(0), 0.1), (self.form, 0.15), (self.menu, 0.15), (self.footer, 0.8)]
+        for part, p in [*before, (self.side, 0.15), (lambda: self.embedded(0), 0.2)]:
             if self.chance(p):
                 part()
         if self.chance(0.97):

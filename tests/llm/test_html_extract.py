@@ -74,3 +74,29 @@ def test_odd_rows(spark):
     assert len(got) == 5 and got[(1, "u")].text == "" and got[(1, None)].n_chars == 0
     assert got[(None, "u")].text.count("\n\n") == 19999
     assert he.extract(pages.limit(0)).count() == 0
+
+
+ARTICLE = "<article><h1>A title of words</h1><p>Some text of the article that goes on, and on, to its end.</p>{}</article>"
+SAID = "A title of words\n\nSome text of the article that goes on, and on, to its end."
+
+
+def test_pages_without_end_of_head(model):
+    body = "<nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav>" + ARTICLE.format("")
+    for head in ("<title>T</title>", "<title>T</title><meta charset=utf-8><script>var x='<p>';</script>", "<title>a <p> b</title>", "<title>T"):
+        for begin in ("<body>", "</head><body>", ""):
+            page = f"<!DOCTYPE html><html><head>{head}{begin}{body}"
+            assert he.main_text(model, page) == SAID, page
+            assert he.main_text(model, page + "</body></html>") == SAID, page
+
+
+def test_embedded_content(model):
+    formula = "<p>The sum is <math><mi>x</mi><mo>=</mo><mn>12</mn></math> in all cases of it.</p>"
+    fallback = "<noscript><p>The picture shows a house at the end of a long road.</p></noscript>"
+    objects = "<object data=a.svg><p>A drawing of the house, as seen from the road.</p></object>"
+    assert he.main_text(model, f"<html><body>{ARTICLE.format(formula)}") == SAID + "\n\nThe sum is x=12 in all cases of it."
+    assert he.main_text(model, f"<html><body>{ARTICLE.format(fallback)}").endswith("house at the end of a long road.")
+    assert he.main_text(model, f"<html><body>{ARTICLE.format(objects)}").endswith("house, as seen from the road.")
+    notice = "<noscript><div>Please enable scripts to see this site.</div></noscript>"
+    assert he.main_text(model, f"<html><body>{notice}{ARTICLE.format('')}") == SAID
+    hidden = "<template><p>No</p></template><script>no</script><style>no{}</style><svg><title>no</title></svg>"
+    assert he.main_text(model, f"<html><body>{ARTICLE.format(hidden)}") == SAID
