@@ -260,7 +260,7 @@ def keep_first(
 ) -> DataFrame:
     """One row of each component stays, with its columns as they came: that of the smallest doc_id, or one without
     an id if no member has one. If several rows of a component bear that id, the one of the smallest fingerprint and
-    then the smallest text stays."""
+    then the smallest text stays, null after all others."""
     rows = stored(_members(docs, text, doc_id, shingle, max_bits), "members")
     single = rows.groupBy("doc_id").count().filter("count = 1 and doc_id is not null").drop("count")
     named = rows.filter("doc_id <=> component_id").groupBy("component").agg(
@@ -275,6 +275,6 @@ def keep_first(
     marked = with_fingerprint(again, "__fp", text, shingle)
     wanted = F.col(doc_id).eqNullSafe(F.col("__keeper")) & (F.col("__fp") == F.col("__least"))
     picked = marked.join(more, wanted, "left_semi").groupBy(doc_id, "__fp").agg(
-        F.min_by(F.struct(*docs.columns), F.col(text)).alias("__row")
+        F.min_by(F.struct(*docs.columns), F.struct(F.col(text).isNull(), text_of(text))).alias("__row")
     )
     return kept.union(picked.select("__row.*"))

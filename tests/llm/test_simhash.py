@@ -108,6 +108,16 @@ def test_repeated_and_missing_ids(spark, docs_of):
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", a), ("1", b), ("None", "lonely text without id")]
 
 
+def test_repeated_rows_with_null_text(spark, docs_of):
+    def kept(*rows):
+        return [tuple(r) for r in simhash.keep_first(docs_of(*rows)).collect()]
+
+    assert kept((1, None), (1, None)) == [(1, None, "en", "src0", 0)]
+    assert kept((None, None), (None, None), (None, None)) == [(None, None, "en", "src0", 0)]
+    assert kept((1, None), (1, ""), (1, None)) == [(1, "", "en", "src0", 0)]
+    assert kept((None, None), (2, None), (2, None)) == [(2, None, "en", "src0", 0)]
+
+
 def test_empty(spark, docs_of):
     none = docs_of()
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_first(none).count() == 0
