@@ -71,8 +71,11 @@ from whole
 
 @query
 def op4_secrets(spark, sf_dir):
+    """All documents, after a first scan of about a quarter of them, so that the second meets a filled ledger."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return secrets.digest(secrets.secrets_by_path(docs, secrets.new_ledger(spark)))
+    ledger = secrets.new_ledger(spark)
+    secrets.scan(docs.filter("pmod(xxhash64(doc_id), 4) = 0"), ledger)
+    return secrets.digest(secrets.secrets_by_path(docs, ledger))
 
 
 def _secret_matches(rule: secrets.Rule, rank: int) -> str:

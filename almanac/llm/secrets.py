@@ -83,30 +83,24 @@ def _matches(rule: Rule):
 
 
 def unseen_blobs(versions: DataFrame, known: DataFrame, rules, text: str) -> DataFrame:
-    """(blob, text, todo): each content once, with the rule versions it was not scanned with."""
+    """(blob, text, todo): each content once, with the rule versions it was not scanned with; none if all are known.
+
+    Equal contents are merged before the shuffle, which the ledger joins by the same key.
+    """
     keys = [r.key for r in rules]
     seen = known.filter(F.col("rule").isin(keys)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-    rows = versions.select(text_of(text).alias("text")).withColumn("blob", F.sha2("text", 256))
+    rows = versions.select(text_of(text).alias("text")).groupBy(F.sha2("text", 256).alias("blob"))
     wanted = F.array(*[F.lit(k) for k in keys])
-    done = seen.filter(F.size("seen") == len(keys)).select("blob")
-    once = rows.join(done, "blob", "left_anti").groupBy("blob").agg(F.first("text").alias("text"))
-    partly = seen.filter(F.size("seen") < len(keys))
-    return once.join(partly, "blob", "left").select(
-        "blob", "text", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo")
-    )
+    once = rows.agg(F.first("text").alias("text")).join(seen, "blob", "left")
+    todo = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
+    return once.select("blob", "text", todo.alias("todo")).filter(F.size("todo") > 0)
 
 
 def scan(versions: DataFrame, ledger: str, rules=RULES, text: str = "text") -> None:
     """Scans what the ledger lacks and appends it. A failed or repeated run does no harm: files of a failed job are
     not visible, and a pair that was recorded twice has equal spans."""
     spark = versions.sparkSession
-    known = read_ledger(spark, ledger)
-    if known.isEmpty():
-        keys = F.array(*[F.lit(r.key) for r in rules])
-        rows = versions.select(text_of(text).alias("text")).groupBy(F.sha2("text", 256).alias("blob"))
-        todo = rows.agg(F.first("text").alias("text")).withColumn("todo", keys)
-    else:
-        todo = unseen_blobs(versions, known, rules, text)
+    todo = unseen_blobs(versions, read_ledger(spark, ledger), rules, text)
     each = F.array(
         *[
             F.struct(

@@ -3,7 +3,7 @@ import random
 import re
 
 
-from almanac.llm import secrets
+from almanac.llm import queries, secrets
 
 ASSIGN = r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BRUTE = (("assign", ASSIGN, re.I | re.A, 2, 6), ("access", r"(AKIA[A-Z0-9]+)", 0, 1, 20), ("hex", r"([0-9a-f]+)", 0, 1, 24))
@@ -84,3 +84,26 @@ def test_redact(spark, docs_of):
 def test_empty(spark, docs_of):
     assert secrets.secrets_by_path(docs_of(), secrets.new_ledger(spark)).count() == 0
     assert secrets.redact(docs_of(), secrets.new_ledger(spark)).count() == 0
+
+
+def test_every_scan_looks_up_the_ledger(spark, docs_of, monkeypatch):
+    looked, lookup = [], secrets.unseen_blobs
+    monkeypatch.setattr(secrets, "unseen_blobs", lambda *a: looked.append(1) or lookup(*a))
+    ledger = secrets.new_ledger(spark)
+    rows = docs_of("token=abcdefg", "same", "same", None)
+    for n in (1, 2):
+        secrets.scan(rows, ledger)
+        assert len(looked) == n and secrets.read_ledger(spark, ledger).count() == 3 * 3
+
+
+def test_the_query_meets_a_filled_ledger(spark, monkeypatch):
+    known, lookup = [], secrets.unseen_blobs
+    monkeypatch.setattr(secrets, "unseen_blobs", lambda v, k, *a: known.append(k.count()) or lookup(v, k, *a))
+    ledgers, fresh = [], secrets.new_ledger
+    monkeypatch.setattr(secrets, "new_ledger", lambda s: ledgers.append(fresh(s)) or ledgers[-1])
+    got = {r.doc_id: tuple(r)[1:] for r in queries.QUERIES["op4_secrets"](spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    assert got == {r.doc_id: expected(r.text) for r in docs}
+    assert len(known) == 2 and known[0] == 0 < known[1]
+    pairs = secrets.read_ledger(spark, ledgers[0])
+    assert pairs.count() == pairs.select("blob", "rule").distinct().count() == 3 * len({r.text or "" for r in docs})
