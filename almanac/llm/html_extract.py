@@ -58,6 +58,9 @@ MARKS = frozenset(
     "search menu privacy rights reserved".split()
 )
 
+#: In a block with fewer marks than one in so many words, a mark is a feature of its own.
+WORDS_PER_MARK = 40
+
 _NAME = re.compile(r"[a-z0-9]+")
 _HUMP = re.compile(r"([a-z0-9])([A-Z])")
 _TITLE_END = re.compile(r"</title\s*>", re.I)
@@ -188,7 +191,9 @@ def features(block: Block, place: int, total: int) -> set[str]:
     out.add("ends:" + ("mark" if block.text[-1] in ".!?:;\"')" else "bare"))
     if "©" in block.text:
         out.add("mark:copyright-sign")
-    out.update(f"mark:{w}" for w in {w.strip(".,:;!?()") for w in words[:40]} & MARKS)
+    marks = [w for w in (w.strip(".,:;!?()") for w in words) if w in MARKS]
+    kind = "mark" if len(words) <= WORDS_PER_MARK * len(marks) else "thin"
+    out.update(f"{kind}:{w}" for w in marks)
     if place == 0:
         out.add("place:first")
     if place == total - 1:
@@ -332,7 +337,12 @@ class _Maker:
 
     def prose(self, label: int, least: int, most: int, tag: str = "p"):
         for _ in self.some(least, most):
-            self.block(tag, self.words(3, 60), label)
+            text = self.words(3, 60)
+            if self.chance(0.04):  # long prose may hold such a word; a long notice holds more of them, at any place
+                text = " ".join([text, *(self.words(45, 60) for _ in range(2))])
+                for _ in range(1 if label else 5):
+                    text = f"{text} {self.pick(sorted(MARKS))} {self.words(3, 9)}"
+            self.block(tag, text, label)
 
     def links(self, n: int):
         def items():

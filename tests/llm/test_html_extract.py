@@ -100,3 +100,11 @@ def test_embedded_content(model):
     assert he.main_text(model, f"<html><body>{notice}{ARTICLE.format('')}") == SAID
     hidden = "<template><p>No</p></template><script>no</script><style>no{}</style><svg><title>no</title></svg>"
     assert he.main_text(model, f"<html><body>{ARTICLE.format(hidden)}") == SAID
+
+
+def test_marks_of_the_whole_block():
+    plain = "word " * 70
+    seen = lambda text: {f for f in he.features(he.Block(text, 0, ["p"], []), 1, 9) if f.startswith(("mark:", "thin:"))}
+    assert seen(plain + "Copyright, all rights reserved.") == {"mark:copyright", "mark:rights", "mark:reserved"}
+    assert seen(plain + "cookies") == {"thin:cookies"} and seen("word " * 39 + "cookies") == {"mark:cookies"}
+    assert seen(plain) == set()
