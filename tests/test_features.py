@@ -3,8 +3,8 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import hourly
 from pyspark.sql import functions as F
+from rows import hourly
 
 from almanac.operators import series
 from almanac.operators.frames import Lag, Rolling, with_frames

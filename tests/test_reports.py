@@ -1,8 +1,8 @@
 from datetime import date
 
 import pytest
-from conftest import hourly
 from pyspark.sql import functions as F
+from rows import hourly
 
 from almanac.plans import reports
 from almanac.plans.features import feature_store
