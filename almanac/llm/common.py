@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +32,15 @@ def text_of(column: str = "text"):
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder and read back: cuts lineage, survives lost executors."""
     return materialise(df, f"llm-{name}")
+
+
+def spare_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Names for helper columns that no given column has, whatever the case of its letters."""
+    used = {c.lower() for c in taken}
+    names = []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        names.append(name)
+    return names

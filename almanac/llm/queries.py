@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almanac.llm import (
     chat_format,
     decontaminate,
     html_extract,
+    lexical_search,
     licenses,
     packing,
+    periodic_runs,
     quality,
     secrets,
     simhash,
     token_counts,
     toxicity,
+    url_filter,
 )
-from almanac.llm.common import read_table
+from almanac.llm.common import read_table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +146,93 @@ def op9_html_extract(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@F.pandas_udf(T.StringType())
+def _planted(doc_ids: pd.Series, texts: pd.Series) -> pd.Series:
+    """Every tenth document, by checksum of its id, repeats a stretch of its words from some word on."""
+
+    def one(doc_id, text: str) -> str:
+        h = zlib.crc32(str(doc_id).encode())
+        if doc_id is None or h % 10:
+            return text
+        words, g = periodic_runs.words_of(text), h // 10
+        n = len(words)
+        if not n:
+            return text
+        first = g % n
+        period = 1 + (n - first) // (3 + g % 8)
+        return " ".join(words[:first] + [words[first + i % period] for i in range(n - first)])
+
+    return pd.Series([one(i, t) for i, t in zip(doc_ids, texts, strict=True)], dtype="object")
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = docs.select("doc_id", _planted(F.col("doc_id").cast("string"), text_of()).alias("text"))
+    return periodic_runs.digest(periodic_runs.find_runs(planted))
+
+
+# Host, path and verdict of the rules.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op12_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+ORACLES["op12_url_filter"] = f"""
+with rules(rule_host, rule_path, rule_verdict) as (values {", ".join(map(str, URL_RULES))}),
+split as (
+    select page_id, coalesce(url, '') as u,
+        translate(regexp_extract(u, '://([^/?#]*)', 1), '{url_filter._UPPER}', '{url_filter._UPPER.lower()}') as host,
+        regexp_extract(u, '://[^/?#]*([^?#]*)', 1) as path
+    from pages),
+judged as (
+    select page_id, host, path, (
+        select max(struct_pack(n := length(rule_host || rule_path), r := rule_host || rule_path, v := rule_verdict))
+        from rules
+        where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)) as best
+    from split)
+select page_id, host, path, best.r as rule, coalesce(best.v, 'allow') as verdict from judged
+"""
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def _terms(table: str, key: str) -> str:
+    lowered = f"translate(coalesce(text, ''), '{url_filter._UPPER}', '{url_filter._UPPER.lower()}')"
+    return f"select {key}, unnest(regexp_extract_all({lowered}, '{lexical_search.SEPARATORS}')) as term from {table}"
+
+
+ORACLES["op13_lexical_search"] = f"""
+with words as ({_terms("documents", "doc_id")}),
+asked as (select distinct item_id, term from ({_terms("benchmark", "item_id")})),
+lengths as (select doc_id, count(*) as n from words group by doc_id),
+size as (select count(*) as docs, cast(sum(n) as bigint) as total from lengths),
+tfs as (select doc_id, term, count(*) as tf from words where term in (select term from asked) group by doc_id, term),
+dfs as (select term, count(*) as df from tfs group by term),
+impacts as (
+    select doc_id, term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint)
+        * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))) as impact
+    from tfs join dfs using (term) join lengths using (doc_id) cross join size),
+scores as (
+    select item_id, doc_id, cast(sum(impact) as bigint) as score
+    from asked join impacts using (term) group by item_id, doc_id having sum(impact) > 0)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank,
+    doc_id, score
+from scores
+qualify rank <= 50
+"""
