@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,27 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"NULL values in columns: {sorted(failed)}")
 
 
+def not_null_counters(columns: Sequence[str]) -> dict[str, Column]:
+    """Missing values per column, as aggregates to be taken of rows on their way."""
+    return {f"{c}_missing": F.count_if(F.col(c).isNull()) for c in columns}
+
+
+def refuse_nulls(counted: dict[str, int], columns: Sequence[str]) -> None:
+    """Fail if counters that were taken on the way saw a missing value."""
+    if failed := sorted(c for c in columns if counted[f"{c}_missing"]):
+        raise ValueError(f"NULL values in columns: {failed}")
+
+
+def _outcomes(flag: str) -> dict[str, Column]:
+    value = F.col(flag)
+    return {"invalid": F.count_if(value), "valid": F.count_if(~value), "unknown": F.count_if(value.isNull())}
+
+
+def rule_counters(flags: Sequence[str]) -> dict[str, Column]:
+    """Rows per flag by truth value, as aggregates to be taken of rows on their way."""
+    return {f"{f}_{outcome}": count for f in flags for outcome, count in _outcomes(f).items()}
+
+
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
     if not duplicate_keys(df, keys).isEmpty():
         raise ValueError(f"Rows are not unique on {list(keys)}")
@@ -41,16 +62,7 @@ def tests_report(df: DataFrame, not_null: Sequence[str], unique: Sequence[str])
 
 def rule_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Rows per flag by truth value."""
-    wide = df.agg(
-        *[
-            F.struct(
-                F.count_if(F.col(f)).alias("invalid"),
-                F.count_if(~F.col(f)).alias("valid"),
-                F.count_if(F.col(f).isNull()).alias("unknown"),
-            ).alias(f)
-            for f in flags
-        ]
-    )
+    wide = df.agg(*[F.struct(*[n.alias(o) for o, n in _outcomes(f).items()]).alias(f) for f in flags])
     return wide.unpivot([], list(flags), "rule", "n").select("rule", "n.invalid", "n.valid", "n.unknown")
 
 

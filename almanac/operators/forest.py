@@ -6,6 +6,7 @@ the table size. The grown trees are a small table that every scoring task receiv
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -59,6 +60,11 @@ def share_of(*columns) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def node_share(*parts: int) -> float:
+    """``share_of`` of whole numbers, outside of a query."""
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:13], 16) / (1 << 52)
+
+
 # How many more rows than needed are drawn for a tree, so that every tree is filled.
 SPARE = 1.6
 
@@ -69,21 +75,26 @@ def tree_samples(
     """``size.sample`` rows for every tree (all rows of a smaller table), drawn by key hash.
 
     Trees draw independently: each takes a row with probability p, a little more than it needs, and keeps the rows
-    of least hash. Most rows of a large table are in no tree, so one hash per row decides first whether it is in any,
-    and which is its first (the position of a first success, given that there is one); the trees after that one are
-    then tried in turn. The draw depends on the keys alone, which must be unique, not on partitioning.
+    of least hash. From one tree that holds a row to the next it is a geometric jump, so a row costs one hash to find
+    its first tree, which most rows of a large table do not have, and one for each tree it is in. The draw depends on
+    the keys alone, which must be unique, not on partitioning.
     """
     rows = df.select(*key, *extra)
     every = F.sequence(F.lit(0), F.lit(size.trees - 1))
     p = min(1.0, SPARE * size.sample / max(n_rows, 1))
-    seed = F.lit(size.seed)
     if p < 1.0:
+        seed = F.lit(size.seed)
+        passed_over = lambda u: F.floor(F.log1p(-u) / F.lit(math.log1p(-p)))
         none = math.exp(size.trees * math.log1p(-p))  # in no tree at all
         rows = rows.withColumn("_u", share_of(seed, *key)).filter(F.col("_u") < F.lit(1.0 - none))
-        first = F.least(F.floor(F.log1p(-F.col("_u")) / F.lit(math.log1p(-p))), F.lit(size.trees - 1)).cast("int")
-        rows = rows.withColumn("_first", first)
-        later = F.filter(every, lambda t: (t > F.col("_first")) & (share_of(seed, t, *key) < F.lit(p)))
-        every = F.concat(F.array("_first"), later)
+
+        def step(found, _):
+            after = found["tree"] + 1 + passed_over(share_of(seed, found["tree"], *key))
+            taken = F.concat(found["taken"], F.array(found["tree"].cast("int")))
+            return F.when(found["tree"] < size.trees, F.struct(taken.alias("taken"), after.alias("tree"))).otherwise(found)
+
+        start = F.struct(F.array().cast("array<int>").alias("taken"), F.least(passed_over(F.col("_u")), F.lit(size.trees - 1)).alias("tree"))
+        every = F.aggregate(every, start, step, lambda found: found["taken"])
     drawn = rows.withColumn("tree", F.explode(every)).withColumn("_draw", share_of(F.lit(size.seed + 1), "tree", *key))
     order = Window.partitionBy("tree").orderBy("_draw", *key)
     ranked = drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size.sample)
@@ -96,7 +107,8 @@ def grow_trees(
     """One node table row per node; ``values`` is an array column of the model inputs.
 
     Splits do not depend on the unit of an input; ``scales`` (deviations) only tell which inputs
-    vary at all.
+    vary at all. A node's input and threshold follow from a hash of seed, tree and node, so that the same trees can
+    be grown anywhere.
     """
     seed, limit, least = size.seed, size.depth(per_tree), NO_SPREAD * np.asarray(scales)
 
@@ -104,7 +116,6 @@ def grow_trees(
         rows = rows.sort_values("_rank")
         tree = int(rows["tree"].iloc[0])
         x = np.array(rows[values].tolist(), dtype=np.float64)
-        rng = np.random.default_rng([seed, tree])
         out = []
         todo = [(0, 0, np.arange(len(x)))]
         while todo:
@@ -114,8 +125,8 @@ def grow_trees(
             if depth == limit or len(at) <= 1 or len(splittable) == 0:
                 out.append((tree, node, -1, 0.0, len(at), depth))
                 continue
-            feature = int(rng.choice(splittable))
-            threshold = float(rng.uniform(low[feature], high[feature]))
+            feature = int(splittable[int(node_share(seed, tree, node, 0) * len(splittable))])
+            threshold = float(low[feature] + node_share(seed, tree, node, 1) * (high[feature] - low[feature]))
             left = x[at, feature] <= threshold
             out.append((tree, node, feature, threshold, len(at), depth))
             todo.append((2 * node + 2, depth + 1, at[~left]))

@@ -42,7 +42,11 @@ class SeriesProfile:
 
 def profile_series(df: DataFrame, keys: Sequence[str], piece_rows: int = DEFAULT_PIECE_ROWS) -> SeriesProfile:
     """One pass over the key columns; a superset of the rows also serves (it only cuts earlier)."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return profile_of_sizes(df.groupBy(*keys).agg(F.count("*").alias("n")), piece_rows)
+
+
+def profile_of_sizes(sizes: DataFrame, piece_rows: int = DEFAULT_PIECE_ROWS) -> SeriesProfile:
+    """The same from a table with the number of rows ``n`` of each series."""
     row = sizes.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max("n").alias("top")).first()
     total = row.n or 0
     return SeriesProfile(row.k, total, row.top or 0, max(piece_rows, math.ceil(total / MOST_PIECES)))

@@ -33,12 +33,16 @@ WEATHER_RULES = (
 )
 
 
-def with_flags(df: DataFrame, rules=WEATHER_RULES, combined: str = "is_quality_anomaly") -> DataFrame:
+COMBINED = "is_quality_anomaly"
+FLAGS = [*[r.flag for r in WEATHER_RULES], COMBINED]
+
+
+def with_flags(df: DataFrame, rules=WEATHER_RULES, combined: str = COMBINED) -> DataFrame:
     """One flag per rule, and one that is TRUE if any is TRUE, else NULL if any is NULL."""
     flagged = df.withColumns({r.flag: r.expression() for r in rules})
     return flagged.withColumn(combined, reduce(or_, [F.col(r.flag) for r in rules]))
 
 
-def valid_only(df: DataFrame, combined: str = "is_quality_anomaly") -> DataFrame:
+def valid_only(df: DataFrame, combined: str = COMBINED) -> DataFrame:
     """Rows known to be valid; an unknown (NULL) flag does not pass."""
     return df.filter(~F.col(combined))

@@ -68,6 +68,7 @@ CALENDAR = [
 ]
 SEASON = ["city_id", "month", "hour_of_day"]
 SEASONS_PER_SERIES = 12 * 24
+CELL_MONTH = "cell_month"
 SEASONAL = [f"city_month_hour_{fn}_{short}" for short in MEASURES for fn in ("avg", "std")]
 
 # Frames and lags, in the order of the stored table.
@@ -151,21 +152,77 @@ def with_seasonal_scores(df: DataFrame) -> DataFrame:
     )
 
 
-def feature_store(
-    silver: DataFrame, profile: SeriesProfile | None = None, seasonal: DataFrame | None = None
-) -> DataFrame:
-    """All features of the valid silver rows.
+def frame_rows(silver: DataFrame, profile: SeriesProfile | None = None) -> DataFrame:
+    """The valid silver rows with their frames and lags: what a stored feature table keeps of each row.
 
-    ``seasonal`` gives the valid rows behind the seasonal figures, if they are not those of ``silver``.
     ``profile`` sizes the series (``profile_series``); pass one taken from a cheaper superset of
-    the rows to spare a pass. Columns nobody reads are pruned, with their windows and the join.
+    the rows to spare a pass.
     """
     valid = valid_only(silver).select(*BASE)
     profile = profile or profile_series(valid, SERIES)
     framed = with_frames(valid, SERIES, TIME, ROLLING_24H + ROLLING_7D, LAGS, profile)
-    cells = valid if seasonal is None else seasonal.select(*BASE)
-    series = profile.n_series if seasonal is None else None  # other rows may have more stations
-    placed = with_seasonal(with_calendar(framed), with_calendar(cells), series)
+    return framed.select(*BASE, *WINDOW_COLUMNS)
+
+
+def _in_order(placed: DataFrame) -> DataFrame:
+    """The derived columns added, all columns in the order of the contract."""
     derived = with_seasonal_scores(with_changes(placed))
     leading = [*BASE, *WINDOW_COLUMNS, *CALENDAR, *SEASONAL]
     return derived.select(*leading, *[c for c in derived.columns if c not in leading])
+
+
+def feature_store(silver: DataFrame, profile: SeriesProfile | None = None) -> DataFrame:
+    """All features of the valid silver rows. Columns nobody reads are pruned, with their windows and the join."""
+    valid = valid_only(silver).select(*BASE)
+    profile = profile or profile_series(valid, SERIES)
+    framed = frame_rows(silver, profile)
+    return _in_order(with_seasonal(with_calendar(framed), with_calendar(valid), profile.n_series))
+
+
+def seasonal_cells(valid: DataFrame) -> DataFrame:
+    """Count, mean and squared deviations of every measure per series, month of year, hour of day and calendar month.
+
+    Cells of different calendar months merge to those of all their rows (``merged_cells``), so a changed month asks
+    for its own cells only.
+    """
+    count, mean = "count({c})", "avg({c})"
+    squares = "coalesce(var_pop({c}), 0D) * count({c})"
+    parts = {"n": count, "mean": mean, "m2": squares}
+    figures = [F.expr(e.format(c=c)).alias(f"{k}_{short}") for short, c in MEASURES.items() for k, e in parts.items()]
+    dated = with_calendar(valid).withColumn(CELL_MONTH, F.date_format(TIME, "yyyy-MM"))
+    return dated.groupBy(CELL_MONTH, *SEASON).agg(*figures)
+
+
+def merged_cells(cells: DataFrame) -> DataFrame:
+    """The seasonal figures per series, month of year and hour of day, from the cells of all calendar months.
+
+    A group has one cell a year. They are merged in order of time, so that equal cells give equal figures.
+    """
+    fields = [f"{k}_{short}" for short in MEASURES for k in ("n", "mean", "m2")]
+    years = F.array_sort(F.collect_list(F.struct(CELL_MONTH, *fields))).alias("years")
+    grouped = cells.groupBy(*SEASON).agg(years)
+    merged = [F.expr(_merged(short)).alias(f"_{short}") for short in MEASURES]
+    figures = []
+    for short in MEASURES:
+        n, mean, m2 = (f"_{short}.{k}" for k in ("n", "mean", "m2"))
+        figures.append(f"CASE WHEN {n} > 0D THEN {mean} END AS city_month_hour_avg_{short}")
+        figures.append(f"CASE WHEN {n} > 1D THEN sqrt({m2} / ({n} - 1D)) END AS city_month_hour_std_{short}")
+    return grouped.select(*SEASON, *merged).selectExpr(*SEASON, *figures)
+
+
+def _merged(short: str) -> str:
+    """Count, mean and squared deviations of the rows of all cells in ``years``, joined one after the other."""
+    cell = f"double(y.n_{short}) AS n, coalesce(y.mean_{short}, 0D) AS mean, y.m2_{short} AS m2"
+    return f"""aggregate(
+        transform(years, y -> struct({cell})),
+        struct(0D AS n, 0D AS mean, 0D AS m2),
+        (a, y) -> CASE WHEN y.n = 0D THEN a ELSE struct(
+            a.n + y.n AS n,
+            a.mean + (y.mean - a.mean) * y.n / (a.n + y.n) AS mean,
+            a.m2 + y.m2 + (y.mean - a.mean) * (y.mean - a.mean) * a.n * y.n / (a.n + y.n) AS m2) END)"""
+
+
+def features_of(frames: DataFrame, cells: DataFrame) -> DataFrame:
+    """All features from stored frame rows and stored seasonal cells."""
+    placed = with_calendar(frames).join(merged_cells(cells), SEASON, "left")
+    return _in_order(placed)

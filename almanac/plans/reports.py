@@ -6,14 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.display import shown
 from almanac.functions.temporal import local_time
 from almanac.operators.latest import latest_wins
-from almanac.plans.models import FEATURES
-from almanac.sources.tables import read_period
+from almanac.plans.features import with_calendar
+from almanac.plans.models import FRAMES
+from almanac.sources.tables import Snapshot, snapshot
 
 LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 LOCAL_TIME = "timestamp_ict"
@@ -73,8 +74,9 @@ def observations(features: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
 def stored_selection(spark: SparkSession, root: str, selection: Selection, zone: str = LOCAL_ZONE) -> DataFrame:
     """``selected`` on the stored feature table: only the folders of the wanted months are read."""
     low, high = selection.bounds
-    features = read_period(spark, root, FEATURES, low - ONE_DAY, high + ONE_DAY)
-    return selected(observations(features, zone), selection)
+    state = snapshot(spark, root)
+    months = state.months_between(FRAMES, low - ONE_DAY, high + ONE_DAY)
+    return selected(observations(with_calendar(state.read(FRAMES, months)), zone), selection)
 
 
 def date_bounds(obs: DataFrame, days: int = 30) -> DataFrame:
@@ -120,17 +122,63 @@ def _newest_first() -> list[Column]:
 def trailing_hours(city_obs: DataFrame, hours: int = 24) -> DataFrame:
     """Readings of one city no older than ``hours`` before its latest one, both ends included.
 
-    The latest time is taken over the city's rows as they pass, so that they are computed once.
+    The latest time is one row, found by an aggregation, so the city's history is never gathered in one task. On a
+    stored table use ``stored_trailing``, which reads its newest months only.
     """
-    latest = F.max(LOCAL_TIME).over(Window.partitionBy("city_name"))
+    latest = city_obs.agg(F.max(LOCAL_TIME).alias("_latest"))
     since = F.col("_latest") - F.expr(f"interval {int(hours)} hours")
-    return city_obs.withColumn("_latest", latest).filter(F.col(LOCAL_TIME) >= since).drop("_latest")
+    return city_obs.join(F.broadcast(latest), F.col(LOCAL_TIME) >= since).drop("_latest")
+
+
+class StoredCity:
+    """The readings of one city and selection on the stored feature table, looked for from the newest month backwards.
+
+    Months follow each other, so once the newest months hold the wanted number of rows, older ones cannot matter.
+    """
+
+    def __init__(self, state: Snapshot, city: str, selection: Selection, zone: str = LOCAL_ZONE):
+        self.state, self.city, self.selection, self.zone = state, city, selection, zone
+        low, high = selection.bounds
+        self.months = state.months_between(FRAMES, low - ONE_DAY, high + ONE_DAY)
+
+    def rows(self, months: Sequence[str]) -> DataFrame:
+        obs = observations(with_calendar(self.state.read(FRAMES, months)), self.zone)
+        return of_city(selected(obs, self.selection), self.city)
+
+    def newest_months(self, wanted: int, known: str = LOCAL_TIME) -> list[str]:
+        """The newest months that together hold so many rows with a known value, or all of them; twice as many months
+        are looked at in each step as in the one before."""
+        left, months, step, found = self.months, [], 1, 0
+        while left and found < wanted:
+            left, part = left[:-step], left[-step:]
+            months, step = part + months, 2 * step
+            found += self.rows(part).filter(_is_known(known)).limit(wanted).count()
+        return months
+
+    def trailing_hours(self, hours: int = 24) -> DataFrame:
+        """``trailing_hours`` of the city's rows."""
+        newest = self.newest_months(1)
+        latest = self.rows(newest).agg(F.max("timestamp_utc")).first()[0]
+        if latest is None:
+            return self.rows([])
+        since = latest - timedelta(hours=hours)
+        months = [m for m in self.months if f"{since:%Y-%m}" <= m <= f"{latest:%Y-%m}"]
+        return self.rows(months).filter(F.col("timestamp_utc") >= F.lit(since).cast("timestamp_ntz"))
+
+    def latest_change(self, column: str) -> DataFrame:
+        """``latest_change`` of the city's rows."""
+        return latest_change(self.rows(self.newest_months(2, column)), column)
+
+
+def _is_known(column: str) -> Column:
+    known = F.col(column).isNotNull()
+    return known if column == LOCAL_TIME else known & ~F.isnan(column)
 
 
 def latest_change(city_obs: DataFrame, column: str) -> DataFrame:
     """Difference between the last two known values, and its label; NULL with fewer than two."""
     last_two = (
-        city_obs.filter(F.col(column).isNotNull() & ~F.isnan(column))
+        city_obs.filter(_is_known(column))
         .orderBy(*_newest_first())
         .limit(2)
         .select(column, *NEWEST_FIRST)

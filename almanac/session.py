@@ -6,6 +6,8 @@ import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(*jobs: Callable[[], object]) -> list:
+    """Run independent jobs side by side, as small ones leave executors idle; the first error of any is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]

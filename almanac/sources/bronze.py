@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 from functools import reduce
-from urllib.parse import unquote, urlsplit
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.schemas import BRONZE, BRONZE_PARTITIONS, OBSERVATION
-from almanac.session import materialise
 
 FOLDER = "bronze/weather"
 # Columns in which a value of another kind fails the read.
 HARD = ("city_id", "lat", "lon")
-# Settings of the session's S3 connector that reading footers needs.
-S3_SETTINGS = ("access.key", "secret.key", "endpoint", "connection.ssl.enabled")
 
 
 def with_lineage(rows: DataFrame, source: str, instant: datetime) -> DataFrame:
@@ -68,62 +65,61 @@ def stored_schema() -> T.StructType:
     return T.StructType(fields + [T.StructField(p, T.StringType()) for p in BRONZE_PARTITIONS])
 
 
-def _file_schemas(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, schema) per Parquet file, from the footers, read once by the tasks and stored.
+#: Schemas of files that do not agree are read so many at a time.
+THREADS = 16
 
-    Local and S3 files are opened at their footers, S3 with the session's own endpoint and keys; files of any other
-    file system come through Spark's reader.
+
+def _children(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The folders and the Parquet files directly below a path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    shown = [s for s in found if s.getPath().getName()[0] not in "._"]
+    names = lambda folders: [s.getPath().toString() for s in shown if s.isDirectory() == folders]
+    return sorted(names(True)), sorted(n for n in names(False) if n.endswith(".parquet"))
+
+
+def _common_schema(spark: SparkSession, base: str, paths: Sequence[str]) -> T.StructType | None:
+    """The schema of all files below the paths, from their footers, or None if their types do not agree.
+
+    Spark reads the footers in a job of its own, by the session's file system, and only the last bytes of each file.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(list(paths))
-    )
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    setting = {k: hadoop.get(f"fs.s3a.{k}") for k in S3_SETTINGS}
-    direct = all(re.match(r"file:|/|s3a?://", p) for p in paths)
-    files = files.select("path", F.lit(None).cast("binary").alias("content")) if direct else files.select("path", "content")
-
-    def footers(batches):
-        import pandas as pd
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        def schema_of(uri, content):
-            if content is not None:
-                return pq.read_schema(pa.BufferReader(content))
-            name = unquote(urlsplit(uri).path)
-            if uri.startswith("file:") or uri.startswith("/"):
-                return pq.read_schema(name)
-            system = fs.S3FileSystem(
-                access_key=setting["access.key"],
-                secret_key=setting["secret.key"],
-                endpoint_override=setting["endpoint"],
-                scheme="http" if setting["connection.ssl.enabled"] == "false" else "https",
-            )
-            return pq.read_schema(urlsplit(uri).netloc + name, filesystem=system)
-
-        for batch in batches:
-            schemas = [schema_of(*row) for row in zip(batch["path"], batch["content"], strict=True)]
-            names = [json.dumps(sorted([f.name, str(f.type)] for f in s)) for s in schemas]
-            yield pd.DataFrame({"path": batch["path"], "schema": names})
-
-    return materialise(files.mapInPandas(footers, "path string, schema string"), "footers")
-
-
-def _units(files: DataFrame) -> DataFrame:
-    """What to scan per schema: whole folders where all files agree, single files elsewhere."""
-    placed = files.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
-    folders = placed.groupBy("folder").agg(
-        F.min("schema").alias("schema"), F.max("schema").alias("other")
-    )
-    agreed = folders.filter("schema = other").select("schema", F.col("folder").alias("unit"))
-    mixed = folders.filter("schema <> other").select("folder")
-    return agreed.unionByName(
-        placed.join(mixed, "folder", "left_semi").select("schema", F.col("path").alias("unit"))
-    )
+    try:
+        return spark.read.option("basePath", base).option("mergeSchema", True).parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as error:  # the second for errors of the job that reads the footers
+        found = error.java_exception if isinstance(error, Py4JJavaError) else error
+        if found.getCondition() not in ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE"):
+            raise
+        return None
+
+
+def _agreeing_files(spark: SparkSession, base: str, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files of one folder or batch that do not agree, by their schemas."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        schemas = list(pool.map(lambda f: _common_schema(spark, base, [f]), files))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for file, schema in zip(files, schemas, strict=True):
+        groups.setdefault(schema.json(), (schema, []))[1].append(file)
+    return list(groups.values())
+
+
+def _agreeing(spark: SparkSession, base: str, path: str) -> list[tuple[T.StructType, list[str]]]:
+    """What to scan together: the path as a whole if all of its files agree, else the same of what lies below it."""
+    schema = _common_schema(spark, base, [path])
+    if schema is not None:
+        return [(schema, [path])]
+    folders, files = _children(spark, path)
+    groups = [group for folder in folders for group in _agreeing(spark, base, folder)]
+    groups += _agreeing_files(spark, base, files)
+    joined: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, paths in groups:
+        joined.setdefault(schema.json(), (schema, []))[1].extend(paths)
+    return list(joined.values())
+
+
+def _together(spark: SparkSession, base: str, groups: list, extra: Sequence[str] = ()) -> DataFrame:
+    """One scan per group, as one canonical frame."""
+    scans = [spark.read.schema(schema).option("basePath", base).parquet(*sorted(paths)) for schema, paths in groups]
+    return reduce(DataFrame.unionByName, [_as_canonical(s, extra) for s in scans])
 
 
 def _as_canonical(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -148,30 +144,20 @@ def _as_canonical(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 def read_files(spark: SparkSession, root: str, paths: list[str], extra: Sequence[str] = ()) -> DataFrame:
     """Some files of the lake as one canonical frame, one scan per distinct schema; ``extra`` names more columns."""
     base = f"{root.rstrip('/')}/{FOLDER}"
-    units: dict[str, list[str]] = {}
-    for row in _file_schemas(spark, *paths).collect():  # the files that were asked for
-        units.setdefault(row.schema, []).append(row.path)
-    scans = [spark.read.option("basePath", base).parquet(*sorted(u)) for _, u in sorted(units.items())]
-    return reduce(DataFrame.unionByName, [_as_canonical(s, extra) for s in scans])
+    schema = _common_schema(spark, base, paths)
+    groups = [(schema, paths)] if schema is not None else _agreeing_files(spark, base, paths)
+    return _together(spark, base, groups, extra)
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """The whole lake as one canonical frame, whatever physical types its files have.
 
-    Files of other writers may disagree on types (whole numbers here, decimals there, a column
-    without any value), which one Parquet scan refuses. They are therefore grouped by their
-    footer schema, one scan per distinct schema. The driver sees folder names, and file names
-    only of folders whose files disagree.
+    Files of other writers may disagree on types (whole numbers here, decimals there), which one Parquet scan refuses.
+    Where they do, the folders below are looked at one by one, down to the files of a folder, and there is one scan
+    for each distinct schema. The driver sees folder names, and file names only of folders whose files disagree.
     """
     path = f"{root.rstrip('/')}/{FOLDER}"
-    files = _file_schemas(spark, path)
-    if files.agg(F.min("schema") == F.max("schema")).first()[0]:
-        return _as_canonical(spark.read.parquet(path))
-    units: dict[str, list[str]] = {}
-    for row in _units(files).collect():
-        units.setdefault(row.schema, []).append(row.unit)
-    scans = [spark.read.option("basePath", path).parquet(*sorted(u)) for _, u in sorted(units.items())]
-    return reduce(DataFrame.unionByName, [_as_canonical(s) for s in scans])
+    return _together(spark, path, _agreeing(spark, path, path))
 
 
 def read_bronze_uniform(spark: SparkSession, root: str) -> DataFrame:

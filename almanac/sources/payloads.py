@@ -67,9 +67,30 @@ def read_history(payloads: DataFrame) -> DataFrame:
     return parsed.select(*payloads.columns, hours.alias("h"), usable.alias("usable"))
 
 
+def usable_history(payloads: DataFrame) -> DataFrame:
+    """The payload rows that can be parsed, as they came: for callers who keep the others (``unusable_history``)."""
+    return read_history(payloads).filter("usable").select(*payloads.columns)
+
+
+def unusable_history(payloads: DataFrame) -> DataFrame:
+    """The payload rows that cannot be parsed, as they came, to be set aside and fetched again."""
+    return read_history(payloads).filter("not usable").select(*payloads.columns)
+
+
+def _only_usable(read: DataFrame, what: str) -> DataFrame:
+    """Fails the job at the first response that is not usable."""
+    station = F.coalesce(F.col("city_id").cast("string"), F.lit("NULL"))
+    refused = F.raise_error(F.concat(F.lit(f"unusable {what} response of station "), station))
+    return read.filter(F.when(F.col("usable"), True).otherwise(refused.cast("boolean")))
+
+
 def parse_history(payloads: DataFrame, registry: DataFrame) -> DataFrame:
-    """One row per hour up to the fetch time; parallel arrays are read by position."""
-    good = read_history(payloads).filter("usable")
+    """One row per hour up to the fetch time; parallel arrays are read by position.
+
+    An unusable response fails the job, so that no station's hours are lost unseen; ``failed_stations`` tells
+    beforehand which stations have one, and ``usable_history`` leaves them out.
+    """
+    good = _only_usable(read_history(payloads), "history")
     hours = F.transform(
         F.col("h.time"),
         lambda t, i: F.struct(
@@ -97,8 +118,7 @@ def parse_current(payloads: DataFrame, registry: DataFrame) -> DataFrame:
 
     An unusable response fails the job; ``failed_current`` tells beforehand which stations have one.
     """
-    refused = F.raise_error(F.concat(F.lit("unusable current response of station "), F.col("city_id").cast("string")))
-    parsed = read_current(payloads).filter(F.when(F.col("usable"), True).otherwise(refused.cast("boolean")))
+    parsed = _only_usable(read_current(payloads), "current")
     at = F.expr("timestampadd(SECOND, b.dt, timestamp_ntz'1970-01-01 00:00:00')")
     rain = F.col("b.rain")
     rows = parsed.select(

@@ -1,9 +1,10 @@
 """Incremental refresh of the model tables from newly arrived bronze files.
 
 Latest-wins is associative, so arrived rows are merged into the stored silver rows of the months they belong to, and
-corrections of any age count. What follows from a changed silver row is rewritten and nothing else: the months whose
-frames reach back to it, the months that share its month of the year (their seasonal figures), its days' events, and
-the monthly table, which has one row per station and month. A repeated batch gives the same tables.
+corrections of any age count. What follows from a changed silver row is rewritten and nothing else: its month's counts,
+seasonal cells and averages, and the frames and events of the months whose frames reach back to it. All tables change
+together, when the last of them is written; until then, and after a failure, readers see the old state. A repeated
+batch gives the same tables.
 """
 
 from __future__ import annotations
@@ -13,96 +14,97 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from almanac.operators.checks import check_not_null
+from almanac.operators.checks import refuse_nulls
 from almanac.operators.frames import lookback_of
 from almanac.operators.validity import valid_only
 from almanac.plans import models
-from almanac.plans.features import LAGS, ROLLING_7D, ROLLING_24H, feature_store
-from almanac.plans.marts import climate_changes, extreme_events_daily, monthly_climate
+from almanac.plans.features import LAGS, ROLLING_7D, ROLLING_24H, frame_rows, seasonal_cells
+from almanac.plans.marts import extreme_events_daily, monthly_climate
 from almanac.plans.silver import COLUMNS, KEYS, clean, newest
-from almanac.session import materialise
-from almanac.sources import bronze, tables
+from almanac.session import at_once, materialise
+from almanac.sources import bronze
+from almanac.sources.tables import Transaction, month_of, snapshot
 
 REACH = lookback_of(ROLLING_24H + ROLLING_7D, LAGS)
 
 
-def _months(df: DataFrame, column: str = "month") -> list[str]:
+def _months(df: DataFrame) -> list[str]:
     """Distinct months: as many as the table has folders, at most."""
-    return sorted(r[0] for r in df.select(column).distinct().collect())
+    return sorted(r[0] for r in df.select("month").distinct().collect())
 
 
-def _merge_silver(arrived: DataFrame, root: str, tiebreak: Sequence[str]) -> tuple[list[str], DataFrame]:
-    """Merge arrived rows into their months; returns the months and the station-months whose rows may have changed."""
-    spark = arrived.sparkSession
-    fresh = materialise(clean(arrived, tiebreak, keep=tiebreak), "arrived")
-    touched = fresh.select("city_id", tables.month_of(models.DAY).alias("month")).distinct()
-    months = _months(touched)
-    if months:
-        stored = tables.month_rows(spark, root, models.SILVER, months)
-        merged = materialise(newest(stored.unionByName(fresh), tiebreak), "silver")
-        check_not_null(merged, KEYS)
-        tables.replace_months(merged, root, models.SILVER, models.DAY, months)
-    return months, touched
+def _rows_between(counts: DataFrame, months: list[str], stations: DataFrame | None, back: bool) -> DataFrame:
+    """For the given months (of the given stations), the later or earlier months of the same station, with the number
+    of valid rows that lie between the two."""
+    there = counts.select("city_id", "month") if stations is None else stations
+    start = there.filter(F.col("month").isin(months)).select("city_id", F.col("month").alias("from_month"))
+    side = F.col("month") < F.col("from_month") if back else F.col("month") > F.col("from_month")
+    order = F.col("month").desc() if back else F.col("month")
+    upto = F.sum("n").over(Window.partitionBy("city_id", "from_month").orderBy(order))
+    return counts.join(start, "city_id").filter(side).select("month", (upto - F.col("n")).alias("between"))
 
 
-def _new_counts(spark: SparkSession, root: str, months: list[str]) -> DataFrame:
-    """Valid rows per station and month, the given months counted anew, stored."""
-    silver = tables.month_rows(spark, root, models.SILVER, months)
-    before = tables.read_table(spark, root, models.COUNTS).filter(~F.col("month").isin(months))
-    counts = materialise(before.unionByName(models.valid_counts(silver)), "counts")
-    return tables.write_table(counts, root, models.COUNTS)
+def reached_months(counts: DataFrame, touched: DataFrame, months: list[str]) -> list[str]:
+    """The touched months, and those that lie at most REACH valid rows behind one of the same station."""
+    return sorted({*months, *_months(_rows_between(counts, months, touched, back=False).filter(F.col("between") <= REACH))})
 
 
-def _reached(counts: DataFrame, touched: DataFrame) -> list[str]:
-    """Months of a touched station that lie fewer than REACH valid rows behind the touched one, and that one."""
-    month = touched.select("city_id", F.col("month").alias("from_month"))
-    later = counts.join(month, "city_id").filter("month >= from_month")
-    order = Window.partitionBy("city_id", "from_month").orderBy("month")
-    between = F.sum(F.when(F.col("month") > F.col("from_month"), F.col("n")).otherwise(0)).over(order) - F.when(
-        F.col("month") > F.col("from_month"), F.col("n")
-    ).otherwise(0)
-    return _months(later.withColumn("between", between).filter(F.col("between") <= REACH))
+def needed_months(counts: DataFrame, months: list[str]) -> list[str]:
+    """The given months and those before them that hold the REACH valid rows before any station's first row there."""
+    return sorted({*months, *_months(_rows_between(counts, months, None, back=True).filter(F.col("between") < REACH))})
 
 
-def _needed(counts: DataFrame, months: list[str]) -> list[str]:
-    """The given months and those before them that hold the REACH valid rows before any station's first row there."""
-    there = counts.filter(F.col("month").isin(months)).select("city_id", F.col("month").alias("to_month"))
-    earlier = counts.join(there, "city_id").filter("month < to_month")
-    order = Window.partitionBy("city_id", "to_month").orderBy(F.col("month").desc())
-    between = F.sum("n").over(order) - F.col("n")
-    return sorted({*months, *_months(earlier.withColumn("between", between).filter(F.col("between") < REACH))})
+def _merged_silver(change: Transaction, arrived: DataFrame, tiebreak: Sequence[str]) -> tuple[list[str], DataFrame]:
+    """Merge arrived rows into their months; returns the months and the station-months whose rows may have changed."""
+    fresh = materialise(clean(arrived, tiebreak, keep=tiebreak), "arrived")
+    touched = fresh.select("city_id", month_of(models.DAY).alias("month")).distinct()
+    months = _months(touched)
+    if months:
+        stored = change.read(models.SILVER, months)
+        counters = models.quality_counters()
+        before = stored.agg(*[c.alias(n) for n, c in counters.items()]).first().asDict()
+        merged = newest(stored.unionByName(fresh), tiebreak)
+        counted = change.replace_months(merged, models.SILVER, *_place(models.SILVER, months), counters)
+        refuse_nulls(counted, KEYS)
+        total = change.facts(models.SILVER)["counted"]
+        change.note(models.SILVER, counted={n: total[n] - before[n] + counted[n] for n in total})
+    return months, touched
 
 
-def _same_season(counts: DataFrame, months: list[str]) -> list[str]:
-    """All months with the month of the year of any given one."""
-    return _months(counts.filter(F.substring("month", 6, 2).isin(sorted({m[5:] for m in months}))))
+def _place(name: str, months: list[str]) -> tuple:
+    month, cluster = models.stored_under(name)
+    return month, months, cluster
 
 
 def refresh_rows(arrived: DataFrame, root: str, tiebreak: Sequence[str] = ()) -> None:
     """Bring the tables below ``root`` up to date with arrived raw rows; the first call builds them."""
     spark = arrived.sparkSession
-    if not tables.exists(spark, root, models.COUNTS):  # the last table that a full build writes
+    if not snapshot(spark, root).has(models.SILVER):
         models.build_models(arrived, root, tiebreak)
         return
-    months, touched = _merge_silver(arrived, root, tiebreak)
+    change = Transaction(spark, root)
+    months, touched = _merged_silver(change, arrived, tiebreak)
     if not months:
         return
-    counts = _new_counts(spark, root, months)
-    # months that lost all their valid rows are not in the counts, but must be emptied
-    rewritten = sorted({*months, *_reached(counts, touched), *_same_season(counts, months)})
-    seasonal = tables.month_rows(spark, root, models.SILVER, _same_season(counts, rewritten)).select(*COLUMNS)
-    series = tables.month_rows(spark, root, models.SILVER, _needed(counts, rewritten)).select(*COLUMNS)
-    made = feature_store(series, seasonal=valid_only(seasonal))
-    features = materialise(made.filter(tables.month_of(models.DAY).isin(rewritten)), "features")
-    tables.replace_months(features, root, models.FEATURES, models.DAY, rewritten)
-    events = materialise(extreme_events_daily(features), "events")
-    tables.replace_months(events, root, models.EVENTS, models.DAY, rewritten, ["city_id", models.DAY])
-
-    stored = tables.read_table(spark, root, models.MONTHLY)
-    others = stored.filter(~F.date_format("observed_month", "yyyy-MM").isin(months))
-    anew = monthly_climate(tables.month_rows(spark, root, models.SILVER, months))
-    monthly = climate_changes(others.select(*anew.columns).unionByName(anew))
-    tables.write_table(materialise(monthly, "monthly"), root, models.MONTHLY)
+
+    def replace(name: str, df: DataFrame, of: list[str]) -> None:
+        change.replace_months(df, name, *_place(name, of))
+
+    silver = change.read(models.SILVER, months)
+    at_once(
+        lambda: replace(models.COUNTS, models.valid_counts(silver), months),
+        lambda: replace(models.CELLS, seasonal_cells(valid_only(silver)), months),
+        lambda: replace(models.MONTHLY, monthly_climate(silver), months),
+    )
+
+    counts = change.read(models.COUNTS)
+    rewritten = reached_months(counts, touched, months)  # a month that lost all its valid rows must be emptied, too
+    needed = needed_months(counts, rewritten)
+    profile = models.profile_of_counts(change.read(models.COUNTS, needed))
+    framed = frame_rows(change.read(models.SILVER, needed).select(*COLUMNS), profile)
+    replace(models.FRAMES, framed.filter(month_of(models.DAY).isin(rewritten)), rewritten)
+    replace(models.EVENTS, extreme_events_daily(change.read(models.FRAMES, rewritten)), rewritten)
+    change.commit()
 
 
 def refresh_arrived(

@@ -21,6 +21,11 @@ def daily_event_counts(
     return _daily_counts(_event_time(valid_only(observations), "timestamp_utc", lateness), heavy_rain_mm, span)
 
 
+def day_counts(valid: DataFrame, heavy_rain_mm: float = 50.0, span: str = "1 day") -> DataFrame:
+    """The same of valid rows in a batch."""
+    return _daily_counts(valid.withColumn("_at", F.col("timestamp_utc").cast("timestamp")), heavy_rain_mm, span)
+
+
 def _daily_counts(timed: DataFrame, heavy_rain_mm: float, span: str) -> DataFrame:
     return (
         timed.groupBy(F.window("_at", span), "city_id")
@@ -45,8 +50,7 @@ def daily_counts_tail(
     ``stored`` may be empty. Its last day is complete, so whole days are added and none twice.
     """
     last = stored.agg(F.max("window_start").alias("last"))  # one row
-    timed = valid_only(observations).withColumn("_at", F.col("timestamp_utc").cast("timestamp"))
-    counted = _daily_counts(timed, heavy_rain_mm, span)
+    counted = day_counts(valid_only(observations), heavy_rain_mm, span)
     open_days = counted.join(F.broadcast(last), F.col("last").isNull() | (F.col("window_start") > F.col("last")))
     return open_days.drop("last")
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators.forest import ForestSize, average_path, tree_samples
+from almanac.operators.forest import ForestSize, average_path, node_share, share_of, tree_samples
 from almanac.operators.quantiles import exact_quantiles
 from almanac.plans import anomaly
 from almanac.session import materialise
@@ -158,3 +158,18 @@ def test_missing_features(points, model):
 def test_average_path():
     assert [average_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert average_path(256) == pytest.approx(10.2448, abs=1e-3)
+
+
+def test_one_hash_inside_and_outside_of_queries(spark):
+    rows = spark.range(50).select("id", share_of(F.lit(42), "id", F.lit(1)).alias("u")).collect()
+    assert [node_share(42, r.id, 1) for r in rows] == [r.u for r in rows]
+
+
+def test_jumps_draw_as_often_as_independent_trials(spark):
+    """Rows per tree and trees per row, on a table where a row is in several trees."""
+    size, n = ForestSize(trees=60, sample=200), 2000  # p = 0.16
+    drawn = tree_samples(spark.range(n), ["id"], n, size, [])
+    assert drawn.groupBy("tree").count().agg(F.min("count"), F.max("count"), F.count("*")).first()[:] == (200, 200, 60)
+    assert drawn.select("tree", "id").distinct().count() == 60 * 200
+    per_row = drawn.groupBy("id").count().agg(F.avg("count"), F.stddev_samp("count")).first()
+    assert per_row[0] == pytest.approx(60 * 200 / n, rel=0.03) and per_row[1] == pytest.approx((6 * 0.9) ** 0.5, rel=0.15)

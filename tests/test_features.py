@@ -181,3 +181,28 @@ def test_monthly_delta_counts_rows(spark):
     got = {str(r.m)[:7]: r.d for r in out.collect()}
     assert got["2025-01"] is None  # only eleven rows before it
     assert got["2025-02"] == 12.0  # against 2024-01, thirteen months back
+
+
+def test_merged_cells_equal_one_pass(spark, raw_rows):
+    """Seasonal figures from cells of several years, with missing values, single rows and large offsets."""
+    rows = []
+    for year in (2021, 2023, 2024):
+        for day in (1, 2, 3):
+            for hour in range(0, 24, 5):
+                at = f"{year}-0{1 + day % 2}-0{day}T{hour:02d}:00"
+                pressure = None if hour == 10 else 1e8 + year + day * 0.1
+                rows.append({"timestamp": at, "city_id": 1 + day % 2, "temperature": str(year % 7 + hour * 0.3), "pressure": pressure})
+    silver = clean(raw_rows(*[r | {"ingested_at": "2026-01-01T00:00:00"} for r in rows]))
+    want = features.feature_store(silver)
+    got = features.features_of(features.frame_rows(silver), features.seasonal_cells(silver))
+    assert got.columns == want.columns
+
+    def plain(df):
+        return {(r.city_id, r.timestamp_utc): r.asDict() for r in df.collect()}
+
+    a, b = plain(got), plain(want)
+    assert a.keys() == b.keys() and len(a) == len(rows)
+    for key, row in a.items():
+        for name, value in row.items():
+            other = b[key][name]
+            assert value == other or value == pytest.approx(other, rel=1e-6, abs=1e-6), (key, name)

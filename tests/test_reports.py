@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 from rows import hourly
 
-from almanac.plans import reports
-from almanac.plans.features import feature_store
+from almanac.plans import models, reports
+from almanac.plans.features import feature_store, frame_rows
 from almanac.plans.silver import clean
+from almanac.sources.tables import Transaction
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +90,25 @@ def test_latest_by_city(obs):
 def test_top_k_takes_ordered(obs):
     plan = reports.top_cities(obs, "peak_wind_ms")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_newest_months_of_a_stored_table(spark, raw_rows, tmp_path):
+    """The last day and change of a city from its newest months only; another city goes on for longer."""
+    late = {"ingested_at": "2027-01-01T00:00:00+00:00"}
+    rows = [r for m in range(1, 9) for r in hourly(30, start=28 * 24 * (m - 1), city_id=2, city_name="B", **late)]
+    rows += [r for m in range(1, 6) for r in hourly(40, start=28 * 24 * m - 20, temperature=lambda i: str(i % 7), **late)]
+    clean_rows = clean(raw_rows(*rows))
+    change = Transaction(spark, str(tmp_path))
+    change.write(frame_rows(clean_rows), models.FRAMES, *models.stored_under(models.FRAMES))
+    state, period = change.commit(), reports.Selection(date(2025, 1, 1), date(2025, 12, 31))
+    for city in ("A", "B", "nowhere"):
+        stored = reports.StoredCity(state, city, period)
+        obs = reports.of_city(reports.selected(reports.observations(feature_store(clean_rows)), period), city)
+        got, want = stored.trailing_hours(), reports.trailing_hours(obs)
+        assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+        assert stored.latest_change("temperature_c").collect() == reports.latest_change(obs, "temperature_c").collect()
+    months = lambda df: sorted({f.split("stored_month=")[1][:7] for f in df.inputFiles()})
+    of_a = reports.StoredCity(state, "A", period)
+    assert of_a.newest_months(1) == ["2025-06", "2025-07", "2025-08"] and months(of_a.trailing_hours()) == ["2025-05", "2025-06"]
+    assert months(reports.StoredCity(state, "B", period).trailing_hours()) == ["2025-08"]
+    assert "Window" not in of_a.trailing_hours()._jdf.queryExecution().executedPlan().toString()

@@ -6,6 +6,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from pyspark.sql import functions as F
+
 from almanac.plans.silver import clean
 from almanac.schemas import BRONZE, OBSERVATION
 from almanac.sources import bronze, payloads
@@ -79,9 +81,14 @@ def test_usable_responses(spark, cities, response, usable):
     if usable:
         payloads.require_complete(cities, table)
     else:
-        assert payloads.parse_history(table, cities).filter("city_id = 1").isEmpty()
+        with pytest.raises(Exception, match="unusable history response of station 1"):
+            payloads.parse_history(table, cities).collect()
         with pytest.raises(RuntimeError, match="stations: An Giang$"):
             payloads.require_complete(cities, table)
+    aside = payloads.unusable_history(table)
+    assert aside.columns == table.columns and aside.count() == (0 if usable else 1)
+    rest = payloads.parse_history(payloads.usable_history(table), cities)
+    assert {r.city_id for r in rest.collect()} >= {24} and rest.filter("city_id = 1").isEmpty() is (not usable or "time" not in str(response))
 
 
 def test_missing_station_fails_the_batch(spark, cities):
@@ -185,3 +192,19 @@ def test_lake_of_disagreeing_files(spark, tmp_path):
         (52.5, "Fog", "openweather", "03", "x"),
     ]
     assert clean(bronze.read_bronze(spark, str(tmp_path))).count() == 1
+
+
+def test_lake_on_another_file_system(spark, tmp_path):
+    """A mount that only the session's file system knows: footers and rows come through it, agreeing files or not."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.lakes.link./lake", f"file://{tmp_path}")
+    root = "viewfs://lakes/lake"
+    bronze.write_bronze(observations(spark), root, "open_meteo", NOON)
+    assert bronze.read_bronze(spark, root).count() == 3
+    other = observations(spark, 2).withColumns({"city_id": F.lit(7), "humidity": F.lit(5).cast("long")}).withColumn("extra", F.lit(1))
+    other.write.parquet(f"{root}/{bronze.FOLDER}/source=own/year=2025/month=01/day=03")
+    rows = bronze.read_bronze(spark, root)
+    assert rows.columns == [f.name for f in BRONZE.fields] + ["year", "month", "day"]
+    assert sorted((r.source, r.humidity, r.day) for r in rows.collect()) == [("open_meteo", 50.0, "02")] * 3 + [("own", 5.0, "03")] * 2
+    files = rows.inputFiles()
+    assert bronze.read_files(spark, root, list(files)).count() == 5

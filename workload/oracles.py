@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 from almanac.schemas import MODEL_FEATURES
-from workload.queries import digits
+from workload.queries import GROWN, digits
 
 RAW = """
 numbered AS (
@@ -314,6 +316,120 @@ def _mean_path(n: int) -> str:
     return f"(2 * (ln({n - 1}::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * {n - 1}::DOUBLE / {n})"
 
 
+def recursive(ctes: str, select: str) -> str:
+    return with_(ctes, select).replace("WITH", "WITH RECURSIVE", 1)
+
+
+def draw(trees: int, sample: int) -> str:
+    """The rows of ``keys`` that each tree draws, by jumps from one tree of a row to its next."""
+    jump = "CAST(floor(ln(1 - {u}) / ln(1 - p)) AS BIGINT)"
+    return f""",
+shares AS (SELECT city_id, timestamp_utc, least(1, 1.6::DOUBLE * {sample} / count(*) OVER ()) AS p FROM keys),
+jumps AS (
+    SELECT city_id, timestamp_utc, p, least({jump.format(u=_share("'42'"))}, {trees - 1}) AS tree
+    FROM shares WHERE p < 1 AND {_share("'42'")} < 1 - exp({trees} * ln(1 - p))
+    UNION ALL
+    SELECT city_id, timestamp_utc, p, next FROM (
+        SELECT city_id, timestamp_utc, p, tree + 1 + {jump.format(u=_share("'42'", "tree"))} AS next FROM jumps)
+    WHERE next < {trees}),
+tried AS (
+    SELECT city_id, timestamp_utc, tree FROM jumps
+    UNION ALL SELECT city_id, timestamp_utc, tree FROM shares, range({trees}) AS t(tree) WHERE p >= 1),
+drawn AS MATERIALIZED (
+    SELECT CAST(tree AS INTEGER) AS tree, city_id, timestamp_utc,
+           row_number() OVER (PARTITION BY tree ORDER BY {_share("'43'", "tree")}, city_id, timestamp_utc) AS place
+    FROM tried QUALIFY place <= {sample})"""
+
+
+def _node_share(what: int) -> str:
+    text = f"'42|' || tree || '|' || node || '|{what}'"
+    return f"(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) / CAST(4503599627370496 AS DOUBLE))"
+
+
+def grow(depth: int) -> str:
+    """Nodes, level by level, of the drawn rows; ``x`` has the inputs as (key, f, v), ``scales`` their deviations."""
+    parts = [""",
+values AS MATERIALIZED (SELECT tree, place, f, v FROM drawn JOIN x USING (city_id, timestamp_utc)),
+at0 AS MATERIALIZED (SELECT tree, place, CAST(0 AS BIGINT) AS node FROM drawn)"""]
+    for d in range(depth):
+        parts.append(f"""
+spans{d} AS (
+    SELECT tree, node, f, min(v) AS low, max(v) AS high FROM at{d} JOIN values USING (tree, place) GROUP BY tree, node, f),
+choices{d} AS (
+    SELECT tree, node, f, low + {_node_share(1)} * (high - low) AS cut,
+           row_number() OVER (PARTITION BY tree, node ORDER BY f) - 1 AS i, count(*) OVER (PARTITION BY tree, node) AS n
+    FROM spans{d} JOIN scales USING (f) WHERE high - low > 0.0000001::DOUBLE * scale),
+splits{d} AS MATERIALIZED (
+    SELECT tree, node, f, cut, {d} AS depth FROM choices{d} WHERE i = CAST(floor({_node_share(0)} * n) AS BIGINT)),
+at{d + 1} AS MATERIALIZED (
+    SELECT tree, place, CASE WHEN f IS NULL THEN node WHEN v <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+    FROM at{d} LEFT JOIN splits{d} USING (tree, node) LEFT JOIN values USING (tree, place, f))""")
+    levels = [f"SELECT tree, node, {d} AS depth, count(*) AS size FROM at{d} GROUP BY tree, node" for d in range(depth + 1)]
+    # a row stays in its node for good once that was not split
+    splits = " UNION ALL ".join(f"SELECT * FROM splits{d}" for d in range(depth))
+    parts.append(f"""
+splits AS MATERIALIZED ({splits}),
+places AS (SELECT tree, node, min(depth) AS depth, max(size) AS size FROM ({" UNION ALL ".join(levels)}) GROUP BY tree, node),
+nodes AS MATERIALIZED (
+    SELECT p.tree, p.node, coalesce(f, -1) AS feature, coalesce(cut, 0) AS threshold, size, p.depth
+    FROM places p LEFT JOIN splits s ON s.tree = p.tree AND s.node = p.node)""")
+    return ",".join(parts)
+
+
+def _unpivoted(names: list[str], value) -> str:
+    return " UNION ALL ".join(f"SELECT city_id, timestamp_utc, {i} AS f, {value(c)} AS v FROM stored" for i, c in enumerate(names))
+
+
+STORED = FEATURES.replace("features AS (", "stored AS MATERIALIZED (")
+
+
+def grown_forest(trees: int, sample: int) -> str:
+    known = _unpivoted(GROWN, lambda c: f"coalesce(CAST({c} AS DOUBLE), 0)")
+    return recursive(
+        STORED
+        + ",\nkeys AS (SELECT city_id, timestamp_utc FROM stored)"
+        + draw(trees, sample)
+        + f",\nx AS ({known}),\nscales AS (SELECT f, CAST(1 AS DOUBLE) AS scale FROM range({len(GROWN)}) AS t(f))"
+        + grow(math.ceil(math.log2(sample))),
+        """
+SELECT tree, CAST(node AS INTEGER) AS node, CAST(feature AS INTEGER) AS feature, round(threshold, 9) AS threshold,
+       CAST(size AS INTEGER) AS size, CAST(depth AS INTEGER) AS depth
+FROM nodes""",
+    )
+
+
+def scored_forest(trees: int, sample: int) -> str:
+    """The whole model: draw, impute, grow, walk every row down every tree, offset and flags."""
+    depth = math.ceil(math.log2(sample))
+    imputed = _unpivoted(MODEL_FEATURES, lambda c: f"coalesce(CAST({c} AS DOUBLE), (SELECT median FROM stats WHERE feature = '{c}'))")
+    walks = [",\nwalk0 AS (SELECT city_id, timestamp_utc, tree, CAST(0 AS BIGINT) AS node FROM keys, (SELECT DISTINCT tree FROM nodes))"]
+    for d in range(depth):
+        walks.append(f"""
+walk{d + 1} AS (
+    SELECT city_id, timestamp_utc, tree, CASE WHEN f IS NULL THEN node WHEN v <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+    FROM walk{d} LEFT JOIN splits USING (tree, node) LEFT JOIN x USING (city_id, timestamp_utc, f))""")
+    mean_path = "CASE WHEN n <= 1 THEN 0 WHEN n = 2 THEN 1 ELSE 2 * (ln(n - 1) + 0.5772156649015329::DOUBLE) - 2 * (n - 1) / n END"
+    return recursive(
+        STATS
+        + ",\nkeys AS (SELECT city_id, timestamp_utc FROM stored)"
+        + draw(trees, sample)
+        + f",\nx AS MATERIALIZED ({imputed}),\nscales AS ({_scales()})"
+        + grow(depth)
+        + ",".join(walks)
+        + f""",
+lengths AS (SELECT tree, node, depth + {mean_path} AS path FROM (SELECT *, CAST(size AS DOUBLE) AS n FROM nodes)),
+raw_scores AS MATERIALIZED (
+    SELECT city_id, timestamp_utc, -pow(2::DOUBLE, -(sum(path) / {trees}) / {_mean_path(sample)}) AS score
+    FROM walk{depth} JOIN lengths USING (tree, node) GROUP BY city_id, timestamp_utc),
+bound AS (SELECT quantile_cont(score, 0.03) AS b FROM raw_scores)""",
+        "SELECT city_id, timestamp_utc, round(score - b, 9) AS anomaly_score, score - b < 0 AS is_anomaly FROM raw_scores, bound",
+    )
+
+
+def _scales() -> str:
+    return " UNION ALL ".join(f"SELECT {i} AS f, std AS scale FROM stats WHERE feature = '{c}'" for i, c in enumerate(MODEL_FEATURES))
+
+
 SMALL_SCORES = (
     FEATURES
     + f""",
@@ -433,6 +549,8 @@ FROM months WINDOW s AS (PARTITION BY city_id ORDER BY observed_month)""",
 ORACLES: dict[str, str] = {
     "silver_clean": with_(SILVER, "SELECT * FROM silver"),
     "quality_counts": with_(SILVER, _rule_counts()),
+    "quality_while_writing": with_(SILVER, _rule_counts()),
+    "stream_features": features_of(ROLLING_24H + ROLLING_7D + LAGS),
     "silver_checks": with_(
         SILVER,
         """
@@ -607,6 +725,7 @@ SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp", station + 1
 FROM numbered""",
     ),
     "parse_history_payload": with_(RESPONSES, "SELECT * FROM history"),
+    "unusable_history": with_(RESPONSES, "SELECT city_id, fetched_at FROM fetched WHERE block % 50 <> 7 AND short"),
     "history_date_range": with_(
         RESPONSES,
         """
@@ -716,13 +835,8 @@ UNION ALL SELECT max(city_id) + 1, 'SILENT' FROM stations""",
     "missing_features": " UNION ALL ".join(
         f"SELECT '{f}' AS column_name" for f in MODEL_FEATURES if f not in MEASURES.values()
     ),
-    "iforest_scores": with_(
-        SILVER,
-        """
-SELECT count(*) AS n_rows, CAST(ceil(0.03 * (count(*) - 1)) AS BIGINT) AS n_flagged,
-       CAST(0 AS BIGINT) AS out_of_bounds, CAST(0 AS BIGINT) AS flags_against_scores
-FROM silver WHERE NOT is_quality_anomaly""",
-    ),
+    "iforest_scores": scored_forest(300, 256),
+    "iforest_grow": grown_forest(20, 32),
     "iforest_shape": with_(
         SILVER,
         """,
@@ -731,25 +845,10 @@ SELECT CAST(tree AS INTEGER) AS tree, n AS root_rows, n AS leaf_rows,
        CAST(ceil(log2(n)) AS BIGINT) AS depth
 FROM size, range(300) AS t(tree)""",
     ).replace("\n,\nsize", ",\nsize"),
-    "iforest_draw": with_(
-        SILVER,
-        f""",
-keys AS (SELECT city_id, timestamp_utc, count(*) OVER () AS n FROM silver WHERE NOT is_quality_anomaly),
-shares AS (SELECT *, least(1, 1.6::DOUBLE * 32 / n) AS p FROM keys),
-firsts AS (
-    SELECT *, {_share("'42'")} AS u FROM shares),
-tried AS (
-    SELECT city_id, timestamp_utc, CAST(tree AS INTEGER) AS tree,
-           CASE WHEN p >= 1 THEN true
-                WHEN u >= 1 - exp(20 * ln(1 - p)) THEN false
-                WHEN tree = least(floor(ln(1 - u) / ln(1 - p)), 19) THEN true
-                ELSE tree > least(floor(ln(1 - u) / ln(1 - p)), 19) AND {_share("'42'", "tree")} < p END AS taken
-    FROM firsts, range(20) AS t(tree)),
-ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY {_share("'43'", "tree")}, city_id, timestamp_utc) AS place
-    FROM tried WHERE taken)
-SELECT tree, city_id, timestamp_utc, CAST(place AS INTEGER) AS place FROM ranked WHERE place <= 32""",
-    ).replace("\n,\nkeys", ",\nkeys"),
+    "iforest_draw": recursive(
+        SILVER + ",\nkeys AS (SELECT city_id, timestamp_utc FROM silver WHERE NOT is_quality_anomaly)" + draw(20, 32),
+        "SELECT tree, city_id, timestamp_utc, CAST(place AS INTEGER) AS place FROM drawn",
+    ),
     "iforest_apply": with_(SMALL_SCORES, "SELECT city_id, timestamp_utc, score FROM scores"),
     "iforest_offset_flags": with_(
         SMALL_SCORES,

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.operators import checks, frames, quantiles
-from almanac.operators.forest import NODES, ForestSize, tree_samples, with_path_score
+from almanac.operators.forest import NODES, ForestSize, grow_trees, tree_samples, with_path_score
 from almanac.operators.series import profile_series
 from almanac.plans import anomaly, features, marts, models, reports, silver
 from almanac.schemas import BRONZE, MODEL_FEATURES, OBSERVATION
 from almanac.session import materialise, shared_dir, use_utc
 from almanac.sources import bronze, payloads, registry
-from almanac.streaming import refresh, windows
+from almanac.sources.tables import Transaction, snapshot
+from almanac.streaming import refresh, state
 from workload import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -225,9 +226,17 @@ def city_kpis(spark, sf_dir):
     return reports.city_kpis(_city(spark, sf_dir))
 
 
+def _stored_city(spark, sf_dir):
+    """The city on the stored feature table."""
+    clean = materialise(inputs.silver_rows(spark, sf_dir), "silver")
+    change = Transaction(spark, shared_dir(spark, "models"))
+    change.write(features.frame_rows(clean), models.FRAMES, *models.stored_under(models.FRAMES))
+    return reports.StoredCity(change.commit(), CITY, PERIOD)
+
+
 @query
 def latest_temperature_change(spark, sf_dir):
-    return reports.latest_change(_city(spark, sf_dir), "temperature_c")
+    return _stored_city(spark, sf_dir).latest_change("temperature_c")
 
 
 @query
@@ -237,7 +246,8 @@ def latest_humidity_change(spark, sf_dir):
 
 @query
 def trailing_24h(spark, sf_dir):
-    return reports.trailing_hours(_city(spark, sf_dir)).select(reports.LOCAL_TIME, "rain_mm", "wind_speed_ms")
+    rows = _stored_city(spark, sf_dir).trailing_hours()
+    return rows.select(reports.LOCAL_TIME, "rain_mm", "wind_speed_ms")
 
 
 @query
@@ -323,12 +333,20 @@ def parse_current_payload(spark, sf_dir):
 
 @query
 def parse_history_payload(spark, sf_dir):
-    return payloads.parse_history(inputs.history_payloads(spark, sf_dir), inputs.history_stations(spark, sf_dir))
+    usable = payloads.usable_history(inputs.history_payloads(spark, sf_dir))
+    return payloads.parse_history(usable, inputs.history_stations(spark, sf_dir))
+
+
+@query
+def unusable_history(spark, sf_dir):
+    """The history responses that are set aside."""
+    return payloads.unusable_history(inputs.history_payloads(spark, sf_dir)).select("city_id", "fetched_at")
 
 
 @query
 def history_date_range(spark, sf_dir):
-    rows = payloads.parse_history(inputs.history_payloads(spark, sf_dir), inputs.history_stations(spark, sf_dir))
+    usable = payloads.usable_history(inputs.history_payloads(spark, sf_dir))
+    rows = payloads.parse_history(usable, inputs.history_stations(spark, sf_dir))
     return payloads.within_dates(rows, date(2024, 1, 3), date(2024, 1, 12)).groupBy("city_id").agg(
         F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last")
     )
@@ -468,16 +486,10 @@ def _forest(spark, sf_dir):
 
 @query
 def iforest_scores(spark, sf_dir):
-    """What must hold of any forest's scores: one per row, within bounds, the wanted share flagged."""
-    fitted, model, root = _forest(spark, sf_dir)
-    offset = F.lit(model.meta.first().offset)
-    score = F.col("anomaly_score") + offset
-    return anomaly.store_scores_of_fit(fitted, root).agg(
-        F.count("*").alias("n_rows"),
-        F.count_if("is_anomaly").alias("n_flagged"),
-        F.count_if((score <= -1) | (score >= 0) | score.isNull()).alias("out_of_bounds"),
-        F.count_if((F.col("anomaly_score") < 0) != F.col("is_anomaly")).alias("flags_against_scores"),
-    )
+    """The stored table of scored rows: every row's score and flag."""
+    fitted, _, root = _forest(spark, sf_dir)
+    scored = anomaly.store_scores_of_fit(fitted, root)
+    return scored.select(*KEY, F.round("anomaly_score", 9).alias("anomaly_score"), "is_anomaly")
 
 
 @query
@@ -499,6 +511,19 @@ def iforest_draw(spark, sf_dir):
     return tree_samples(df.select(*KEY), KEY, df.count(), size, []).select("tree", *KEY, "_rank").withColumnRenamed("_rank", "place")
 
 
+GROWN = ["temperature_c", "humidity_pct", "rain_mm", "is_weekend", "temp_lag_2h"]
+
+
+@query
+def iforest_grow(spark, sf_dir):
+    """The nodes of 20 small trees over five inputs, one of which mostly does not vary within a node."""
+    df = inputs.stored_features(spark, sf_dir)
+    size = ForestSize(trees=20, sample=32)
+    values = F.array(*[F.coalesce(quantiles.known(c), F.lit(0.0)) for c in GROWN])
+    samples = tree_samples(df.select(*KEY, values.alias("x")), KEY, df.count(), size, ["x"])
+    return grow_trees(samples, "x", [1.0] * len(GROWN), size, size.sample).withColumn("threshold", F.round("threshold", 9))
+
+
 # Two trees over (temperature_c, humidity_pct, rain_mm), as (tree, node, feature, threshold, size, depth).
 SMALL_TREES = [
     (0, 0, 0, 10.5, 8, 0), (0, 1, 2, 2.0, 5, 1), (0, 2, -1, 0.0, 3, 1), (0, 3, -1, 0.0, 4, 2), (0, 4, -1, 0.0, 1, 2),
@@ -588,31 +613,44 @@ def event_totals_many_cities(spark, sf_dir):
     return reports.event_totals(marts.extreme_events_daily(_many_cities(spark, sf_dir)))
 
 
-def _written_by_day(rows: DataFrame, folder: str, time: str) -> DataFrame:
-    """One file per third of the days, in order of arrival, with the first hours of the next part's first day."""
+PARTS = 3
+
+
+def _part_of(rows: DataFrame, time: str, seq: str) -> DataFrame:
+    """``rows`` with the load they arrive in: by thirds of the days, but for a seventh, which comes a load later."""
     days = rows.agg(F.min(time).alias("first"), F.max(time).alias("last")).first()
-    for part in range(3):
-        low, high = (days.first + (days.last - days.first) * p / 3 for p in (part, part + 1))
-        inside = (F.col(time) >= F.lit(low)) & ((F.col(time) < F.lit(high)) | F.lit(part == 2))
-        rows.filter(inside).coalesce(1).write.mode("append").parquet(folder)
-    return rows
+    cuts = [days.first + (days.last - days.first) * p / PARTS for p in range(1, PARTS)]
+    third = sum((F.col(time) >= F.lit(cut)).cast("int") for cut in cuts)
+    return rows.withColumn("part", F.least(third + (F.col(seq) % 7 == 3).cast("int"), F.lit(PARTS - 1)))
+
+
+def _loads(spark, rows: DataFrame, name: str):
+    """Each load written and streamed, one after the other, into one folder: yields the stream of all its files."""
+    folder, stored = shared_dir(spark, name), materialise(rows, name)
+    for part in range(PARTS):
+        stored.filter(F.col("part") == part).drop("part").write.mode("append").parquet(folder)
+        yield _arriving(spark, folder, stored.drop("part").schema, files=1000)
+
+
+def _silver_loads(spark, sf_dir):
+    raw = inputs.raw_observations(spark, sf_dir)
+    clean = silver.clean(raw, tiebreak=["ingest_seq"], keep=["ingest_seq"])
+    return _part_of(materialise(clean, "silver"), "timestamp_utc", "ingest_seq").drop("ingest_seq")
 
 
 @query
 def stream_daily_counts(spark, sf_dir):
-    """Valid readings per station and day, from several batches; the days that the stream leaves open, by a batch."""
-    rows = materialise(inputs.silver_rows(spark, sf_dir), "silver")
-    folder, out, log = (shared_dir(spark, n) for n in ("silver", "daily", "checkpoint"))
-    _written_by_day(rows, folder, "timestamp_utc")
-    counts = windows.daily_event_counts(_arriving(spark, folder, rows.schema, files=1))
-    windows.store_stream(counts, out, log)
-    done = spark.read.schema(counts.schema).parquet(out)
-    return done.unionByName(windows.daily_counts_tail(rows, done))
+    """Valid readings per station and day from three loads, some rows days behind the watermark of theirs."""
+    root, log = shared_dir(spark, "daily"), shared_dir(spark, "checkpoint")
+    for arriving in _loads(spark, _silver_loads(spark, sf_dir), "silver"):
+        state.count_days(arriving, root, log)
+    return state.counted_days(snapshot(spark, root))
 
 
 @query
 def stream_latest_wins(spark, sf_dir):
-    folder, out, log = (shared_dir(spark, n) for n in ("rows", "latest", "checkpoint"))
+    """The latest row per station and time from three loads, later ones with corrections of any age."""
+    root, log = shared_dir(spark, "latest"), shared_dir(spark, "checkpoint")
     raw = inputs.raw_observations(spark, sf_dir)
     rows = raw.select(
         "city_id",
@@ -621,11 +659,33 @@ def stream_latest_wins(spark, sf_dir):
         "ingest_seq",
         "weather_condition",
     ).dropna(subset=["city_id", "timestamp_utc"])
-    rows = materialise(rows, "rows")
-    _written_by_day(rows, folder, "timestamp_utc")
+    rows = _part_of(materialise(rows, "rows"), "timestamp_utc", "ingest_seq")
     order = ["ingested_at", "ingest_seq"]
-    arriving = _arriving(spark, folder, rows.schema, files=1)
-    windows.store_stream(windows.latest_wins_stream(arriving, ["city_id"], "timestamp_utc", order), out, log)
-    done = spark.read.schema(rows.schema).parquet(out)
-    tail = windows.latest_wins_tail(rows, done, ["city_id"], "timestamp_utc", order)
-    return done.unionByName(tail)
+    state.use_keyed_state(spark)
+    for arriving in _loads(spark, rows, "rows"):
+        state.store_latest(arriving, root, "latest", ["city_id"], "timestamp_utc", order, log)
+    return snapshot(spark, root).read("latest")
+
+
+@query
+def stream_features(spark, sf_dir):
+    """Frames and lags of arriving rows in order, from three loads with a restart before each."""
+    out, late, log = (shared_dir(spark, n) for n in ("frames", "late", "checkpoint"))
+    rows = materialise(inputs.silver_rows(spark, sf_dir), "silver").withColumn("seq", F.lit(0))
+    state.use_keyed_state(spark)
+    for arriving in _loads(spark, _part_of(rows, "timestamp_utc", "seq").drop("seq"), "silver"):
+        framed = state.stream_features(arriving)
+        state.store_features(framed, out, late, log)
+    stored = spark.read.schema(framed.drop("in_order").schema).option("recursiveFileLookup", True).parquet(out)
+    return rounded(stored.select(*KEY, *features.WINDOW_COLUMNS))
+
+
+@query
+def quality_while_writing(spark, sf_dir):
+    """Outcomes of the quality rules, counted while silver was written, by a full build and by a load of corrections."""
+    root = shared_dir(spark, "models")
+    raw = inputs.raw_observations(spark, sf_dir)
+    late = F.expr("ingest_seq % 9 = 4")
+    models.build_models(raw.filter(~late), root, ["ingest_seq"])
+    refresh.refresh_rows(raw.filter(late), root, ["ingest_seq"])
+    return models.quality_report(snapshot(spark, root))
