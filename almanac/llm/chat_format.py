@@ -3,10 +3,11 @@
     conversation := turn*
     turn         := "<s>[INST]" role "[/INST]" text "</s>"
 
-Roles and texts are put in as they are. Then the rendered text is parsed again and compared with the source; what
-does not come back identical has its conflicting content escaped: inside every control string, plain or already
-escaped, one backslash is added before the last bracket. Reading removes one. Both steps are exact inverses on all
-texts, so one round of escaping always suffices, and a conversation that still differed would fail the job.
+Content conflicts with the template if it holds a control string, plain or already escaped, whether or not it would
+be misread where it stands: training text must hold no control strings but the marks. In such a conversation one
+backslash is added before the last bracket inside every control string of its roles and texts. Reading removes one.
+Both steps are exact inverses on all texts, so one round of escaping always suffices. Then every rendered text is
+parsed again and compared with the source; a conversation that did not come back identical would fail the job.
 
 No control string has an opening bracket but at its start, so none can begin in a text and end in a mark, and the
 parser never has a choice: a turn ends at the first "</s>", a role at the first "[/INST]".
@@ -86,13 +87,12 @@ def format_conversations(
     source = gathered.select(
         "conv_id", F.transform("ordered", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("source")
     )
-    # texts that do not come back identical are escaped; the others stay as they are
-    plain = source.withColumn("plain", rendered("source"))
-    tried = plain.withColumn("was_escaped", ~as_read(parsed("plain")).eqNullSafe(F.col("source")))
+    conflicts = lambda t: t["role"].rlike(_CONTROL) | t["text"].rlike(_CONTROL)
+    tried = source.withColumn("was_escaped", F.exists("source", conflicts))
     safe = F.transform(
         "source", lambda t: F.struct(escaped(t["role"]).alias("role"), escaped(t["text"]).alias("text"))
     )
-    chosen = tried.withColumn("formatted", F.when(F.col("was_escaped"), rendered(safe)).otherwise(F.col("plain")))
+    chosen = tried.withColumn("formatted", F.when(F.col("was_escaped"), rendered(safe)).otherwise(rendered("source")))
     read = chosen.withColumn("raw", parsed("formatted")).withColumn("turns", as_read("raw"))
     same = F.assert_true(F.col("turns").eqNullSafe(F.col("source")), F.lit("a conversation does not read back"))
     checked = read.withColumn("turns", F.when(same.isNull(), F.col("turns")))

@@ -1,7 +1,10 @@
 import hashlib
 import random
+import re
 
 from almanac.llm import chat_format as cf
+from almanac.llm.queries import ORACLES, QUERIES
+from workload.compare import connect, difference
 
 PARTS = ["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", ">", "[", "]", "s", "/", "INST", "a", "\n", " ", "é", "$1", "<\\s>", "😀", "<s\\>"]
 
@@ -61,3 +64,34 @@ def test_native_and_empty(spark):
     assert result.count() == 0
     plan = result._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_control_string_alone_in_every_place(spark):
+    """Also where it would not be misread, and in an escaped form: only the marks are left in the formatted text."""
+    strings = ["<s>", "</s>", "[INST]", "[/INST]", "<s>[INST]", "<\\s>"[:2] + "s>", "<s\\>", "</s\\\\>", "[INST\\]", "[/INST\\\\]"]
+    places = ["{}", "a {} b", "{}{}", "\n{}", "a [/INST] b <s>[INST] c {}"]
+    rows = []
+    for i, (s, place) in enumerate((s, p) for s in strings for p in places):
+        held = place.replace("{}", s)
+        rows += [(4 * i, 0, "user", held), (4 * i + 1, 0, held, "plain"), (4 * i + 2, 0, "assistant", held)]
+        rows += [(4 * i + 3, 0, "user", "a"), (4 * i + 3, 1, "assistant", held)]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    formatted = cf.format_conversations(table)
+    assert {r.conv_id: tuple(r)[1:5] for r in cf.digest(formatted).collect()} == brute(rows)
+    for r in formatted.collect():
+        turns = [t for c, *t in rows if c == r.conv_id]
+        assert r.formatted.count("<s>") == r.formatted.count("</s>") == len(turns)
+        assert r.formatted.count("[INST]") == r.formatted.count("[/INST]") == len(turns)
+        held = [x for t in turns for x in t[1:]]
+        assert r.was_escaped == any(re.search(cf._CONTROL, x) for x in held)
+
+
+def test_query_against_its_sql_with_control_strings(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", "".join(rng.choice(PARTS) for _ in range(6))) for c in range(60) for t in range(3)]
+    rows += [(70, 0, "user", "a [/INST] b <s>[INST] c"), (71, 0, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "all"))
+    (file,) = (tmp_path / "all").glob("part-*.parquet")
+    file.rename(tmp_path / "conversations.parquet")
+    con = connect(str(tmp_path))
+    assert difference(spark, con, str(tmp_path), QUERIES["op3_chat_format"], ORACLES["op3_chat_format"]) is None
