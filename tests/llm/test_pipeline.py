@@ -1,5 +1,7 @@
 """The pipeline against a plain version of each stage, and the queries without SQL against brute force."""
 
+import collections
+import functools
 import random
 import re
 import zlib
@@ -26,34 +28,45 @@ def bucketed(v):
 
 
 def rates_of(text):
-    n, _, symbols, duplicates, repeats, lines, capitals, marks = quality.text_counts(text)
-    whole = {"symbol_rate": (symbols, n), "duplicate_rate": (duplicates, lines), "repeat_rate": (repeats, n)}
-    whole |= {"capital_rate": (capitals, n), "exclaim_rate": (marks, n)}
-    return {k: 1000 * a // max(b, 1) for k, (a, b) in whole.items()}
+    n, chars, *_ = quality.text_counts(text)
+    return {"word_length": 1000 * chars // max(n, 1), "mark_rate": 100000 * len(re.findall(r"[^\w\s]", text)) // max(chars, 1), "n_words": n}
 
 
 def brute_quality(rows):
     """rows: (doc_id, text, lang, source); the ids that stay."""
-
-    def bound(values, floor):
-        values = sorted(map(bucketed, values))
-        at = lambda q: next(v for i, v in enumerate(values) if i + 1 >= q * len(values))
-        return max(at(0.5) + quality.SPREAD * (at(0.5) - at(quality.LOWER)), floor)
-
     found = [(i, lang, source, rates_of(t or ""), brute_counts(t)) for i, t, lang, source in rows]
-    kept = []
-    for i, lang, source, rate, counts in found:
-        n, repeated = counts[0], counts[4]
-        good = n >= quality.MIN_WORDS and 100 * repeated <= quality.MAX_REPEAT_PERCENT * n
-        for k, floor in quality.FLOORS.items():
-            own = [r[k] for _, a, b, r, _ in found if (a, b) == (lang, source)]
-            wide = [r[k] for _, a, _, r, _ in found if a == lang]
-            every = [r[k] for _, _, _, r, _ in found]
-            group = next((g for g in (own, wide) if len(g) >= quality.MIN_ROWS), every)
-            good = good and rate[k] <= bound(group, floor)
-        if good:
-            kept.append(i)
-    return kept
+    passes = lambda c: c[0] >= quality.MIN_WORDS and 100 * c[4] <= quality.MAX_REPEAT_PERCENT * c[0]
+    sound = [f for f in found if passes(f[4])]
+
+    @functools.cache
+    def mixture(rate, lang, source):
+        """Median and lower quantile of the source's, its language's and all values, weighed."""
+        groups = [
+            [bucketed(r[rate]) for _, a, b, r, _ in sound if (a, b) == (lang, source)],
+            [bucketed(r[rate]) for _, a, _, r, _ in sound if a == lang],
+            [bucketed(r[rate]) for _, _, _, r, _ in sound],
+        ]
+        sizes = [float(len(g)) for g in groups]
+        w, v = (n / (n + float(quality.PRIOR_ROWS)) for n in sizes[:2])
+        counts = [collections.Counter(g) for g in groups]
+        upto, ranked = 0.0, []
+        for bucket in sorted(counts[2]):
+            own, wide, every = (c[bucket] / n for c, n in zip(counts, sizes, strict=True))
+            upto += w * own + (1.0 - w) * (v * wide + (1.0 - v) * every)
+            ranked.append((bucket, upto))
+        return tuple(next(x for x, u in ranked if u >= q * upto) for q in (0.5, quality.LOWER))
+
+    def stays(lang, source, rate, counts):
+        typical = mixture("n_words", lang, source)[0]
+        for name, both in quality.TAILS.items():
+            mid, low = mixture(name, lang, source)
+            away = abs(rate[name] - mid) if both else max(rate[name] - mid, 0.0)
+            room = quality.SPREAD * (mid - low)
+            if mid - low > 0 and away * away * min(counts[0], typical) > room * room * typical:
+                return False
+        return True
+
+    return [i for i, lang, source, rate, counts in sound if stays(lang, source, rate, counts)]
 
 
 def brute_pipeline(rows, items, tokenizer):
@@ -128,12 +141,14 @@ def test_stages_keep_columns_and_odd_rows(spark, tmp_path, docs_of):
     spark.createDataFrame([(1, "x")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     text = " ".join(f"w{i}" for i in range(80))
     docs = docs_of((1, text), (1, text), (None, text + " more"), (2, None), (3, ""))
-    docs = docs.selectExpr("*", "1 as kept", "2 as fp", "3 as spans", "map('a', 1) as length")
+    extra = "kept fp spans blob new keeper least row counts __counts __lang __blob __spans __new __keeper".split()
+    docs = docs.selectExpr("*", *[f"{i} as {name}" for i, name in enumerate(extra)], "map('a', 1) as length")
     now = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
         now = stage(spark, now, str(tmp_path))
         assert now.columns == docs.columns
     assert [r.doc_id for r in now.collect()] == [1]
+    assert [now.first()[name] for name in extra] == list(range(len(extra)))
     assert run_stages(spark, docs.limit(0), str(tmp_path)).count() == 0
 
 

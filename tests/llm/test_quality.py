@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from almanac.llm import quality
 
 
@@ -24,7 +26,7 @@ def test_counts():
     texts = ["", "a", "a b c a b c", "x\n\n x\nx\nx", "é ü \x1c ß", "a a a a"]
     texts += ["".join(rng.choice("ab #|\n\t\x0cé\r") for _ in range(rng.randrange(80))) for _ in range(300)]
     for t in texts:
-        assert quality.text_counts(t)[:5] == brute(t), repr(t)
+        assert quality.text_counts(t) == brute(t), repr(t)
 
 
 def clean(rng, n=120):
@@ -57,13 +59,16 @@ def test_sketch_merges_and_bounds_the_error(spark):
     rng = random.Random(7)
     values = sorted(int(rng.lognormvariate(6, 2)) for _ in range(4000))
     rows = spark.createDataFrame([("l", f"s{i % 7}", v) for i, v in enumerate(values)], "lang string, source string, v long")
-    parts = quality.sketch(rows, "lang", "source", {"r": rows.v})
-    whole = quality.quantile_bounds(parts, ["lang"]).first()
+
+    def bounds(df):
+        parts = quality.sketch(df, "lang", "source", {"r": df.v}).groupBy("lang", "bucket").agg({"n": "sum"})
+        return quality.quantile_bounds(parts.withColumnRenamed("sum(n)", "weight"), ["lang"]).first()
+
+    whole = bounds(rows)
     for got, q in ((whole.mid, 0.5), (whole.low, quality.LOWER)):
         exact = values[int(q * len(values))]
         assert abs(got - exact) <= max(1, exact / 32)
-    again = quality.quantile_bounds(quality.sketch(rows.repartition(9), "lang", "source", {"r": rows.v}), ["lang"])
-    assert again.first() == whole
+    assert bounds(rows.repartition(9)) == whole
 
 
 def test_odd_rows(spark, docs_of):
@@ -82,7 +87,7 @@ def test_sketches_decide(spark):
     shapes = {"short": (2, 6, 0.15), "long": (9, 15, 0.15), "terse": (2, 6, 0.6)}
     rows = []
     for source in shapes:
-        for _ in range(quality.MIN_ROWS + 20):
+        for _ in range(6 * quality.PRIOR_ROWS):
             rows.append((len(rows), made(*shapes[source]).replace("xxxx", f"x{rng.randrange(90):02}x"), "en", source, 1))
     own = len(rows)
     for source in shapes:
@@ -111,3 +116,29 @@ def test_short_texts_have_room(spark):
     rows = [(i, text(1000), "en", "a", 1) for i in range(250)] + [(1000 + i, text(50), "en", "a", 1) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert all(r.kept for r in quality.assess(docs).collect())
+
+
+def test_weights_of_the_mixture(spark):
+    """A source's own sketch weighs n / (n + prior), its language's the same share of the rest."""
+    for n in (1, 10, 100, 199, 200, 201, 5000):
+        parts = [("en", "big", "r", 5000, 900), ("en", "own", "r", 9000, n), (None, "x", "r", 7000, 50)]
+        sketches = spark.createDataFrame(parts, "lang string, source string, rate string, bucket long, n long")
+        got = {r.bucket: r.weight for r in quality.mixed_sketches(sketches, 100).filter("source = 'own'").collect()}
+        own, wide = n / (n + 100), (900 + n) / (1000 + n)
+        whole = 950 + n
+        want = {
+            5000: (1 - own) * (wide * 900 / (900 + n) + (1 - wide) * 900 / whole),
+            9000: own + (1 - own) * (wide * n / (900 + n) + (1 - wide) * n / whole),
+            7000: (1 - own) * (1 - wide) * 50 / whole,
+        }
+        assert got == pytest.approx(want) and sum(got.values()) == pytest.approx(1)
+        other = quality.mixed_sketches(sketches, 100).filter("lang is null").collect()
+        assert {r.bucket for r in other} == {5000, 7000, 9000}
+
+
+def test_helper_names_as_columns(spark):
+    docs = corpus(spark, 60).selectExpr("*", "1 as __counts", "2 as counts", "3 as counts_", "4 as __lang", "5 as mid_n_words", "6 as Kept")
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(60) if i % 4 != 1 and i % 40 != 2]
+    assert {tuple(r)[5:] for r in kept.collect()} == {(1, 2, 3, 4, 5, 6)}
