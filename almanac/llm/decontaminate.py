@@ -1,48 +1,65 @@
 """Benchmark passages in documents, found by greedy string tiling.
 
-Texts become lower-case words. Every run of SEED words of a test item is a seed; a document and an item are compared
-if they share one, by a join of the document's runs with the items' seeds inside the task that reads the document.
-The compared pair is tiled: again and again the longest run of words that both have, and that no earlier tile
-touches, is searched by Karp-Rabin hashes and marked, down to SEED words. An item counts as leaked if its tiles
-cover enough of it, in whatever order they stand in the document.
-
-Test items are the smaller, stated set: they are taken in blocks of bounded size, and all documents pass by each
-block, so any number of items works. No text is shuffled, and a passage that many documents share is tiled in many
-tasks.
+Texts become lower-case words, words become 64-bit hashes. Every run of SEED words of a test item is a seed (an item
+with fewer words is one seed). Documents and items meet by a join of the seeds with the documents' runs; of these only
+such are shuffled as a bitmap of all seeds lets pass, which is of one size however many items there are. A pair that
+shares a seed is tiled: again and again the longest run of words that both have, and that no earlier tile touches, is
+searched by Karp-Rabin hashes and marked, down to SEED words. An item counts as leaked if its tiles cover enough of
+it, in whatever order they stand in the document.
+
+A tile consists of seeds, so a pair is tiled from its shared seeds alone: neither texts nor documents' words are
+shuffled. A seed of very many items, such as a prompt that all of them begin with, says little. Where an item could
+not be covered by such seeds alone, a pair must share one of its rarer seeds to come into question; the others count
+only for pairs that do. Equal texts are one text until the end. Neither side passes the driver.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql import types as T
 
-from almanac.llm.common import bound_batches, text_of
+from almanac.llm.common import bound_batches, spare_names, stored, text_of
 
 #: Words of a seed and of the shortest tile; items with fewer words must appear whole.
 SEED = 5
 #: Covered share of an item's words from which on the document counts as contaminated.
 COVERAGE = 0.6
-#: Characters of test items in a block, which is what a worker holds at once.
-BLOCK_CHARS = 8_000_000
+#: A seed that more items have brings pairs into question only for items that it could cover.
+FREQUENT_ITEMS = 64
+#: Bits of the bitmap of seeds (a power of two).
+BITMAP_BITS = 1 << 24
+#: Words whose hashes a worker remembers, about 150 bytes each; beyond, it begins anew.
+KNOWN_WORDS = 1_000_000
+#: Texts found to leak (a digest each) that may be sent to every task; more are joined by a shuffle.
+BROADCAST_TEXTS = 200_000
 
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_known: dict[str, int] = {}
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """The words of a text as numbers, equal for equal words."""
+    words = words_of(text)
+    if len(_known) > KNOWN_WORDS:
+        _known.clear()
+    for w in set(words).difference(_known):
+        _known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+
+
 def run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
-    """Karp-Rabin hashes of all runs of ``size`` words, modulo 2**64: each from prefix sums of the word's power."""
+    """Karp-Rabin hashes of all runs of ``size`` words, modulo 2**64."""
     h = np.zeros(max(0, len(ids) - size + 1), np.uint64)
     for k in range(size):
         h = h * _BASE + ids[k : k + len(h)].astype(np.uint64) + np.uint64(1)
@@ -100,84 +117,143 @@ def _unmarked(ids: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(bad[size:] == bad[:n]) if n > 0 else np.empty(0, np.int64)
 
 
-class Items:
-    """A block of test items, indexed by seeds."""
-
-    def __init__(self, items: list[tuple[object, str]], seed: int = SEED, coverage: float = COVERAGE):
-        self.coverage = coverage
-        self.vocabulary: dict[str, int] = {}
-        self.keys, self.words, self.seeds = [], [], []
-        by_size: dict[int, list[tuple[int, int, int]]] = {}
-        for key, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text or "")]
-            if not ids:
-                continue
-            n = len(self.keys)
-            self.keys.append(key)
-            self.words.append(np.array(ids, np.int64))
-            size = min(seed, len(ids))
-            self.seeds.append(size)
-            for at, h in enumerate(run_hashes(self.words[-1], size).tolist()):
-                by_size.setdefault(size, []).append((h, n, at))
-        self.index = {}
-        for size, rows in by_size.items():
-            rows.sort()
-            table = np.array([r[0] for r in rows], np.uint64)
-            self.index[size] = (table, np.array([r[1:] for r in rows], np.int64))
-
-    def ids(self, text: str) -> np.ndarray:
-        known = self.vocabulary
-        words = words_of(text)
-        return np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
-
-    def leaks(self, text: str) -> list[tuple[object, int, int, int]]:
-        """(item, its words, words covered, tiles) for items whose covered share reaches the threshold."""
-        ids = self.ids(text)
-        near: dict[int, list[tuple[int, int]]] = {}
-        for size, (table, places) in self.index.items():
-            starts = _unmarked(ids, size)
-            if not len(starts):
-                continue
-            hashes = run_hashes(ids, size)[starts]
-            first, last = np.searchsorted(table, hashes, "left"), np.searchsorted(table, hashes, "right")
-            for k in np.flatnonzero(last > first).tolist():
-                for n, at in places[first[k] : last[k]].tolist():
-                    near.setdefault(n, []).append((int(starts[k]), at))
-        found = []
-        for n, hits in near.items():
-            size, own = self.seeds[n], self.words[n]
-            reach = np.zeros(len(own), bool)  # tiles consist of seeds, so this is the most that they can cover
-            for at in {at for _, at in hits}:
-                reach[at : at + size] = True
-            if reach.sum() < self.coverage * len(own):
-                continue
-            tiles = tile(own, _stretches(ids, sorted({q for q, _ in hits}), size), size)
-            covered = sum(t[2] for t in tiles)
-            if covered >= self.coverage * len(own):
-                found.append((self.keys[n], len(own), covered, len(tiles)))
-        return found
-
-
-def _stretches(ids: np.ndarray, starts: list[int], size: int) -> np.ndarray:
-    """The words of the text that lie in some shared seed, with a gap between separate stretches."""
+def seed_hashes(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of runs, mixed so that all bits depend on all words and on the size."""
+    h = run_hashes(ids, size) + np.uint64(size)
+    h = (h ^ (h >> np.uint64(31))) * _BASE
+    return h ^ (h >> np.uint64(29))
+
+
+_HIT = T.StructType([T.StructField("seed", T.LongType()), T.StructField("at", T.IntegerType())])
+
+
+def _lists(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    """(seeds, places) of each row as an array of lists of structs."""
+    offsets = np.concatenate(([0], np.cumsum([len(a) for _, a in parts]))).astype(np.int32)
+    seeds = np.concatenate([s for s, _ in parts] or [np.empty(0, np.uint64)]).view(np.int64)
+    places = np.concatenate([a for _, a in parts] or [np.empty(0, np.int32)]).astype(np.int32)
+    entries = pa.StructArray.from_arrays([pa.array(seeds), pa.array(places)], _HIT.names)
+    return pa.ListArray.from_arrays(pa.array(offsets), entries)
+
+
+def item_seeds(items: DataFrame, item_id: str, text: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The items that have words, numbered, as (item, item_id, words, size), and their seeds as (item, seed, p); stored."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def words(texts: pa.Array) -> pa.Array:
+        return pa.array([word_hashes(t).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
+
+    @F.arrow_udf(T.ArrayType(_HIT))
+    def seeds(rows: pa.Array) -> pa.Array:
+        ids = [np.array(r, np.int64).view(np.uint64) for r in rows.to_pylist()]
+        found = [seed_hashes(i, min(seed, len(i))) for i in ids]
+        return _lists([(f, np.arange(len(f))) for f in found])
+
+    rows = items.select(F.col(item_id).alias("item_id"), words(text_of(text)).alias("words")).filter(F.size("words") > 0)
+    numbered = rows.withColumn("item", F.monotonically_increasing_id())
+    known = stored(numbered.withColumn("size", F.least(F.size("words"), F.lit(seed))), "items")
+    each = known.select("item", "size", F.explode(seeds("words")).alias("hit"))
+    return known, stored(each.select("item", "size", F.col("hit.seed").alias("seed"), F.col("hit.at").alias("p")), "seeds")
+
+
+def seed_bitmap(seeds: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """A bit for the low digits of every seed; of one size, whatever the number of seeds."""
+    bit = F.pmod("seed", F.lit(bits))
+    word = F.shiftright(bit, 5).cast("int").alias("word")
+    marked = seeds.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(32)).cast("int"))).alias("marks"))
+    out = np.zeros(bits // 32, np.uint32)
+    for r in marked.toLocalIterator():  # at most bits / 32 rows
+        out[r.word] = r.marks
+    return out
+
+
+def text_hits(texts: DataFrame, sizes: list[int], bitmap: np.ndarray) -> DataFrame:
+    """(text_key, seed, q) for the runs of texts (text_key, text) that the bitmap lets pass, once for equal texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf(T.ArrayType(_HIT))
+    def hits(rows: pa.Array) -> pa.Array:
+        marks = shared.value
+        mask, parts = np.uint64(32 * len(marks) - 1), []
+        for text in rows.to_pylist():
+            ids = word_hashes(text)
+            found, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for size in sizes:
+                h = seed_hashes(ids, size)
+                low = h & mask
+                at = np.flatnonzero(marks[low >> np.uint64(5)] >> (low & np.uint64(31)).astype(np.uint32) & np.uint32(1))
+                found.append(h[at])
+                places.append(at)
+            parts.append((np.concatenate(found), np.concatenate(places)))
+        return _lists(parts)
+
+    each = texts.select("text_key", F.explode(hits("text")).alias("hit"))
+    return each.select("text_key", F.col("hit.seed").alias("seed"), F.col("hit.at").alias("q")).distinct()
+
+
+def generating_seeds(items: DataFrame, seeds: DataFrame, coverage: float, frequent_items: int) -> DataFrame:
+    """(seed, item) of the seeds one of which a pair must share to come into question.
+
+    An item's frequent seeds are left out if all of them together cover less of it than ``coverage``: a document that
+    covers enough then holds a word outside of them inside a tile, and with it another of the item's seeds.
+    """
+    shared = seeds.groupBy("seed").agg(F.count_distinct("item").alias("n")).filter(F.col("n") > frequent_items).select("seed")
+    frequent = seeds.join(shared, "seed", "left_semi")
+    covered = frequent.select("item", F.explode(F.sequence(F.col("p"), F.col("p") + F.col("size") - 1)).alias("word"))
+    share = covered.groupBy("item").agg(F.count_distinct("word").alias("covered")).join(items.select("item", F.size("words").alias("n")), "item")
+    spared = share.filter(F.col("covered") < F.lit(coverage) * F.col("n")).select("item")
+    rare = seeds.join(shared, "seed", "left_anti")
+    needed = frequent.join(spared, "item", "left_anti")
+    return rare.unionByName(needed).select("seed", "item").distinct()
+
+
+_TILED = T.StructType([T.StructField(n, T.IntegerType()) for n in ("covered_words", "tiles")])
+
+
+def tiled(words: np.ndarray, size: int, hits: list[tuple[int, int]], coverage: float) -> tuple[int, int]:
+    """(words covered, tiles) of an item's words by a document, given as (place in it, place in the item) of the seeds
+    that both have; (0, 0) where they cannot cover enough."""
+    own = np.unique(words, return_inverse=True)[1].astype(np.int64)
+    starts = np.array(sorted(hits), np.int64).reshape(-1, 2)
+    shared = seed_hashes(words.view(np.uint64), size)
+    reach = np.zeros(len(own), bool)  # tiles consist of seeds, so this is the most that they can cover
+    for p in np.flatnonzero(np.isin(shared, shared[starts[:, 1]])):
+        reach[p : p + size] = True
+    if reach.sum() < coverage * len(own):
+        return 0, 0
     parts, end = [], -1
-    for q in starts:
+    for q, p in starts.tolist():  # the document's words are the item's, as far as they are in shared seeds
         if q > end:
             parts.append(np.array([-1]))
             end = q
-        parts.append(ids[end : q + size])
+        parts.append(own[p + end - q : p + size])
         end = q + size
-    return np.concatenate(parts)
-
-
-def item_blocks(items: DataFrame, item_id: str, text: str, block_chars: int, **options) -> Iterator[Items]:
-    """The test items in blocks of about block_chars characters, each collected by itself."""
-    rows = items.select(F.col(item_id).alias("item"), text_of(text).alias("text"))
-    chars = rows.agg(F.sum(F.length("text") + 8)).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
-    for b in range(blocks):
-        part = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b)
-        yield Items([tuple(r) for r in part.orderBy("item", "text").collect()], **options)
+    tiles = tile(own, np.concatenate(parts), size)
+    return sum(t[2] for t in tiles), len(tiles)
+
+
+def leaked_texts(
+    texts: DataFrame, items: DataFrame, item_id: str, item_text: str, seed: int, coverage: float,
+    frequent_items: int = FREQUENT_ITEMS, bits: int = BITMAP_BITS,
+) -> DataFrame:
+    """(text_key, item_id, item_words, covered_words, tiles) for the texts that hold an item, stored."""
+    bound_batches(texts.sparkSession)
+    known, seeds = item_seeds(items, item_id, item_text, seed)
+    sizes = sorted(r[0] for r in seeds.select("size").distinct().collect())  # 1 to seed
+    hits = stored(text_hits(texts, sizes, seed_bitmap(seeds, bits)), "hits")
+    pairs = hits.join(generating_seeds(known, seeds, coverage, frequent_items), "seed").select("text_key", "item").distinct()
+    shared = pairs.join(seeds.groupBy("item", "seed").agg(F.min("p").alias("p")), "item").join(hits, ["text_key", "seed"])
+    gathered = shared.groupBy("text_key", "item").agg(F.collect_list(F.struct("q", "p")).alias("hits"))
+
+    @F.arrow_udf(_TILED)
+    def tiling(words: pa.Array, sizes: pa.Array, hits: pa.Array) -> pa.Array:
+        rows = zip(words.to_pylist(), sizes.to_pylist(), hits.to_pylist(), strict=True)
+        done = [tiled(np.array(w, np.int64), n, [(h["q"], h["p"]) for h in found], coverage) for w, n, found in rows]
+        return pa.StructArray.from_arrays([pa.array([d[i] for d in done], pa.int32()) for i in (0, 1)], _TILED.names)
+
+    compared = gathered.join(known, "item").withColumn("found", tiling("words", "size", "hits"))
+    counted = compared.select("text_key", "item_id", F.size("words").alias("item_words"), "found.*")
+    return stored(counted.filter(F.col("covered_words") >= F.lit(coverage) * F.col("item_words")), "leaks")
 
 
 def find_leaks(
@@ -189,44 +265,17 @@ def find_leaks(
     item_text: str = "text",
     seed: int = SEED,
     coverage: float = COVERAGE,
-    block_chars: int = BLOCK_CHARS,
+    **options,
 ) -> DataFrame:
-    """Per contaminated document row and leaked item: doc_id, item_id, item_words, covered_words, tiles.
+    """Per contaminated document row and leaked item row: doc_id, item_id, item_words, covered_words, tiles.
 
     Null texts are empty; an empty item leaks nowhere; null and repeated ids are reported as they are, a row each.
+    Other columns of either table are not read, and either may be empty.
     """
-    bound_batches(docs.sparkSession)
-    slim = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    doc_type = slim.schema["doc_id"].dataType.simpleString()
-    item_type = items.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {doc_type}, item_id {item_type}, item_words int, covered_words int, tiles int"
-
-    item_arrow = to_arrow_type(items.schema[item_id].dataType)
-
-    def search(block: Items):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows, found = [], []
-                for row, t in enumerate(batch.column("text").to_pylist()):
-                    for leak in block.leaks(t):
-                        rows.append(row)
-                        found.append(leak)
-                own = batch.column("doc_id").take(pa.array(rows, pa.int32()))
-                rest = [[f[k] for f in found] for k in range(4)]
-                item = pa.array(rest[0], item_arrow)
-                yield pa.RecordBatch.from_arrays(
-                    [own, item, *[pa.array(r, pa.int32()) for r in rest[1:]]],
-                    names=["doc_id", "item_id", "item_words", "covered_words", "tiles"],
-                )
-
-        return run
-
-    options = {"seed": seed, "coverage": coverage}
-    out = None
-    for block in item_blocks(items, item_id, item_text, block_chars, **options):
-        part = slim.mapInArrow(search(block), schema)
-        out = part if out is None else out.union(part)
-    return out
+    slim = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")).withColumn("text_key", F.sha2("text", 256))
+    found = leaked_texts(slim.select("text_key", "text"), items, item_id, item_text, seed, coverage, **options)
+    rows = slim.select("doc_id", "text_key")
+    return rows.join(found, "text_key").select("doc_id", "item_id", "item_words", "covered_words", "tiles")
 
 
 def drop_leaks(
@@ -237,19 +286,17 @@ def drop_leaks(
     item_text: str = "text",
     seed: int = SEED,
     coverage: float = COVERAGE,
-    block_chars: int = BLOCK_CHARS,
+    **options,
 ) -> DataFrame:
-    """The rows without any leaked item, with their columns as they came."""
-    bound_batches(docs.sparkSession)
-    clean = docs
-    for block in item_blocks(items, item_id, item_text, block_chars, seed=seed, coverage=coverage):
-        clean = clean.filter(~_leaks_any(block)(text_of(text)))
-    return clean
+    """The rows without any leaked item, with their columns as they came, whatever their names.
 
-
-def _leaks_any(block: Items):
-    @F.pandas_udf("boolean")
-    def leaked(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(block.leaks(t)) for t in texts], dtype=bool)
-
-    return leaked
+    Rows with a null or empty text stay, as do all rows if there are no items with words; repeated rows stay or go
+    together, and an empty table gives an empty one.
+    """
+    (key,) = spare_names(docs.columns, "text_key")
+    slim = docs.select(text_of(text).alias("text")).withColumn("text_key", F.sha2("text", 256)).select("text_key", "text")
+    found = leaked_texts(slim, items, item_id, item_text, seed, coverage, **options)
+    leaking = stored(found.select(F.col("text_key").alias(key)).distinct(), "leaking")
+    if leaking.count() <= BROADCAST_TEXTS:
+        leaking = F.broadcast(leaking)
+    return docs.withColumn(key, F.sha2(text_of(text), 256)).join(leaking, key, "left_anti").select(docs.columns)
