@@ -83,12 +83,27 @@ def brute_place(lengths, capacity, limit):
         out.append((s[0], capacity - s[1]))
         s[1] -= n
         if s[1]:
-            if len(open_) == limit:
-                open_.remove(min(reversed(open_), key=lambda x: x[1]))
             open_.append(s)
+            if len(open_) > limit:
+                open_.remove(min(reversed(open_), key=lambda x: x[1]))
     return out
 
 
+def test_fullest_closes_also_if_it_is_the_new_one():
+    room = packing.OpenSequences(10, 1)
+    assert [room.place(n) for n in (5, 9, 5)] == [(0, 0), (1, 0), (0, 5)]
+
+
+def test_strict_order_without_a_window(spark):
+    """window=1: pieces are placed one by one, as they come to a task."""
+    rng = random.Random(8)
+    cut = spark.createDataFrame([(i, rng.randint(1, 30)) for i in range(400)], "i long, length long")
+    rows = packing.pack(cut, 30, open_sequences=5, window=1, task_pieces=10**6).collect()
+    placed = brute_place([r.length for r in rows], 30, 5)  # rows come back as they were placed
+    first = min(r.sequence_id for r in rows)
+    assert [(r.sequence_id - first, r.offset) for r in rows] == placed and len(rows) == 400
+
+
 def test_best_fit_against_brute():
     rng = random.Random(4)
     for limit in (1, 3, 20):
