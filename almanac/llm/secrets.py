@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from almanac.llm.common import text_of
+from almanac.llm.common import spare_names, text_of
 from almanac.session import shared_dir
 
 
@@ -170,15 +170,16 @@ def redact(docs: DataFrame, ledger: str, rules=RULES, text: str = "text", n_char
     """All rows, in which secrets are replaced by the mask; other columns stay, but for the length of the text.
     A row without a secret is left as it is, null texts included."""
     scan(docs, ledger, rules, text)
-    found = findings(docs.sparkSession, ledger, rules).toDF("__blob", "__spans")
-    joined = docs.join(found, blob_of(text) == F.col("__blob"), "left")
-    hit = F.col("__spans").isNotNull()
-    new = F.when(hit, _masked(F.col(text), F.col("__spans"))).otherwise(F.col(text))
-    columns = {c: F.col(c) for c in docs.columns} | {text: F.col("__new")}
+    blob, spans, new = spare_names(docs.columns, "blob", "spans", "new")
+    found = findings(docs.sparkSession, ledger, rules).toDF(blob, spans)
+    joined = docs.join(found, blob_of(text) == F.col(blob), "left")
+    hit = F.col(spans).isNotNull()
+    masked = F.when(hit, _masked(F.col(text), F.col(spans))).otherwise(F.col(text))
+    columns = {c: F.col(c) for c in docs.columns} | {text: F.col(new)}
     if n_chars in docs.columns:
-        size = F.length("__new").cast(docs.schema[n_chars].dataType)
+        size = F.length(new).cast(docs.schema[n_chars].dataType)
         columns[n_chars] = F.when(hit, size).otherwise(F.col(n_chars))
-    return joined.withColumn("__new", new).select(*[v.alias(c) for c, v in columns.items()])
+    return joined.withColumn(new, masked).select(*[v.alias(c) for c, v in columns.items()])
 
 
 def digest(found: DataFrame, rules=RULES) -> DataFrame:

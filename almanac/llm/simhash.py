@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanac.llm.common import bound_batches, stored, text_of
+from almanac.llm.common import bound_batches, spare_names, stored, text_of
 from almanac.llm.components import components
 
 SHINGLE = 3
@@ -261,20 +261,21 @@ def keep_first(
     """One row of each component stays, with its columns as they came: that of the smallest doc_id, or one without
     an id if no member has one. If several rows of a component bear that id, the one of the smallest fingerprint and
     then the smallest text stays, null after all others."""
+    keeper, least, fp, row = spare_names(docs.columns, "keeper", "least", "fp", "row")
     rows = stored(_members(docs, text, doc_id, shingle, max_bits), "members")
-    single = rows.groupBy("doc_id").count().filter("count = 1 and doc_id is not null").drop("count")
+    single = rows.groupBy("doc_id").count().filter("count = 1 and doc_id is not null").select(F.col("doc_id").alias(keeper))
     named = rows.filter("doc_id <=> component_id").groupBy("component").agg(
-        F.first("component_id").alias("__keeper"), F.min("fp").alias("__least")
+        F.first("component_id").alias(keeper), F.min("fp").alias(least)
     )
-    once = named.join(single.withColumnRenamed("doc_id", "__keeper"), "__keeper", "left_semi").select("__keeper")
-    kept = docs.join(once, F.col(doc_id) == F.col("__keeper"), "left_semi")
-    more = stored(named.join(single.withColumnRenamed("doc_id", "__keeper"), "__keeper", "left_anti"), "keepers")
+    once = named.join(single, keeper, "left_semi").select(keeper)
+    kept = docs.join(once, F.col(doc_id) == F.col(keeper), "left_semi")
+    more = stored(named.join(single, keeper, "left_anti").select(keeper, least), "keepers")
     if more.isEmpty():
         return kept
-    again = docs.join(more.select("__keeper").distinct(), F.col(doc_id).eqNullSafe(F.col("__keeper")), "left_semi")
-    marked = with_fingerprint(again, "__fp", text, shingle)
-    wanted = F.col(doc_id).eqNullSafe(F.col("__keeper")) & (F.col("__fp") == F.col("__least"))
-    picked = marked.join(more, wanted, "left_semi").groupBy(doc_id, "__fp").agg(
-        F.min_by(F.struct(*docs.columns), F.struct(F.col(text).isNull(), text_of(text))).alias("__row")
+    again = docs.join(more.select(keeper).distinct(), F.col(doc_id).eqNullSafe(F.col(keeper)), "left_semi")
+    marked = with_fingerprint(again, fp, text, shingle)
+    wanted = F.col(doc_id).eqNullSafe(F.col(keeper)) & (F.col(fp) == F.col(least))
+    picked = marked.join(more, wanted, "left_semi").groupBy(doc_id, fp).agg(
+        F.min_by(F.struct(*docs.columns), F.struct(F.col(text).isNull(), text_of(text))).alias(row)
     )
-    return kept.union(picked.select("__row.*"))
+    return kept.union(picked.select(f"{row}.*"))
