@@ -2,7 +2,7 @@
 
 Quality rules drop documents that fail; near-dedup keeps one document of each group; decontamination drops documents
 that hold a benchmark passage; the secret scan masks secrets in the texts that have any; packing cuts and packs all
-that is left.
+that is left. An empty table stays empty in every stage, nulls in any column and columns of any further name pass through.
 """
 
 from __future__ import annotations
@@ -18,22 +18,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that pass the quality rules; those with a null or empty text fail. Repeated rows are judged each."""
     return quality.keep_good(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies; null and empty texts are one group, repeated rows belong together."""
     return simhash.keep_first(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a benchmark passage; null and empty texts hold none, empty items are in no text."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, secrets masked and n_chars of those texts counted anew; null and empty texts stay as they are."""
     return secrets.redact(docs, secrets.new_ledger(spark))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows; a null or empty text is one piece of the end mark alone, rows with one id are cut each."""
     return packing.pack_documents(docs)
 
 
