@@ -81,9 +81,10 @@ def _picked(bracket: _Bracket, ranks: list[int]) -> Column:
     return F.slice(ordered, first + 1, max(ranks) - min(ranks) + 1)
 
 
-def _find(df: DataFrame, wanted: dict[_Bracket, list[int]], direct_rows: int) -> dict[tuple[str, int], float]:
-    """The value of each (column, rank)."""
-    found: dict[tuple[str, int], float] = {}
+def _find(
+    df: DataFrame, wanted: dict[_Bracket, list[int]], found: dict[tuple[str, int], float], direct_rows: int
+) -> dict[tuple[str, int], float]:
+    """The value of each (column, rank), added to those that are found already."""
     while wanted:
         near = {b: r for b, r in wanted.items() if b.inside <= direct_rows}
         if near:
@@ -106,29 +107,49 @@ def _find(df: DataFrame, wanted: dict[_Bracket, list[int]], direct_rows: int) ->
 
 
 def exact_quantiles(
-    df: DataFrame, quantiles: dict[str, float], direct_rows: int = DIRECT_ROWS
+    df: DataFrame,
+    quantiles: dict[str, float],
+    direct_rows: int = DIRECT_ROWS,
+    hints: dict[str, tuple[float, float]] | None = None,
 ) -> dict[str, float | None]:
     """Linearly interpolated quantile per column over its known values; None if there are none.
 
-    ``df`` is read once per pass; each pass over a large table cuts the candidates to about a thousandth.
+    ``df`` is read once per pass; each pass over a large table cuts the candidates to about a thousandth. ``hints``
+    gives values between which a column's quantile probably lies (``sketches.brackets``) and spares the first sketch;
+    wrong ones do no harm.
     """
-    counts = dict(zip(quantiles, _aggregate(df, [F.count(known(c)) for c in quantiles]), strict=True))
+    marks = {c: m for c, m in (hints or {}).items() if c in quantiles}
+    sides = [x for c, m in marks.items() for x in _Bracket(c, 0).counts(*m)]
+    first = _aggregate(df, [*[F.count(known(c)) for c in quantiles], *sides])
+    counts = dict(zip(quantiles, first, strict=False))
+    counted = {c: first[len(quantiles) + 4 * i :][:4] for i, c in enumerate(marks)}
     places = {}
     for c, n in counts.items():
         if n:
             position = (n - 1) * quantiles[c]
-            first = math.floor(position)
-            places[c] = (first, min(first + 1, n - 1), position - first)
-    wanted = {_Bracket(c, counts[c]): sorted({a, b}) for c, (a, b, _) in places.items()}
-    found = _find(df, wanted, direct_rows)
+            low = math.floor(position)
+            places[c] = (low, min(low + 1, n - 1), position - low)
+    wanted: dict[_Bracket, list[int]] = {}
+    found: dict[tuple[str, int], float] = {}
+    for c, (a, b, _) in places.items():
+        whole = _Bracket(c, counts[c])
+        for rank in sorted({a, b}):
+            got = whole.narrowed(rank, *marks[c], counted[c]) if c in marks else whole
+            if isinstance(got, _Bracket):
+                wanted.setdefault(got, []).append(rank)
+            else:
+                found[c, rank] = got
+    _find(df, wanted, found, direct_rows)
     result: dict[str, float | None] = dict.fromkeys(quantiles)
     for c, (a, b, weight) in places.items():
         result[c] = found[c, a] + (found[c, b] - found[c, a]) * weight
     return result
 
 
-def quantile_table(df: DataFrame, quantiles: dict[str, float], direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def quantile_table(
+    df: DataFrame, quantiles: dict[str, float], direct_rows: int = DIRECT_ROWS, hints: dict | None = None
+) -> DataFrame:
     """The quantiles as rows (column, quantile, value)."""
-    found = exact_quantiles(df, quantiles, direct_rows)
+    found = exact_quantiles(df, quantiles, direct_rows, hints)
     rows = [(c, float(quantiles[c]), v) for c, v in found.items()]
     return df.sparkSession.createDataFrame(rows, "column_name string, quantile double, value double")

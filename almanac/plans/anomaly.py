@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from almanac.operators.checks import require_columns
 from almanac.operators.forest import ForestSize, grow_trees, tree_samples, with_path_score
 from almanac.operators.quantiles import exact_quantiles, known
+from almanac.operators.sketches import brackets, part_sketches
 from almanac.schemas import MODEL_FEATURES
 from almanac.session import materialise
-from almanac.sources.tables import read_table, write_table
+from almanac.sources.tables import Transaction, month_of, read_table, write_table
 
 ROW_KEY = ("city_id", "timestamp_utc")
 CONTAMINATION = 0.03
@@ -33,12 +34,15 @@ class AnomalyModel:
     raw: DataFrame | None = None  # the rows of the fit with their scores before the offset, if they were kept
 
 
-def impute_scale_stats(df: DataFrame, features: Sequence[str]) -> list[tuple]:
+def impute_scale_stats(df: DataFrame, features: Sequence[str], sketches: DataFrame | None = None) -> list[tuple]:
     """(position, feature, median, mean, std) with mean and population deviation after imputing.
 
-    A feature without any known value is left out; a constant one has deviation 1.
+    A feature without any known value is left out; a constant one has deviation 1. ``sketches`` of the features
+    (``stored_sketches``) spare passes over the table.
     """
-    medians = exact_quantiles(df, dict.fromkeys(features, 0.5))
+    wanted = dict.fromkeys(features, 0.5)
+    hints = brackets(sketches, wanted) if sketches is not None else None
+    medians = exact_quantiles(df, wanted, hints=hints)
     used = [f for f in features if medians[f] is not None]
     imputed = {f: F.coalesce(known(f), F.lit(medians[f])) for f in used}
     row = df.agg(
@@ -73,6 +77,7 @@ def fit_anomaly(
     contamination: float = CONTAMINATION,
     size: ForestSize = ForestSize(),
     keep_scores: bool = False,
+    sketches: DataFrame | None = None,
 ) -> AnomalyModel:
     """Fit on all rows of ``df``, a stored table: it is read once per fitting step.
 
@@ -83,7 +88,7 @@ def fit_anomaly(
     spark = df.sparkSession
     n_rows = df.count()
     per_tree = min(size.sample, n_rows)
-    stats = impute_scale_stats(df, features)
+    stats = impute_scale_stats(df, features, sketches)
     inputs = imputed_inputs(stats)
 
     prepared = df.select(*key, F.array(*inputs).alias("_x"))
@@ -103,6 +108,29 @@ def fit_anomaly(
     )
 
 
+SKETCHES = "feature_sketches"
+
+
+def store_sketches(
+    df: DataFrame,
+    root: str,
+    day: str = "observed_date",
+    features: Sequence[str] = MODEL_FEATURES,
+    months: Sequence[str] | None = None,
+) -> DataFrame:
+    """Sketch the features by month and return the stored sketches of all months.
+
+    With ``months``, ``df`` holds the rows of these months, and the sketches of the others stay as they are.
+    """
+    change = Transaction(df.sparkSession, root)
+    made = part_sketches(df, features, month_of(day))
+    if months is None or not change.has(SKETCHES):
+        change.write(made, SKETCHES, F.col("part"), ["column_name"])
+    else:
+        change.replace_months(made, SKETCHES, F.col("part"), months, ["column_name"])
+    return change.commit().read(SKETCHES)
+
+
 def save_model(model: AnomalyModel, root: str) -> None:
     write_table(model.stats.coalesce(1), root, "impute_scale_stats")
     write_table(model.nodes.coalesce(1), root, "forest_nodes")

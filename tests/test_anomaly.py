@@ -2,10 +2,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from almanac.operators import sketches
 from almanac.operators.forest import ForestSize, average_path, node_share, share_of, tree_samples
 from almanac.operators.quantiles import exact_quantiles
 from almanac.plans import anomaly
 from almanac.session import materialise
+from almanac.sources.tables import snapshot
 
 
 @pytest.mark.parametrize("direct_rows", [1, 50, 10**6])
@@ -173,3 +175,52 @@ def test_jumps_draw_as_often_as_independent_trials(spark):
     assert drawn.select("tree", "id").distinct().count() == 60 * 200
     per_row = drawn.groupBy("id").count().agg(F.avg("count"), F.stddev_samp("count")).first()
     assert per_row[0] == pytest.approx(60 * 200 / n, rel=0.03) and per_row[1] == pytest.approx((6 * 0.9) ** 0.5, rel=0.15)
+
+
+def test_quantiles_with_sketches_of_parts(spark):
+    """Exact with current sketches, with those of other rows, and with hints that miss altogether."""
+    rng = np.random.default_rng(9)
+    n = 20_000
+    columns = {
+        "spread": rng.normal(size=n),
+        "steps": np.floor(rng.normal(size=n) * 2),
+        "tail": rng.pareto(0.5, n),
+        "gaps": np.where(rng.random(n) < 0.6, np.nan, rng.random(n)),
+        "none": np.full(n, np.nan),
+        "one": np.full(n, 3.0),
+    }
+    rows = [(i % 9, *map(float, r)) for i, r in enumerate(zip(*columns.values(), strict=True))]
+    df = materialise(spark.createDataFrame(rows, "part int, " + ", ".join(f"{c} double" for c in columns)), "numbers")
+    parts = materialise(sketches.part_sketches(df, list(columns), F.col("part").cast("string")), "sketches")
+    assert parts.count() == 9 * len(columns)
+    for q in (0.0, 0.03, 0.5, 0.97, 1.0):
+        wanted = dict.fromkeys(columns, q)
+        near = sketches.brackets(parts, wanted)
+        assert set(near) == set(columns) - {"none"}
+        stale = sketches.brackets(parts.filter("part < '2'"), wanted)
+        wrong = {c: (1e9, 2e9) for c in columns} | {"steps": (-1e9, -1e8)}
+        for hints in (near, stale, wrong):
+            got = exact_quantiles(df, wanted, 500, hints)
+            for c, values in columns.items():
+                want = np.nanquantile(values, q) if c != "none" else None
+                assert got[c] == (pytest.approx(want, rel=1e-12, abs=1e-12) if want is not None else None), (c, q)
+    low, high = sketches.brackets(parts, {"spread": 0.5})["spread"]
+    share = ((columns["spread"] >= low) & (columns["spread"] <= high)).mean()
+    assert 0.005 < share < 0.04  # what is left to look at after the counting pass
+
+
+def test_refit_after_a_changed_month(spark, tmp_path):
+    """Only the changed month is sketched anew; the statistics are those of all rows."""
+    root = str(tmp_path)
+    made = lambda low, n, x: spark.range(low, low + n).selectExpr(
+        "id", "date_add(date'2025-01-01', cast(id % 90 as int)) AS observed_date", f"id * {x} AS a", "id % 7 * 1.0D AS b"
+    )
+    rows = materialise(made(0, 900, "1.5D"), "rows")
+    anomaly.store_sketches(rows, root, features=["a", "b"])
+    before = snapshot(spark, root).tables[anomaly.SKETCHES].parts
+    fresh = materialise(rows.filter("month(observed_date) != 2").union(made(5000, 300, "2D").filter("month(observed_date) = 2")), "fresh")
+    stored = anomaly.store_sketches(fresh.filter("month(observed_date) = 2"), root, features=["a", "b"], months=["2025-02"])
+    after = snapshot(spark, root).tables[anomaly.SKETCHES].parts
+    assert [m for m in after if after[m] != before[m]] == ["2025-02"]
+    assert stored.agg(F.sum("n")).first()[0] == 2 * fresh.count()
+    assert anomaly.impute_scale_stats(fresh, ["a", "b"], stored) == anomaly.impute_scale_stats(fresh, ["a", "b"])

@@ -546,6 +546,12 @@ FROM months WINDOW s AS (PARTITION BY city_id ORDER BY observed_month)""",
     )
 
 
+QUANTILES = """
+SELECT 'l_extendedprice' AS column_name, CAST(0.5 AS DOUBLE) AS quantile, quantile_cont(l_extendedprice, 0.5) AS value FROM lineitem
+UNION ALL SELECT 'l_quantity', 0.03, quantile_cont(l_quantity, 0.03) FROM lineitem
+UNION ALL SELECT 'l_discount', 0.97, quantile_cont(l_discount, 0.97) FROM lineitem
+UNION ALL SELECT 'l_tax', 0.5, quantile_cont(l_tax, 0.5) FROM lineitem"""
+
 ORACLES: dict[str, str] = {
     "silver_clean": with_(SILVER, "SELECT * FROM silver"),
     "quality_counts": with_(SILVER, _rule_counts()),
@@ -781,11 +787,8 @@ SELECT city_name, CAST(sum(extreme_event_count) AS BIGINT) AS extreme_event_coun
        CAST(sum(heavy_rain_count) AS BIGINT) AS heavy_rain_count
 FROM days GROUP BY city_name ORDER BY extreme_event_count DESC, city_name LIMIT 12""",
     ),
-    "exact_quantiles": """
-SELECT 'l_extendedprice' AS column_name, CAST(0.5 AS DOUBLE) AS quantile, quantile_cont(l_extendedprice, 0.5) AS value FROM lineitem
-UNION ALL SELECT 'l_quantity', 0.03, quantile_cont(l_quantity, 0.03) FROM lineitem
-UNION ALL SELECT 'l_discount', 0.97, quantile_cont(l_discount, 0.97) FROM lineitem
-UNION ALL SELECT 'l_tax', 0.5, quantile_cont(l_tax, 0.5) FROM lineitem""",
+    "exact_quantiles": QUANTILES,
+    "quantiles_from_sketches": QUANTILES,
     "impute_scale_stats": with_(
         STATS, "SELECT feature, round(median, 6) AS median, round(mean, 6) AS mean, round(std, 6) AS std FROM stats"
     ),

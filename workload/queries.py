@@ -12,7 +12,7 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.operators import checks, frames, quantiles
+from almanac.operators import checks, frames, quantiles, sketches
 from almanac.operators.forest import NODES, ForestSize, grow_trees, tree_samples, with_path_score
 from almanac.operators.series import profile_series
 from almanac.plans import anomaly, features, marts, models, reports, silver
@@ -451,6 +451,15 @@ def exact_quantiles(spark, sf_dir):
     return quantiles.quantile_table(lineitem, wanted, direct_rows=1000)
 
 
+@query
+def quantiles_from_sketches(spark, sf_dir):
+    """Exact quantiles from a counting pass between values that stored sketches of the months give."""
+    wanted = {"l_extendedprice": 0.5, "l_quantity": 0.03, "l_discount": 0.97, "l_tax": 0.5}
+    lineitem = inputs.table(spark, sf_dir, "lineitem").select("l_shipdate", *wanted)
+    stored = anomaly.store_sketches(lineitem, shared_dir(spark, "sketches"), "l_shipdate", list(wanted))
+    return quantiles.quantile_table(lineitem, wanted, direct_rows=1000, hints=sketches.brackets(stored, wanted))
+
+
 def _stats(df):
     return anomaly.impute_scale_stats(df, MODEL_FEATURES)
 
