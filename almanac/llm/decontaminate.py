@@ -19,7 +19,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,28 +33,62 @@ COVERAGE = 0.6
 FREQUENT_ITEMS = 64
 #: Bits of the bitmap of seeds (a power of two).
 BITMAP_BITS = 1 << 24
-#: Words whose hashes a worker remembers, about 150 bytes each; beyond, it begins anew.
-KNOWN_WORDS = 1_000_000
 #: Texts found to leak (a digest each) that may be sent to every task; more are joined by a shuffle.
 BROADCAST_TEXTS = 200_000
 
-_WORD = re.compile(r"\w+")
+_WORD, _NO_WORD = re.compile(r"\w+"), re.compile(r"\W+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_known: dict[str, int] = {}
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0 .. base ** n, modulo 2**64."""
+    return np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base))))
+
+
+#: ASCII with a blank for whatever is no part of a word.
+_ASCII = bytes(b if b < 128 and _WORD.fullmatch(chr(b)) else 32 for b in range(256))
+#: Bytes of a text whose words are hashed at once.
+_CHUNK = 1 << 18
+_BYTES = np.random.default_rng(7).integers(1, 2**64, 256, dtype=np.uint64)
+_UP = _powers(_BASE, _CHUNK)
+_DOWN = _powers(np.uint64(pow(int(_BASE), -1, 2**64)), _CHUNK)
+
+
+def _piece_hashes(raw: np.ndarray) -> np.ndarray:
+    """Hashes of the words between blanks: each from prefix sums of its bytes' values times powers."""
+    inside = np.concatenate(([False], raw != 32, [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    whole = len(raw) <= _CHUNK
+    up, down = (_UP, _DOWN) if whole else (_powers(_BASE, len(raw)), _powers(_DOWN[1], len(raw)))  # a word of that length
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(_BYTES[raw] * up[: len(raw)])))
+    h = (sums[ends] - sums[starts]) * down[starts]
+    h = (h ^ (h >> np.uint64(32))) * _BASE
+    return (h ^ (h >> np.uint64(32))) >> np.uint64(1)
+
+
 def word_hashes(text: str) -> np.ndarray:
-    """The words of a text as numbers, equal for equal words."""
-    words = words_of(text)
-    if len(_known) > KNOWN_WORDS:
-        _known.clear()
-    for w in set(words).difference(_known):
-        _known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    """The words of a text as 63-bit numbers, equal for equal words."""
+    low = text.lower()
+    plain = low.encode().translate(_ASCII) if low.isascii() else _NO_WORD.sub(" ", low).encode("utf-8", "surrogatepass")
+    raw = np.frombuffer(plain, np.uint8)
+    parts, at = [np.empty(0, np.uint64)], 0
+    while at < len(raw):
+        end = len(raw)
+        if end - at > _CHUNK:
+            blanks = np.flatnonzero(raw[at : at + _CHUNK] == 32)
+            if len(blanks):
+                end = at + int(blanks[-1])
+            else:  # a word that is longer than a chunk
+                rest = np.flatnonzero(raw[at:] == 32)
+                end = at + int(rest[0]) if len(rest) else end
+        parts.append(_piece_hashes(raw[at:end]))
+        at = end + 1
+    return np.concatenate(parts)
 
 
 def run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
@@ -242,8 +275,13 @@ def leaked_texts(
     sizes = sorted(r[0] for r in seeds.select("size").distinct().collect())  # 1 to seed
     hits = stored(text_hits(texts, sizes, seed_bitmap(seeds, bits)), "hits")
     pairs = hits.join(generating_seeds(known, seeds, coverage, frequent_items), "seed").select("text_key", "item").distinct()
-    shared = pairs.join(seeds.groupBy("item", "seed").agg(F.min("p").alias("p")), "item").join(hits, ["text_key", "seed"])
-    gathered = shared.groupBy("text_key", "item").agg(F.collect_list(F.struct("q", "p")).alias("hits"))
+    places = seeds.groupBy("item", "seed").agg(F.min("p").alias("p"), F.count("*").cast("int").alias("times"))
+    shared = pairs.join(places, "item").join(hits, ["text_key", "seed"])
+    gathered = shared.groupBy("text_key", "item").agg(F.collect_list(F.struct("q", "p", "times")).alias("hits"))
+    # tiles consist of shared seeds, so those must be enough to cover what is asked for
+    distinct = F.array_distinct(F.transform("hits", lambda h: F.struct(h["p"].alias("p"), h["times"].alias("times"))))
+    reach = F.col("size") * F.aggregate(distinct, F.lit(0), lambda sum_, h: sum_ + h["times"])
+    likely = gathered.join(known, "item").filter(reach >= F.lit(coverage) * F.size("words"))
 
     @F.arrow_udf(_TILED)
     def tiling(words: pa.Array, sizes: pa.Array, hits: pa.Array) -> pa.Array:
@@ -251,7 +289,7 @@ def leaked_texts(
         done = [tiled(np.array(w, np.int64), n, [(h["q"], h["p"]) for h in found], coverage) for w, n, found in rows]
         return pa.StructArray.from_arrays([pa.array([d[i] for d in done], pa.int32()) for i in (0, 1)], _TILED.names)
 
-    compared = gathered.join(known, "item").withColumn("found", tiling("words", "size", "hits"))
+    compared = likely.withColumn("found", tiling("words", "size", "hits"))
     counted = compared.select("text_key", "item_id", F.size("words").alias("item_words"), "found.*")
     return stored(counted.filter(F.col("covered_words") >= F.lit(coverage) * F.col("item_words")), "leaks")
 

@@ -38,6 +38,25 @@ def test_tiles_against_brute():
         assert got == brute_tiles(item, text, 3)
 
 
+def test_word_hashes(monkeypatch):
+    """As many as words, equal for equal words and no others, whatever the chunks; a word may exceed a chunk."""
+    rng = random.Random(12)
+    texts = ["", " .!", "İstanbul ΣΑΣ straße", "a b a", "\ud800 x", "x_1 x-1"]
+    texts += ["".join(rng.choice("aAbé_1 .\n日") for _ in range(rng.randrange(60))) for _ in range(500)]
+    texts += ["q" * 3000 + " ab " + "z" * 2000 + " q", " ".join(f"w{i % 70}" for i in range(3000))]
+    seen = {}
+    for chunk in (decontaminate._CHUNK, 64):
+        monkeypatch.setattr(decontaminate, "_CHUNK", chunk)
+        for text in texts:
+            words, hashes = decontaminate.words_of(text), decontaminate.word_hashes(text).tolist()
+            assert len(words) == len(hashes), text
+            for w, h in zip(words, hashes, strict=True):
+                assert seen.setdefault(w, h) == h < 2**63
+    assert len(set(seen.values())) == len(seen) > 500
+    many = [f"{a}{b}" for a in range(400) for b in ("x", "yy", "zzz")]
+    assert len(set(decontaminate.word_hashes(" ".join(many)).tolist())) == len(set(many))
+
+
 ITEM = [f"word{i}" for i in range(40)]
 
 
