@@ -45,6 +45,35 @@ def test_score_is_the_softmax_of_the_mean():
         assert abs(got - 1 / (1 + np.exp(-logit))) < 1e-9
 
 
+def test_one_step_against_a_dense_softmax():
+    """Vectors, softmax and bias move as in a dense network over all buckets, with classes that count differently."""
+    texts, labels = corpus(random.Random(3), 8)
+    weights, rate, seed = (1.0, 3.0), 0.2, 5
+    n, y = len(texts), np.array(labels)
+    assert n <= toxicity.BATCH
+    bags = np.zeros((n, toxicity.BUCKETS))
+    for i, text in enumerate(texts):
+        grams = [g for w in toxicity.words_of(text) for g in toxicity.word_grams(w)]
+        for g in grams:
+            bags[i, g] += 1 / (len(grams) + toxicity.PADDING)
+    rng = np.random.default_rng(seed)
+    vectors = rng.normal(0, 0.1, (toxicity.BUCKETS, toxicity.DIMENSIONS))
+    linear = rng.normal(0, 0.1, (toxicity.DIMENSIONS, 2))
+    logits = bags @ vectors @ linear
+    chances = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    counts = np.array(weights)[y] * n / np.array(weights)[y].sum()
+    off = (chances - np.eye(2)[y]) * counts[:, None] / n
+    slope_v, slope_l, slope_b = bags.T @ off @ linear.T, (bags @ vectors).T @ off, off.sum(axis=0)
+    vectors -= rate * slope_v / np.sqrt(1e-8 + (slope_v**2).mean(axis=1, keepdims=True))
+    linear -= rate * slope_l / np.sqrt(1e-8 + slope_l**2)
+    bias = -rate * slope_b / np.sqrt(1e-8 + slope_b**2)
+    side = linear[:, 1] - linear[:, 0]
+    got = toxicity.train(texts, labels, weights, epochs=1, rate=rate, seed=seed)
+    used = np.flatnonzero(bags.any(axis=0))
+    assert np.allclose(got.weights[used], (vectors @ side)[used], rtol=1e-3, atol=1e-5)
+    assert np.isclose(got.bias, bias[1] - bias[0], rtol=1e-6)
+
+
 def test_held_out_accuracy(spark):
     read = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
     docs, labels = read("documents").select("doc_id", "text"), read("labels")
