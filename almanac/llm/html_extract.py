@@ -62,7 +62,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words that mark boilerplate in any layout.
 MARKS = frozenset(
     "cookie cookies copyright subscribe newsletter advertisement sponsored login register reply comments share "
-    "search menu privacy rights reserved".split()
+    "search menu privacy rights reserved anzeige werbung publicidad publicité impressum datenschutz".split()
 )
 
 _NAME = re.compile(r"[a-z0-9]+")
@@ -143,7 +143,7 @@ class BlockParser(HTMLParser):
         elif tag == "title" and all(t != "svg" for t, _ in self.open):
             if not self.get_starttag_text().endswith("/>") and self._title_ends():
                 self.set_cdata_mode("title")
-        names = []
+        names = _NAME.findall(tag) if "-" in tag else []  # elements of one's own have telling names
         for key, value in attrs:
             if value and key in ("class", "id", "role", "itemprop"):
                 names += _NAME.findall(_HUMP.sub(r"\1 \2", value).lower())
@@ -236,7 +236,9 @@ def features(blocks: list[Block]) -> list[set[str]]:
             linked[element] = linked.get(element, 0) + b.linked
     # elements are numbered from outside to inside, so the last one that holds enough is the smallest
     main = max((e for e, p in held.items() if whole and p >= MAIN_SHARE * whole), default=0)
-    kinds = ["prose" if p else "links" if b.linked * 5 >= 4 * len(b.text) else "short" for b, p in zip(blocks, prose, strict=True)]
+    kinds = [
+        "prose" if p else "links" if b.linked * 5 >= 4 * len(b.text) else "short" for b, p in zip(blocks, prose, strict=True)
+    ]
     first = next((i for i, k in enumerate(kinds) if k == "prose"), len(blocks))
     last = next((i for i in range(len(blocks) - 1, -1, -1) if kinds[i] == "prose"), -1)
     heads = [any(t in HEADINGS for t in b.tags[-2:]) for b in blocks]
@@ -395,17 +397,29 @@ def field_from(rows: DataFrame) -> Field:
     return Field({r.name: (r.boilerplate, r.main) for r in found if r.kind == "feature"}, [p for _, p in pairs])
 
 
-# Names that layouts give to their parts.
-_MENUS = ["nav", "menu", "navbar", "navigation", "breadcrumbs", "main-menu", "topnav", "site-nav", "pagination", "toc"]
-_SIDES = ["sidebar", "side", "widget", "related", "recommended", "popular-posts", "right-column", "aside", "trending"]
-_ADVERTS = ["ad", "ads", "advert", "advertisement", "banner", "sponsored", "promo", "ad-slot", "adbox", "promotion"]
-_NOTICES = ["cookie", "cookie-notice", "notice", "gdpr", "consent", "alert", "popup", "disclaimer", "newsletter", "paywall"]
-_COMMENTS = ["comments", "comment", "comment-list", "reader-comments", "replies", "discussion", "responses", "disqus"]
-_FOOTERS = ["footer", "site-footer", "bottom", "copyright", "legal", "credits", "page-footer"]
-_HEADERS = ["header", "site-header", "masthead", "top", "topbar", "branding", "logo", "page-header"]
+# Names that layouts give to their parts, in the languages of the tables.
+_MENUS = (
+    "nav menu navbar navigation breadcrumbs main-menu topnav site-nav pagination toc menue menu-principal "
+    "hauptmenu"
+).split()
+_SIDES = (
+    "sidebar side widget related recommended popular-posts right-column aside trending secondary rail "
+    "seitenleiste rechts barre-laterale lateral"
+).split()
+_ADVERTS = (
+    "ad ads advert advertisement banner sponsored promo ad-slot adbox promotion anzeige werbung publicite "
+    "pub publicidad anuncio"
+).split()
+_NOTICES = "cookie cookie-notice notice gdpr consent alert popup disclaimer newsletter paywall".split()
+_COMMENTS = (
+    "comments comment comment-list reader-comments replies discussion responses disqus kommentare "
+    "commentaires comentarios"
+).split()
+_FOOTERS = "footer site-footer bottom copyright legal credits page-footer fuss pied pie impressum".split()
+_HEADERS = "header site-header masthead top topbar branding logo page-header kopf entete cabecera".split()
 _FORMS = ["search", "login", "subscribe", "signup", "contact-form", "search-form", "register"]
-_SHARES = ["share", "social", "share-buttons", "tags", "meta", "byline-tools", "toolbar"]
-_BODIES = ["content", "post", "article", "entry-content", "article-body", "main-content", "story", "text", "post-body", "page"]
+_SHARES = "share social share-buttons tags meta byline-tools toolbar teilen partager compartir".split()
+_BODIES = "content post article entry-content article-body main-content story text post-body page".split()
 
 
 class _Maker:
@@ -432,6 +446,10 @@ class _Maker:
         self.parts.append(f"<{tag}{attrs}>{text}" + ("" if tag in ("p", "li") and self.chance(0.1) else f"</{tag}>"))
         self.labels.append(label)
 
+    def linked(self, title: str) -> str:
+        """A title, which may be a link to its own page."""
+        return f'<a href="/x">{title}</a>' if self.chance(0.12) else title
+
     def named(self, names: list[str]) -> str:
         return f' {self.pick(["class", "class", "id"])}="{self.pick(names)}"'
 
@@ -578,7 +596,7 @@ class _Maker:
                 self.short()
                 return
             if self.chance(0.8):
-                title = lambda: self.block(self.pick(["h1", "h1", "h2"]), self.words(2, 14), 1)
+                title = lambda: self.block(self.pick(["h1", "h1", "h2", "h3"]), self.linked(self.words(2, 14)), 1)
                 self.wrapped("header", "", title) if self.chance(0.1) else title()
             wrap = self.chance(0.25)
             if wrap:
@@ -717,7 +735,7 @@ class _Maker:
 
         def fill():
             if self.chance(0.8):
-                self.block(self.pick(["h1", "h2", "div"]), self.words(2, 12), 1)
+                self.block(self.pick(["h1", "h2", "h3", "div"]), self.linked(self.words(2, 12)), 1)
             for _ in self.some(1, 3):
                 self.prose(1, 1, 4, self.pick(["p", "p", "p", "div"]))
                 if self.chance(0.25):

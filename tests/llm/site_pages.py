@@ -245,3 +245,31 @@ page(
     "A colony swarms when the hive has become too small for it, most often in May.",
     "The old queen leaves with half of the bees, and a young one takes her place.",
 )
+
+# A second set, written after the first came out right. Three of its 99 blocks were wrong then: a title that is a link, an
+# advert named in German, and the one that still is. The first two led to more layouts and names in training.
+WRONG = {"amp news"}
+page("medium-like","""<html><body><div id="root"><nav class="ab cd"><div><a href="/">Logo</a></div><div><a href="/signin">Sign in</a></div></nav><main><div class="ae"><article><div class="section"><h1 class="pw">Why I stopped using a calendar</h1><h2 class="sub">A year without appointments</h2><p class="pw-body">It started when my phone fell into the sea.</p><p class="pw-body">For three weeks I had no idea what day it was, and nobody seemed to mind.</p><figure><figcaption>The beach in question</figcaption></figure><blockquote>Time is what prevents everything from happening at once.</blockquote></div></article></div></main><div class="footer"><a href="/about">About</a><a href="/help">Help</a><a href="/legal">Legal</a></div></div></body></html>""",
+"Why I stopped using a calendar","A year without appointments","It started when my phone fell into the sea.","For three weeks I had no idea what day it was, and nobody seemed to mind.","The beach in question","Time is what prevents everything from happening at once.")
+page("gov form","""<html><body><div class="skip"><a href="#main">Skip to content</a></div><div role="banner"><p>Official site of the county</p></div><div role="navigation"><ul><li><a>Taxes</a></li><li><a>Roads</a></li></ul></div><div role="main" id="main"><h1>Renew a fishing permit</h1><p>You need a permit to fish in any lake of the county.</p><p>Permits are valid for one year from the day of issue.</p><form><label>Permit number</label><input><button>Renew</button></form></div><div role="contentinfo"><p>Contact us | Accessibility | Privacy</p></div></body></html>""",
+"Renew a fishing permit","You need a permit to fish in any lake of the county.","Permits are valid for one year from the day of issue.")
+page("blogger","""<html><body><div class="header section" id="header"><h1 class="title"><a href="/">Salt and Bread</a></h1><p class="description">Notes from a small kitchen</p></div><div class="main section" id="main"><div class="post hentry"><h3 class="post-title entry-title"><a href="/p">Rye loaf, again</a></h3><div class="post-body entry-content"><p>The dough was wetter than last week, and I let it rise overnight.</p><p>It came out flat but tasted of malt and honey.</p></div><div class="post-footer">Posted by Eva at <a href="/p">10:12</a> <a href="/c">3 comments:</a></div></div></div><div class="sidebar section" id="sidebar"><div class="widget BlogArchive"><h2>Blog Archive</h2><ul><li><a href="/2019">2019</a></li><li><a href="/2018">2018</a></li></ul></div><div class="widget Profile"><h2>About Me</h2><p>I bake bread and write about it.</p></div></div></body></html>""",
+"Rye loaf, again","The dough was wetter than last week, and I let it rise overnight.","It came out flat but tasted of malt and honey.")
+page("amp news","""<!doctype html><html amp><head><title>x</title></head><body><amp-sidebar><ul><li><a href=/>Front</a></li><li><a href=/b>Business</a></li></ul></amp-sidebar><article class="amp-wp-article"><header class="amp-wp-article-header"><h1>Harbour ferry returns after winter break</h1></header><div class="amp-wp-article-content"><p>The harbour ferry will run again from the first of March, two weeks earlier than last year.</p><amp-ad>Ad</amp-ad><p>Tickets cost the same as before.</p></div></article><footer class="amp-wp-footer"><p>Harbour Post</p><a href="#top">Back to top</a></footer></body></html>""",
+"Harbour ferry returns after winter break","The harbour ferry will run again from the first of March, two weeks earlier than last year.","Tickets cost the same as before.")
+page("readme","""<html><body><header class="Header"><a href="/">Hub</a><input placeholder=Search></header><div class="repohead"><h1><a href="/u">user</a>/<a href="/u/r">tool</a></h1><ul class="pagehead-actions"><li><a>Watch</a></li><li><a>Star</a></li></ul></div><div class="Box"><div class="markdown-body"><h1>tool</h1><p>A small tool that renames files by their content.</p><h2>Install</h2><pre>pip install tool</pre><h2>Usage</h2><p>Run it in a folder and answer its questions.</p><ul><li>It never deletes anything.</li><li>It keeps a log of all changes.</li></ul></div></div><div class="footer container"><ul><li><a>Terms</a></li><li><a>Status</a></li></ul></div></body></html>""",
+"tool","A small tool that renames files by their content.","Install","pip install tool","Usage","Run it in a folder and answer its questions.","It never deletes anything.","It keeps a log of all changes.")
+page("german portal","""<html lang=de><body><div id="kopf"><a href="/">Startseite</a> <a href="/wetter">Wetter</a></div><div id="inhalt"><h1>Neue Brücke eröffnet</h1><p class="vorspann">Nach vier Jahren Bauzeit ist die neue Brücke über den Fluss seit heute für den Verkehr frei.</p><p>Die alte Brücke wird im Herbst abgerissen, wie die Stadt mitteilte.</p><div class="anzeige">Anzeige</div><p>Radfahrer bekommen eigene Spuren.</p></div><div id="rechts"><h3>Meistgelesen</h3><ol><li><a href="/1">Stau am Morgen</a></li><li><a href="/2">Bäckerei schließt</a></li></ol></div><div id="fuss">Impressum Datenschutz</div></body></html>""",
+"Neue Brücke eröffnet","Nach vier Jahren Bauzeit ist die neue Brücke über den Fluss seit heute für den Verkehr frei.","Die alte Brücke wird im Herbst abgerissen, wie die Stadt mitteilte.","Radfahrer bekommen eigene Spuren.")
+page("press release","""<html><body><table class="layout"><tr><td class="logo">ACME Corp</td></tr><tr><td class="left"><a href="/n">News</a><br><a href="/i">Investors</a></td><td class="body"><h2>ACME opens plant in Norway</h2><p><b>OSLO, May 3</b> - ACME Corp opened a new plant near Oslo today that will make anvils for the whole of Europe.</p><p>The plant employs two hundred people.</p><p>About ACME: ACME has made anvils since 1920.</p></td></tr><tr><td colspan=2 class="foot">Copyright ACME Corp. All rights reserved.</td></tr></table></body></html>""",
+"ACME opens plant in Norway","OSLO, May 3 - ACME Corp opened a new plant near Oslo today that will make anvils for the whole of Europe.","The plant employs two hundred people.","About ACME: ACME has made anvils since 1920.")
+page("paywall notice","""<html><body><header><nav><a>Home</a><a>Opinion</a></nav></header><main><h1>The price of milk</h1><p>Milk costs more in the city than on the farm where it comes from, and not only because of the road between them.</p><div class="paywall">Subscribe now to read all articles. Already a member? Login</div><p>Half of the price is made by the dairies.</p></main><footer>Terms of use</footer></body></html>""",
+"The price of milk","Milk costs more in the city than on the farm where it comes from, and not only because of the road between them.","Half of the price is made by the dairies.")
+page("faq","""<html><body><div class="nav"><a>Home</a> <a>Contact</a></div><div class="faq"><h1>Questions</h1><dl><dt>When are you open?</dt><dd>Every day but Monday, from ten in the morning until six.</dd><dt>May I bring my dog?</dt><dd>Yes, on a lead.</dd></dl></div><div class="foot">Museum of Keys</div></body></html>""",
+"Questions","When are you open?","Every day but Monday, from ten in the morning until six.","May I bring my dog?","Yes, on a lead.")
+page("two line poem","""<html><body><h1>Fog</h1><p>The fog comes in at night<br>and leaves before the light.</p><p><a href="index.html">Index</a></p></body></html>""",
+"Fog","The fog comes in at night and leaves before the light.")
+page("long comments","""<html><body><div class="site"><div class="post"><h2>Short note</h2><p>The shop is closed on Friday.</p></div><div id="comments"><h3>Comments</h3><div class="comment"><p>What a pity, I wanted to come by on Friday with my whole family to look at the new lamps you wrote about.</p></div><div class="comment"><p>Will you be open on Saturday then? I live quite far away and would not like to make the trip for nothing.</p></div></div></div></body></html>""",
+"Short note","The shop is closed on Friday.")
+page("schema article","""<html><body><div class="container"><div class="row"><div class="col-md-8" itemscope itemtype="Article"><h1 itemprop="headline">Snails at work</h1><div itemprop="articleBody"><p>Snails cross the path at night and are gone by morning, which is why few people know how many there are.</p><p>We counted them for a month.</p><table><tr><th>Week</th><th>Snails</th></tr><tr><td>1</td><td>212</td></tr></table></div></div><div class="col-md-4"><div class="panel"><div class="panel-heading">Tags</div><div class="panel-body"><a>garden</a> <a>animals</a></div></div></div></div></div></body></html>""",
+"Snails at work","Snails cross the path at night and are gone by morning, which is why few people know how many there are.","We counted them for a month.","Week","Snails","1","212")
