@@ -104,10 +104,11 @@ def tile(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int,
     item, text = item.copy(), text.copy()
     tiles = []
     longest = min(len(item), len(text))
-    while longest >= least:
-        size, found = 0, []
-        low, high = least, longest
-        while low <= high:  # a common run of some length contains common runs of all shorter ones
+    while longest >= least and len(_unmarked(item, least)):
+        found = _common_runs(item, text, longest)  # most often a whole item, or nothing that long
+        size = longest if found else 0
+        low, high = least, longest - 1
+        while low <= high and not size == longest:  # a common run of some length contains common runs of all shorter ones
             middle = (low + high) // 2
             common = _common_runs(item, text, middle)
             if common:
@@ -282,6 +283,8 @@ def leaked_texts(
     distinct = F.array_distinct(F.transform("hits", lambda h: F.struct(h["p"].alias("p"), h["times"].alias("times"))))
     reach = F.col("size") * F.aggregate(distinct, F.lit(0), lambda sum_, h: sum_ + h["times"])
     likely = gathered.join(known, "item").filter(reach >= F.lit(coverage) * F.size("words"))
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    likely = likely.repartition(tasks, "text_key", "item")  # few bytes a pair, but much to do: not for a few tasks
 
     @F.arrow_udf(_TILED)
     def tiling(words: pa.Array, sizes: pa.Array, hits: pa.Array) -> pa.Array:
