@@ -188,8 +188,10 @@ def judged(counted: DataFrame, limits: DataFrame, counts: str, into: str, lang:
 
 
 def limits_of(counted: DataFrame, counts: str, lang: str = "lang", source: str = "source") -> DataFrame:
-    """The thresholds of all documents, stored: one row per language and source."""
-    return stored(thresholds(sketch(counted, lang, source, sketched(counts))), "limits")
+    """The thresholds of all documents, stored: one row per language and source. The sketches are stored, too, as they
+    are read for each group that they are mixed for."""
+    sketches = stored(sketch(counted, lang, source, sketched(counts)), "sketches")
+    return stored(thresholds(sketches), "limits")
 
 
 def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", doc_id: str = "doc_id"):
