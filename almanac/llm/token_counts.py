@@ -11,7 +11,6 @@ then the chunk itself, at last to the rest of the text.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,9 +35,7 @@ _tokenizers: dict[str, Tokenizer] = {}
 
 
 def _tokenizer(path: str) -> Tokenizer:
-    """One tokenizer a worker, on the worker's own thread: the executor's cores are all taken by tasks."""
     if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
