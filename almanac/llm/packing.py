@@ -12,8 +12,10 @@ order. How many tasks pack follows from the number of pieces, so that each leave
 
 from __future__ import annotations
 
+import json
+import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -40,44 +42,105 @@ TASK_PIECES = 400_000
 KNOWN_WORDS = 1_000_000
 #: New words that are encoded at once.
 LEARNT = 512
+#: Characters of texts whose new words are looked for together, about.
+GROUP_CHARS = 1 << 18
 TOKENIZER = "word_bpe_49k.json"
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+#: Pre-tokenizers by this pattern keep letters and signs apart; after lower-casing, so are the ids of words of both.
+_LETTERS_APART = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SIGNS = string.punctuation.encode()
+
+
+def _letters_apart(tokenizer: Tokenizer) -> bool:
+    """Whether a word of ASCII letters and then signs, which holds no contraction or special string, has the ids of its
+    lower-case letters, then those of its signs, and each of both is one pre-token."""
+    found = json.loads(tokenizer.to_str())
+    steps = [found["normalizer"] or {}, found["pre_tokenizer"] or {}]
+    normalizers, splits = (s.get("normalizers") or s.get("pretokenizers") or [s] for s in steps)
+    first = splits[0]
+    return (
+        any(n.get("type") == "Lowercase" for n in normalizers)
+        and all(n.get("type") in ("NFC", "Replace", "Lowercase") for n in normalizers)
+        and all(n["pattern"] == {"Regex": "\\s+"} for n in normalizers if n.get("type") == "Replace")
+        and first.get("type") == "Split" and first["pattern"] == {"Regex": _LETTERS_APART}
+        and all(s.get("type") == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in splits[1:])
+    )
+
+
 class WordEncoder:
     """Ids of texts for a tokenizer that drops white space, as little-endian 32-bit numbers.
 
     No token of such a tokenizer spans a blank, so a text's ids are those of its words in turn, and each distinct
     word goes through the tokenizer once while it is remembered. New words are encoded many at a time, with blanks
-    between them; the offsets tell whose ids are whose.
+    between them; the offsets tell whose ids are whose. Where the tokenizer keeps letters and signs apart and does not
+    tell cases apart, words that differ in these alone share the ids of their letters.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.folds = _letters_apart(self.tokenizer)
 
-    def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-        owner = np.searchsorted(starts, [a for a, _ in encoding.offsets], "right") - 1
+    def _encode(self, words: list[bytes], single: bool) -> None:
+        joined = b" ".join(words).decode()
+        encoding = self.tokenizer.encode(joined, add_special_tokens=False)
+        if single:  # a pre-token each
+            owner = encoding.word_ids
+        else:
+            starts = np.cumsum([0, *(len(w.decode()) + 1 for w in words[:-1])])
+            owner = np.searchsorted(starts, [a for a, _ in encoding.offsets], "right") - 1
         ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
         payload = np.array(encoding.ids, "<u4").tobytes()
         for word, a, b in zip(words, [0, *ends], ends):
             self.known[word] = payload[a:b]
 
+    def _learn(self, words: Iterable[bytes]) -> None:
+        made, single, other = [], {}, []
+        for word in words:
+            letters = word.rstrip(_SIGNS)
+            if self.folds and letters.isalpha():  # of ASCII letters, as these are bytes
+                signs, letters = word[len(letters) :], letters.lower()
+                made.append((word, letters, signs))
+                single[letters] = None
+                if signs:
+                    single[signs] = None
+            else:
+                other.append(word)
+        new = [w for w in single if w not in self.known]
+        for i in range(0, len(new), LEARNT):
+            self._encode(new[i : i + LEARNT], True)
+        for i in range(0, len(other), LEARNT):
+            self._encode(other[i : i + LEARNT], False)
+        for word, letters, signs in made:
+            self.known[word] = self.known[letters] + self.known[signs] if signs else self.known[letters]
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.encode().split()  # at space and \x09-\x0D
-            new = list(set(words).difference(self.known))
-            for i in range(0, len(new), LEARNT):
-                self._learn(new[i : i + LEARNT])
-            yield b"".join(map(self.known.__getitem__, words))
+        for group in _groups(texts, GROUP_CHARS):
+            split = [text.encode().split() for text in group]  # at space and \x09-\x0D
+            found = [list(map(self.known.get, words)) for words in split]
+            self._learn(dict.fromkeys(w for words, ids in zip(split, found) for w, i in zip(words, ids) if i is None))
+            for words, ids in zip(split, found):
+                yield b"".join([self.known[w] if i is None else i for w, i in zip(words, ids)])
             if len(self.known) > KNOWN_WORDS:
                 self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
 
 
+def _groups(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """The texts in order, so many together as have about so many characters."""
+    group, n = [], 0
+    for text in texts:
+        group.append(text)
+        n += len(text)
+        if n >= chars:
+            yield group
+            group, n = [], 0
+    if group:
+        yield group
+
+
 def _encoder(path: str) -> WordEncoder:
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)

@@ -120,3 +120,29 @@ def test_few_sequences(spark):
     assert made <= 1.001 * sum(lengths) / 2048 + 1
     few = packing.pack(cut, open_sequences=4, window=1)
     assert few.groupBy("sequence_id").sum("length").filter("`sum(length)` > 2048").isEmpty() and few.count() == 20000
+
+
+def test_words_that_differ_in_case_and_signs_alone_are_encoded_once(tokenizer, monkeypatch):
+    """The ids are the tokenizer's, whichever form came first, and forms of known letters do not reach it again."""
+    encode = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    assert encode.folds
+    sent, own = [], packing.WordEncoder._encode
+    monkeypatch.setattr(packing.WordEncoder, "_encode", lambda self, words, single: (sent.extend(words), own(self, words, single)))
+    texts = ["Zorplix, ZORPLIX zorplix?! zorplix", "zorplix. zorplix.. (zorplix) zorplix's zorplix_ zorplix\x1c. zorplixé, İzorplix", "zorplix... ?! ., _"]
+    for text, payload in zip(texts, encode(texts)):
+        assert np.frombuffer(payload, "<u4").tolist() == brute_ids(tokenizer, text)[:-1], text
+    assert sent.count(b"zorplix") == 1 and not {b"Zorplix,", b"ZORPLIX", b"zorplix."} & set(sent)
+
+
+def test_tokenizers_that_tell_cases_apart_do_not_fold():
+    from tokenizers import normalizers
+
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    plain.normalizer = normalizers.NFC()
+    assert not packing._letters_apart(plain)
+    assert not packing._letters_apart(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def test_groups_of_texts_keep_order():
+    assert list(packing._groups(["ab", "", "c", "defg", "h"], 3)) == [["ab", "", "c"], ["defg"], ["h"]]
+    assert list(packing._groups([], 3)) == []
