@@ -176,37 +176,48 @@ def _run(df: DataFrame, put, checkpoint: str, mode: str = "append") -> None:
 # Corrections of any age
 
 _DAY = "event_day"
+_BUCKET = "bucket"
+_SERIES = "series"
 _PAYLOAD = "payload"
 _FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+#: Groups into which the series of a day are dealt. Each costs the same few milliseconds a batch however few rows it has,
+#: so a group for each series would be dear; and each is one task's to hold, so very many stations want more of them.
+BUCKETS = 64
+
+
 class WinnersOfDay(StatefulProcessor):
-    """Per series and day, the order of each time's winner so far; passes on the rows that beat it."""
+    """Per bucket of series and day, the order of each time's winner so far; passes on the rows that beat it.
 
-    def __init__(self, keys: Sequence[str], orders: Sequence[str], keep_ms: int):
-        self.keys, self.orders, self.keep_ms = list(keys), list(orders), keep_ms
+    The state holds the series' names and, as packed numbers, each winner's place in them, time and order.
+    """
+
+    def __init__(self, orders: Sequence[str], keep_ms: int):
+        self.numbers, self.keep_ms = [_AT, *orders], keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        names = [_AT, *self.orders]
-        schema = T.StructType([T.StructField(n, T.ArrayType(T.LongType())) for n in names])
         self.handle = handle
-        self.winners = handle.getValueState("winners", schema)
+        self.winners = handle.getValueState("winners", "series array<string>, places binary, numbers binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True)
-        arrived = arrived.sort_values([_AT, *self.orders], ascending=False, kind="stable").drop_duplicates(_AT)
-        columns = self.winners.get() if self.winners.exists() else [[] for _ in range(1 + len(self.orders))]
-        known = {at: tuple(order) for at, *order in zip(*columns, strict=True)}
-        orders = list(zip(*[arrived[c].tolist() for c in self.orders], strict=True))
-        times = arrived[_AT].tolist()
-        wins = [at not in known or order > known[at] for at, order in zip(times, orders, strict=True)]
-        known |= {at: order for at, order, won in zip(times, orders, wins, strict=True) if won}
-        self.winners.update((list(known), *[list(c) for c in zip(*known.values(), strict=True)]))
+        arrived = pd.concat(list(rows), ignore_index=True)[::-1]  # of equal orders the last one wins here: the known, then the first
+        names, places, numbers = self.winners.get() if self.winners.exists() else ([], b"", b"")
+        known = {name: i for i, name in enumerate(names)}
+        own = np.array([known.setdefault(n, len(known)) for n in arrived[_SERIES]], np.int32)
+        place = np.concatenate((own, np.frombuffer(places, np.int32)))
+        before = np.frombuffer(numbers, np.int64).reshape(len(self.numbers), -1)
+        each = np.concatenate((arrived[self.numbers].to_numpy(np.int64).T, before), axis=1)
+        by = np.lexsort((*each[::-1], place))  # by series, time, orders
+        series, at = place[by], each[0, by]
+        won = by[np.append((series[1:] != series[:-1]) | (at[1:] != at[:-1]), True)]
+        self.winners.update((list(known), place[won].tobytes(), each[:, won].tobytes()))
         for timer in self.handle.listTimers():
             self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep_ms)
-        if any(wins):
-            yield arrived[wins][[_PAYLOAD]]
+        fresh = won[won < len(own)]
+        if len(fresh):
+            yield arrived[[_PAYLOAD]].iloc[fresh]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.winners.clear()
@@ -216,25 +227,28 @@ class WinnersOfDay(StatefulProcessor):
         pass
 
 
-def winning_rows(df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], keep_days: float = 35) -> DataFrame:
+def winning_rows(
+    df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], keep_days: float = 35, buckets: int = BUCKETS
+) -> DataFrame:
     """The rows that are the latest of their key and time so far, from a stream; rows without a time are left out.
 
-    ``order`` names timestamps or whole numbers, missing ones lowest. State per key and day: one entry for each time,
-    dropped by a timer when the day has had no rows for ``keep_days``. A row that comes after that is passed on
-    untested, so whoever stores the rows compares them with the stored ones (``merge_latest``): nothing is ever lost.
+    ``order`` names timestamps or whole numbers, missing ones lowest. State per bucket of keys and day: one entry for
+    each key and time, dropped by a timer when they have had no rows for ``keep_days``. A row that comes after that, or
+    after the number of buckets was changed, is passed on untested, so whoever stores the rows compares them with the stored ones (``merge_latest``): nothing is ever lost.
     """
     known = df.filter(F.col(time).isNotNull())
     orders = {f"order_{i}": _as_long(df, c) for i, c in enumerate(order)}
+    series = F.to_json(F.struct(*[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)]), _FORMATS)
     slim = known.select(
-        *[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)],
+        F.pmod(F.xxhash64(series), F.lit(buckets)).cast("int").alias(_BUCKET),
         F.to_date(time).alias(_DAY),
+        series.alias(_SERIES),
         sort_key(F.col(time)).alias(_AT),
         *[c.alias(n) for n, c in orders.items()],
         F.to_json(F.struct(*df.columns), _FORMATS).alias(_PAYLOAD),
     )
-    groups = [*[f"key_{i}" for i in range(len(keys))], _DAY]
-    processor = WinnersOfDay(groups, list(orders), int(keep_days * 86_400_000))
-    won = slim.groupBy(*groups).transformWithStateInPandas(processor, f"{_PAYLOAD} string", "Update", "ProcessingTime")
+    processor = WinnersOfDay(list(orders), int(keep_days * 86_400_000))
+    won = slim.groupBy(_BUCKET, _DAY).transformWithStateInPandas(processor, f"{_PAYLOAD} string", "Update", "ProcessingTime")
     return won.select(F.from_json(_PAYLOAD, df.schema, _FORMATS).alias("row")).select("row.*")
 
 

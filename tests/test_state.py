@@ -116,6 +116,64 @@ def test_corrections_of_any_age(spark, tmp_path, keep_days):
     assert snapshot(spark, root).number == before + 1
 
 
+def test_series_of_a_day_share_groups(spark, tmp_path):
+    """However many series there are, a day has at most so many groups; keys of several columns, null and odd ones."""
+    folder, root, log = (str(tmp_path / n) for n in ("in", "root", "log"))
+    rows = spark.range(600).selectExpr(
+        "if(id % 50 = 7, null, int(id % 50)) AS city_id",
+        "if(id % 3 = 0, null, concat('{,', id % 3)) AS name",
+        "timestamp_ntz'2025-01-01' + make_dt_interval(0, int(id % 2)) AS timestamp_utc",
+        "id AS seq",
+    )
+    state.store_latest(arrive(spark, rows, folder), root, "latest", ["city_id", "name"], "timestamp_utc", ["seq"], log)
+    got = snapshot(spark, root).read("latest")
+    want = latest_wins(rows, ["city_id", "name", "timestamp_utc"], [F.col("seq").desc_nulls_last()])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 100
+    stored = spark.read.format("statestore").option("stateVarName", "winners").load(log)
+    assert 1 < stored.count() <= state.BUCKETS
+
+
+def test_winners_with_orders_of_any_size():
+    """Whole numbers beyond the digits of a double, the least of all, ties, a second batch."""
+    import pandas as pd
+
+    class Kept:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        def listTimers(self):
+            return []
+
+        def registerTimer(self, at):
+            pass
+
+    class Clock:
+        def getCurrentProcessingTimeInMs(self):
+            return 0
+
+    processor = state.WinnersOfDay(["order_0", "order_1"], 0)
+    processor.winners, processor.handle = Kept(), Handle()
+
+    def take_in(*rows):
+        frame = pd.DataFrame(rows, columns=["series", "at_micros", "order_0", "order_1", "payload"])
+        out = list(processor.handleInputRows(None, iter([frame[:2], frame[2:]]), Clock()))
+        return sorted(p for f in out for p in f["payload"])
+
+    big, least = 2**62, -(2**63)
+    assert take_in(("a", 1, big, 5, "1"), ("a", 1, big + 1, 4, "2"), ("b", 1, least, 0, "3"), ("a", 2, 0, 0, "4"), ("a", 2, 0, 0, "5")) == ["2", "3", "4"]
+    assert take_in(("a", 1, big, 9, "6"), ("a", 1, big + 1, 4, "7"), ("b", 1, least, 1, "8"), ("c", 1, least, least, "9")) == ["8", "9"]
+    assert take_in(("a", 1, big + 1, 5, "10"), ("b", 1, least + 1, 0, "11"), ("c", 1, least, least, "12"), ("a", 2, -1, 9, "13")) == ["10", "11"]
+
+
 def test_late_rows_are_set_aside_and_added(spark, tmp_path, monkeypatch):
     folder, root, log = (str(tmp_path / n) for n in ("in", "root", "log"))
     schema = "city_id int, t string, rain_mm double, is_quality_anomaly boolean"
