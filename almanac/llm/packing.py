@@ -13,10 +13,12 @@ order. How many tasks pack follows from the number of pieces, so that each leave
 from __future__ import annotations
 
 import json
+import re
 import string
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import accumulate, chain, islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,8 @@ OPEN = 8192
 WINDOW = 4096
 #: Pieces that a packing task gets, about.
 TASK_PIECES = 400_000
-#: Words whose ids a tokenizing worker remembers, about 200 bytes each; beyond, the older half is forgotten.
+#: Words whose ids a tokenizing worker remembers, about 200 bytes each; half of them are older ones, which are forgotten
+#: if they do not come again before the other half is full.
 KNOWN_WORDS = 1_000_000
 #: New words that are encoded at once.
 LEARNT = 512
@@ -52,11 +55,16 @@ _encoders: dict[str, WordEncoder] = {}
 #: Pre-tokenizers by this pattern keep letters and signs apart; after lower-casing, so are the ids of words of both.
 _LETTERS_APART = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _SIGNS = string.punctuation.encode()
+#: Letters beyond ASCII, up to Cyrillic, that NFC leaves as they are and that become one such letter when lower-cased,
+#: whatever stands beside them: a large sigma does not in Python.
+_SMALL = {c for c in map(chr, range(0xC0, 0x530)) if c.isalpha() and c.lower() == c and is_normalized("NFC", c)}
+_LETTERS = "".join(c for c in map(chr, range(0xC0, 0x530)) if c.lower() in _SMALL and is_normalized("NFC", c) and c != "Σ")
+_WORD = re.compile(f"[a-zA-Z{_LETTERS}]+")
 
 
 def _letters_apart(tokenizer: Tokenizer) -> bool:
-    """Whether a word of ASCII letters and then signs, which holds no contraction or special string, has the ids of its
-    lower-case letters, then those of its signs, and each of both is one pre-token."""
+    """Whether a word of letters (ASCII or _LETTERS) and then ASCII signs, which holds no contraction or special string,
+    has the ids of its lower-case letters, then those of its signs, and each of both is one pre-token."""
     found = json.loads(tokenizer.to_str())
     steps = [found["normalizer"] or {}, found["pre_tokenizer"] or {}]
     normalizers, splits = (s.get("normalizers") or s.get("pretokenizers") or [s] for s in steps)
@@ -76,56 +84,90 @@ class WordEncoder:
     No token of such a tokenizer spans a blank, so a text's ids are those of its words in turn, and each distinct
     word goes through the tokenizer once while it is remembered. New words are encoded many at a time, with blanks
     between them; the offsets tell whose ids are whose. Where the tokenizer keeps letters and signs apart and does not
-    tell cases apart, words that differ in these alone share the ids of their letters.
+    tell cases apart, words that differ in these alone share the ids of their letters, and lower-case letters or signs,
+    one pre-token each, go straight to the tokenizer's model, as normalizing would leave them as they are.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.folds = _letters_apart(self.tokenizer)
+        #: Letters as the pre-tokenizer spells them for the model; it leaves ASCII as it is.
+        self.spelt = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _LETTERS} if self.folds else {}
 
     def _encode(self, words: list[bytes], single: bool) -> None:
-        joined = b" ".join(words).decode()
-        encoding = self.tokenizer.encode(joined, add_special_tokens=False)
         if single:  # a pre-token each
-            owner = encoding.word_ids
+            spelt = [w.decode() if w.isascii() else w.decode().translate(self.spelt) for w in words]
+            found = [[t.id for t in self.model.tokenize(w)] for w in spelt]
+            ends = [4 * n for n in accumulate(map(len, found))]
+            ids = list(chain.from_iterable(found))
         else:
+            encoding = self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False)
             starts = np.cumsum([0, *(len(w.decode()) + 1 for w in words[:-1])])
             owner = np.searchsorted(starts, [a for a, _ in encoding.offsets], "right") - 1
-        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
-        payload = np.array(encoding.ids, "<u4").tobytes()
+            ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+            ids = encoding.ids
+        payload = np.array(ids, "<u4").tobytes()
         for word, a, b in zip(words, [0, *ends], ends):
             self.known[word] = payload[a:b]
 
-    def _learn(self, words: Iterable[bytes]) -> None:
-        made, single, other = [], {}, []
+    def _recall(self, words: Iterable[bytes]) -> list[bytes]:
+        """Takes what is known of older words; the others."""
+        new = []
         for word in words:
+            ids = self.older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self.known[word] = ids
+        return new
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        """words: distinct ones that are not known."""
+        made, parts, single, other = [], {}, {}, []
+        for word in self._recall(words):
             letters = word.rstrip(_SIGNS)
-            if self.folds and letters.isalpha():  # of ASCII letters, as these are bytes
-                signs, letters = word[len(letters) :], letters.lower()
-                made.append((word, letters, signs))
-                single[letters] = None
-                if signs:
-                    single[signs] = None
+            if not self.folds or not letters:
+                other.append(word)
+                continue
+            if letters.isalpha():  # of ASCII letters, as these are bytes
+                low = letters.lower()
+            elif _WORD.fullmatch(wide := letters.decode()):
+                low = wide.lower().encode()
             else:
                 other.append(word)
-        new = [w for w in single if w not in self.known]
-        for i in range(0, len(new), LEARNT):
-            self._encode(new[i : i + LEARNT], True)
+                continue
+            if low == word:
+                single[word] = None
+            else:
+                signs = word[len(letters) :]
+                made.append((word, low, signs))
+                parts[low] = parts[signs] = None
+        single |= dict.fromkeys(self._recall(w for w in parts if w and w not in self.known))
+        single = list(single)
+        for i in range(0, len(single), LEARNT):
+            self._encode(single[i : i + LEARNT], True)
         for i in range(0, len(other), LEARNT):
             self._encode(other[i : i + LEARNT], False)
-        for word, letters, signs in made:
-            self.known[word] = self.known[letters] + self.known[signs] if signs else self.known[letters]
+        for word, low, signs in made:
+            self.known[word] = self.known[low] + self.known[signs] if signs else self.known[low]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for group in _groups(texts, GROUP_CHARS):
             split = [text.encode().split() for text in group]  # at space and \x09-\x0D
-            found = [list(map(self.known.get, words)) for words in split]
-            self._learn(dict.fromkeys(w for words, ids in zip(split, found) for w, i in zip(words, ids) if i is None))
-            for words, ids in zip(split, found):
-                yield b"".join([self.known[w] if i is None else i for w, i in zip(words, ids)])
-            if len(self.known) > KNOWN_WORDS:
-                self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            words = list(chain.from_iterable(split))
+            ids = list(map(self.known.get, words))
+            gaps = [i for i, found in enumerate(ids) if found is None]
+            self._learn(dict.fromkeys(words[i] for i in gaps))
+            for i in gaps:
+                ids[i] = self.known[words[i]]
+            rest = iter(ids)
+            for own in split:
+                yield b"".join(islice(rest, len(own)))
+            if len(self.known) > KNOWN_WORDS // 2:
+                self.known, self.older = {}, self.known
 
 
 def _groups(texts: list[str], chars: int) -> Iterator[list[str]]:

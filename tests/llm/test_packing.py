@@ -146,3 +146,33 @@ def test_tokenizers_that_tell_cases_apart_do_not_fold():
 def test_groups_of_texts_keep_order():
     assert list(packing._groups(["ab", "", "c", "defg", "h"], 3)) == [["ab", "", "c"], ["defg"], ["h"]]
     assert list(packing._groups([], 3)) == []
+
+
+def test_words_with_other_letters_fold_too(tokenizer, monkeypatch):
+    """Forms of a word with letters beyond ASCII share their ids, each letter as the tokenizer has it; a sigma, a dotted
+    I, marks of their own and digits stay as they are."""
+    encode = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    sent, own = [], packing.WordEncoder._encode
+    monkeypatch.setattr(packing.WordEncoder, "_encode", lambda self, words, single: (sent.extend(words), own(self, words, single)))
+    texts = ["Zörplé, ZÖRPLÉ zörplé?! Привет ПРИВЕТ... привет", "ΟΔΟΣ οδος Οδός ΣΑΣ, İé é́x x́ é1 ªé ǅé ŉé ßẞ é's é'x 'é 'sé", "zörplé."]
+    texts += [f"x{c}y {c}{c.lower()}, {c} {c.upper()}z!" for c in map(chr, range(0xC0, 0x530))]
+    for text, payload in zip(texts, encode(texts)):
+        assert np.frombuffer(payload, "<u4").tolist() == brute_ids(tokenizer, text)[:-1], text
+    assert sent.count("zörplé".encode()) == sent.count("привет".encode()) == 1
+    assert not {w.encode() for w in ("Zörplé,", "ZÖRPLÉ", "zörplé.", "ПРИВЕТ...")} & set(sent)
+
+
+def test_words_that_come_again_are_kept(tokenizer, monkeypatch):
+    """Only words that did not come for long are forgotten and encoded again."""
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 40)
+    encode = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    sent, own = [], packing.WordEncoder._encode
+    monkeypatch.setattr(packing.WordEncoder, "_encode", lambda self, words, single: (sent.extend(words), own(self, words, single)))
+    rare = ["".join(chr(97 + int(d)) for d in f"{i:04}") for i in range(300)]
+    for i in [*range(300), *range(3)]:
+        text = f"often {rare[i]} Often, it's 7th"
+        assert np.frombuffer(next(encode([text])), "<u4").tolist() == brute_ids(tokenizer, text)[:-1]
+        # a call goes on after what it yields only when asked for more
+        list(encode([text, text]))
+    assert sent.count(b"often") == sent.count(b"it's") == 1 and sent.count(rare[0].encode()) == 2
+    assert len(encode.known) + len(encode.older) < 60
